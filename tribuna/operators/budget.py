@@ -70,7 +70,8 @@ def backfill_summary(plan: DataFrame, order: list[str], item: list[str], n: int,
     cut = F.coalesce(_key(order) <= cutoff.scalar(), F.lit(True))
     before = plan.withColumn("_in", cut)
     stop_item = before.where(~F.col("_in")).agg(F.min(_key(order)).alias("stop"))
-    entered = F.coalesce(_key(item) <= F.struct(*[stop_item.scalar().getField(c) for c in item]), F.lit(True))
+    stop = stop_item.scalar()
+    entered = stop.isNull() | (_key(item) <= F.struct(*[stop.getField(c) for c in item]))
     a = F.col("action")
     counts = before.agg(
         F.count_if(F.col("_in") & a.startswith("enqueue")).alias("budget_used"),

@@ -90,9 +90,9 @@ def inspect_runs(expected: DataFrame, manifests: DataFrame, markers: DataFrame,
              F.concat(F.lit("control status "), control, F.lit(" vs metadata-derived "), d)),
     )
     return (
-        joined.withColumn("manifest_status", F.col("status"))
-        .withColumn("status", d).withColumn("warnings", F.array_compact(rules))
-        .drop("_derived", "_found")
+        joined.withColumn("warnings", F.array_compact(rules))
+        .withColumnRenamed("status", "manifest_status").withColumnRenamed("_derived", "status")
+        .drop("_found")
     )
 
 

@@ -1 +1,145 @@
-QUERIES = {}
+"""Round trips through the sinks and sources: written below the shared folder, read back.
+
+Every call writes to a fresh folder, so nothing has to be cleared.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tribuna.operators import envelope as E
+from tribuna.operators import fingerprints as FP
+from tribuna.operators import layers as L
+from tribuna.operators import manifests as MF
+from tribuna.operators import summary as SU
+from tribuna.plans import health, records
+from tribuna.plans import stand_ins as ST
+from tribuna.plans.stand_ins import twin
+from tribuna.session import read_table, work_path
+from tribuna.sources import pages as PG
+from tribuna.sources import sinks, tables
+
+_RECORD = "id bigint, nome string"
+
+
+def _audited(spark, sf):
+    pages = ST.text_pages(spark, sf).withColumns({
+        "pipeline_run_id": F.concat(F.lit("eventos_daily_"), F.col("lang")), "execution_id": F.lit("e"),
+        "ingested_at": F.lit("2024-01-20T12:00:00+00:00")})
+    return E.enrich_pages(pages, "evento_deputados")
+
+
+def pages_roundtrip(spark, sf):
+    """Audited pages under run partitions; a rerun of one run replaces only its own partition."""
+    root = work_path(spark, "pages")
+    pages = _audited(spark, sf).withColumn("run", F.col("pipeline_run_id")).select("_audit", "dados", "links", "page", "run")
+    sinks.write_pages(pages, root, ("run",))
+    sinks.write_pages(pages.where(F.col("run") == "eventos_daily_en"), root, ("run",))
+    back = (
+        spark.read.schema("value string, run string").option("basePath", root).text(f"{root}/run=*")
+        .withColumnRenamed("value", "raw").withColumn("raw_path", F.lit(None).cast("string"))
+    )
+    parsed = PG._parsed(back, _RECORD + ", _record_hash string")
+    page = F.get_json_object("raw", "$._audit._page").cast("int")
+    return parsed.select("run", page.alias("page"), F.posexplode("dados").alias("pos", "item")).select(
+        "run", "page", "pos", F.col("item._record_hash").alias("record_hash"))
+
+
+def jsonl_roundtrip(spark, sf):
+    """List snapshot as JSON lines: one page per line."""
+    path = work_path(spark, "jsonl")
+    doc = ST.text_pages(spark, sf).select(F.to_json(F.struct("dados", "links")).alias("doc"))
+    sinks.write_jsonl(doc, path, "doc")
+    back = PG.read_pages_jsonl(spark, path, _RECORD)
+    return back.select(F.size("dados").alias("records"), F.sha2(F.element_at("dados", 1)["nome"], 256).alias("first_line"))
+
+
+def manifest_roundtrip(spark, sf):
+    """Manifests and marker table written, read, and inspected again."""
+    mpath, kpath = work_path(spark, "manifests"), work_path(spark, "markers")
+    rows = health._run_rows(spark, sf)
+    doc = MF.build_ceap_manifest(rows)
+    sinks.write_jsonl(doc, mpath, "manifest")
+    sinks.markers(doc).write.mode("overwrite").parquet(kpath)
+    back = SU.join_markers(tables.read_manifests(spark, mpath), tables.read_markers(spark, kpath))
+    return back.select("pipeline_run_id", "status", "run_type", F.array_join(F.transform("reference_months", lambda m: m.cast("string")), ",").alias("months"),
+                       "total_tasks_expected", "enqueue_phase_complete", "parent_snapshot_path", "has_marker")
+
+
+def fingerprint_map_roundtrip(spark, sf):
+    """Fingerprint documents of each event day, written as maps and exploded again."""
+    path = work_path(spark, "fingerprints")
+    rows = records._list_rows(spark, sf)
+    fp = FP.last_wins(rows, ["ts", "event_id"])
+    sinks.write_jsonl(FP.to_documents(fp.withColumn("run", F.lit("r")), "run"), path, "raw")
+    docs = spark.read.text(path).withColumnRenamed("value", "raw")
+    return tables.explode_fingerprints(docs)
+
+
+def layers_roundtrip(spark, sf):
+    """Silver expenses as partitioned Parquet, totals from the files."""
+    path = work_path(spark, "silver")
+    silver = L.silver_cast(ST.expenses(spark, sf)).select("ano", "mes", "tipoDespesa", "valor")
+    sinks.write_layer(silver, path, ("ano",))
+    back = spark.read.parquet(path)
+    return back.groupBy("ano", "tipoDespesa").agg(F.sum("valor").cast("double").alias("total"), F.count(F.lit(1)).alias("documentos"))
+
+
+def state_roundtrip(spark, sf):
+    """Two versions of the state table; the newest is read, one domain and run only."""
+    path = work_path(spark, "state")
+    state = ST.run_state(spark, sf).select("domain", "row_key", "status", "current_pipeline_run_id", "last_pipeline_run_id")
+    tables.write_version(state, path, 1)
+    tables.write_version(state.withColumn("status", F.when(F.col("status") == "FAILED", F.lit("QUEUED")).otherwise(F.col("status"))), path, 2)
+    return tables.read_state(spark, path, run_id=ST.CEAP_RUN).select("domain", "row_key", "status")
+
+
+def daily_summary_roundtrip(spark, sf):
+    """Summary documents by date with the marker rows of the green days."""
+    path, kpath = work_path(spark, "summary"), work_path(spark, "summary-markers")
+    inspected = health._inspected(spark, sf)
+    docs = SU.daily_documents(health._domains(spark, sf), SU.collect_warnings(inspected, "reference_date"), health.NAMES)
+    docs = docs.withColumn("month", F.substring("reference_date", 1, 7)).withColumnRenamed("reference_date", "day").withColumnRenamed("month", "reference_date")
+    out = docs.select("reference_date", "day", "status", "warnings_count", "warning_types")
+    sinks.write_daily_summary(out, path, kpath)
+    schema = "day string, status string, warnings_count bigint, warning_types array<string>, reference_date string"
+    return spark.read.schema(schema).json(path).select("day", "status", "warnings_count")
+
+
+def csv_history(spark, sf):
+    """Annual expense files: written as CSV, read with an explicit schema."""
+    path = work_path(spark, "csv")
+    e = ST.expenses(spark, sf)
+    out = e.select(F.col("id_deputado").alias("nuDeputadoId"), F.when(F.col("id_deputado") % 10 != 0, F.col("id_deputado")).alias("ideCadastro"),
+                   F.concat(F.lit('Dep. "'), F.col("tipoDespesa"), F.lit('"; x')).alias("txNomeParlamentar"), F.col("ano").alias("numAno"),
+                   F.col("mes").alias("numMes"), F.col("dataDocumento").alias("datEmissao"), F.col("valorDocumento").alias("vlrDocumento"))
+    out.write.option("header", True).option("sep", ";").option("escape", '"').csv(path)
+    schema = "nuDeputadoId bigint, ideCadastro bigint, txNomeParlamentar string, numAno int, numMes int, datEmissao string, vlrDocumento string"
+    back = PG.read_ceap_csv(spark, path, schema)
+    return back.groupBy("numAno", "numMes", "txNomeParlamentar").agg(
+        F.count(F.lit(1)).alias("linhas"), F.count("ideCadastro").alias("com_cadastro"),
+        F.sum(F.col("vlrDocumento").cast("decimal(18,2)")).cast("double").alias("total"), F.max("datEmissao").alias("ultima"))
+
+
+def first_page_copy(spark, sf):
+    """Executions that rewrote the same page: the smallest path is kept."""
+    c = read_table(spark, sf, "conversations")
+    pages = c.select("role", F.col("turn").alias("page"), F.concat(F.lit("run/execution_id="), F.lpad(F.col("conv_id").cast("string"), 6, "0"), F.lit("/page_"), F.col("turn").cast("string"), F.lit(".json")).alias("raw_path"))
+    return PG.first_page_copy(pages, ["role"])
+
+
+QUERIES = {
+    "pages_roundtrip": (pages_roundtrip, twin("SELECT 'eventos_daily_' || lang AS run, CAST(page AS INTEGER) AS page, CAST(pos AS INTEGER) AS pos, record_hash FROM recs", "recs")),
+    "jsonl_roundtrip": (jsonl_roundtrip, "SELECT CAST(len(string_split(text, chr(10))) AS INTEGER) AS records, sha256(string_split(text, chr(10))[1]) AS first_line FROM documents"),
+    "manifest_roundtrip": (manifest_roundtrip, health._RR + """ SELECT pipeline_run_id, CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'QUEUING' ELSE 'FAILED' END AS status, CASE WHEN o_orderkey % 3 = 0 THEN 'reconciliation' ELSE 'daily' END AS run_type,
+  CASE o_orderkey % 4 WHEN 0 THEN '5,4' WHEN 1 THEN '3,2' ELSE '' END AS months, CAST(o_orderkey % 10 AS INTEGER) AS total_tasks_expected, o_orderkey % 2 = 0 AS enqueue_phase_complete,
+  CASE WHEN o_orderkey % 5 <> 0 THEN 'raw/x/' || d END AS parent_snapshot_path, o_orderstatus = 'F' AS has_marker FROM r"""),
+    "fingerprint_map_roundtrip": (fingerprint_map_roundtrip, twin("""SELECT CAST(user_id AS VARCHAR) AS id, arg_max(sha256('camara_dadosabertos|proposicoes|{"id":' || user_id || '}'), (ts, event_id)) AS uid,
+  arg_max(sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}'), (ts, event_id)) AS hash FROM ev GROUP BY 1""", "ev")),
+    "layers_roundtrip": (layers_roundtrip, twin("SELECT ano, tipoDespesa, CAST(sum(CAST(valorDocumento AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS documentos FROM expenses GROUP BY 1, 2", "expenses")),
+    "state_roundtrip": (state_roundtrip, twin("SELECT domain, row_key, CASE status WHEN 'FAILED' THEN 'QUEUED' ELSE status END AS status FROM run_state WHERE cur = 'ceap_daily_20240115' OR lst = 'ceap_daily_20240115'", "run_state")),
+    "daily_summary_roundtrip": (daily_summary_roundtrip, twin("SELECT d.reference_date AS day, d.status, coalesce(w.n, 0) AS warnings_count FROM dayroll d LEFT JOIN (SELECT reference_date, count(*) AS n FROM warns GROUP BY 1) w USING (reference_date)", "dayroll", "warns")),
+    "csv_history": (csv_history, twin("""SELECT ano AS numAno, mes AS numMes, 'Dep. "' || tipoDespesa || '"; x' AS txNomeParlamentar, count(*) AS linhas, count(*) FILTER (id_deputado % 10 <> 0) AS com_cadastro,
+  CAST(sum(CAST(valorDocumento AS DECIMAL(18,2))) AS DOUBLE) AS total, max(dataDocumento) AS ultima FROM expenses GROUP BY 1, 2, 3""", "expenses")),
+    "first_page_copy": (first_page_copy, "SELECT role, turn AS page, 'run/execution_id=' || lpad(CAST(min(conv_id) AS VARCHAR), 6, '0') || '/page_' || turn || '.json' AS raw_path FROM conversations GROUP BY role, turn"),
+}

@@ -1 +1,71 @@
-QUERIES = {}
+"""Streaming queries over the event feed, each drained to the end and compared with its batch twin."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tribuna.plans import stand_ins as ST
+from tribuna.plans.stand_ins import twin
+from tribuna.session import read_table, work_path
+from tribuna.streaming import microbatch as MB
+from tribuna.streaming import table_log
+from tribuna.streaming import task_state as TS
+
+
+def _feed(spark, sf):
+    schema = read_table(spark, sf, "events").schema
+    return MB.read_feed(spark, sf, schema, "events.parquet")
+
+
+def stream_microbatch(spark, sf):
+    """Ten-minute windows with record counts and largest ids."""
+    path, cp = work_path(spark, "runs"), work_path(spark, "runs-cp")
+    MB.stream_runs(_feed(spark, sf).withColumnRenamed("event_id", "id"), path, cp)
+    return table_log.newest(table_log.read_log(spark, path), ["pipeline_run_id"])
+
+
+def stream_dedup(spark, sf):
+    """List rows by uid and hash, re-read rows dropped inside the two-day lateness bound."""
+    path, cp = work_path(spark, "dedup"), work_path(spark, "dedup-cp")
+    fp = ST.stored_item_hash(F.col("user_id"))
+    MB.stream_dedup(_feed(spark, sf).select("ts", fp["uid"].alias("uid"), fp["hash"].alias("hash")), path, cp)
+    return spark.read.parquet(path).select("uid", "hash")
+
+
+def reconcile_feed(spark, sf):
+    """Rows of the whole feed whose fingerprint the first half never brought."""
+    e = read_table(spark, sf, "events")
+    fp = ST.stored_item_hash(F.col("user_id"))
+    rows = e.select("ts", fp["uid"].alias("uid"), fp["hash"].alias("hash"))
+    return MB.reconcile_batch(rows, rows.where(F.col("ts") < F.lit("2024-01-05").cast("timestamp_ntz"))).select("uid", "hash")
+
+
+def stream_task_state(spark, sf):
+    """Task state kept by a stream of task events."""
+    path, cp = work_path(spark, "state"), work_path(spark, "state-cp")
+    TS.stream_states(ST.task_events(_feed(spark, sf)), ["row_key"], path, cp)
+    out = TS.current(spark, path, ["row_key"])
+    return out.select("row_key", "status", "current_pipeline_run_id", "attempt_count", "reprocess_count", "record_count",
+                      "last_list_item_hash", F.date_format("last_success_at", "yyyy-MM-dd HH:mm:ss").alias("last_success_at"))
+
+
+def stream_cursor(spark, sf):
+    """Ids above the cursor of the earlier ticks, per user and event type."""
+    path, cp = work_path(spark, "cursor"), work_path(spark, "cursor-cp")
+    feed = _feed(spark, sf).select(F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("55-"), F.col("event_id").cast("string")))
+                                   .otherwise(F.col("event_id").cast("string")).alias("id"))
+    MB.stream_after_cursor(feed, path, cp)
+    return table_log.read_log(spark, path).select("id")
+
+
+QUERIES = {
+    "stream_microbatch": (stream_microbatch, """SELECT 'votacoes_microbatch_' || strftime(time_bucket(INTERVAL 10 MINUTE, ts), '%Y%m%d%H%M') AS pipeline_run_id, strftime(time_bucket(INTERVAL 10 MINUTE, ts), '%Y-%m-%d %H:%M') AS window_start,
+  count(*) AS records, max(event_id) AS max_id FROM events GROUP BY time_bucket(INTERVAL 10 MINUTE, ts)"""),
+    "stream_dedup": (stream_dedup, twin("""SELECT DISTINCT sha256('camara_dadosabertos|proposicoes|{"id":' || user_id || '}') AS uid, sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}') AS hash FROM ev""", "ev")),
+    "reconcile_feed": (reconcile_feed, twin("""SELECT sha256('camara_dadosabertos|proposicoes|{"id":' || user_id || '}') AS uid, sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}') AS hash FROM ev
+  GROUP BY user_id, k % 3 HAVING min(ts) >= TIMESTAMP '2024-01-05'""", "ev")),
+    "stream_task_state": (stream_task_state, twin("""SELECT row_key, arg_max(status, (ts, seq)) AS status, arg_max(run_id, (ts, seq)) AS current_pipeline_run_id, count(*) FILTER (status = 'RUNNING') AS attempt_count, CAST(0 AS BIGINT) AS reprocess_count,
+  arg_max(record_count, (ts, seq)) FILTER (status = 'SUCCESS') AS record_count, arg_max(hash, (ts, seq)) FILTER (status = 'SUCCESS') AS last_list_item_hash,
+  strftime(max(ts) FILTER (status = 'SUCCESS'), '%Y-%m-%d %H:%M:%S') AS last_success_at FROM task_events GROUP BY 1""", "task_events")),
+    "stream_cursor": (stream_cursor, "SELECT CASE WHEN event_id % 7 = 0 THEN '55-' || event_id ELSE CAST(event_id AS VARCHAR) END AS id FROM events WHERE event_id > 0 OR event_id % 7 = 0"),
+}
