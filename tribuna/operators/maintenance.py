@@ -58,21 +58,23 @@ def purge_counts(run_id: str, runs: DataFrame, state: DataFrame, messages: DataF
         return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("artifact"), "n")
 
     p = F.col("path")
-    mine = tables.raw_files_for_run(paths, run_id)
-    snapshot = p.contains("/deputados/api/list/")
     tagged = p.contains(f"pipeline_run_id={run_id}")
+    snapshot = p.contains("/deputados/api/list/")
+    manifest = p.contains(f"_metadata/runs/pipeline_run_id={run_id}/")
+    # The file listing is the large input: its three classes are counted in one pass.
+    files = paths.where(tagged).agg(
+        F.count_if(~snapshot & ~p.contains("_metadata/")).alias("raw_files"),
+        F.count_if(manifest).alias("metadata_files"), F.count_if(snapshot).alias("deputies_snapshot_files"),
+    ).unpivot([], ["raw_files", "metadata_files", "deputies_snapshot_files"], "artifact", "n")
     parts = [
         n(runs.where(F.col("pipeline_run_id") == run_id), "control_run_records"),
         n(tables.tied_to_run(state, run_id), "state_records"),
         n(tables.messages_for_run(messages, run_id), "queue_messages"),
         n(tables.messages_for_run(poison, run_id), "poison_messages"),
-        n(mine.where(~snapshot), "raw_files"),
-        n(paths.where(p.contains(f"_metadata/runs/pipeline_run_id={run_id}/")), "metadata_files"),
         n(locks.where(F.col("pipeline_run_id") == run_id), "locks"),
-        n(paths.where(tagged & snapshot), "deputies_snapshot_files"),
     ]
-    out = parts[0]
-    for part in parts[1:]:
+    out = files
+    for part in parts:
         out = out.unionByName(part)
     return out
 

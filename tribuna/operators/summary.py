@@ -10,6 +10,10 @@ from tribuna.functions import scalars as S
 from tribuna.functions import windows as W
 
 IN_PROGRESS = ("RUNNING", "QUEUED", "QUEUING")
+WARNING_KINDS = (
+    "metadata_not_found", "success_marker_missing", "success_marker_exists_but_status_not_completed",
+    "task_counts_inconsistent", "ingestion_control_differs_from_raw_metadata",
+)
 # Domains whose empty collection yields no placeholder row; they still roll up to NOT_FOUND.
 NO_PLACEHOLDER = ("ceap", "reference", "votacoes", "institucional")
 
@@ -141,35 +145,29 @@ def expected_vs_found(days: DataFrame, inspections: DataFrame, names=catalog.DEF
     })
 
 
-def rollup_domain(rows: DataFrame, *keys: str) -> DataFrame:
-    """Domain status from its runs' statuses, worst first; unknown statuses make it PARTIAL."""
+def rollup_domain(rows: DataFrame, *keys: str, extra: tuple[Column, ...] = ()) -> DataFrame:
+    """Domain status from its runs' statuses, worst first; unknown statuses make it PARTIAL.
+
+    ``extra`` aggregates ride along in the same pass.
+    """
     s = F.col("status")
     any_ = lambda *v: F.bool_or(s.isin(*v))
     all_ = lambda *v: F.bool_and(s.isin(*v))
+    names = ("_f", "_r", "_p", "_i", "_nf", "_nd", "_ok")
+    tests = (any_("FAILED"), any_(*IN_PROGRESS), any_("PARTIAL"), any_("INVALID_METADATA"), all_("NOT_FOUND"),
+             all_("NO_DATA"), all_("COMPLETED", "NO_DATA"))
     flags = rows.groupBy(*keys).agg(
-        any_("FAILED").alias("f"), any_(*IN_PROGRESS).alias("r"), any_("PARTIAL").alias("p"),
-        any_("INVALID_METADATA").alias("i"), all_("NOT_FOUND").alias("nf"), all_("NO_DATA").alias("nd"),
-        all_("COMPLETED", "NO_DATA").alias("ok"),
-        F.count(F.lit(1)).alias("runs"),
-    )
-    status = (
-        F.when(F.col("f"), F.lit("FAILED")).when(F.col("r"), F.lit("RUNNING"))
-        .when(F.col("p"), F.lit("PARTIAL")).when(F.col("i"), F.lit("FAILED"))
-        .when(F.col("nf"), F.lit("NOT_FOUND")).when(F.col("nd"), F.lit("NO_DATA"))
-        .when(F.col("ok"), F.lit("COMPLETED")).otherwise(F.lit("PARTIAL"))
+        *[t.alias(n) for n, t in zip(names, tests)], F.count(F.lit(1)).alias("runs"), *extra
     )
-    return flags.select(*keys, status.alias("domain_status"), "runs")
+    verdicts = ("FAILED", "RUNNING", "PARTIAL", "FAILED", "NOT_FOUND", "NO_DATA", "COMPLETED")
+    status = F.coalesce(*[F.when(F.col(n), F.lit(v)) for n, v in zip(names, verdicts)], F.lit("PARTIAL"))
+    return flags.withColumn("domain_status", status).drop(*names)
 
 
-def rollup_daily(domains: DataFrame, *keys: str) -> DataFrame:
-    """Day status over the expected domains; a domain without a catalog entry rolls up like the others.
-
-    NOT_IMPLEMENTED domains are ignored; a day with none left is PARTIAL.
-    """
-    s = F.col("domain_status")
+def _daily_status(s: Column) -> Column:
     live = s != "NOT_IMPLEMENTED"
     any_ = lambda *v: F.coalesce(F.bool_or(live & s.isin(*v)), F.lit(False))
-    status = (
+    return (
         F.when(F.count_if(live) == 0, F.lit("PARTIAL"))
         .when(any_("FAILED"), F.lit("FAILED"))
         .when(any_(*IN_PROGRESS), F.lit("RUNNING"))
@@ -177,17 +175,24 @@ def rollup_daily(domains: DataFrame, *keys: str) -> DataFrame:
         .when(F.bool_and(~live | s.isin("COMPLETED", "NO_DATA")), F.lit("COMPLETED"))
         .otherwise(F.lit("PARTIAL"))
     )
-    return domains.groupBy(*keys).agg(status.alias("status"))
 
 
-def summary_counts(domains: DataFrame, *keys: str) -> DataFrame:
-    s = F.col("domain_status")
+def rollup_daily(domains: DataFrame, *keys: str) -> DataFrame:
+    """Day status over the expected domains; NOT_IMPLEMENTED ones are ignored, a day with none left is PARTIAL."""
+    return domains.groupBy(*keys).agg(_daily_status(F.col("domain_status")).alias("status"))
+
+
+def _count_columns(s: Column) -> list[Column]:
     n = lambda name, *v: F.count_if(s.isin(*v)).alias(f"total_domains_{name}")
-    return domains.groupBy(*keys).agg(
+    return [
         F.count(F.lit(1)).alias("total_domains_expected"), n("completed", "COMPLETED"), n("running", *IN_PROGRESS),
         n("failed", "FAILED"), n("no_data", "NO_DATA"), n("not_found", "NOT_FOUND"), n("partial", "PARTIAL"),
         n("not_implemented", "NOT_IMPLEMENTED"),
-    )
+    ]
+
+
+def summary_counts(domains: DataFrame, *keys: str) -> DataFrame:
+    return domains.groupBy(*keys).agg(*_count_columns(F.col("domain_status")))
 
 
 def collect_warnings(inspected: DataFrame, *keys: str) -> DataFrame:
@@ -195,29 +200,35 @@ def collect_warnings(inspected: DataFrame, *keys: str) -> DataFrame:
     return inspected.select(*keys, "domain", "pipeline_run_id", F.inline("warnings"))
 
 
-def daily_documents(domains: DataFrame, warnings: DataFrame, names=catalog.DEFAULT_EXPECTED_DOMAINS) -> DataFrame:
+def daily_documents(rows: DataFrame, names=catalog.DEFAULT_EXPECTED_DOMAINS) -> DataFrame:
     """One document per day: status, counts, status by domain, warning kinds.
 
-    Both arrays are bounded by the catalog (domains, warning kinds); the runs
-    and warnings themselves stay in their own tables.
+    ``rows`` is :func:`expected_vs_found` with each run's ``warnings``.  Two
+    aggregates (day and domain, then day) carry everything; both arrays in the
+    document are bounded by the catalog, while the runs and the warnings stay
+    in tables of their own.
     """
-    day = rollup_daily(domains, "reference_date")
-    counts = summary_counts(domains, "reference_date")
-    by_domain = domains.groupBy("reference_date").pivot("expected", list(names)).agg(F.first("domain_status"))
-    kinds = warnings.groupBy("reference_date").agg(
-        F.array_sort(F.collect_set("warning_type")).alias("warning_types"),
-        F.count(F.lit(1)).alias("warnings_count"),
+    found = F.coalesce("warnings", F.array().cast("array<struct<warning_type:string,message:string>>"))
+    per_kind = tuple(
+        F.bool_or(F.array_contains(F.transform(found, lambda w: w["warning_type"]), k)).alias(f"_w_{k}")
+        for k in WARNING_KINDS
     )
-    totals = [c for c in counts.columns if c != "reference_date"]
-    return (
-        day.join(counts, "reference_date").join(by_domain, "reference_date").join(kinds, "reference_date", "left")
-        .select(
-            "reference_date", F.lit(catalog.METADATA_VERSION).alias("metadata_version"),
-            F.lit("camara").alias("source"), F.lit("daily_runs").alias("summary_type"), "status",
-            F.array(*[F.lit(n) for n in names]).alias("expected_domains"),
-            F.struct(*totals).alias("summary"),
-            F.struct(*[F.col(f"`{n}`").alias(n) for n in names]).alias("domain_status"),
-            F.coalesce("warning_types", F.array().cast("array<string>")).alias("warning_types"),
-            F.coalesce("warnings_count", F.lit(0).cast("bigint")).alias("warnings_count"),
-        )
+    domains = rollup_domain(
+        rows, "reference_date", "expected", extra=(F.sum(F.size(found)).alias("_n"), *per_kind)
+    )
+    s = F.col("domain_status")
+    day = domains.groupBy("reference_date").agg(
+        _daily_status(s).alias("status"), *_count_columns(s),
+        *[F.max(F.when(F.col("expected") == d, s)).alias(f"_d_{d}") for d in names],
+        F.sum("_n").cast("bigint").alias("warnings_count"),
+        *[F.bool_or(f"_w_{k}").alias(f"_w_{k}") for k in WARNING_KINDS],
+    )
+    totals = [c for c in day.columns if c.startswith("total_domains_")]
+    kinds = F.array_compact(F.array(*[F.when(F.col(f"_w_{k}"), F.lit(k)) for k in sorted(WARNING_KINDS)]))
+    return day.select(
+        "reference_date", F.lit(catalog.METADATA_VERSION).alias("metadata_version"), F.lit("camara").alias("source"),
+        F.lit("daily_runs").alias("summary_type"), "status",
+        F.array(*[F.lit(d) for d in names]).alias("expected_domains"), F.struct(*totals).alias("summary"),
+        F.struct(*[F.col(f"_d_{d}").alias(d) for d in names]).alias("domain_status"),
+        kinds.alias("warning_types"), "warnings_count",
     )

@@ -144,46 +144,51 @@ def choose_snapshot(candidates: DataFrame, mode: Column) -> DataFrame:
     })
 
 
-def request_errors(now: Column) -> Column:
-    """Error codes of a backfill request row, in rule order.
+def validate_requests(requests: DataFrame, now: Column) -> DataFrame:
+    """Adds ``errors``: the error codes of each backfill request, in rule order.
 
     Reads ``year, start_date, end_date, domains, force, max_tasks,
     confirm_max_tasks``, all text as received.  A date that does not parse
-    ends the checks.
+    ends the checks.  Values are parsed once, in a projection of their own.
     """
     cal = F.year(now)
     raw_year = F.coalesce(F.trim("year"), F.lit(""))
-    year = F.coalesce(raw_year.try_cast("int"), cal)
-    force = S.boolish(F.col("force"))
-    start_text = F.coalesce(F.when(F.trim("start_date") != "", F.trim("start_date")),
-                            F.concat(year.cast("string"), F.lit("-01-01")))
-    end_text = F.coalesce(F.when(F.trim("end_date") != "", F.trim("end_date")), F.date_format(now, "yyyy-MM-dd"))
-    start, end = S.iso_date(start_text), S.iso_date(end_text)
-    bad_dates = start.isNull() | end.isNull()
-    domains = F.filter(F.transform(F.split(F.coalesce("domains", F.lit("")), ","), lambda d: F.lower(F.trim(d))),
-                       lambda d: d != "")
-    unknown = F.filter(domains, lambda d: ~d.isin(*SUPPORTED_BACKFILL))
     raw_tasks = F.coalesce("max_tasks", F.lit(str(DEFAULT_MAX_TASKS)))
-    tasks = F.coalesce(raw_tasks.try_cast("bigint"), F.lit(DEFAULT_MAX_TASKS))
-    rest = lambda cond, code: F.when(~bad_dates & cond, code)
-    codes = F.array(
-        F.when((raw_year != "") & raw_year.try_cast("int").isNull(), F.lit("year_must_be_integer")),
-        F.when(year > cal, F.lit("year_cannot_exceed_current_calendar_year")),
-        F.when((year < cal) & ~force, F.lit("past_year_requires_force_true")),
-        F.when(bad_dates, F.lit("invalid_start_or_end_date_iso")),
-        rest(start > end, F.lit("date_start_after_date_end")),
-        rest(((F.year(start) < year) | (F.year(end) > year)) & ~force,
-             F.lit("window_outside_year_requires_force_true")),
-        rest(F.size(domains) == 0, F.lit("domains_required")),
-        rest((F.size(domains) > 0) & (F.size(unknown) > 0),
-             F.concat(F.lit("unknown_domains:"), F.array_join(unknown, ","))),
-        rest(raw_tasks.try_cast("bigint").isNull(), F.lit("max_tasks_must_be_integer")),
-        rest(tasks < 1, F.lit("max_tasks_must_be_at_least_1")),
-        rest(tasks > ABSOLUTE_MAX_TASKS, F.lit(f"max_tasks_cannot_exceed_{ABSOLUTE_MAX_TASKS}")),
-        rest((tasks > CONFIRM_ABOVE) & ~S.boolish(F.col("confirm_max_tasks")),
-             F.lit(f"max_tasks_above_{CONFIRM_ABOVE}_requires_confirm_max_tasks_true")),
+    given = lambda name: F.when(F.trim(name) != "", F.trim(name))
+    names = F.filter(
+        F.transform(F.split(F.coalesce("domains", F.lit("")), ","), lambda d: F.lower(F.trim(d))), lambda d: d != ""
     )
-    return F.array_compact(codes)
+    parsed = requests.withColumns({
+        "_year": raw_year.try_cast("int"), "_has_year": raw_year != "", "_force": S.boolish(F.col("force")),
+        "_tasks": raw_tasks.try_cast("bigint"), "_confirm": S.boolish(F.col("confirm_max_tasks")), "_domains": names,
+    })
+    year = F.coalesce("_year", cal)
+    parsed = parsed.withColumns({
+        "_start": S.iso_date(F.coalesce(given("start_date"), F.concat(year.cast("string"), F.lit("-01-01")))),
+        "_end": S.iso_date(F.coalesce(given("end_date"), F.date_format(now, "yyyy-MM-dd"))),
+        "_unknown": F.filter("_domains", lambda d: ~d.isin(*SUPPORTED_BACKFILL)),
+    })
+    start, end, tasks = F.col("_start"), F.col("_end"), F.coalesce("_tasks", F.lit(DEFAULT_MAX_TASKS))
+    bad = start.isNull() | end.isNull()
+    outside = (F.year(start) < year) | (F.year(end) > year)
+    rules = [
+        (F.col("_has_year") & F.col("_year").isNull(), "year_must_be_integer"),
+        (year > cal, "year_cannot_exceed_current_calendar_year"),
+        ((year < cal) & ~F.col("_force"), "past_year_requires_force_true"),
+        (bad, "invalid_start_or_end_date_iso"),
+        (~bad & (start > end), "date_start_after_date_end"),
+        (~bad & outside & ~F.col("_force"), "window_outside_year_requires_force_true"),
+        (~bad & (F.size("_domains") == 0), "domains_required"),
+        (~bad & (F.size("_unknown") > 0), F.concat(F.lit("unknown_domains:"), F.array_join("_unknown", ","))),
+        (~bad & F.col("_tasks").isNull(), "max_tasks_must_be_integer"),
+        (~bad & (tasks < 1), "max_tasks_must_be_at_least_1"),
+        (~bad & (tasks > ABSOLUTE_MAX_TASKS), f"max_tasks_cannot_exceed_{ABSOLUTE_MAX_TASKS}"),
+        (~bad & (tasks > CONFIRM_ABOVE) & ~F.col("_confirm"),
+         f"max_tasks_above_{CONFIRM_ABOVE}_requires_confirm_max_tasks_true"),
+    ]
+    codes = F.array(*[F.when(cond, F.lit(code) if isinstance(code, str) else code) for cond, code in rules])
+    helpers = [c for c in parsed.columns if c.startswith("_") and c not in requests.columns]
+    return parsed.withColumn("errors", F.array_compact(codes)).drop(*helpers)
 
 
 def window_errors(start: Column, end: Column, target_year: Column | None = None,

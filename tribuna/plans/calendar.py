@@ -13,7 +13,7 @@ from tribuna.functions import windows as W
 from tribuna.operators import summary as SU
 from tribuna.plans import stand_ins as ST
 from tribuna.plans.stand_ins import twin
-from tribuna.session import read_table
+from tribuna.session import read_table, spread
 
 
 def _join(months) -> F.Column:
@@ -22,7 +22,7 @@ def _join(months) -> F.Column:
 
 def month_windows(spark, sf):
     """Every month rule for each order date, with target years around it."""
-    o = read_table(spark, sf, "orders")
+    o = spread(read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate"))
     now = F.col("o_orderdate")
     year = (F.year(now) + F.col("o_orderkey") % 3 - 1).cast("int")
     pair = F.transform(W.legacy_month_pair(now), lambda x: F.concat_ws("-", x["ano"].cast("string"), x["mes"].cast("string")))
@@ -38,7 +38,7 @@ def _text(span) -> F.Column:
 
 
 def calendar_windows(spark, sf):
-    o = read_table(spark, sf, "orders")
+    o = spread(read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate"))
     now = F.col("o_orderdate")
     return o.select(
         "o_orderkey", _text(W.rolling_days(now, 7)).alias("rolling7"), _text(W.month_to_date(now)).alias("month_to_date"),
@@ -58,7 +58,7 @@ def in_window(spark, sf):
 
 def run_ids(spark, sf):
     """Run ids built, checked, typed and attributed."""
-    e = read_table(spark, sf, "events")
+    e = spread(read_table(spark, sf, "events"))
     ts = F.col("ts")
     slot = W.round_minute_down(ts, 10)
     kind = F.col("event_id") % 6
@@ -78,7 +78,7 @@ def run_ids(spark, sf):
 
 def mode_by_day(spark, sf):
     """Mode of each event's day, reference date in Brasília time, anchor minute."""
-    e = read_table(spark, sf, "events")
+    e = spread(read_table(spark, sf, "events"))
     ts = F.col("ts")
     return e.select(
         "event_id", W.ceap_mode(ts).alias("ceap"), W.ceap_mode(ts, 25).alias("ceap_legacy"),
@@ -90,7 +90,7 @@ def mode_by_day(spark, sf):
 
 def scalar_rules(spark, sf):
     """Tolerant casts, ISO times, months lists, path segments and ids."""
-    e = read_table(spark, sf, "events")
+    e = spread(read_table(spark, sf, "events"))
     k = ST.k_value()
     raw = F.when(k % 4 == 0, k.cast("string")).when(k % 4 == 1, F.lit("x1")).when(k % 4 == 2, F.lit(" ")).otherwise(F.lit(None))
     iso = F.when(k % 3 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(k % 3 == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.lit("soon"))

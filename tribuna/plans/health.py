@@ -10,7 +10,7 @@ from tribuna.operators import summary as SU
 from tribuna.operators import validation as V
 from tribuna.plans import stand_ins as ST
 from tribuna.plans.stand_ins import twin
-from tribuna.session import read_table
+from tribuna.session import read_table, spread
 
 NAMES = ("ceap", "reference_snapshot", "votacoes", "proposicoes", "eventos", "institucional", "discursos", "mystery")
 
@@ -71,12 +71,17 @@ def summary_counts(spark, sf):
     return SU.summary_counts(_domains(spark, sf), "reference_date")
 
 
+def _documents(spark, sf):
+    i = _inspected(spark, sf).select("reference_date", "domain", "pipeline_run_id", "status", "warnings")
+    days = ST.expected_runs(spark, sf).select("reference_date").distinct()
+    return SU.daily_documents(SU.expected_vs_found(days, i, NAMES), NAMES)
+
+
 def daily_documents(spark, sf):
     """Summary documents, flattened, with the gate of the daily marker."""
     from tribuna.sources.sinks import is_green
 
-    docs = SU.daily_documents(_domains(spark, sf), SU.collect_warnings(_inspected(spark, sf), "reference_date"), NAMES)
-    return docs.select(
+    return _documents(spark, sf).select(
         "reference_date", "status", F.col("summary.total_domains_failed").alias("failed"), F.col("domain_status.ceap").alias("ceap"),
         "warnings_count", F.array_join("warning_types", ",").alias("warning_types"),
         is_green(F.col("status"), F.col("warning_types")).alias("green"),
@@ -121,7 +126,7 @@ def snapshot_scan(spark, sf):
 
 def validate_requests(spark, sf):
     """Backfill requests with all kinds of mistakes and their error codes."""
-    o = read_table(spark, sf, "orders")
+    o = spread(read_table(spark, sf, "orders"))
     k = F.col("o_orderkey")
     req = o.select(
         "o_orderkey",
@@ -134,12 +139,11 @@ def validate_requests(spark, sf):
         F.when(k % 3 == 0, F.lit("true")).otherwise(F.lit(None)).alias("confirm_max_tasks"),
     )
     now = F.lit("1998-06-15 00:00:00").cast("timestamp_ntz")
-    codes = V.request_errors(now)
-    return req.select("o_orderkey", F.array_join(codes, ",").alias("errors"))
+    return V.validate_requests(req, now).select("o_orderkey", F.array_join("errors", ",").alias("errors"))
 
 
 def validate_windows(spark, sf):
-    o = read_table(spark, sf, "orders")
+    o = spread(read_table(spark, sf, "orders"))
     k = F.col("o_orderkey")
     s = F.when(k % 7 == 0, F.lit("not-a-date")).otherwise(ST.day_text(F.col("o_orderdate")))
     out = V.window_errors(s, F.lit("1998-06-30"), F.lit(1998), k % 5 == 0)
@@ -147,7 +151,7 @@ def validate_windows(spark, sf):
 
 
 def _run_rows(spark, sf):
-    o = read_table(spark, sf, "orders")
+    o = spread(read_table(spark, sf, "orders"))
     k = F.col("o_orderkey")
     day = ST.day_text(F.col("o_orderdate"))
     return o.select(
@@ -168,29 +172,26 @@ def _run_rows(spark, sf):
 
 def manifest_docs(spark, sf):
     """Manifest text of expense runs, read back field by field: present, null and absent."""
-    m = MF.build_ceap_manifest(_run_rows(spark, sf))
-    get = lambda p: F.get_json_object("manifest", f"$.{p}")
-    has = lambda n: F.col("manifest").contains(f'"{n}":')
-    return m.select(
-        "pipeline_run_id", get("status").alias("status"), get("run_type").alias("run_type"), get("reference_months").alias("months"),
-        get("success_marker_path").alias("marker"), get("total_tasks_expected").alias("expected"), get("enqueue_phase_complete").alias("done"),
-        get("parent_snapshot_path").alias("parent_path"), has("parent_entity").alias("has_parent"), has("error_message").alias("has_error"),
-        get("error_message").alias("error"), has("total_pages").alias("has_pages"), get("total_records_collected").alias("records"),
-        has("error_type").alias("has_error_type"), get("completed_at").alias("completed_at"),
-    )
+    doc = MF.build_ceap_manifest(_run_rows(spark, sf)).select("pipeline_run_id", "manifest")
+    names = {"status": "status", "run_type": "run_type", "months": "reference_months", "marker": "success_marker_path",
+             "expected": "total_tasks_expected", "done": "enqueue_phase_complete", "parent_path": "parent_snapshot_path",
+             "error": "error_message", "records": "total_records_collected", "completed_at": "completed_at"}
+    keys = {"has_parent": "parent_entity", "has_error": "error_message", "has_pages": "total_pages", "has_error_type": "error_type"}
+    fields = F.json_tuple("manifest", *names.values())
+    m = doc.select("pipeline_run_id", F.json_object_keys("manifest").alias("_keys"), fields.alias(*names))
+    return m.select("pipeline_run_id", *names, *[F.array_contains("_keys", k).alias(n) for n, k in keys.items()])
 
 
 def manifest_docs_domain(spark, sf):
     """Aggregate manifests of the fan-out domains."""
     rows = _run_rows(spark, sf)
     out = None
+    names = {"domain": "domain", "run_type": "run_type", "status": "status", "fanout_from": "fanout_from",
+             "parents": "parent_record_count", "watermark": "watermark_field", "marker": "success_marker_path",
+             "audit": "audit_fields_applied", "records": "total_records_collected"}
     for domain in MF.FANOUT_MANIFESTS:
         m = MF.build_domain_manifest(rows, domain)
-        get = lambda p: F.get_json_object("manifest", f"$.{p}")
-        part = m.select("pipeline_run_id", get("domain").alias("domain"), get("run_type").alias("run_type"), get("status").alias("status"),
-                        get("fanout_from").alias("fanout_from"), get("parent_record_count").alias("parents"),
-                        get("watermark_field").alias("watermark"), get("success_marker_path").alias("marker"),
-                        get("audit_fields_applied[3]").alias("audit3"), get("total_records_collected").alias("records"))
+        part = m.select("pipeline_run_id", F.json_tuple("manifest", *names.values()).alias(*names))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -296,7 +297,7 @@ QUERIES = {
   false AS has_pages, CASE WHEN o_orderkey % 6 = 0 THEN '77' END AS records, o_orderkey % 5 = 0 AS has_error_type, CASE WHEN o_orderstatus = 'F' THEN d END AS completed_at FROM r"""),
     "manifest_docs_domain": (manifest_docs_domain, _RR + """ SELECT pipeline_run_id, f.domain, CASE WHEN o_orderkey % 3 = 0 THEN 'reconciliation' WHEN o_orderkey % 3 = 2 THEN 'backfill' WHEN f.domain = 'proposicoes' THEN 'microbatch' ELSE 'daily' END AS run_type,
   CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'QUEUING' ELSE 'FAILED' END AS status, f.fanout_from, CAST(o_custkey % 50 AS VARCHAR) AS parents, f.watermark,
-  'raw/camara/' || f.domain || '/api/_metadata/runs/pipeline_run_id=' || pipeline_run_id || '/_SUCCESS' AS marker, '_record_hash' AS audit3, CASE WHEN o_orderkey % 6 = 0 THEN '77' END AS records
+  'raw/camara/' || f.domain || '/api/_metadata/runs/pipeline_run_id=' || pipeline_run_id || '/_SUCCESS' AS marker, '["_audit","_payload_hash","_record_uid","_record_hash"]' AS audit, CASE WHEN o_orderkey % 6 = 0 THEN '77' END AS records
   FROM r CROSS JOIN (VALUES ('votacoes', '/votacoes', 'dataHoraRegistro'), ('proposicoes', '/proposicoes', 'ultimaTramitacao_dataHora'), ('eventos', '/eventos', 'dataHoraInicio'),
   ('institucional', '/orgaos + /partidos + /frentes + /legislaturas', NULL), ('discursos', 'deputies_snapshot', 'dataHoraInicio')) f(domain, fanout_from, watermark)"""),
     "manifest_docs_snapshot": (manifest_docs_snapshot, _SNAP + """ SELECT reference_date, CASE s WHEN 'F' THEN 'COMPLETED' ELSE 'RUNNING' END AS status, CASE s WHEN 'F' THEN 'COMPLETED' ELSE 'RUNNING' END AS snapshot_status,

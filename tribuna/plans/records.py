@@ -13,7 +13,7 @@ from tribuna.operators import layers as L
 from tribuna.operators.batches import count_window as count_window_op
 from tribuna.plans import stand_ins as ST
 from tribuna.plans.stand_ins import twin
-from tribuna.session import read_table
+from tribuna.session import read_table, spread
 from tribuna.sources import tables
 
 _DOC_FIELDS = list(catalog.CEAP_UID_FIELDS)
@@ -47,14 +47,14 @@ def record_hash_diff(spark, sf):
 
 def payload_hash_documents(spark, sf):
     """Payload hash of one-record pages made of whole texts."""
-    d = read_table(spark, sf, "documents")
+    d = spread(read_table(spark, sf, "documents"))
     page = H.canonical_struct({"dados": F.array(F.struct(F.col("text").alias("texto"))), "links": F.array().cast("array<string>")})
     return d.select("doc_id", H.sha256(page).alias("payload_hash"))
 
 
 def canonical_hash_exact(spark, sf):
     """Hash over raw JSON text, keys as received."""
-    e = read_table(spark, sf, "events")
+    e = spread(read_table(spark, sf, "events"))
     raw = F.concat(F.lit('{"tipo": "'), F.col("event_type"), F.lit('", "_record_hash": "x", "props": '), F.col("props"), F.lit(', "id": '), F.col("event_id").cast("string"), F.lit("}"))
     return e.select("event_id", H.record_hash_raw(raw).alias("record_hash"))
 
@@ -88,7 +88,7 @@ def dotted_path(spark, sf):
 
 
 def _messages(spark, sf):
-    e = read_table(spark, sf, "events")
+    e = spread(read_table(spark, sf, "events"))
     body = F.concat(
         F.lit('{"domain": " ceap", "endpoint": "ceap", "pipeline_run_id": "ceap_daily_'), ST.compact(F.col("ts")),
         F.lit('", "payload": '), F.col("props"), F.lit("}"),
@@ -109,7 +109,7 @@ def messages_for_run(spark, sf):
 
 
 def _list_rows(spark, sf):
-    e = read_table(spark, sf, "events")
+    e = spread(read_table(spark, sf, "events"))
     fp = ST.stored_item_hash(F.col("user_id"))
     return e.select(F.col("user_id").alias("id"), fp["uid"].alias("uid"), fp["hash"].alias("hash"), "ts", "event_id")
 
@@ -176,7 +176,7 @@ def snapshot_pages(spark, sf):
 
     A very long text stands for a failed fetch.
     """
-    c = read_table(spark, sf, "conversations")
+    c = spread(read_table(spark, sf, "conversations"))
     nxt = F.array(F.struct(F.lit("next").alias("rel"), F.lit("h").alias("href")))
     pages = c.select(
         F.col("conv_id").alias("parent_id"), (F.col("turn") + 1).alias("page"),

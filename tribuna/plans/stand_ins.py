@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tribuna import catalog
-from tribuna.session import read_table
+from tribuna.session import read_table, spread
 
 MONEY = "decimal(18,2)"
 NOW = "2024-01-20 12:00:00"
@@ -39,7 +39,10 @@ def pick(col: Column, mapping: dict) -> Column:
 # -- expenses -------------------------------------------------------------
 
 def expenses(spark: SparkSession, sf: str) -> DataFrame:
-    line, orders = read_table(spark, sf, "lineitem"), read_table(spark, sf, "orders")
+    line = read_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate")
+    line, orders = spread(line), read_table(spark, sf, "orders")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     j = line.join(o, line.l_orderkey == o.o_orderkey)
     return j.select(
@@ -100,7 +103,7 @@ def task_events(events: DataFrame) -> DataFrame:
 
 def run_state(spark: SparkSession, sf: str) -> DataFrame:
     """One state row per event; its last run is the day before, the same day or missing."""
-    e = read_table(spark, sf, "events")
+    e = spread(read_table(spark, sf, "events"))
     ts = F.col("ts")
     run = F.concat(F.lit("ceap_daily_"), compact(ts))
     prev = F.concat(F.lit("ceap_daily_"), F.replace(F.date_sub(F.to_date(ts), 1).cast("string"), F.lit("-"), F.lit("")))
@@ -142,7 +145,7 @@ def registry(spark: SparkSession, sf: str) -> DataFrame:
 
 def list_items(spark: SparkSession, sf: str) -> DataFrame:
     """List rows: id and situation, plus a lineage field that must not count."""
-    o = read_table(spark, sf, "orders")
+    o = spread(read_table(spark, sf, "orders"))
     return o.select(
         F.struct(
             F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("situacao"),
@@ -166,7 +169,7 @@ def stored_item_hash(event_id: Column, entity: str = "proposicoes") -> dict[str,
 
 def pair_state(spark: SparkSession, sf: str, endpoints: tuple[str, ...], entity: str, prefix: str) -> DataFrame:
     """State of (endpoint, id) pairs: event ``i`` describes id ``i`` at one of the endpoints."""
-    e = read_table(spark, sf, "events")
+    e = spread(read_table(spark, sf, "events"))
     names = F.array(*[F.lit(n) for n in endpoints])
     endpoint = F.element_at(names, (F.col("event_id") % len(endpoints) + 1).cast("int"))
     fp = stored_item_hash(F.col("event_id"), entity)
@@ -244,7 +247,7 @@ def run_controls(spark: SparkSession, sf: str) -> DataFrame:
 
 def text_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A document is a page and its lines are the records; the source is the parent."""
-    d = read_table(spark, sf, "documents")
+    d = spread(read_table(spark, sf, "documents").select("doc_id", "source", "lang", "text"))
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.cast("bigint").alias("id"), x.alias("nome")))
     nxt = F.struct(F.lit("next").alias("rel"), F.lit("?pagina=2").alias("href"))
     last = F.struct(

@@ -97,9 +97,7 @@ def state_roundtrip(spark, sf):
 def daily_summary_roundtrip(spark, sf):
     """Summary documents by date with the marker rows of the green days."""
     path, kpath = work_path(spark, "summary"), work_path(spark, "summary-markers")
-    inspected = health._inspected(spark, sf)
-    docs = SU.daily_documents(health._domains(spark, sf), SU.collect_warnings(inspected, "reference_date"), health.NAMES)
-    docs = docs.withColumn("month", F.substring("reference_date", 1, 7)).withColumnRenamed("reference_date", "day").withColumnRenamed("month", "reference_date")
+    docs = health._documents(spark, sf).withColumn("month", F.substring("reference_date", 1, 7)).withColumnRenamed("reference_date", "day").withColumnRenamed("month", "reference_date")
     out = docs.select("reference_date", "day", "status", "warnings_count", "warning_types")
     sinks.write_daily_summary(out, path, kpath)
     schema = "day string, status string, warnings_count bigint, warning_types array<string>, reference_date string"

@@ -45,7 +45,7 @@ def stream_task_state(spark, sf):
     path, cp = work_path(spark, "state"), work_path(spark, "state-cp")
     TS.stream_states(ST.task_events(_feed(spark, sf)), ["row_key"], path, cp)
     out = TS.current(spark, path, ["row_key"])
-    return out.select("row_key", "status", "current_pipeline_run_id", "attempt_count", "reprocess_count", "record_count",
+    return out.select("row_key", "status", "current_pipeline_run_id", "last_pipeline_run_id", "attempt_count", "reprocess_count", "record_count",
                       "last_list_item_hash", F.date_format("last_success_at", "yyyy-MM-dd HH:mm:ss").alias("last_success_at"))
 
 
@@ -64,8 +64,10 @@ QUERIES = {
     "stream_dedup": (stream_dedup, twin("""SELECT DISTINCT sha256('camara_dadosabertos|proposicoes|{"id":' || user_id || '}') AS uid, sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}') AS hash FROM ev""", "ev")),
     "reconcile_feed": (reconcile_feed, twin("""SELECT sha256('camara_dadosabertos|proposicoes|{"id":' || user_id || '}') AS uid, sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}') AS hash FROM ev
   GROUP BY user_id, k % 3 HAVING min(ts) >= TIMESTAMP '2024-01-05'""", "ev")),
-    "stream_task_state": (stream_task_state, twin("""SELECT row_key, arg_max(status, (ts, seq)) AS status, arg_max(run_id, (ts, seq)) AS current_pipeline_run_id, count(*) FILTER (status = 'RUNNING') AS attempt_count, CAST(0 AS BIGINT) AS reprocess_count,
+    "stream_task_state": (stream_task_state, twin("""SELECT row_key, status, current_pipeline_run_id, (SELECT arg_max(run_id, (ts, seq)) FROM task_events p WHERE p.row_key = b.row_key AND (p.ts, p.seq) < (b.dts, b.dseq)) AS last_pipeline_run_id,
+  attempt_count, CAST(0 AS BIGINT) AS reprocess_count, record_count, last_list_item_hash, last_success_at FROM (SELECT row_key, arg_max(status, (ts, seq)) AS status, arg_max(run_id, (ts, seq)) AS current_pipeline_run_id,
+  max(ts) FILTER (status IN ('QUEUED', 'RUNNING')) AS dts, arg_max(seq, (ts, seq)) FILTER (status IN ('QUEUED', 'RUNNING')) AS dseq, count(*) FILTER (status = 'RUNNING') AS attempt_count,
   arg_max(record_count, (ts, seq)) FILTER (status = 'SUCCESS') AS record_count, arg_max(hash, (ts, seq)) FILTER (status = 'SUCCESS') AS last_list_item_hash,
-  strftime(max(ts) FILTER (status = 'SUCCESS'), '%Y-%m-%d %H:%M:%S') AS last_success_at FROM task_events GROUP BY 1""", "task_events")),
+  strftime(max(ts) FILTER (status = 'SUCCESS'), '%Y-%m-%d %H:%M:%S') AS last_success_at FROM task_events GROUP BY 1) b""", "task_events")),
     "stream_cursor": (stream_cursor, "SELECT CASE WHEN event_id % 7 = 0 THEN '55-' || event_id ELSE CAST(event_id AS VARCHAR) END AS id FROM events WHERE event_id > 0 OR event_id % 7 = 0"),
 }

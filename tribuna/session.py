@@ -61,6 +61,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spreads an input that arrives in fewer splits than there are cores.
+
+    Row-wise work on one small file would otherwise run in one task.  Inputs
+    with enough splits (anything large) pass through untouched, so no shuffle
+    is added where it would cost.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def prepare(spark: SparkSession) -> None:
+    """Runtime settings the plans count on.
+
+    A join side with one hot key is split even when that means a further
+    shuffle for the operator above it.
+    """
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
 def coalesce_empty(col) -> F.Column:
     """Text with null as the empty string, the way state rows are compared."""
     return F.coalesce(col.cast("string"), F.lit(""))

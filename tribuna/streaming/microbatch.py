@@ -43,12 +43,23 @@ def stream_runs(feed: DataFrame, path: str, checkpoint: str, minutes: int = 10)
     )
 
 
-def dedup_feed(feed: DataFrame, ts: str = "ts", lateness: str = "2 days") -> DataFrame:
-    """Drops rows re-read by the overlapping window, by uid and hash."""
+def dedup_feed(feed: DataFrame, ts: str = "ts", lateness: str = "2 days", salts: int = 16) -> DataFrame:
+    """Drops rows re-read by the overlapping window, by uid and hash.
+
+    On a stream this takes two steps: copies of one row are first dropped
+    within ``salts`` slices, then across them, so a row with very many copies
+    is not funnelled into one state partition whole.  The second step alone
+    decides the result.  A batch combines on the map side and needs one.
+    """
     timed = feed.withColumn(ts, F.col(ts).cast("timestamp"))
-    if feed.isStreaming:
-        return timed.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(["uid", "hash"])
-    return timed.dropDuplicates(["uid", "hash"])
+    if not feed.isStreaming:
+        return timed.dropDuplicates(["uid", "hash"])
+    salt = F.pmod(F.xxhash64(F.col(ts), F.spark_partition_id()), F.lit(salts))
+    return (
+        timed.withWatermark(ts, lateness).withColumn("_salt", salt)
+        .dropDuplicatesWithinWatermark(["uid", "hash", "_salt"]).drop("_salt")
+        .dropDuplicatesWithinWatermark(["uid", "hash"])
+    )
 
 
 def stream_dedup(feed: DataFrame, path: str, checkpoint: str) -> None:

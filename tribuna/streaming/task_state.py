@@ -57,46 +57,73 @@ def fold(events: DataFrame, keys: list[str]) -> DataFrame:
     return base.join(previous, keys, "left").drop("_dispatch")
 
 
-def simple_fold(events: DataFrame, keys: list[str]) -> DataFrame:
-    """The part of :func:`fold` that one aggregate can keep; used per micro-batch."""
+def partial(events: DataFrame, keys: list[str], batch_id: int) -> DataFrame:
+    """One micro-batch's contribution per task, mergeable with the other batches'.
+
+    Positions are ``(batch, ts, seq)``: transitions apply in the order they
+    arrive.  ``before`` is the newest event ahead of the batch's own last
+    dispatch.
+    """
     ok = F.col("status") == "SUCCESS"
-    return events.groupBy(*keys).agg(
-        F.max_by(F.struct("status", "run_id"), _order()).alias("last"),
-        F.max(_order()).alias("last_event"),
+    at = F.struct(F.lit(batch_id).cast("bigint").alias("batch"), "ts", "seq")
+    base = events.groupBy(*keys).agg(
+        F.max(at).alias("last_at"), F.max_by(F.struct("status", "run_id"), _order()).alias("last"),
+        F.max(F.when(F.col("status").isin(*DISPATCHED), at)).alias("dispatch_at"),
         F.count_if(F.col("status") == "RUNNING").alias("attempt_count"),
         F.count_if(F.col("status") == "POISON").alias("reprocess_count"),
-        F.max(F.when(ok, F.struct("ts", "seq", "record_count", "hash"))).alias("success"),
+        F.max(F.when(ok, at)).alias("success_at"),
+        F.max_by(F.struct("ts", "record_count", "hash"), F.when(ok, _order())).alias("success"),
     )
+    dispatch = base.where(F.col("dispatch_at").isNotNull()).select(*keys, "dispatch_at")
+    before = (
+        events.join(dispatch, keys).where(at < F.col("dispatch_at"))
+        .groupBy(*keys).agg(F.max(at).alias("before_at"), F.max_by("run_id", _order()).alias("before_run"))
+    )
+    return base.join(before, keys, "left")
+
 
+def combine(partials: DataFrame, keys: list[str]) -> DataFrame:
+    """Current state of every task from its partials.
 
-def combine(states: DataFrame, keys: list[str]) -> DataFrame:
-    """Folds partial states of the same tasks into one; order-free, hence safe to re-run."""
-    return states.groupBy(*keys).agg(
-        F.max_by("last", "last_event").alias("last"),
-        F.max("last_event").alias("last_event"),
+    The run in force at the last dispatch is either that batch's ``before`` or
+    the last event of the newest earlier batch.
+    """
+    state = partials.groupBy(*keys).agg(
+        F.max_by("last", "last_at").alias("last"),
+        F.max("dispatch_at").alias("_dispatch"),
         F.sum("attempt_count").alias("attempt_count"),
         F.sum("reprocess_count").alias("reprocess_count"),
-        F.max("success").alias("success"),
+        F.max_by("success", "success_at").alias("success"),
     )
-
-
-def present(states: DataFrame, keys: list[str]) -> DataFrame:
-    return states.select(
+    dispatch = state.where(F.col("_dispatch").isNotNull()).select(*keys, "_dispatch")
+    seen = F.inline(F.array(
+        F.struct(F.col("last_at").alias("at"), F.col("last.run_id").alias("run")),
+        F.struct(F.col("before_at").alias("at"), F.col("before_run").alias("run")),
+    ))
+    previous = (
+        partials.select(*keys, seen).join(dispatch, keys).where(F.col("at") < F.col("_dispatch"))
+        .groupBy(*keys).agg(F.max_by("run", "at").alias("last_pipeline_run_id"))
+    )
+    return state.join(previous, keys, "left").select(
         *keys, F.col("last.status").alias("status"), F.col("last.run_id").alias("current_pipeline_run_id"),
-        "attempt_count", "reprocess_count", F.col("success.record_count").alias("record_count"),
+        "last_pipeline_run_id", "attempt_count", "reprocess_count", F.col("success.record_count").alias("record_count"),
         F.col("success.hash").alias("last_list_item_hash"), F.col("success.ts").alias("last_success_at"),
     )
 
 
 def stream_states(events: DataFrame, keys: list[str], path: str, checkpoint: str) -> None:
-    """Writes one partial state per task and micro-batch; read it back with :func:`current`."""
+    """Writes one partial per task and micro-batch; read it back with :func:`current`.
+
+    The writer never reads the state table, so a micro-batch costs what its own
+    events cost, whatever the size of the state.
+    """
     table_log.run_available(
-        events, lambda df, i: table_log.write_batch(simple_fold(df, keys), path, i), checkpoint
+        events, lambda df, i: table_log.write_batch(partial(df, keys, i), path, i), checkpoint
     )
 
 
 def current(spark, path: str, keys: list[str]) -> DataFrame:
-    return present(combine(table_log.read_log(spark, path).drop("batch_id"), keys), keys)
+    return combine(table_log.read_log(spark, path).drop("batch_id"), keys)
 
 
 def requeue_stale(state: DataFrame, run_id: Column | None, now: Column, minutes: int) -> DataFrame:
