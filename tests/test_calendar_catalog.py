@@ -69,7 +69,6 @@ def test_run_ids(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(ids)], "i int, r string").orderBy("i")
     rows = df.select(catalog.run_type(F.col("r")), catalog.is_well_formed_run_id(F.col("r")), catalog.owner_domain(F.col("r"))).collect()
     assert [r[0] for r in rows[:5]] == ["reconciliation", "microbatch", "daily", "manual_replay", "manual_replay"]
-    # The last infix looks like a date with a time part: it fails the 14-digit form but ends in an 8-digit-free tail.
     assert [r[1] for r in rows] == [True, True, True, True, False, True, True, True, False, False]
     assert [r[2] for r in rows] == ["proposicoes", "eventos", "eventos", None, None, "reference", "proposicoes", "proposicoes", "proposicoes", None]
 
