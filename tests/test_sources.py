@@ -174,8 +174,8 @@ def test_stream_windows_dedup_and_cursor_over_many_files(spark):
     got = [tuple(r) for r in spark.read.parquet(f"{out}/dedup").select("uid", "hash").collect()]
     assert sorted(got) == sorted(map(tuple, batch.select("uid", "hash").distinct().collect()))
     MB.stream_after_cursor(feed().select("id"), f"{out}/cur", f"{out}/c3")
-    kept = {r.batch_id: {x.id for x in table_log.read_log(spark, f"{out}/cur").where(F.col("batch_id") == r.batch_id).collect()}
-            for r in table_log.read_log(spark, f"{out}/cur").select("batch_id").distinct().collect()}
+    kept = {r.batch_id: {x.id for x in table_log.read_log(spark, f"{out}/cur/rows").where(F.col("batch_id") == r.batch_id).collect()}
+            for r in table_log.read_log(spark, f"{out}/cur/rows").select("batch_id").distinct().collect()}
     assert len(kept[0]) == 40 and all(all(x.startswith("55-") for x in kept[b]) for b in kept if b)
 
 

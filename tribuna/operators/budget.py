@@ -64,8 +64,11 @@ def backfill_summary(plan: DataFrame, order: list[str], item: list[str], n: int,
 
     ``order`` starts with ``item``, the columns that order the list items.
     Pairs are visited in order; the scan stops at the first pair reached with
-    the budget used up, and items are counted when the scan enters them.
+    the budget used up, and items are counted when the scan enters them.  The
+    plan's join runs once: its keys and actions are checkpointed and the four
+    small passes read those.
     """
+    plan = cut_lineage(plan.select(*order, "action"))
     cutoff = _cutoff(plan, order, n)
     cut = F.coalesce(_key(order) <= cutoff.scalar(), F.lit(True))
     before = plan.withColumn("_in", cut)

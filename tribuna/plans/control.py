@@ -72,7 +72,7 @@ def _patch(spark, sf):
     out = _outcomes(spark, sf).groupBy(*_KEYS).agg(F.count_if("ok").alias("n_ok"), F.count_if(~F.col("ok")).alias("n_bad"))
     return out.select(
         *_KEYS, F.when(F.col("n_bad") > 0, F.lit("PARTIAL")).alias("status"),
-        F.when(F.col("n_ok") > 0, F.lit("ok")).alias("last_error"), F.col("n_ok").alias("total_tasks_success"),
+        F.when(F.col("n_ok") > 0, F.lit("ok")).alias("last_error"), F.col("n_ok").cast("string").alias("total_tasks_success"),
     )
 
 
@@ -86,7 +86,7 @@ def upsert_replace(spark, sf):
     """Listed columns are removed, others merge."""
     base = ST.registry(spark, sf).where(F.col("enqueue_phase_complete")).select(*_KEYS, "status", "last_error")
     delta = _patch(spark, sf).withColumn(
-        "cleared", F.when(F.col("total_tasks_success") == 0, F.array(F.lit("last_error"), F.lit("total_tasks_success"))))
+        "cleared", F.when(F.col("total_tasks_success") == "0", F.array(F.lit("last_error"), F.lit("total_tasks_success"))))
     return G.upsert_replace(base, delta, _KEYS)
 
 
@@ -205,7 +205,7 @@ def resume_page(spark, sf):
 
 _OUT = "SELECT domain, cur AS run, status = 'SUCCESS' AS ok FROM run_state WHERE status IN ('SUCCESS', 'FAILED')"
 _DELTA = f", d AS (SELECT domain, run, count(*) FILTER (ok) AS ok, count(*) FILTER (NOT ok) AS bad FROM ({_OUT}) GROUP BY 1, 2)"
-_PATCH = ", pat AS (SELECT domain, run AS pipeline_run_id, CASE WHEN bad > 0 THEN 'PARTIAL' END AS status, CASE WHEN ok > 0 THEN 'ok' END AS last_error, ok AS total_tasks_success FROM d), base AS (SELECT * FROM registry WHERE enq)"
+_PATCH = ", pat AS (SELECT domain, run AS pipeline_run_id, CASE WHEN bad > 0 THEN 'PARTIAL' END AS status, CASE WHEN ok > 0 THEN 'ok' END AS last_error, CAST(ok AS VARCHAR) AS total_tasks_success FROM d), base AS (SELECT * FROM registry WHERE enq)"
 _CLEAN = "failed = 0 AND poison = 0 AND running = 0 AND queued = 0 AND pending = 0"
 _ART = """WITH a AS (SELECT *, 'ceap_daily_' || strftime(ts, '%Y%m%d') AS run, CASE event_id % 3 WHEN 0 THEN 'raw/camara/ceap/api/despesas/reference_year=2024/pipeline_run_id=' || 'ceap_daily_' || strftime(ts, '%Y%m%d') || '/page_' || event_id
   WHEN 1 THEN 'raw/camara/ceap/api/despesas/_metadata/runs/pipeline_run_id=' || 'ceap_daily_' || strftime(ts, '%Y%m%d') || '/' || event_id
@@ -235,8 +235,8 @@ QUERIES = {
     "upsert_merge": (upsert_merge, twin("", "run_state", "registry").rstrip() + _DELTA + _PATCH + """ SELECT coalesce(p.domain, b.domain) AS domain, coalesce(p.pipeline_run_id, b.pipeline_run_id) AS pipeline_run_id,
   coalesce(p.status, b.status) AS status, coalesce(p.last_error, b.last_error) AS last_error, p.total_tasks_success FROM base b FULL JOIN pat p ON b.domain = p.domain AND b.pipeline_run_id = p.pipeline_run_id"""),
     "upsert_replace": (upsert_replace, twin("", "run_state", "registry").rstrip() + _DELTA + _PATCH + """ SELECT coalesce(p.domain, b.domain) AS domain, coalesce(p.pipeline_run_id, b.pipeline_run_id) AS pipeline_run_id,
-  coalesce(p.status, b.status) AS status, CASE WHEN p.total_tasks_success = 0 THEN NULL ELSE coalesce(p.last_error, b.last_error) END AS last_error,
-  CASE WHEN p.total_tasks_success = 0 THEN NULL ELSE p.total_tasks_success END AS total_tasks_success FROM base b FULL JOIN pat p ON b.domain = p.domain AND b.pipeline_run_id = p.pipeline_run_id"""),
+  coalesce(p.status, b.status) AS status, CASE WHEN p.total_tasks_success = '0' THEN NULL ELSE coalesce(p.last_error, b.last_error) END AS last_error,
+  CASE WHEN p.total_tasks_success = '0' THEN NULL ELSE p.total_tasks_success END AS total_tasks_success FROM base b FULL JOIN pat p ON b.domain = p.domain AND b.pipeline_run_id = p.pipeline_run_id"""),
     "reconcile_runs": (reconcile_runs, twin("""SELECT domain, pipeline_run_id, CASE WHEN strict THEN 'COMPLETED' ELSE status END AS status, e AS total_tasks_expected, coalesce(success, 0) AS success,
   coalesce(record_count_sum, 0) AS record_count_sum, coalesce(pages_written_sum, 0) AS pages_written_sum, CASE WHEN strict THEN '2024-02-02' END AS completed_at,
   CASE WHEN NOT strict AND status IN ('FAILED', 'PARTIAL') AND failed_at <> '' THEN failed_at END AS failed_at,

@@ -55,7 +55,7 @@ def stream_cursor(spark, sf):
     feed = _feed(spark, sf).select(F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("55-"), F.col("event_id").cast("string")))
                                    .otherwise(F.col("event_id").cast("string")).alias("id"))
     MB.stream_after_cursor(feed, path, cp)
-    return table_log.read_log(spark, path).select("id")
+    return table_log.read_log(spark, f"{path}/rows").select("id")
 
 
 QUERIES = {

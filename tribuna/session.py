@@ -68,15 +68,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+SMALL_SPLITS = 8
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spreads an input that arrives in fewer splits than there are cores.
+    """Spreads a small input over the cores.
 
-    Row-wise work on one small file would otherwise run in one task.  Inputs
-    with enough splits (anything large) pass through untouched, so no shuffle
-    is added where it would cost.
+    Row-wise work on one small file would otherwise run in one task.  Only
+    inputs of at most eight splits (a gigabyte at the default split size) are
+    moved; anything larger passes through, so no shuffle is added where it
+    would cost.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, SMALL_SPLITS + 1) else df
 
 
 def prepare(spark: SparkSession) -> None:

@@ -8,6 +8,7 @@ per id would be millions of folders.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +38,14 @@ def write_jsonl(df: DataFrame, path: str, document: str | None = None) -> None:
 
 def write_changed(plan: DataFrame, path: str) -> int:
     """Changed-records file of a plan, written only when something changed."""
-    changed = changed_records(plan)
-    if changed.isEmpty():
-        return 0
-    changed.write.mode("overwrite").json(path)
-    return 1
+    changed = changed_records(plan).persist(StorageLevel.DISK_ONLY)
+    try:
+        if changed.isEmpty():
+            return 0
+        changed.write.mode("overwrite").json(path)
+        return 1
+    finally:
+        changed.unpersist()
 
 
 def changed_records(plan: DataFrame) -> DataFrame:

@@ -46,11 +46,16 @@ def write_version(df: DataFrame, path: str, version: int, partition_by: tuple[st
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/version={version:08d}")
 
 
+def latest_version(spark: SparkSession, path: str) -> int:
+    """Newest version folder, from the folder names alone."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return max(int(f.getPath().getName().split("=")[1]) for f in found)
+
+
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    every = spark.read.option("basePath", path).parquet(path)
-    if version is None:
-        version = every.agg(F.max("version")).first()[0]
-    return every.where(F.col("version") == int(version)).drop("version")
+    version = latest_version(spark, path) if version is None else version
+    return spark.read.parquet(f"{path}/version={int(version):08d}")
 
 
 def by_status(table: DataFrame, *statuses: str) -> DataFrame:

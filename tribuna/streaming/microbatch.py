@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tribuna.functions.scalars import numeric_id
 from tribuna.operators.fanout import after_cursor
 from tribuna.streaming import table_log
 
@@ -19,13 +20,18 @@ def read_feed(spark: SparkSession, folder: str, schema, glob: str, files_per_tri
     return reader.parquet(folder)
 
 
-def windowed_runs(feed: DataFrame, ts: str = "ts", minutes: int = 10) -> DataFrame:
+def windowed_runs(feed: DataFrame, ts: str = "ts", minutes: int = 10, lateness: str = "2 days") -> DataFrame:
     """Run id per tumbling window with its record count and largest id.
 
     Works on a batch and on a stream alike; the run id is the window start, so
-    a retried tick lands on the same run.
+    a retried tick lands on the same run.  On a stream the watermark lets go of
+    windows older than ``lateness``; rows later than that belong to
+    :func:`reconcile_batch`.
     """
-    w = F.window(F.col(ts).cast("timestamp"), f"{minutes} minutes")
+    feed = feed.withColumn(ts, F.col(ts).cast("timestamp"))
+    if feed.isStreaming:
+        feed = feed.withWatermark(ts, lateness)
+    w = F.window(F.col(ts), f"{minutes} minutes")
     return (
         feed.groupBy(w.alias("w"))
         .agg(F.count(F.lit(1)).alias("records"), F.max("id").alias("max_id"))
@@ -80,17 +86,21 @@ def reconcile_batch(full: DataFrame, processed: DataFrame) -> DataFrame:
 def stream_after_cursor(feed: DataFrame, path: str, checkpoint: str) -> None:
     """Keeps ids above the cursor of the earlier ticks, and moves the cursor with each tick.
 
-    The cursor of batch *i* is the largest numeric id of the batches before it,
-    read from their folders, so a replayed batch sees the same cursor.
+    Rows go to ``path/rows``, one cursor row per tick to ``path/cursor``.  A
+    tick reads the cursors of the ticks before it only, so a replayed tick sees
+    the same cursor and the cost does not grow with the rows kept so far.
     """
     def tick(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        cursor = 0
-        if batch_id > 0 and table_log.exists(spark, path):
-            top = table_log.read_log(spark, path, before=batch_id).agg(
-                F.max(F.col("id").try_cast("bigint"))
-            ).first()[0]
-            cursor = top or 0
-        table_log.write_batch(after_cursor(df, F.lit(cursor)), path, batch_id)
+        old = 0
+        if batch_id > 0 and table_log.exists(spark, f"{path}/cursor"):
+            old = table_log.read_log(spark, f"{path}/cursor", before=batch_id).agg(F.max("cursor")).first()[0] or 0
+        df = df.persist()
+        try:
+            table_log.write_batch(after_cursor(df, F.lit(old)), f"{path}/rows", batch_id)
+            top = F.greatest(F.coalesce(F.max(numeric_id(F.col("id"))), F.lit(0)), F.lit(old)).cast("bigint")
+            table_log.write_batch(df.agg(top.alias("cursor")), f"{path}/cursor", batch_id)
+        finally:
+            df.unpersist()
 
     table_log.run_available(feed, tick, checkpoint)

@@ -117,9 +117,14 @@ def stream_states(events: DataFrame, keys: list[str], path: str, checkpoint: str
     The writer never reads the state table, so a micro-batch costs what its own
     events cost, whatever the size of the state.
     """
-    table_log.run_available(
-        events, lambda df, i: table_log.write_batch(partial(df, keys, i), path, i), checkpoint
-    )
+    def tick(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        try:
+            table_log.write_batch(partial(df, keys, batch_id), path, batch_id)
+        finally:
+            df.unpersist()
+
+    table_log.run_available(events, tick, checkpoint)
 
 
 def current(spark, path: str, keys: list[str]) -> DataFrame:
