@@ -145,6 +145,24 @@ def expected_vs_found(days: DataFrame, inspections: DataFrame, names=catalog.DEF
     })
 
 
+def rollup_expected(days: DataFrame, inspections: DataFrame, names=catalog.DEFAULT_EXPECTED_DOMAINS,
+                    extra: tuple[Column, ...] = ()) -> DataFrame:
+    """Status of every expected domain and day.
+
+    Runs are rolled up first, with map-side combine, and only one row per
+    domain and day meets the expected list: same statuses as rolling up
+    :func:`expected_vs_found`, without moving the runs.
+    """
+    rolled = rollup_domain(inspections, "reference_date", "domain", extra=extra)
+    joined = _expected_rows(days, names).join(rolled, ["reference_date", "domain"], "left")
+    known = F.col("domain").isin(*catalog.DOMAINS)
+    return joined.withColumns({
+        # An unregistered domain's placeholder rolls up to PARTIAL.
+        "domain_status": F.when(~known, F.lit("PARTIAL")).otherwise(F.coalesce("domain_status", F.lit("NOT_FOUND"))),
+        "runs": F.coalesce("runs", F.lit(1).cast("bigint")),
+    }).drop("ord", "domain")
+
+
 def rollup_domain(rows: DataFrame, *keys: str, extra: tuple[Column, ...] = ()) -> DataFrame:
     """Domain status from its runs' statuses, worst first; unknown statuses make it PARTIAL.
 
@@ -200,27 +218,23 @@ def collect_warnings(inspected: DataFrame, *keys: str) -> DataFrame:
     return inspected.select(*keys, "domain", "pipeline_run_id", F.inline("warnings"))
 
 
-def daily_documents(rows: DataFrame, names=catalog.DEFAULT_EXPECTED_DOMAINS) -> DataFrame:
+def daily_documents(days: DataFrame, inspections: DataFrame, names=catalog.DEFAULT_EXPECTED_DOMAINS) -> DataFrame:
     """One document per day: status, counts, status by domain, warning kinds.
 
-    ``rows`` is :func:`expected_vs_found` with each run's ``warnings``.  Two
-    aggregates (day and domain, then day) carry everything; both arrays in the
-    document are bounded by the catalog, while the runs and the warnings stay
-    in tables of their own.
+    ``inspections`` is :func:`inspect_runs`.  Two aggregates (day and domain,
+    then day) carry everything; both arrays in the document are bounded by the
+    catalog, while the runs and the warnings stay in tables of their own.
     """
-    found = F.coalesce("warnings", F.array().cast("array<struct<warning_type:string,message:string>>"))
-    per_kind = tuple(
-        F.bool_or(F.array_contains(F.transform(found, lambda w: w["warning_type"]), k)).alias(f"_w_{k}")
-        for k in WARNING_KINDS
-    )
-    domains = rollup_domain(
-        rows, "reference_date", "expected", extra=(F.sum(F.size(found)).alias("_n"), *per_kind)
+    rows = inspections.select(
+        "reference_date", "domain", "status", F.transform("warnings", lambda w: w["warning_type"]).alias("_kinds")
     )
+    per_kind = tuple(F.bool_or(F.array_contains("_kinds", k)).alias(f"_w_{k}") for k in WARNING_KINDS)
+    domains = rollup_expected(days, rows, names, extra=(F.sum(F.size("_kinds")).alias("_n"), *per_kind))
     s = F.col("domain_status")
     day = domains.groupBy("reference_date").agg(
         _daily_status(s).alias("status"), *_count_columns(s),
         *[F.max(F.when(F.col("expected") == d, s)).alias(f"_d_{d}") for d in names],
-        F.sum("_n").cast("bigint").alias("warnings_count"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("warnings_count"),
         *[F.bool_or(f"_w_{k}").alias(f"_w_{k}") for k in WARNING_KINDS],
     )
     totals = [c for c in day.columns if c.startswith("total_domains_")]

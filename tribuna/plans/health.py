@@ -45,11 +45,12 @@ def marker_join(spark, sf):
     return j.groupBy(done.alias("completed"), "has_marker").agg(F.count(F.lit(1)).alias("runs"))
 
 
+def _days(spark, sf):
+    return ST.expected_runs(spark, sf).select("reference_date").distinct()
+
+
 def _domains(spark, sf):
-    i = _inspected(spark, sf)
-    days = ST.expected_runs(spark, sf).select("reference_date").distinct()
-    rows = SU.expected_vs_found(days, i.select("reference_date", "domain", "pipeline_run_id", "status"), NAMES)
-    return SU.rollup_domain(rows, "reference_date", "expected")
+    return SU.rollup_expected(_days(spark, sf), _inspected(spark, sf).select("reference_date", "domain", "status"), NAMES)
 
 
 def rollup_domain(spark, sf):
@@ -57,10 +58,8 @@ def rollup_domain(spark, sf):
 
 
 def expected_vs_found(spark, sf):
-    i = _inspected(spark, sf)
-    days = ST.expected_runs(spark, sf).select("reference_date").distinct()
-    rows = SU.expected_vs_found(days, i.select("reference_date", "domain", "pipeline_run_id", "status"), NAMES)
-    return rows.select("reference_date", "expected", "pipeline_run_id", "status", "placeholder")
+    i = _inspected(spark, sf).select("reference_date", "domain", "pipeline_run_id", "status")
+    return SU.expected_vs_found(_days(spark, sf), i, NAMES).select("reference_date", "expected", "pipeline_run_id", "status", "placeholder")
 
 
 def rollup_daily(spark, sf):
@@ -72,9 +71,7 @@ def summary_counts(spark, sf):
 
 
 def _documents(spark, sf):
-    i = _inspected(spark, sf).select("reference_date", "domain", "pipeline_run_id", "status", "warnings")
-    days = ST.expected_runs(spark, sf).select("reference_date").distinct()
-    return SU.daily_documents(SU.expected_vs_found(days, i, NAMES), NAMES)
+    return SU.daily_documents(_days(spark, sf), _inspected(spark, sf), NAMES)
 
 
 def daily_documents(spark, sf):

@@ -56,8 +56,12 @@ def changed_records(plan: DataFrame) -> DataFrame:
 
 def write_manifests(manifests: DataFrame, manifest_path: str, marker_path: str) -> None:
     """Manifests always; a marker row only for runs whose status is COMPLETED."""
-    manifests.write.mode("overwrite").option("ignoreNullFields", False).json(manifest_path)
-    markers(manifests).write.mode("overwrite").parquet(marker_path)
+    once = manifests.persist(StorageLevel.DISK_ONLY)
+    try:
+        once.write.mode("overwrite").option("ignoreNullFields", False).json(manifest_path)
+        markers(once).write.mode("overwrite").parquet(marker_path)
+    finally:
+        once.unpersist()
 
 
 def markers(manifests: DataFrame) -> DataFrame:
@@ -71,14 +75,17 @@ def is_green(status: Column, warning_types: Column) -> Column:
 
 def write_daily_summary(docs: DataFrame, path: str, marker_path: str) -> None:
     """Summary documents by date, plus marker rows for the green days."""
-    (
-        docs.hint("rebalance", F.col("reference_date"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("reference_date").json(path)
-    )
-    docs.where(is_green(F.col("status"), F.col("warning_types"))).select("reference_date").write.mode(
-        "overwrite"
-    ).parquet(marker_path)
+    once = docs.persist(StorageLevel.DISK_ONLY)
+    green = is_green(F.col("status"), F.col("warning_types"))
+    try:
+        (
+            once.hint("rebalance", F.col("reference_date"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("reference_date").json(path)
+        )
+        once.where(green).select("reference_date").write.mode("overwrite").parquet(marker_path)
+    finally:
+        once.unpersist()
 
 
 def write_layer(df: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> None:
