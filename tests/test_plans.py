@@ -54,8 +54,10 @@ def test_no_cartesian_product(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_dedup_limits_each_key_on_the_map_side(spark):
+def test_copies_are_reduced_on_the_map_side(spark):
     text = plan(L.dedup_latest(ST.expenses(spark, SF), L.expense_key(), ST.newest_first()))
+    assert "partial_min_by" in text and " Window " not in text
+    text = plan(QUERIES["first_page_copy"][0](spark, SF))
     assert "row_number(), 1, Partial" in text and "row_number(), 1, Final" in text
 
 

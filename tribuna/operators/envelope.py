@@ -155,47 +155,40 @@ def _record_hash(x: Column, item: T.StructType) -> Column:
     return H.record_hash(x, item)
 
 
-def snapshot_pages(pages: DataFrame, keys: list[str], max_pages: int = catalog.MAX_LIST_PAGES) -> DataFrame:
-    """Pages up to the first one without ``next``, or before the first failed one.
+def _with_stops(pages: DataFrame, keys: list[str], max_pages: int) -> DataFrame:
+    """Pages with ``_written`` (the page belongs to the snapshot) and ``_failed`` (the snapshot failed).
 
-    The stop page is found by an aggregate with map-side combine and joined
-    back; page bodies are never gathered per parent.  ``failed`` (boolean,
-    optional) marks a page whose fetch failed.
+    A snapshot ends at the first page without ``next``; a failed fetch before
+    that ends it early.  Both pages are found by an aggregate with map-side
+    combine and joined back, so page bodies are never gathered per parent.
+    ``failed`` (boolean, optional) marks a page whose fetch failed.
     """
     flagged = pages if "failed" in pages.columns else pages.withColumn("failed", F.lit(False))
-    flagged = flagged.withColumn("_last", ~S.has_next(F.col("links")) & ~F.col("failed"))
+    last = ~S.has_next(F.col("links")) & ~F.col("failed")
     stops = flagged.groupBy(*keys).agg(
-        F.min(F.when(F.col("_last"), F.col("page"))).alias("_end"),
+        F.min(F.when(last, F.col("page"))).alias("_end"),
         F.min(F.when(F.col("failed"), F.col("page"))).alias("_error"),
     )
-    cap = F.lit(max_pages)
-    return (
-        flagged.join(stops, keys)
-        .where(F.col("page") <= F.least(F.coalesce("_end", cap), cap))
-        .where(F.col("_error").isNull() | (F.col("page") < F.col("_error")))
-        .drop("_last", "failed", "_end", "_error")
-    )
+    end = F.least(F.coalesce("_end", F.lit(max_pages)), F.lit(max_pages))
+    broken = F.col("_error").isNotNull() & (F.col("_error") < F.coalesce("_end", F.lit(max_pages + 1)))
+    return flagged.join(stops, keys).withColumns({
+        "_written": (F.col("page") <= end) & (F.col("_error").isNull() | (F.col("page") < F.col("_error"))),
+        "_failed": broken,
+    })
 
 
-def snapshot_results(pages: DataFrame, keys: list[str], max_pages: int = catalog.MAX_LIST_PAGES) -> DataFrame:
-    """Per parent: pages and records written and the final status.
+def snapshot_pages(pages: DataFrame, keys: list[str], max_pages: int = catalog.MAX_LIST_PAGES) -> DataFrame:
+    """Pages of each snapshot, up to its end or before its first failed fetch."""
+    return _with_stops(pages, keys, max_pages).where("_written").select(*pages.columns)
 
-    A failure after the end page never happened; one before it fails the
-    snapshot with the counts so far.
-    """
-    flagged = pages if "failed" in pages.columns else pages.withColumn("failed", F.lit(False))
-    last = ~S.has_next(F.col("links")) & ~F.col("failed")
-    stops = flagged.groupBy(*keys).agg(
-        F.min(F.when(last, F.col("page"))).alias("_end"),
-        F.min(F.when(F.col("failed"), F.col("page"))).alias("_error"),
-    )
-    failed = F.col("_error").isNotNull() & (F.col("_end").isNull() | (F.col("_error") < F.col("_end")))
-    totals = page_totals(snapshot_pages(pages, keys, max_pages), *keys)
-    return stops.join(totals, keys, "left").select(
-        *keys,
-        F.coalesce("pages_written", F.lit(0)).cast("bigint").alias("pages_written"),
-        F.coalesce("record_count", F.lit(0)).cast("bigint").alias("record_count"),
-        F.when(failed, F.lit("FAILED")).otherwise(F.lit("COMPLETED")).alias("final_status"),
+
+def snapshot_results(pages: DataFrame, keys: list[str], max_pages: int = catalog.MAX_LIST_PAGES) -> DataFrame:
+    """Per parent: pages and records written, and COMPLETED or FAILED with the counts so far."""
+    items = F.when(F.col("_written"), F.greatest(F.size(F.coalesce("dados", F.array())), F.lit(0))).otherwise(F.lit(0))
+    return _with_stops(pages, keys, max_pages).groupBy(*keys).agg(
+        F.count_if("_written").alias("pages_written"),
+        F.sum(items).cast("bigint").alias("record_count"),
+        F.when(F.bool_or("_failed"), F.lit("FAILED")).otherwise(F.lit("COMPLETED")).alias("final_status"),
     )
 
 

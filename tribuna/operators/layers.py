@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tribuna.functions import hashing as H
@@ -39,14 +39,24 @@ def bronze(pages: DataFrame, valid_runs: DataFrame | None = None) -> DataFrame:
 
 # -- Silver ---------------------------------------------------------------
 
-def dedup_latest(df: DataFrame, keys: list, order: list[Column]) -> DataFrame:
-    """Newest row per key.  ``row_number = 1`` limits each key on the map side first,
-    so a key with very many copies ships one row per task."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+def dedup_latest(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
+    """One row per key: the one that sorts first by ``order`` (see :func:`newest`).
+
+    An aggregate rather than a window: copies are combined on the map side
+    wherever the shuffle falls, also when adaptive execution has to split a hot
+    join below it.  Select the columns you need first, as the rows travel whole.
+    """
+    names = [f"_key{i}" for i in range(len(keys))]
+    best = F.min_by(F.struct(*df.columns), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
+    return df.groupBy(*[k.alias(n) for k, n in zip(keys, names)]).agg(best.alias("_best")).select("_best.*")
+
+
+def newest(loaded_at: Column) -> Column:
+    """Sort key that puts the latest ISO load time first; times that do not parse go last."""
+    return F.coalesce(-F.unix_micros(F.try_to_timestamp(loaded_at)), F.lit(2**62))
 
 
-def expense_key() -> list:
+def expense_key() -> list[Column]:
     return [*[F.col(c) for c in EXPENSE_KEY], F.coalesce("numDocumento", F.lit(""))]
 
 
@@ -82,6 +92,20 @@ def classify(ide_cadastro: Column, nome: Column) -> Column:
     )
 
 
+def silver_from_csv(rows: DataFrame) -> DataFrame:
+    """Annual-file rows: emission date is the analytic date, year and month the competency.
+
+    ``nuDeputadoId`` stays as the technical id; beneficiaries are classified
+    from the file's own columns.
+    """
+    month = F.col("numMes").between(1, 12)
+    return rows.withColumns({
+        "data_emissao": S.iso_date(F.col("datEmissao")),
+        "competencia": F.when(month, F.make_date("numAno", "numMes", F.lit(1))),
+        "beneficiario": classify(F.col("ideCadastro"), F.col("txNomeParlamentar")),
+    })
+
+
 def quality_rule(columns: dict[str, Column]) -> Column:
     """Names of the violated rules of a row; ``columns`` maps rule name to its failure test."""
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in columns.items()]))
@@ -96,9 +120,14 @@ EXPENSE_RULES = {
 }
 
 
+def check_quality(df: DataFrame, rules: dict | None = None) -> DataFrame:
+    """Adds ``violations``, the names of the rules a row breaks."""
+    return df.withColumn("violations", quality_rule({n: t() for n, t in (rules or EXPENSE_RULES).items()}))
+
+
 def split_valid(df: DataFrame, rules: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Valid rows and quarantined rows (with the rules they break); nothing is dropped."""
-    checked = df.withColumn("violations", quality_rule({n: t() for n, t in (rules or EXPENSE_RULES).items()}))
+    checked = check_quality(df, rules)
     good = checked.where(F.size("violations") == 0).drop("violations")
     return good, checked.where(F.size("violations") > 0)
 
@@ -123,6 +152,13 @@ def dim_category(silver: DataFrame) -> DataFrame:
     return silver.select("tipoDespesa").distinct().withColumn("categoria_id", H.sha256(F.col("tipoDespesa")))
 
 
+def dim_attribute(deputies: DataFrame, column: str) -> DataFrame:
+    """Party or state dimension: the distinct values with their ids."""
+    return deputies.where(F.col(column).isNotNull()).select(column).distinct().withColumn(
+        "attribute_id", H.sha256(F.col(column))
+    )
+
+
 def dim_deputy(deputies: DataFrame) -> DataFrame:
     """Deputies with party and state, keyed by the deputy UID."""
     return deputies.select(

@@ -13,8 +13,15 @@ from tribuna.plans.stand_ins import twin
 from tribuna.session import read_table
 
 
+def _newest(spark: SparkSession, sf: str) -> DataFrame:
+    wanted = ST.expenses(spark, sf).select(
+        *L.EXPENSE_KEY, "numDocumento", "tipoDespesa", "valorDocumento", "cnpjCpfFornecedor", "_loaded_at",
+        "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
+    return L.dedup_latest(wanted, L.expense_key(), ST.newest_first())
+
+
 def _silver(spark: SparkSession, sf: str) -> DataFrame:
-    return L.silver_cast(L.dedup_latest(ST.expenses(spark, sf), L.expense_key(), ST.newest_first()))
+    return L.silver_cast(_newest(spark, sf))
 
 
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
@@ -40,25 +47,27 @@ def gold_expenses_by_category(spark, sf):
 
 def gold_views(spark, sf):
     """Deputy-only and leadership views side by side, per year."""
-    f = _facts(spark, sf)
-    both = L.deputy_view(f).unionByName(L.leadership_view(f))
-    return _amount(both.groupBy("beneficiario", "ano").agg(
+    f = _facts(spark, sf).where(F.col("beneficiario").isin("DEPUTADO", "LIDERANCA"))
+    return _amount(f.groupBy("beneficiario", "ano").agg(
         F.sum("valor").alias("total"), F.count(F.lit(1)).alias("documentos")))
 
 
 def gold_dims(spark, sf):
-    """Natural keys of the month, supplier, category and deputy dimensions."""
+    """Keys and attributes of the month, supplier, category, deputy, party and state dimensions."""
     silver = L.silver_cast(ST.expenses(spark, sf))
     month = L.dim_month(silver).select(F.lit("mes").alias("dim"), F.col("mes_id").cast("string").alias("chave"), F.col("trimestre").cast("string").alias("atributo"))
     supplier = L.dim_supplier(silver).select(F.lit("fornecedor").alias("dim"), F.col("documento").alias("chave"), F.concat_ws("|", "tipo_documento", "fornecedor_id").alias("atributo"))
     category = L.dim_category(silver).select(F.lit("categoria").alias("dim"), F.col("tipoDespesa").alias("chave"), F.col("categoria_id").alias("atributo"))
     deputy = L.dim_deputy(ST.deputies(spark, sf)).select(F.lit("deputado").alias("dim"), F.col("id_deputado").cast("string").alias("chave"), F.concat_ws("|", "partido", "uf", "deputado_uid").alias("atributo"))
-    return month.unionByName(supplier).unionByName(category).unionByName(deputy)
+    out = month.unionByName(supplier).unionByName(category).unionByName(deputy)
+    for dim, col in (("partido", "partido"), ("uf", "uf")):
+        rows = L.dim_attribute(ST.deputies(spark, sf), col)
+        out = out.unionByName(rows.select(F.lit(dim).alias("dim"), F.col(col).alias("chave"), F.col("attribute_id").alias("atributo")))
+    return out
 
 
 def dedup_latest(spark, sf):
-    one = L.dedup_latest(ST.expenses(spark, sf), L.expense_key(), ST.newest_first())
-    return one.select("id_deputado", "ano", "mes", "urlDocumento", "valorDocumento", "_loaded_at", "l_partkey")
+    return _newest(spark, sf).select("id_deputado", "ano", "mes", "urlDocumento", "valorDocumento", "_loaded_at", "l_partkey")
 
 
 _HASHED = ["id_deputado", "codDocumento", "urlDocumento", "tipoDespesa", "cnpjCpfFornecedor"]
@@ -100,10 +109,9 @@ def _flawed(spark, sf) -> DataFrame:
 
 def quarantine(spark, sf):
     """Valid and quarantined rows by violated rules."""
-    good, bad = L.split_valid(_flawed(spark, sf))
-    cols = [F.lit("valid").alias("lado"), F.lit("").alias("regras")]
-    rows = good.select(*cols).unionByName(bad.select(F.lit("quarantine").alias("lado"), F.array_join("violations", ",").alias("regras")))
-    return rows.groupBy("lado", "regras").agg(F.count(F.lit(1)).alias("linhas"))
+    rules = F.array_join("violations", ",")
+    side = F.when(F.size("violations") == 0, F.lit("valid")).otherwise(F.lit("quarantine"))
+    return L.check_quality(_flawed(spark, sf)).groupBy(side.alias("lado"), rules.alias("regras")).agg(F.count(F.lit(1)).alias("linhas"))
 
 
 def silver_typed(spark, sf):
@@ -159,7 +167,8 @@ QUERIES = {
     "gold_dims": (gold_dims, twin("""SELECT DISTINCT 'mes' AS dim, CAST(ano * 100 + mes AS VARCHAR) AS chave, CAST((mes + 2) // 3 AS VARCHAR) AS atributo FROM expenses
 UNION ALL SELECT DISTINCT 'fornecedor', cnpjCpfFornecedor, 'CNPJ|' || sha256(cnpjCpfFornecedor) FROM expenses
 UNION ALL SELECT DISTINCT 'categoria', tipoDespesa, sha256(tipoDespesa) FROM expenses
-UNION ALL SELECT DISTINCT 'deputado', CAST(id AS VARCHAR), partido || '|' || uf || '|' || sha256('camara_dadosabertos|deputado|{"id":' || id || '}') FROM deputies""", "expenses", "deputies")),
+UNION ALL SELECT DISTINCT 'deputado', CAST(id AS VARCHAR), partido || '|' || uf || '|' || sha256('camara_dadosabertos|deputado|{"id":' || id || '}') FROM deputies
+UNION ALL SELECT DISTINCT 'partido', partido, sha256(partido) FROM deputies UNION ALL SELECT DISTINCT 'uf', uf, sha256(uf) FROM deputies""", "expenses", "deputies")),
     "dedup_latest": (dedup_latest, twin("SELECT id_deputado, ano, mes, urlDocumento, valorDocumento, _loaded_at, l_partkey FROM latest", "latest")),
     "dedup_hash": (dedup_hash, twin("""SELECT DISTINCT sha256('{"cnpjCpfFornecedor":"' || cnpjCpfFornecedor || '","codDocumento":' || codDocumento || ',"id_deputado":' || id_deputado
   || ',"tipoDespesa":"' || tipoDespesa || '","urlDocumento":"' || urlDocumento || '"}') AS record_hash, id_deputado, urlDocumento FROM expenses""", "expenses")),

@@ -8,6 +8,7 @@ from tribuna.operators import layers as L
 from tribuna.operators import manifests as MF
 from tribuna.operators import summary as SU
 from tribuna.operators import validation as V
+from tribuna.plans import records
 from tribuna.plans import stand_ins as ST
 from tribuna.plans.stand_ins import twin
 from tribuna.session import read_table, spread
@@ -17,11 +18,9 @@ NAMES = ("ceap", "reference_snapshot", "votacoes", "proposicoes", "eventos", "in
 
 def manifest_validate(spark, sf):
     """First failing rule under the snapshot and the fan-out profile; markers checked last."""
-    m = ST.run_manifests(spark, sf)
-    mk = ST.run_markers(spark, sf)
-    dim = V.validate_manifests(m, V.DIMENSION_SNAPSHOT).select("pipeline_run_id", F.col("reason").alias("snapshot_reason"))
-    fan = V.validate_completed(m, mk, V.FANOUT_RUN).select("pipeline_run_id", F.col("reason").alias("fanout_reason"), "ok")
-    return dim.join(fan, "pipeline_run_id")
+    done = V.validate_completed(ST.run_manifests(spark, sf), ST.run_markers(spark, sf), V.FANOUT_RUN)
+    snapshot = F.coalesce(V.invalid_reason(V.DIMENSION_SNAPSHOT, F.lit(True)), F.lit(""))
+    return done.select("pipeline_run_id", snapshot.alias("snapshot_reason"), F.col("reason").alias("fanout_reason"), "ok")
 
 
 def _inspected(spark, sf):
@@ -206,6 +205,20 @@ def manifest_docs_snapshot(spark, sf):
                     get("files_written").alias("files"), get("raw_path").alias("raw_path"), get("_loaded_at").alias("loaded_at"))
 
 
+def manifest_docs_detail(spark, sf):
+    """Manifests of the sub-resource snapshots, one per conversation, and of a reference list per source."""
+    names = {"endpoint": "endpoint", "status": "status", "raw_path": "raw_path", "marker": "success_marker_path", "pages": "total_pages",
+             "records": "record_count", "completed_at": "completed_at", "failed_at": "failed_at_utc", "items_per_page": "items_per_page",
+             "snapshot_type": "snapshot_type", "parent": "votacao_id"}
+    times = {"pipeline_run_id": F.lit("r1"), "execution_id": F.lit("x"), "started_at": F.lit("s"), "finished_at": F.lit("f"), "error_message": F.lit("")}
+    votes = records.snapshot_pages(spark, sf).withColumns({**times, "parent_id": F.col("parent_id").cast("string")})
+    lists = ST.text_pages(spark, sf).groupBy("parent_id").agg(
+        F.count(F.lit(1)).alias("pages_written"), F.sum(F.size("dados")).cast("bigint").alias("record_count"))
+    lists = lists.withColumns({**times, "final_status": F.lit("COMPLETED"), "reference_date": F.col("parent_id"), "reference_timezone": F.lit("tz")})
+    docs = MF.build_detail_manifest(votes, "votacao_votos").select("manifest").unionByName(MF.build_detail_manifest(lists, "partidos").select("manifest"))
+    return docs.select(F.json_tuple("manifest", *names.values()).alias(*names))
+
+
 def batch_manifests(spark, sf):
     """Reconciliation-batch manifests of the hourly batches, and their operation manifests."""
     e = read_table(spark, sf, "events")
@@ -299,6 +312,12 @@ QUERIES = {
   ('institucional', '/orgaos + /partidos + /frentes + /legislaturas', NULL), ('discursos', 'deputies_snapshot', 'dataHoraInicio')) f(domain, fanout_from, watermark)"""),
     "manifest_docs_snapshot": (manifest_docs_snapshot, _SNAP + """ SELECT reference_date, CASE s WHEN 'F' THEN 'COMPLETED' ELSE 'RUNNING' END AS status, CASE s WHEN 'F' THEN 'COMPLETED' ELSE 'RUNNING' END AS snapshot_status,
   CAST(c % 3 + 1 AS VARCHAR) AS files, 'raw/camara/deputados/api/list/reference_date=' || reference_date AS raw_path, reference_date AS loaded_at FROM v"""),
+    "manifest_docs_detail": (manifest_docs_detail, "WITH v AS (" + records.QUERIES["snapshot_pages"][1] + """), l AS (SELECT source AS s, count(*) AS p, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS n FROM documents GROUP BY 1)
+  SELECT 'votacao_votos' AS endpoint, final_status AS status, 'raw/camara/votacoes/api/votos/votacao_id=' || parent_id || '/pipeline_run_id=r1' AS raw_path,
+  'raw/camara/votacoes/api/votos/votacao_id=' || parent_id || '/_metadata/runs/pipeline_run_id=r1/_SUCCESS' AS marker, CAST(pages_written AS VARCHAR) AS pages, CAST(record_count AS VARCHAR) AS records,
+  CASE final_status WHEN 'COMPLETED' THEN 'f' END AS completed_at, CASE final_status WHEN 'FAILED' THEN 'f' END AS failed_at, '200' AS items_per_page, 'votacao_votos' AS snapshot_type, CAST(parent_id AS VARCHAR) AS parent FROM v
+  UNION ALL SELECT 'partidos', 'COMPLETED', 'raw/camara/partidos/api/list/reference_date=' || s || '/pipeline_run_id=r1', 'raw/camara/partidos/api/list/reference_date=' || s || '/_metadata/runs/pipeline_run_id=r1/_SUCCESS',
+  CAST(p AS VARCHAR), CAST(n AS VARCHAR), 'f', NULL, '100', 'dimension', NULL FROM l"""),
     "batch_manifests": (batch_manifests, """WITH b AS (SELECT event_type, strftime(ts, '%Y-%m-%d') AS d, hour(ts) AS h, count(*) AS n, count(*) FILTER (CAST(json_extract_string(props, '$.k') AS INTEGER) > 50) AS enq, max(event_id) AS top FROM events GROUP BY 1, 2, 3)
   SELECT 'raw/camara/_reconciliation_batches/domain=' || event_type || '/control_id=c-' || d || '/batch_' || lpad(CAST(h AS VARCHAR), 5, '0') || '.json' AS manifest_path, 'reconciliation_batch' AS kind,
   CASE WHEN top % 10 = 0 THEN 'FAILED' ELSE 'PARTIAL_SUCCESS' END AS status, CAST(CASE WHEN top % 10 = 0 THEN 1 ELSE 0 END AS BIGINT) AS records_failed, n AS records_seen, enq AS messages_enqueued, CAST(h + 1 AS INTEGER) AS next_page FROM b"""),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tribuna import catalog
+from tribuna.operators import layers as L
 from tribuna.session import read_table, spread
 
 MONEY = "decimal(18,2)"
@@ -64,7 +65,7 @@ def expenses(spark: SparkSession, sf: str) -> DataFrame:
 
 def newest_first() -> list[Column]:
     """Load time first, then every other column: the given keys repeat."""
-    return [F.desc("_loaded_at"), *[F.asc(c) for c in (
+    return [L.newest(F.col("_loaded_at")), *[F.col(c) for c in (
         "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "tipoDespesa")]]
 
 

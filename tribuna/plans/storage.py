@@ -35,11 +35,7 @@ def pages_roundtrip(spark, sf):
     pages = _audited(spark, sf).withColumn("run", F.col("pipeline_run_id")).select("_audit", "dados", "links", "page", "run")
     sinks.write_pages(pages, root, ("run",))
     sinks.write_pages(pages.where(F.col("run") == "eventos_daily_en"), root, ("run",))
-    back = (
-        spark.read.schema("value string, run string").option("basePath", root).text(f"{root}/run=*")
-        .withColumnRenamed("value", "raw").withColumn("raw_path", F.lit(None).cast("string"))
-    )
-    parsed = PG._parsed(back, _RECORD + ", _record_hash string")
+    parsed = PG.read_pages(spark, root, _RECORD + ", _record_hash string", ["run"], page_files=False)
     page = F.get_json_object("raw", "$._audit._page").cast("int")
     return parsed.select("run", page.alias("page"), F.posexplode("dados").alias("pos", "item")).select(
         "run", "page", "pos", F.col("item._record_hash").alias("record_hash"))
@@ -109,14 +105,14 @@ def csv_history(spark, sf):
     path = work_path(spark, "csv")
     e = ST.expenses(spark, sf)
     out = e.select(F.col("id_deputado").alias("nuDeputadoId"), F.when(F.col("id_deputado") % 10 != 0, F.col("id_deputado")).alias("ideCadastro"),
-                   F.concat(F.lit('Dep. "'), F.col("tipoDespesa"), F.lit('"; x')).alias("txNomeParlamentar"), F.col("ano").alias("numAno"),
+                   F.concat(F.when(F.col("id_deputado") % 20 == 0, F.lit('LID."')).otherwise(F.lit('Dep. "')), F.col("tipoDespesa"), F.lit('"; x')).alias("txNomeParlamentar"), F.col("ano").alias("numAno"),
                    F.col("mes").alias("numMes"), F.col("dataDocumento").alias("datEmissao"), F.col("valorDocumento").alias("vlrDocumento"))
     out.write.option("header", True).option("sep", ";").option("escape", '"').csv(path)
     schema = "nuDeputadoId bigint, ideCadastro bigint, txNomeParlamentar string, numAno int, numMes int, datEmissao string, vlrDocumento string"
-    back = PG.read_ceap_csv(spark, path, schema)
-    return back.groupBy("numAno", "numMes", "txNomeParlamentar").agg(
-        F.count(F.lit(1)).alias("linhas"), F.count("ideCadastro").alias("com_cadastro"),
-        F.sum(F.col("vlrDocumento").cast("decimal(18,2)")).cast("double").alias("total"), F.max("datEmissao").alias("ultima"))
+    back = L.silver_from_csv(PG.read_ceap_csv(spark, path, schema))
+    return back.groupBy("numAno", "numMes", "txNomeParlamentar", "beneficiario").agg(
+        F.count(F.lit(1)).alias("linhas"), F.min("competencia").cast("string").alias("competencia"),
+        F.sum(F.col("vlrDocumento").cast("decimal(18,2)")).cast("double").alias("total"), F.max("data_emissao").cast("string").alias("ultima"))
 
 
 def first_page_copy(spark, sf):
@@ -137,7 +133,8 @@ QUERIES = {
     "layers_roundtrip": (layers_roundtrip, twin("SELECT ano, tipoDespesa, CAST(sum(CAST(valorDocumento AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS documentos FROM expenses GROUP BY 1, 2", "expenses")),
     "state_roundtrip": (state_roundtrip, twin("SELECT domain, row_key, CASE status WHEN 'FAILED' THEN 'QUEUED' ELSE status END AS status FROM run_state WHERE cur = 'ceap_daily_20240115' OR lst = 'ceap_daily_20240115'", "run_state")),
     "daily_summary_roundtrip": (daily_summary_roundtrip, twin("SELECT d.reference_date AS day, d.status, coalesce(w.n, 0) AS warnings_count FROM dayroll d LEFT JOIN (SELECT reference_date, count(*) AS n FROM warns GROUP BY 1) w USING (reference_date)", "dayroll", "warns")),
-    "csv_history": (csv_history, twin("""SELECT ano AS numAno, mes AS numMes, 'Dep. "' || tipoDespesa || '"; x' AS txNomeParlamentar, count(*) AS linhas, count(*) FILTER (id_deputado % 10 <> 0) AS com_cadastro,
-  CAST(sum(CAST(valorDocumento AS DECIMAL(18,2))) AS DOUBLE) AS total, max(dataDocumento) AS ultima FROM expenses GROUP BY 1, 2, 3""", "expenses")),
+    "csv_history": (csv_history, twin("""SELECT ano AS numAno, mes AS numMes, CASE WHEN id_deputado % 20 = 0 THEN 'LID."' ELSE 'Dep. "' END || tipoDespesa || '"; x' AS txNomeParlamentar,
+  CASE WHEN id_deputado % 10 <> 0 THEN 'DEPUTADO' WHEN id_deputado % 20 = 0 THEN 'LIDERANCA' ELSE 'OUTROS' END AS beneficiario, count(*) AS linhas, ano || '-' || lpad(CAST(mes AS VARCHAR), 2, '0') || '-01' AS competencia,
+  CAST(sum(CAST(valorDocumento AS DECIMAL(18,2))) AS DOUBLE) AS total, max(dataDocumento) AS ultima FROM expenses GROUP BY ALL""", "expenses")),
     "first_page_copy": (first_page_copy, "SELECT role, turn AS page, 'run/execution_id=' || lpad(CAST(min(conv_id) AS VARCHAR), 6, '0') || '/page_' || turn || '.json' AS raw_path FROM conversations GROUP BY role, turn"),
 }

@@ -23,21 +23,23 @@ def _parsed(text: DataFrame, record) -> DataFrame:
     )
 
 
-def read_pages(spark: SparkSession, root: str, record, partitions: list[str]) -> DataFrame:
-    """Page files (one JSON document each) below ``root/<first partition>=*``.
+def read_pages(spark: SparkSession, root: str, record, partitions: list[str], page_files: bool = True) -> DataFrame:
+    """Pages below ``root/<first partition>=*``: one document per file, or one per line.
 
     The explicit first-level glob keeps ``_metadata`` folders out of partition
-    discovery; partition values are strings, so ``04`` stays ``04``.
+    discovery; partition values are strings, so ``04`` stays ``04``.  With
+    ``page_files`` only ``page_<n>.json`` files count and ``page`` is their number.
     """
     schema = ", ".join(["value string"] + [f"`{p}` string" for p in partitions])
     text = (
-        spark.read.schema(schema).option("wholetext", True).option("basePath", root)
+        spark.read.schema(schema).option("wholetext", page_files).option("basePath", root)
         .text(f"{root}/{partitions[0]}=*")
         .withColumn("raw_path", F.col("_metadata.file_path"))
         .withColumnRenamed("value", "raw")
-        .withColumn("page", F.regexp_extract("raw_path", PAGE_FILE, 1).try_cast("int"))
-        .where(F.col("page").isNotNull())
     )
+    if page_files:
+        text = text.withColumn("page", F.regexp_extract("raw_path", PAGE_FILE, 1).try_cast("int"))
+        text = text.where(F.col("page").isNotNull())
     return _parsed(text, record)
 
 

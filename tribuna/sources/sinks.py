@@ -95,8 +95,11 @@ def write_layer(df: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> N
 
 
 def write_delta(df: DataFrame, path: str, keys: list[str]) -> None:
-    """MERGE into a Delta table where the cluster has Delta; there is no fallback here."""
-    from delta.tables import DeltaTable  # optional dependency
+    """MERGE into a Delta table, where the cluster has Delta."""
+    try:
+        from delta.tables import DeltaTable
+    except ImportError as err:
+        raise RuntimeError("Delta is not installed; use the merges in operators.merges") from err
 
     target = DeltaTable.forPath(df.sparkSession, path)
     on = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
