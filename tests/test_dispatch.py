@@ -169,3 +169,5 @@ def test_count_window_warns_even_at_the_true_end(spark):
     r = batches.count_window(df, ["k"], 3).first()
     assert (r.distinct_ids, r.pages_fetched, r.warning) == (4, 3, "max_list_pages_reached_during_count")
     assert batches.count_window(df, ["k"], 4).first().warning is None
+    r = batches.count_window(df, ["k"], 2).first()
+    assert (r.distinct_ids, r.pages_fetched, r.warning is None) == (3, 3, False)

@@ -157,6 +157,16 @@ def test_classification_and_quarantine(spark):
     assert bad.first().violations == ["missing_document", "bad_value", "bad_date", "bad_month", "bad_supplier"]
 
 
+def test_views_and_core_indicators(spark):
+    silver = spark.createDataFrame([(1, "1.10"), (2, "2.20"), (3, "3.30"), (9, "4.40")], "id_deputado bigint, v string").withColumn("valor", F.col("v").cast("decimal(18,2)"))
+    deps = spark.createDataFrame([(1, "A", "P", "SP", 1), (2, "LID.P", "P", "SP", None), (3, "C", "P", "RJ", None)], "id bigint, nome string, partido string, uf string, ide_cadastro bigint")
+    facts = L.fact_expenses(silver, deps)
+    assert [r.id_deputado for r in L.deputy_view(facts).collect()] == [1]
+    assert [r.id_deputado for r in L.leadership_view(facts).collect()] == [2]
+    got = {r.uf: (str(r.total), r.documentos) for r in L.expenses_by(facts, "uf").collect()}
+    assert got == {"SP": ("1.10", 1), "RJ": ("3.30", 1), None: ("4.40", 1)}
+
+
 def test_stream_windows_dedup_and_cursor_over_many_files(spark):
     src, out = fresh(), fresh()
     schema = "id string, ts timestamp_ntz, uid string, hash string"

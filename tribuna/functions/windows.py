@@ -108,9 +108,14 @@ def day_end(day: Column) -> Column:
     return F.date_add(day, 1).cast("timestamp_ntz") - F.expr("INTERVAL '0.000001' SECOND")
 
 
+def capped_end(now: Column, day: Column) -> Column:
+    """End of a reconciliation window: the day's last instant, or now if that comes first."""
+    return F.least(now.cast("timestamp_ntz"), day_end(day))
+
+
 def in_days(ts: Column, start: Column, end: Column) -> Column:
     """Inclusive calendar-day window; a plain range test, so it reaches the scan."""
-    return (ts >= start.cast("timestamp_ntz")) & (ts < F.date_add(end, 1).cast("timestamp_ntz"))
+    return (ts >= day_start(start)) & (ts < day_start(F.date_add(end, 1)))
 
 
 def round_minute_down(ts: Column, minutes: int) -> Column:

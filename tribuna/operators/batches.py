@@ -61,16 +61,17 @@ def idle_streak(ticks: DataFrame, keys: list[str], order: str, idle_limit: int =
 
 
 def count_window(items: DataFrame, keys: list[str], max_pages: int) -> DataFrame:
-    """Exact distinct ids and fetched pages of a dry-run listing.
+    """Exact distinct ids of a dry-run listing, and the page the listing stopped at.
 
-    ``items`` has ``page`` and ``id``.  The page-limit warning is raised
-    whenever the last page reaches the limit, even if it was the true end.
+    ``items`` has ``page`` and ``id``.  Pages past ``max_pages`` are not read:
+    the listing then stops one page after the limit.  The warning is raised
+    whenever that page reaches the limit, even if it was the true end.
     """
-    seen = items.where(F.col("page") <= max_pages)
-    return seen.groupBy(*keys).agg(
-        F.countDistinct(F.col("id").cast("string")).alias("distinct_ids"),
-        F.max("page").alias("pages_fetched"),
-        F.when(F.max("page") >= max_pages, F.lit("max_list_pages_reached_during_count")).alias("warning"),
+    top = F.least(F.max("page"), F.lit(max_pages + 1))
+    return items.groupBy(*keys).agg(
+        F.countDistinct(F.when(F.col("page") <= max_pages, F.col("id").cast("string"))).alias("distinct_ids"),
+        top.alias("pages_fetched"),
+        F.when(top >= max_pages, F.lit("max_list_pages_reached_during_count")).alias("warning"),
     )
 
 

@@ -158,8 +158,11 @@ def plan_ceap(
     return joined.withColumn("action", ceap_action(F.lit(run_id), now, stale_minutes))
 
 
-def dispatch_patch(plan: DataFrame, run_id: str, now: Column) -> DataFrame:
-    """State rows of the enqueued pairs, ready for the key-value merge."""
+def dispatch_patch(plan: DataFrame, run_id: str, now: Column, mode: str | None = None) -> DataFrame:
+    """State rows of the enqueued pairs, ready for the key-value merge.
+
+    Expense plans also carry the stale counters and leave the last error alone.
+    """
     enq = plan.where(F.col("action").startswith("enqueue"))
     patch = {
         "row_key": F.col("row_key"),
@@ -169,8 +172,11 @@ def dispatch_patch(plan: DataFrame, run_id: str, now: Column) -> DataFrame:
         "last_pipeline_run_id": coalesce_empty(F.col("s_current_pipeline_run_id")),
         "last_dispatched_at": now,
         "attempt_count": F.coalesce("s_attempt_count", F.lit(0)),
-        "last_error": F.lit(""),
     }
+    if mode:
+        patch["last_mode"] = F.lit(mode)
+    if "s_stale_requeue_count" not in plan.columns:
+        patch["last_error"] = F.lit("")
     if "s_stale_requeue_count" in plan.columns:
         # A stale hit raises the stale counter, or the reprocess counter on
         # rows that only have that one.

@@ -14,12 +14,16 @@ from tribuna.sources import tables
 def select_for_replay(
     state: DataFrame, statuses=("FAILED", "POISON"), endpoint: str | None = None, parent_id: str | None = None,
     run_id: str | None = None, id_deputado: int | None = None, ano: int | None = None, mes: int | None = None,
+    default_endpoint: str = "",
 ) -> DataFrame:
-    """Task rows in the wanted statuses, with any of the optional filters."""
+    """Task rows in the wanted statuses, with any of the optional filters.
+
+    ``default_endpoint`` stands in for rows that do not name theirs (``ceap`` in expense state).
+    """
     wanted = [s.strip().upper() for s in statuses if s.strip()]
     out = state.where(F.upper(coalesce_empty(F.col("status"))).isin(*wanted))
     if endpoint is not None:
-        out = out.where(F.lower(coalesce_empty(F.col("endpoint"))) == endpoint.lower())
+        out = out.where(F.lower(F.coalesce("endpoint", F.lit(default_endpoint))) == endpoint.lower())
     if run_id is not None:
         out = tables.tied_to_run(out, run_id)
     for name, value in (("parent_id", parent_id), ("id_deputado", id_deputado), ("ano", ano), ("mes", mes)):

@@ -189,7 +189,7 @@ def reconcile_runs(state: DataFrame, runs: DataFrame, now: Column, keys: list[st
     )
     bad = status.isin("FAILED", "PARTIAL", "PARTIALLY_COMPLETED")
     text = lambda n: F.when(coalesce_empty(F.col(n)) != "", F.col(n))
-    finish = F.when(F.col("strict"), F.coalesce(text("completed_at"), now))
+    finish = F.when(status == "COMPLETED", F.coalesce(text("completed_at"), F.when(F.col("strict"), now)))
     return joined.select(
         *keys, status.alias("status"), F.col("expected").alias("total_tasks_expected"), *names,
         finish.alias("completed_at"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tribuna import catalog
@@ -113,18 +113,9 @@ def join_control(inspected: DataFrame, runs: DataFrame) -> DataFrame:
     return inspected.join(control, ["domain", "pipeline_run_id"], "left")
 
 
-def expected_domains(spark: SparkSession, names=catalog.DEFAULT_EXPECTED_DOMAINS) -> DataFrame:
-    rows = [(i, n, catalog.DOMAIN_ALIASES.get(n.strip(), n.strip())) for i, n in enumerate(names)]
-    return spark.createDataFrame(rows, "ord int, expected string, domain string")
-
-
 def _expected_rows(days: DataFrame, names) -> DataFrame:
-    pairs = F.array(*[
-        F.struct(F.lit(i).alias("ord"), F.lit(n).alias("expected"),
-                 F.lit(catalog.DOMAIN_ALIASES.get(n.strip(), n.strip())).alias("domain"))
-        for i, n in enumerate(names)
-    ])
-    return days.select("reference_date", F.inline(pairs))
+    expected = F.explode(F.array(*[F.lit(n) for n in names])).alias("expected")
+    return days.select("reference_date", expected).withColumn("domain", catalog.canonical_domain(F.col("expected")))
 
 
 def expected_vs_found(days: DataFrame, inspections: DataFrame, names=catalog.DEFAULT_EXPECTED_DOMAINS) -> DataFrame:
@@ -160,7 +151,7 @@ def rollup_expected(days: DataFrame, inspections: DataFrame, names=catalog.DEFAU
         # An unregistered domain's placeholder rolls up to PARTIAL.
         "domain_status": F.when(~known, F.lit("PARTIAL")).otherwise(F.coalesce("domain_status", F.lit("NOT_FOUND"))),
         "runs": F.coalesce("runs", F.lit(1).cast("bigint")),
-    }).drop("ord", "domain")
+    }).drop("domain")
 
 
 def rollup_domain(rows: DataFrame, *keys: str, extra: tuple[Column, ...] = ()) -> DataFrame:

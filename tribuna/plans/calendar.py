@@ -45,6 +45,7 @@ def calendar_windows(spark, sf):
         _text(W.today_and_future(now, 7)).alias("future7"), _text(W.past_and_future(now, 7, 30)).alias("past_future"),
         _text(W.previous_month_to_date(now)).alias("prev_month"), _text(W.year_to_date(F.year(now), now)).alias("ytd"),
         W.day_end(F.to_date(now)).cast("string").alias("day_end"),
+        F.date_format(W.capped_end(now, F.date_sub(F.to_date(now), (F.col("o_orderkey") % 2).cast("int"))), "yyyy-MM-dd HH:mm:ss").alias("recon_end"),
     )
 
 
@@ -149,7 +150,8 @@ QUERIES = {
   SELECT o_orderkey, strftime(d - 6, '%Y-%m-%d') || '..' || strftime(d, '%Y-%m-%d') AS rolling7, strftime(date_trunc('month', d), '%Y-%m-%d') || '..' || strftime(d, '%Y-%m-%d') AS month_to_date,
   strftime(d, '%Y-%m-%d') || '..' || strftime(d + 7, '%Y-%m-%d') AS future7, strftime(d - 7, '%Y-%m-%d') || '..' || strftime(d + 30, '%Y-%m-%d') AS past_future,
   strftime(date_trunc('month', d) - INTERVAL 1 MONTH, '%Y-%m-%d') || '..' || strftime(d, '%Y-%m-%d') AS prev_month,
-  year(d) || '-01-01..' || strftime(d, '%Y-%m-%d') AS ytd, strftime(d, '%Y-%m-%d') || ' 23:59:59.999999' AS day_end FROM b"""),
+  year(d) || '-01-01..' || strftime(d, '%Y-%m-%d') AS ytd, strftime(d, '%Y-%m-%d') || ' 23:59:59.999999' AS day_end,
+  CASE WHEN o_orderkey % 2 = 1 THEN strftime(d - 1, '%Y-%m-%d') || ' 23:59:59' ELSE strftime(d, '%Y-%m-%d') || ' 00:00:00' END AS recon_end FROM b"""),
     "in_window": (in_window, "SELECT event_id FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-15'"),
     "run_ids": (run_ids, twin("""SELECT event_id, run_id, event_id % 6 < 4 AS ok,
   CASE event_id % 6 WHEN 0 THEN 'microbatch' WHEN 1 THEN 'reconciliation' WHEN 2 THEN 'daily' ELSE 'manual_replay' END AS run_type,

@@ -88,12 +88,18 @@ def spread(df: DataFrame) -> DataFrame:
 def prepare(spark: SparkSession) -> None:
     """Runtime settings the plans count on.
 
-    A join side with one hot key is split even when that means a further
-    shuffle for the operator above it.
+    Times are UTC throughout.  A join side with one hot key is split even when
+    that means a further shuffle for the operator above it.
     """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # Streaming state on local disk instead of the heap, checkpointed by difference.
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
 
 
 def coalesce_empty(col) -> F.Column:
