@@ -91,3 +91,30 @@ def test_hot_keys_change_nothing(spark):
     out = status.status_counts(many, "domain").where("pipeline_run_id = 'hot'").first()
     want = Counter(r.status for r in many.where("current_pipeline_run_id = 'hot'").collect())
     assert (out.queued, out.running, out.success, out.failed, out.pending) == tuple(want[k] for k in ("QUEUED", "RUNNING", "SUCCESS", "FAILED", "PENDING"))
+
+
+def test_a_hot_join_key_is_split(spark):
+    """Most lines on one order: the join below the de-duplication is split, and the result holds."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ids = spark.range(0, 60000, 1, 8)
+        lines = ids.select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(7)).alias("k"), (F.col("id") % 50).alias("line"), F.col("id").alias("v"))
+        orders = spark.range(0, 60000, 1, 4).select(F.col("id").alias("ok"), F.concat(F.lit("o"), F.col("id").cast("string")).alias("o"))
+        joined = lines.join(orders, lines.k == orders.ok)
+        df = L.dedup_latest(joined, [F.col("k"), F.col("line")], [-F.col("v")])
+        rows = df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+        best = {}
+        for i in range(60000):
+            best[(i if i % 3 == 0 else 7, i % 50)] = i
+        assert {(r.k, r.line): r.v for r in rows} == best
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -35,7 +35,7 @@ def _lower_escapes(text: Column) -> Column:
         fixed = F.regexp_replace(
             fixed, rf"((?<!\\)(?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}"
         )
-    return F.when(text.rlike(r"\\u00[01][A-F]"), fixed).otherwise(text)
+    return F.when(text.contains("\\u00"), fixed).otherwise(text)
 
 
 def decimal_text(value: Column) -> Column:
