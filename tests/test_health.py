@@ -64,6 +64,7 @@ def test_expense_manifest(spark):
     assert not {"total_records_collected", "max_tasks_per_dispatch", "error_type", "parent_entity", "date_start"} & set(doc)
     assert doc["completed_at"] is None and doc["error_message"] is None and doc["execution_id"] is None
     assert (doc["status"], doc["run_type"], doc["total_tasks_expected"], doc["enqueue_phase_complete"], doc["target_year"]) == ("RUNNING", "daily", 10, False, 2026)
+    assert doc["finished_at_utc"] is None and doc["failed_at_utc"] is None and doc["started_at_utc"] == "s"
     full = json.loads(MF.build_ceap_manifest(ceap_run(spark, mode="reconciliation", deputies_snapshot_path="p", deputies_snapshot_pipeline_run_id="r",
                                                       total_records_collected="7", error_type="E", error_message="boom")).first().manifest)
     assert (full["parent_entity"], full["parent_snapshot_path"], full["parent_pipeline_run_id"]) == ("deputados_list", "p", "r")
@@ -96,13 +97,27 @@ def test_snapshot_and_detail_manifests(spark):
     assert doc["raw_path"] == "raw/camara/votacoes/api/votos/votacao_id=55-1/pipeline_run_id=r"
     assert (doc["status"], doc["completed_at"], doc["failed_at_utc"], doc["total_pages"], doc["items_per_page"], doc["votacao_id"], doc["api_path"]) == (
         "FAILED", None, "f", 3, 200, "55-1", "/votacoes/55-1/votos")
-    assert "finished_at_utc" not in doc and "snapshot_id" not in doc
+    assert doc["finished_at_utc"] is None and "snapshot_id" not in doc and "sub_endpoint" not in doc
+    doc = json.loads(MF.build_detail_manifest(d, "orgao_membros").first().manifest)
+    assert (doc["snapshot_type"], doc["sub_endpoint"], doc["parent_label"], doc["parent_id"]) == ("institucional_sub", "orgao_membros", "orgao", "55-1")
+    doc = json.loads(MF.build_detail_manifest(d.withColumn("window_start_utc", F.lit("w")), "deputado_discursos").first().manifest)
+    assert (doc["watermark_field"], doc["watermark_start"], doc["watermark_end"], doc["deputado_id"]) == ("dataHoraInicio", "w", "", "55-1")
     r = d.withColumns({"reference_date": F.lit("2026-05-12"), "reference_timezone": F.lit("tz"), "final_status": F.lit("COMPLETED")})
     doc = json.loads(MF.build_detail_manifest(r, "partidos").first().manifest)
     assert doc["success_marker_path"] == "raw/camara/partidos/api/list/reference_date=2026-05-12/_metadata/runs/pipeline_run_id=r/_SUCCESS"
     assert (doc["completed_at"], doc["snapshot_type"], doc["reference_timezone"]) == ("f", "dimension", "tz")
 
 
+def test_domain_manifest(spark):
+    runs = ceap_run(spark, mode="backfill").withColumns({"detected": F.lit(4), "window_start_utc": F.lit("w")})
+    doc = json.loads(MF.build_domain_manifest(runs, "eventos").first().manifest)
+    assert (doc["run_type"], doc["total_eventos_detected"], doc["parent_record_count"], doc["window_start_utc"], doc["window_end_utc"]) == ("backfill", 4, 4, "w", None)
+    assert doc["sub_endpoints"] == ["evento_deputados", "evento_orgaos", "evento_pauta", "evento_votacoes"] and doc["watermark_end"] == ""
+    doc = json.loads(MF.build_domain_manifest(runs, "institucional").first().manifest)
+    assert "watermark_field" not in doc and "window_start_utc" not in doc and doc["total_parents_detected"] == 4
+    assert "sub_endpoints" not in json.loads(MF.build_domain_manifest(runs, "votacoes").first().manifest)
+
+
 def rolled(spark, *statuses):
     df = spark.createDataFrame([("d", s) for s in statuses], "k string, status string")
     return SU.rollup_domain(df, "k").first().domain_status

@@ -52,6 +52,11 @@ FANOUT_MANIFESTS = {
     "discursos": ("deputado_discursos", "deputado_discursos", "/deputados/{id}/discursos", "dataHoraInicio",
                   "deputies_snapshot", "deputado", "total_deputados_detected"),
 }
+# domain: snapshot type of a per-parent manifest
+DETAIL_TYPES = {
+    "votacoes": "votacao_votos", "proposicoes": "proposicao_sub", "eventos": "evento_sub",
+    "institucional": "institucional_sub", "discursos": "deputado_discursos",
+}
 # End of fixed values.
 
 CEAP_PREFIX = f"{RAW_ROOT}/ceap/api/despesas"
@@ -68,12 +73,13 @@ def _count(name: str, columns: list[str]) -> Column:
 
 
 def build_manifest(df: DataFrame, fields: dict[str, Column], extras: dict[str, Column] | None = None,
-                   drop: tuple[str, ...] = ()) -> DataFrame:
+                   drop: tuple[str, ...] = (), always: dict[str, Column] | None = None) -> DataFrame:
     """Manifest columns and JSON text from named expressions.
 
     Names outside the contract are ignored in ``fields``.  Extras come last
     and only fill what is still empty.  ``drop`` removes base fields that do
-    not apply to a manifest variant.
+    not apply to a manifest variant; ``always`` adds fields of the variant
+    that are written even when null.
     """
     base = {n: fields.get(n, F.lit(None).cast("string")) for n in BASE_FIELDS if n not in drop}
     base["metadata_version"] = F.lit(catalog.METADATA_VERSION)
@@ -81,6 +87,7 @@ def build_manifest(df: DataFrame, fields: dict[str, Column], extras: dict[str, C
     base["error_message"] = F.when(error != "", error)
     for name in set(PAGE_COUNTERS) - set(drop):
         base[name] = S.int_or_zero(fields.get(name, F.lit(0)).cast("string")).cast("int")
+    base |= always or {}
     known = BLOCK_FIELDS + ("dependencies", "hash_strategy", "audit_fields_applied")
     blocks = {n: fields[n] for n in known if n in fields}
     for name, value in (extras or {}).items():
@@ -145,8 +152,6 @@ def build_ceap_manifest(runs: DataFrame) -> DataFrame:
         if name in c:
             extras[name] = F.col(name).cast("bigint")
     extras |= {
-        "started_at_utc": F.col("started_at"), "finished_at_utc": F.col("completed_at"),
-        "failed_at_utc": F.col("failed_at"),
         "deputies_snapshot_date": _text("deputies_snapshot_date", c),
         "deputies_snapshot_record_count": _count("deputies_snapshot_record_count", c),
         "deputies_snapshot_status": _text("deputies_snapshot_status", c),
@@ -155,7 +160,11 @@ def build_ceap_manifest(runs: DataFrame) -> DataFrame:
     }
     if "error_type" in c:
         extras["error_type"] = F.when(F.col("error_type") != "", F.col("error_type"))
-    return build_manifest(runs, fields, extras, PAGE_COUNTERS)
+    return build_manifest(runs, fields, extras, PAGE_COUNTERS, _times())
+
+
+def _times() -> dict[str, Column]:
+    return {"started_at_utc": F.col("started_at"), "finished_at_utc": F.col("completed_at"), "failed_at_utc": F.col("failed_at")}
 
 
 def build_snapshot_manifest(snapshots: DataFrame) -> DataFrame:
@@ -213,15 +222,18 @@ def build_domain_manifest(runs: DataFrame, domain: str) -> DataFrame:
             "watermark_field": F.lit(watermark), "watermark_start": _text("window_start_utc", c),
             "watermark_end": _text("window_end_utc", c),
         }
-    extras = {
-        "mode": F.col("mode"), "started_at_utc": F.col("started_at"), "finished_at_utc": F.col("completed_at"),
-        "failed_at_utc": F.col("failed_at"), detected: S.int_or_zero(F.col("detected").cast("string")),
-    }
+    always = _times()
+    if watermark:
+        always |= {n: F.col(n) if n in c else F.lit(None).cast("string") for n in ("window_start_utc", "window_end_utc")}
+    extras = {"mode": F.col("mode"), detected: S.int_or_zero(F.col("detected").cast("string"))}
+    subs = [e.name for e in catalog.domain_endpoints(domain) if e.per_parent]
+    if domain in ("proposicoes", "eventos", "institucional"):
+        extras["sub_endpoints"] = F.array(*[F.lit(e) for e in subs])
     for name in ("date_start", "date_end", "target_year", "parents_detected", "total_raw_files_written",
                  "total_records_collected", "error_type", "skipped_unchanged_hash"):
         if name in c:
             extras[name] = F.col(name)
-    return build_manifest(runs, fields, extras, PAGE_COUNTERS)
+    return build_manifest(runs, fields, extras, PAGE_COUNTERS, always)
 
 
 def build_detail_manifest(results: DataFrame, endpoint: str) -> DataFrame:
@@ -232,10 +244,19 @@ def build_detail_manifest(results: DataFrame, endpoint: str) -> DataFrame:
     spec = catalog.endpoint(endpoint)
     status = _fold_status(F.col("final_status"), RUN_STATUSES)
     if spec.per_parent:
-        part, _ = catalog.PARENT_PARTITION[endpoint]
+        part, label = catalog.PARENT_PARTITION[endpoint]
         root = F.concat(F.lit(f"{RAW_ROOT}/{spec.raw_prefix}/{part}="), F.col("parent_id"))
-        scope = {"snapshot_type": F.lit(endpoint)}
+        scope = {"snapshot_type": F.lit(DETAIL_TYPES[spec.domain])}
         extras = {part: F.col("parent_id")}
+        if spec.domain in ("proposicoes", "eventos", "institucional"):
+            extras["sub_endpoint"] = F.lit(endpoint)
+        if spec.domain == "institucional":
+            extras["parent_label"] = F.lit(label)
+        if spec.domain == "discursos":
+            scope |= {
+                "watermark_field": F.lit("dataHoraInicio"), "watermark_start": _text("window_start_utc", results.columns),
+                "watermark_end": _text("window_end_utc", results.columns),
+            }
         api_path = F.replace(F.lit(spec.path), F.lit("{id}"), F.col("parent_id"))
     else:
         root = F.concat(F.lit(f"{RAW_ROOT}/{spec.raw_prefix}/reference_date="), F.col("reference_date"))
@@ -261,12 +282,14 @@ def build_detail_manifest(results: DataFrame, endpoint: str) -> DataFrame:
         "hash_strategy": F.lit(catalog.HASH_STRATEGY),
         "audit_fields_applied": F.array(*[F.lit(a) for a in catalog.AUDIT_FIELDS]), **scope,
     }
-    extras |= {
+    if "error_type" in results.columns:
+        extras["error_type"] = F.when(F.col("error_type") != "", F.col("error_type"))
+    always = {
         "started_at_utc": F.col("started_at"),
         "finished_at_utc": F.when(status == "COMPLETED", F.col("finished_at")),
         "failed_at_utc": F.when(status == "FAILED", F.col("finished_at")),
     }
-    return build_manifest(results, fields, extras)
+    return build_manifest(results, fields, extras, always=always)
 
 
 def operation_manifest(counts: DataFrame, run_dir: Column) -> DataFrame:

@@ -95,11 +95,12 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    # Streaming state on local disk instead of the heap, checkpointed by difference.
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        # Large streaming state: on disk instead of the heap, checkpointed by difference.
+        spark.conf.set(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
 
 
 def coalesce_empty(col) -> F.Column:
