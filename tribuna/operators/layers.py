@@ -47,8 +47,12 @@ def dedup_latest(df: DataFrame, keys: list[Column], order: list[Column]) -> Data
     join below it.  Select the columns you need first, as the rows travel whole.
     """
     names = [f"_key{i}" for i in range(len(keys))]
-    best = F.min_by(F.struct(*df.columns), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
-    return df.groupBy(*[k.alias(n) for k, n in zip(keys, names)]).agg(best.alias("_best")).select("_best.*")
+    # Keys and sort values are computed once per row, ahead of the aggregate that compares them.
+    ready = df.select(
+        *[k.alias(n) for k, n in zip(keys, names)], F.struct(*df.columns).alias("_row"),
+        F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias("_order"),
+    )
+    return ready.groupBy(*names).agg(F.min_by("_row", "_order").alias("_best")).select("_best.*")
 
 
 def newest(loaded_at: Column) -> Column:
