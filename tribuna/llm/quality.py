@@ -80,19 +80,22 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     t = text_of(text)
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD))
     w = with_repeats(with_words(docs, text))
-    w = w.withColumn("__n_words", F.size("__w").cast("long")).withColumn("__lines", lines)
+    w = w.withColumn("__n_words", F.size("__w").cast("long")).withColumn("__split", lines)
     w = w.withColumns({
         "__word_chars": F.length(without(t, SPACES)).cast("long"),
         "__n_symbols": (F.length(t) - F.length(without(t, SYMBOLS))).cast("long"),
-        "__n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
-        "__n_lines": F.size("__lines").cast("long"),
+        "__n_dup_lines": (F.size("__split") - F.size(F.array_distinct("__split"))).cast("long"),
+        "__n_lines": F.size("__split").cast("long"),
     })
-    w = w.drop("__w", "__bits", "__key", "__near", "__win", "__at", "__lines")
-    return w.withColumns({
+    w = w.withColumns({
         "__base": (F.col("__n_words") < MIN_WORDS) | (100 * F.col("__n_repeat") > MAX_REPEAT_PERCENT * F.col("__n_words")),
         "__symbols": 100 * F.col("__n_symbols") > MAX_SYMBOL_PERCENT * F.col("__word_chars"),
         "__lines": 100 * F.col("__n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("__n_lines"),
     })
+    # A generator is a border that filters do not cross: a filter pushed below would compute arrays anew for each of their elements.
+    names = ["__n_words", "__word_chars", "__n_symbols", "__n_dup_lines", "__n_repeat", *[f"__{r}" for r in RULES]]
+    w = w.select(*docs.columns, F.explode(F.array(F.struct(*names))).alias("__m"))
+    return w.select(*docs.columns, *[F.col(f"__m.{n}").alias(n) for n in names])
 
 
 def host_counts(measured: DataFrame, host: str) -> DataFrame:

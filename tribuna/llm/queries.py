@@ -6,7 +6,8 @@ from functools import wraps
 
 from pyspark.sql import functions as F
 
-from tribuna.llm import html, knn, linededup, mixing, packing, quality, tokenfile, tokens
+import corpus_pipeline
+from tribuna.llm import html, jaccard, knn, linededup, mixing, packing, quality, tokenfile, tokens
 from tribuna.session import prepare, read_table
 
 
@@ -18,6 +19,10 @@ def op1_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_jaccard(spark, sf_dir):
+    return jaccard.near_duplicates(documents(spark, sf_dir))
+
+
 def op3_token_files(spark, sf_dir):
     return tokenfile.round_trip(documents(spark, sf_dir))
 
@@ -48,6 +53,26 @@ def op10_top_k(spark, sf_dir):
     return knn.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+JACCARD_SQL = f"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM t WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+  WHERE 100 * p.k >= {jaccard.PERCENT} * (na.n + nb.n - p.k)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
+
 LINE_SQL = f"""
 WITH lines AS (
   SELECT doc_id, source, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line
@@ -138,6 +163,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 QUERIES = {
     "op1_mixing": (op1_mixing, None),
+    "op2_jaccard": (op2_jaccard, JACCARD_SQL),
     "op3_token_files": (op3_token_files, None),
     "op5_html": (op5_html, None),
     "op6_line_dedup": (op6_line_dedup, LINE_SQL),
@@ -145,6 +171,7 @@ QUERIES = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_packing": (op9_packing, None),
     "op10_top_k": (op10_top_k, KNN_SQL),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
 
