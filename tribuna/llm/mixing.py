@@ -30,7 +30,7 @@ WEIGHTS = (5, 2, 1)
 #: No document is taken more often than this.
 MAX_EPOCHS = 3
 #: Rows that one slot or one range of the sort holds, about.
-SLOT_ROWS = 100_000
+SLOT_ROWS = 10_000
 SOURCE = ["__no_source", "__source"]
 
 

@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tribuna.llm import html, jaccard, knn, linededup, mixing, packing, quality, tokenfile, tokens
+from tribuna.llm import html, jaccard, knn, linededup, mixing, packing, quality, substrings, tokenfile, tokens
 from tribuna.session import prepare, read_table
 
 
@@ -27,6 +27,10 @@ def op3_token_files(spark, sf_dir):
     return tokenfile.round_trip(documents(spark, sf_dir))
 
 
+def op4_substrings(spark, sf_dir):
+    return substrings.digests(substrings.remove_repeats(documents(spark, sf_dir)))
+
+
 def op5_html(spark, sf_dir):
     return html.extract(read_table(spark, sf_dir, "pages"))
 
@@ -73,6 +77,29 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id
 """
 
+SUBSTRING_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT rid, doc_id, i, substr(h, 2 * i + 1, {2 * substrings.LENGTH}) AS s
+  FROM (SELECT rid, doc_id, h, unnest(range(0, greatest(CAST(length(h) / 2 AS BIGINT) - {substrings.LENGTH} + 1, 0))) AS i FROM d WHERE doc_id IS NOT NULL)
+), gone AS (
+  SELECT rid, i FROM (SELECT rid, doc_id, i, min(doc_id) OVER (PARTITION BY s) AS m FROM w) WHERE m < doc_id
+), runs AS (
+  SELECT rid, min(i) AS a, max(i) + {substrings.LENGTH} AS z
+  FROM (SELECT rid, i, sum(CASE WHEN i <= p + {substrings.LENGTH} THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY i) AS k
+        FROM (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS p FROM gone))
+  GROUP BY rid, k
+), kept AS (
+  SELECT rid, a, substr(h, 2 * done + 1, 2 * (a - done)) AS part
+  FROM (SELECT d.rid, h, a, coalesce(lag(z) OVER (PARTITION BY d.rid ORDER BY a), 0) AS done
+        FROM d JOIN (SELECT rid, a, z FROM runs UNION ALL SELECT rid, CAST(length(h) / 2 AS BIGINT), CAST(length(h) / 2 AS BIGINT) + 1 FROM d) r USING (rid))
+), texts AS (SELECT rid, string_agg(part, '' ORDER BY a) AS kept FROM kept GROUP BY rid),
+sums AS (SELECT rid, sum(z - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY rid)
+SELECT doc_id, CAST(length(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN texts USING (rid) LEFT JOIN sums USING (rid)
+"""
+
 LINE_SQL = f"""
 WITH lines AS (
   SELECT doc_id, source, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line
@@ -165,6 +192,7 @@ QUERIES = {
     "op1_mixing": (op1_mixing, None),
     "op2_jaccard": (op2_jaccard, JACCARD_SQL),
     "op3_token_files": (op3_token_files, None),
+    "op4_substrings": (op4_substrings, SUBSTRING_SQL),
     "op5_html": (op5_html, None),
     "op6_line_dedup": (op6_line_dedup, LINE_SQL),
     "op7_quality": (op7_quality, QUALITY_SQL),
