@@ -188,7 +188,8 @@ def settle(page_blocks: list[tuple[str, int, bool, bool]], labels: list[int]) ->
     """Second pass: an undecided block takes the label of its nearest decided neighbour, on either side.
 
     Neighbours are the blocks on the same side of the article's border, without
-    furniture.  At equal distance, or with no neighbour, the article decides.
+    furniture.  At equal distance a block without links is good; with no
+    neighbour at all the article decides.
     """
 
     def nearest(order: range) -> list[tuple[int, int]]:
@@ -204,9 +205,9 @@ def settle(page_blocks: list[tuple[str, int, bool, bool]], labels: list[int]) ->
 
     before, after = nearest(range(len(labels))), nearest(range(len(labels) - 1, -1, -1))
     out = []
-    for (_, _, _, article), label, (d, x), (e, y) in zip(page_blocks, labels, before, after):
+    for (_, linked, _, article), label, (d, x), (e, y) in zip(page_blocks, labels, before, after):
         if label == OPEN:
-            label = x if d < e or x == y else y if e < d else OPEN
+            label = x if d < e or x == y else y if e < d else BAD if linked else GOOD
             label = label or (GOOD if article else BAD)
         out.append(label)
     return out
