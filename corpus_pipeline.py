@@ -11,18 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tribuna.llm import jaccard, linededup, mixing, packing, quality
+from tribuna.llm.common import lean
 from tribuna.session import prepare, read_table, work_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break the base rules, or whose host is rejected, go."""
     prepare(spark)
+    lean(spark)
     return quality.filter_documents(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand on many sites are cut from all documents but the first; ``n_chars`` follows the text."""
     prepare(spark)
+    lean(spark)
     cut = linededup.dedup_lines(docs)
     length = F.when(F.col("__n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.select(*[length.alias(c) if c == "n_chars" else cut[c] for c in docs.columns])
@@ -31,18 +34,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id."""
     prepare(spark)
+    lean(spark)
     return jaccard.one_of_each(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target shares; a document that is taken twice stands twice."""
     prepare(spark)
+    lean(spark)
     return mixing.mix_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of fixed length; no two copies of a document in one."""
     prepare(spark)
+    lean(spark)
     return packing.pack(docs)
 
 

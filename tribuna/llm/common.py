@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a maximal run of anything but space, tab, newline, vertical tab, form feed and return.
@@ -13,6 +13,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+def lean(spark: SparkSession) -> None:
+    """Shuffle files go as soon as the step that made them has ended, and not when the driver happens to collect its garbage.
+
+    What follows a step reads its checkpoint or table; a step that is run again makes its files again.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def text_of(column: str = "text") -> Column:
     """The text with null as the empty string."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -10,9 +10,10 @@ has signatures for its own band and the next.
 
 Common shingles, found on a bounded sample, are left out of the signatures of
 larger bands (this takes differences away and adds none, whatever the sample
-says), and an empty partition is no signature unless a set has more of them than
-there are spare partitions.  So no link is lost, and unrelated sets do not meet
-in what everyone has.
+says).  A set whose partitions with content outnumber its possible differences
+sends no empty ones; towards larger partners it sends one more than the possible
+differences.  In each case one of two similar sets' shared signatures is sent by
+both, so no link is lost, and unrelated sets do not meet in what everyone has.
 
 A task that sees many sets under one signature sends only one of them on, tied
 to the others, so no signature gathers an unbounded group.  Sets under one
@@ -48,7 +49,7 @@ PERCENT = 80
 #: Up to this many differences, subsets of few partitions are enumerated.
 SMALL_K = 3
 #: The sample that common shingles are looked for in: documents, and how many must share one; the list's length.
-SAMPLE_DOCS, SAMPLE_SHARE, MAX_COMMON = 4096, 12, 100_000
+SAMPLE_DOCS, SAMPLE_SHARE, MAX_COMMON = 4096, 6, 100_000
 #: Signatures per bucket, rows per tile side, largest group that is compared pair by pair, bytes of text per slice.
 BUCKET_SIGNATURES = 1_000_000
 TILE = 1024
@@ -70,12 +71,13 @@ def differences(top: int, percent: int = PERCENT) -> int:
 
 
 def spare(k: int) -> int:
-    return 2 + k // 8
+    return 2 + k // 24
 
 
-def set_signatures(s: np.ndarray, band: int, k: int, common: np.ndarray) -> np.ndarray:
-    """Signatures of one set for one band."""
+def set_signatures(s: np.ndarray, band: int, top: int, common: np.ndarray, percent: int, smaller: bool) -> np.ndarray:
+    """Signatures of one set for one band; ``smaller``: the set is of the band below, and its partners here are larger."""
     salt = np.uint64((band * 0x9E3779B97F4A7C15 + 1) % (1 << 64))
+    k = differences(top, percent)
     if k == 0:
         return np.empty(0, dtype=np.uint64)  # only equal sets are linked, and these are one class
     if k <= SMALL_K:
@@ -84,6 +86,8 @@ def set_signatures(s: np.ndarray, band: int, k: int, common: np.ndarray) -> np.n
         np.add.at(sums, ((s >> np.uint64(32)) % np.uint64(n)).astype(np.int64), mix(s ^ salt))
         keep = np.array(list(itertools.combinations(range(n), n - k)))
         return mix(sums[keep].sum(axis=1, dtype=np.uint64) + np.arange(len(keep), dtype=np.uint64) * salt)
+    # The differences that this very set can have from a partner in this band.
+    own = (len(s) + min(top, len(s) * 100 // percent)) * (100 - percent) // (100 + percent)
     n = k + 1 + spare(k)
     if common.size:
         at = np.searchsorted(common, s)
@@ -92,14 +96,17 @@ def set_signatures(s: np.ndarray, band: int, k: int, common: np.ndarray) -> np.n
     place = ((s >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
     sums = np.zeros(n, dtype=np.uint64)
     np.add.at(sums, place, mix(s ^ salt))
-    held = np.bincount(place, minlength=n) > 0
-    chosen = np.flatnonzero(held) if n - int(held.sum()) <= spare(k) else np.arange(n)
+    chosen = np.flatnonzero(np.bincount(place, minlength=n))
+    if len(chosen) <= own:
+        chosen = np.arange(n)  # too few partitions hold something: empty ones count as well
+    elif smaller:
+        chosen = chosen[: own + 1]  # one of these agrees with any partner, which sends all of its own
     return mix(sums[chosen] + mix(chosen.astype(np.uint64) + salt))
 
 
 def signatures(s: np.ndarray, tops: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
     band = int(np.searchsorted(tops, len(s)))
-    parts = [set_signatures(s, b, differences(int(tops[b]), percent), common) for b in (band, band + 1)]
+    parts = [set_signatures(s, b, int(tops[b]), common, percent, b > band) for b in (band, band + 1)]
     return np.concatenate(parts)
 
 
@@ -223,9 +230,9 @@ def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch, "text", SLICE):
             sets = shingle_sets(rows.column("text"))
+            own = [k for k, (s, want) in enumerate(zip(sets, rows.column("want").to_pylist())) if set_key(s) == want]
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["id", "cls", "s"],
+                [rows.column("doc_id").take(pa.array(own, pa.int64())), pa.array([sets[k].view(np.int64) for k in own], pa.list_(pa.int64()))], names=["id", "s"]
             )
 
 
@@ -281,7 +288,7 @@ def tile_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def rest_links(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def rest_links(groups: DataFrame, roots: DataFrame, tested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links within groups that the comparison with one member has left in several pieces."""
     member = groups.select("g", F.col("lead").alias("id")).union(groups.select("g", F.col("member").alias("id"))).distinct()
     member = member.join(roots, F.col("id") == F.col("node"), "left").select("g", "id", F.coalesce("root", "id").alias("root"))
@@ -290,7 +297,6 @@ def rest_links(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: in
     small = open_groups.where(F.col("m") <= SMALL_GROUP)
     left = small.select("g", F.col("id").alias("a"), F.col("root").alias("ra"))
     right = small.select("g", F.col("id").alias("b"), F.col("root").alias("rb"))
-    tested = groups.select(F.least("lead", "member").alias("a"), F.greatest("lead", "member").alias("b"))
     pairs = left.join(right, "g").where("a < b and ra <> rb").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
     links = verified(pairs, sets, percent)
 
@@ -335,10 +341,10 @@ def class_links(slim: DataFrame, info: DataFrame, percent: int) -> tuple[DataFra
     known = info.where("doc_id is not null and n > 0")
     classes = cut_lineage(known.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")))
     total = one_row(classes.agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles")))
-    n_classes, n_sigs = total["classes"], max(1, int(0.7 * (total["shingles"] or 0)))
+    n_classes, n_sigs = total["classes"], max(1, int(0.55 * (total["shingles"] or 0)))
     buckets = max(1, math.ceil(n_sigs / BUCKET_SIGNATURES))
-    # Enough bits that chance meetings are fewer than sets: they cost a comparison and change nothing.
-    sig_bytes = min(7, max(4, math.ceil((2 * math.log2(n_sigs) - math.log2(max(2, n_classes)) - math.log2(buckets)) / 8)))
+    # Enough bits that chance meetings are far fewer than sets: they cost a comparison and change nothing.
+    sig_bytes = min(7, max(4, math.ceil((2 * math.log2(n_sigs) - math.log2(max(2, n_classes)) + 6 - math.log2(buckets)) / 8)))
     id_bytes = min(7, max(4, math.ceil((math.log2(max(2, n_classes)) + 10) / 8)))
     common = common_shingles(slim, one_row(info.agg(F.count(F.lit(1))))[0])
     sent = slim.where("doc_id is not null").select("text").mapInArrow(
@@ -354,15 +360,32 @@ def class_links(slim: DataFrame, info: DataFrame, percent: int) -> tuple[DataFra
     wanted = groups.select(F.col("lead").alias("rep")).union(groups.select("member")).distinct()
     wanted = wanted.join(classes, "rep").select(F.col("rep").alias("doc_id"), F.col("cls").alias("want"))
     # A representative's id may stand on other rows too: only its own set counts, and of equal rows one.
-    found = slim.join(wanted.select("doc_id").distinct(), "doc_id").mapInArrow(read_sets, "id long, cls binary, s array<long>")
-    found = found.join(wanted, (found["id"] == wanted["doc_id"]) & (found["cls"] == wanted["want"]), "left_semi")
-    sets = cut_lineage(found.dropDuplicates(["id", "cls"]).select("id", "s"))
-    near = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    pairs = groups.where(near).select(F.least("lead", "member").alias("a"), F.greatest("lead", "member").alias("b")).distinct()
-    star = cut_lineage(verified(pairs, sets, percent))
-    roots = components(star)
-    rest = cut_lineage(rest_links(groups, roots, sets, percent))
-    return star.union(rest), classes
+    found = slim.join(wanted, "doc_id").withColumn("th", F.xxhash64("text")).dropDuplicates(["doc_id", "want", "th"])
+    sets = cut_lineage(found.select("doc_id", "text", "want").mapInArrow(read_sets, "id long, s array<long>"))
+    near = groups.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("lead", "member")
+    # Rounds: every set that its leader does not reach yet is compared with the smallest leader that is left.
+    links, roots, tested = None, None, None
+    for last in (False, False, True):
+        todo = near.select(F.least("lead", "member").alias("a"), F.greatest("lead", "member").alias("b")).distinct()
+        if roots is not None:
+            todo = apart(todo, roots).join(tested, ["a", "b"], "left_anti")
+        if not last:
+            todo = todo.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        todo = cut_lineage(todo)
+        new = cut_lineage(verified(todo, sets, percent))
+        links = new if links is None else links.union(new)
+        tested = todo if tested is None else tested.union(todo)
+        roots = cut_lineage(components(links))
+    rest = cut_lineage(rest_links(groups.select("g", "lead", "member"), roots, tested, sets, percent))
+    return links.union(rest), classes
+
+
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that are not connected yet."""
+    ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    out = pairs.join(ra, "a", "left").join(rb, "b", "left")
+    return out.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

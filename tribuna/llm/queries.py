@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tribuna.llm import html, jaccard, knn, linededup, mixing, packing, quality, substrings, tokenfile, tokens
+from tribuna.llm.common import lean
 from tribuna.session import prepare, read_table
 
 
@@ -207,6 +208,7 @@ def prepared(fn):
     @wraps(fn)
     def run(spark, sf_dir):
         prepare(spark)
+        lean(spark)
         return fn(spark, sf_dir)
 
     return run
