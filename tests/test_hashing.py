@@ -2,6 +2,8 @@
 
 import hashlib
 import json
+import random
+import struct
 from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
@@ -9,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tribuna.functions import hashing as H
+from tribuna.operators import envelope as E
 
 SOURCE = "camara_dadosabertos"
 
@@ -129,3 +132,48 @@ def test_dotted_business_keys(spark):
     df = spark.createDataFrame([({"deputado_": {"id": 5, "nome": "n"}, "tipoVoto": "Sim"},)], "item struct<tipoVoto:string,deputado_:struct<id:bigint,nome:string>>")
     uid = df.select(H.endpoint_record_uid(F.col("item"), "votacao_votos", ("deputado_.id", "tipoVoto"))).first()[0]
     assert uid == digest(SOURCE + '|votacao_votos|{"deputado_.id":5,"tipoVoto":"Sim"}')
+
+
+def test_doubles_of_any_size(spark):
+    """No exponent, no lost digit; 17 digits may differ from the shortest form where Java 17 prints more than it needs."""
+    rnd = random.Random(1)
+    values = [0.0, -0.0, 1e-5, 1e-20, 1e20, 1e21, 1.2345678901234568e-05, 1e7, 1e15, 1e16, 12345678.9, -1e7, 5e-324, 1.7976931348623157e308, 1e22]
+    values += [v for v in (struct.unpack("d", struct.pack("Q", rnd.getrandbits(64)))[0] for _ in range(3000)) if v == v and abs(v) != float("inf")]
+    values += [round(rnd.uniform(-1e9, 1e9), rnd.randrange(6)) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v double")
+    got = [r[0] for r in df.orderBy("i").select(H.decimal_text(F.col("v"))).collect()]
+    differ = [(v, g) for v, g in zip(values, got) if g != format(Decimal(repr(v)), "f")]
+    assert len(differ) < 30 and all(float(g) == v and len(g.strip("-0.").replace(".", "")) >= 2 for v, g in differ)
+    assert not [d for d in differ if 1e-3 < abs(d[0]) < 1e9]
+
+
+def test_amounts_as_text(spark):
+    given = ["1e3", " 12 ", "+5", "1.50", "abc", "", "  ", ".5", "5.", "007", "00.50", "-0.0", "1.5e-3", "-12.30E2", "0", "000", None]
+    want = ["1000", "12", "5", "1.50", "abc", None, None, "0.5", "5", "7", "0.50", "-0.0", "0.0015", "-1230", "0", "0", None]
+    df = spark.createDataFrame(list(enumerate(given)), "i int, v string")
+    assert [r[0] for r in df.orderBy("i").select(H.amount_text(F.col("v"), df.schema["v"].dataType)).collect()] == want
+
+
+def test_hash_of_the_record_as_received(spark):
+    """Undeclared keys count, absent and null keys differ, and lineage fields never count."""
+    pages = ['{"dados":[{"id":1},{"id":1,"nome":null},{"id":1,"z":{"b":1.50,"a":[]}},{"z":{"a":[],"b":1.5},"id":1,"_record_uid":"x"}]}', '{"dados":[]}', "{}", None]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "page int, raw string")
+    rows = H.explode_raw(df, "raw", "page").orderBy("page", "pos").collect()
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    third = sha('{"id":1,"z":{"a":[],"b":"1.5"}}')
+    assert [r.record_hash for r in rows] == [sha('{"id":1}'), sha('{"id":1,"nome":null}'), third, third]
+    items = spark.createDataFrame([('{"id":5,"_x":1}',), ('{"id":"5"}',), ('{"nome":"a"}',)], "raw string")
+    got = H.fingerprint_raw(items, "raw", "e").collect()
+    assert [r.uid for r in got] == [sha(f'camara_dadosabertos|e|{{"id":{k}}}') for k in ("5", '"5"', "null")]
+    assert [r.hash for r in got] == [sha('{"id":5}'), sha('{"id":"5"}'), sha('{"nome":"a"}')]
+
+
+def test_pages_with_raw_text_hash_the_text(spark):
+    raw = '{"dados":[{"id":1,"nome":"a","extra":2},{"id":2}],"links":[]}'
+    row = [("r", "e", 1, "2024", "7", raw, [(1, "a"), (2, None)])]
+    df = spark.createDataFrame(row, "pipeline_run_id string, execution_id string, page int, ingested_at string, parent_id string, raw string, dados array<struct<id:bigint,nome:string>>")
+    out = E.enrich_pages(df, "evento_deputados", raw="raw").first()
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert [d["_record_hash"] for d in out.dados] == [sha('{"extra":2,"id":1,"nome":"a"}'), sha('{"id":2}')]
+    typed = E.enrich_pages(df.drop("raw"), "evento_deputados").first()
+    assert [d["_record_uid"] for d in out.dados] == [d["_record_uid"] for d in typed.dados]

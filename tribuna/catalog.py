@@ -19,7 +19,6 @@ HASH_STRATEGY = "payload_and_record_hash_v1"
 AUDIT_FIELDS = ("_audit", "_payload_hash", "_record_uid", "_record_hash")
 METADATA_VERSION = "1.0"
 STALE_AFTER_MINUTES = 60
-MAX_LIST_PAGES = 10_000
 
 CEAP_UID_FIELDS = (
     "codDocumento", "numDocumento", "dataDocumento", "tipoDespesa", "urlDocumento",

@@ -39,16 +39,39 @@ def _lower_escapes(text: Column) -> Column:
 
 
 def decimal_text(value: Column) -> Column:
-    """Plain decimal text of a double: no exponent, at least one decimal below 1e16."""
-    plain = value.cast("string").cast(T.DecimalType(38, 18)).cast("string")
-    trimmed = F.regexp_replace(plain, r"0+$", "")
-    whole = F.regexp_replace(trimmed, r"\.$", "")
-    text = (
-        F.when(~trimmed.endswith("."), trimmed)
-        .when(F.abs(value) < F.lit(1e16), F.concat(whole, F.lit(".0")))
-        .otherwise(whole)
+    """Plain decimal text of a double of any size: no exponent, at least one decimal below 1e16."""
+    text = value.cast("string")
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    parts = F.split(F.ltrim(text, F.lit("-")), "E")
+    exponent = F.get(parts, F.lit(1)).cast("int")
+    digits = F.regexp_replace(F.replace(F.get(parts, F.lit(0)), F.lit("."), F.lit("")), "0+$", "")
+    point = exponent + 1
+    whole = F.concat(F.rpad(digits, point, "0"), F.when(exponent < 16, F.lit(".0")).otherwise(F.lit("")))
+    mixed = F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.lit(20)))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)
+    plain = F.when(exponent < 0, small).when(F.length(digits) <= point, whole).otherwise(mixed)
+    return F.when(text.contains("E"), F.concat(sign, plain)).otherwise(text)
+
+
+def amount_text(value: Column, dtype: T.DataType) -> Column:
+    """An amount as plain decimal text; blank text counts as missing, text that is no number stays."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return decimal_text(value.cast("double"))
+    text = value.cast("string")
+    number = r"^\s*([+-]?)0*(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,3}))?\s*$"
+    is_number = text.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?\s*$")
+    part = lambda i: F.regexp_extract(text, number, i)
+    shift = F.coalesce(F.ltrim(part(4), F.lit("+")).try_cast("int"), F.lit(0)) - F.length(part(3))
+    digits = F.concat(part(2), part(3))
+    padded = F.lpad(digits, F.greatest(F.length(digits), 1 - shift), "0")
+    left = F.substring(padded, F.lit(1), F.length(padded) + shift)
+    right = F.substring(padded, F.length(padded) + shift + 1, -shift)
+    lead = F.coalesce(F.nullif(F.regexp_replace(left, "^0+", ""), F.lit("")), F.lit("0"))
+    plain = F.when(shift < 0, F.concat(lead, F.lit("."), right)).otherwise(
+        F.concat(F.coalesce(F.nullif(F.regexp_replace(digits, "^0+", ""), F.lit("")), F.lit("0")), F.repeat(F.lit("0"), shift))
     )
-    return F.when(value.isNull(), F.lit(None).cast("string")).otherwise(text)
+    signed = F.concat(F.when(part(1) == "-", F.lit("-")).otherwise(F.lit("")), plain)
+    return F.when(F.trim(text) != "", F.when(is_number, signed).otherwise(text))
 
 
 def normal_form(col: Column, dtype: T.DataType) -> Column:
@@ -119,6 +142,16 @@ def canonical_raw(raw: Column, drop: str = "record") -> Column:
     return encode(raw)
 
 
+def canonical_items(items: Column) -> Column:
+    """Canonical JSON of each record text of an array."""
+
+    @F.pandas_udf("array<string>")
+    def encode(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: None if page is None else [_canonical_text(t, "record") for t in page])
+
+    return encode(items)
+
+
 def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
@@ -131,6 +164,28 @@ def record_hash_raw(raw_record: Column) -> Column:
     return sha256(canonical_raw(raw_record, "record"))
 
 
+def raw_items(raw_page: Column, path: str = "$.dados") -> Column:
+    """The records of a page as JSON texts, in order, with every key they came with."""
+    return F.from_json(F.get_json_object(raw_page, path), T.ArrayType(T.StringType()))
+
+
+def explode_raw(pages: DataFrame, raw: str, *keep: str) -> DataFrame:
+    """One row per record as received: its position, its text and its content hash."""
+    items = pages.select(*keep, F.posexplode(raw_items(F.col(raw))).alias("pos", "item"))
+    return items.withColumn("record_hash", record_hash_raw(F.col("item")))
+
+
+def fingerprint_raw(df: DataFrame, raw: str, entity: str, business_keys=("id",)) -> DataFrame:
+    """Adds ``uid`` and ``hash`` of a list item as received; ``_`` fields never count, absent and null keys differ.
+
+    Keys keep their JSON type: 5 and "5" are different ids.
+    """
+    doc = F.try_parse_json(F.col(raw))
+    keys = [F.concat(F.lit(f'"{k}":'), F.coalesce(F.to_json(F.try_variant_get(doc, f"$.{k}", "variant")), F.lit("null"))) for k in sorted(business_keys)]
+    ids = F.concat(F.lit(f"{SOURCE_SYSTEM}|{entity}|{{"), F.concat_ws(",", *keys), F.lit("}"))
+    return df.withColumns({"uid": sha256(ids), "hash": sha256(canonical_raw(F.col(raw), "underscore"))})
+
+
 def record_hash(col: Column, dtype: T.StructType) -> Column:
     """Content hash of a typed record without its own lineage fields."""
     return sha256(canonical_typed(col, dtype, lambda n: n in ("_record_uid", "_record_hash")))
@@ -158,11 +213,10 @@ def endpoint_record_uid(col: Column, entity: str, business_keys, source: str = S
     return record_uid(source, entity, {k: field_at(col, k) for k in business_keys})
 
 
-def ceap_record_uid(item: Column, id_deputado: Column, ano: Column, mes: Column) -> Column:
-    """Expense UID: the three context keys plus the nine document fields."""
+def ceap_record_uid(item: Column, id_deputado: Column, ano: Column, mes: Column, amount: T.DataType = T.StringType()) -> Column:
+    """Expense UID: the three context keys plus the nine document fields; ``amount`` is the type of ``valorDocumento``."""
     keys = {name: item.getField(name) for name in CEAP_UID_FIELDS}
-    value = item.getField("valorDocumento").cast("string")
-    keys["valorDocumento"] = F.when(F.trim(value) != "", value)
+    keys["valorDocumento"] = amount_text(item.getField("valorDocumento"), amount)
     keys |= {"id_deputado": id_deputado.cast("long"), "ano": ano.cast("int"), "mes": mes.cast("int")}
     return record_uid(SOURCE_SYSTEM, "deputado_despesas", keys)
 

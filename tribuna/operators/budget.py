@@ -99,11 +99,12 @@ def backfill_summary(plan: DataFrame, order: list[str], item: list[str], n: int,
     ).drop("_dry")
 
 
-def page_slice(pages: DataFrame, next_page: Column, k: int, max_pages: int = 10_000) -> DataFrame:
+def page_slice(pages: DataFrame, next_page: Column, k: int, max_pages: int | None = None) -> DataFrame:
     """Pages ``[next_page, next_page + k - 1]`` of a resumable listing.
 
     Pages past the listing's end do not exist in the input, so the slice stops
     there by itself; ``next_page`` is a column so each run resumes at its own page.
+    ``max_pages`` sets a further limit; by default there is none.
     """
     first = F.greatest(next_page, F.lit(1))
     return pages.where((F.col("page") >= first) & (F.col("page") <= F.least(first + (k - 1), F.lit(max_pages))))

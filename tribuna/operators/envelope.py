@@ -137,7 +137,8 @@ def enrich_pages(
 
     if layout == "ceap":
         audit = audit_ceap()
-        uid = lambda x: H.ceap_record_uid(x, F.col("id_deputado"), F.col("ano"), F.col("mes"))
+        amount = item["valorDocumento"].dataType
+        uid = lambda x: H.ceap_record_uid(x, F.col("id_deputado"), F.col("ano"), F.col("mes"), amount)
     elif endpoint == "deputados" and layout == "dated" and not extra:
         audit = audit_deputies()
         uid = lambda x: H.deputy_record_uid(x.getField("id"))
@@ -146,16 +147,17 @@ def enrich_pages(
         uid = lambda x: H.endpoint_record_uid(x, spec.name, spec.business_keys)
 
     def lineage(x: Column) -> Column:
-        return x.withField("_record_uid", uid(x)).withField("_record_hash", _record_hash(x, item))
+        return x.withField("_record_uid", uid(x)).withField("_record_hash", H.record_hash(x, item))
 
+    if raw:
+        # Hashes of the records as received, in the page's order; the parsed columns are for reading.
+        out = out.withColumn("_canonical", H.canonical_items(H.raw_items(F.col(raw))))
+        stamp = lambda x, i: x.withField("_record_uid", uid(x)).withField("_record_hash", H.sha256(F.get("_canonical", i)))
+        return out.withColumn("_audit", audit).withColumn("dados", F.transform("dados", stamp)).drop("_canonical")
     return out.withColumn("_audit", audit).withColumn("dados", F.transform("dados", lineage))
 
 
-def _record_hash(x: Column, item: T.StructType) -> Column:
-    return H.record_hash(x, item)
-
-
-def _with_stops(pages: DataFrame, keys: list[str], max_pages: int) -> DataFrame:
+def _with_stops(pages: DataFrame, keys: list[str], max_pages: int | None) -> DataFrame:
     """Pages with ``_written`` (the page belongs to the snapshot) and ``_failed`` (the snapshot failed).
 
     A snapshot ends at the first page without ``next``; a failed fetch before
@@ -169,23 +171,24 @@ def _with_stops(pages: DataFrame, keys: list[str], max_pages: int) -> DataFrame:
         F.min(F.when(last, F.col("page"))).alias("_end"),
         F.min(F.when(F.col("failed"), F.col("page"))).alias("_error"),
     )
-    end = F.least(F.coalesce("_end", F.lit(max_pages)), F.lit(max_pages))
-    broken = F.col("_error").isNotNull() & (F.col("_error") < F.coalesce("_end", F.lit(max_pages + 1)))
+    end = F.least("_end", F.lit(max_pages))  # null: no end, and all pages belong
+    broken = F.col("_error").isNotNull() & (F.col("_end").isNull() | (F.col("_error") < F.col("_end")))
     return flagged.join(stops, keys).withColumns({
-        "_written": (F.col("page") <= end) & (F.col("_error").isNull() | (F.col("page") < F.col("_error"))),
+        "_written": (end.isNull() | (F.col("page") <= end)) & (F.col("_error").isNull() | (F.col("page") < F.col("_error"))),
         "_failed": broken,
     })
 
 
-def snapshot_pages(pages: DataFrame, keys: list[str], max_pages: int = catalog.MAX_LIST_PAGES) -> DataFrame:
-    """Pages of each snapshot, up to its end or before its first failed fetch."""
+def snapshot_pages(pages: DataFrame, keys: list[str], max_pages: int | None = None) -> DataFrame:
+    """Pages of each snapshot, up to its end or before its first failed fetch; ``max_pages`` sets a limit, by default there is none."""
     return _with_stops(pages, keys, max_pages).where("_written").select(*pages.columns)
 
 
-def snapshot_results(pages: DataFrame, keys: list[str], max_pages: int = catalog.MAX_LIST_PAGES) -> DataFrame:
+def snapshot_results(pages: DataFrame, keys: list[str], max_pages: int | None = None) -> DataFrame:
     """Per parent: pages and records written, and COMPLETED or FAILED with the counts so far."""
-    items = F.when(F.col("_written"), F.greatest(F.size(F.coalesce("dados", F.array())), F.lit(0))).otherwise(F.lit(0))
-    return _with_stops(pages, keys, max_pages).groupBy(*keys).agg(
+    items = F.when(F.col("_written"), F.col("_items")).otherwise(F.lit(0))
+    slim = pages.withColumn("_items", F.greatest(F.size(F.coalesce("dados", F.array())), F.lit(0))).drop("dados")
+    return _with_stops(slim, keys, max_pages).groupBy(*keys).agg(
         F.count_if("_written").alias("pages_written"),
         F.sum(items).cast("bigint").alias("record_count"),
         F.when(F.bool_or("_failed"), F.lit("FAILED")).otherwise(F.lit("COMPLETED")).alias("final_status"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tribuna import catalog
 from tribuna.functions import hashing as H
@@ -29,6 +30,30 @@ def ceap_record_uid(spark, sf):
     )
 
 
+def ceap_uid_numeric(spark, sf):
+    """Expenses whose amount is a number, up to many millions."""
+    e = ST.expenses(spark, sf).withColumn("valorDocumento", F.floor(F.col("valorDocumento").cast("double") * 1000).cast("double") + 0.5)
+    item = F.struct(*_DOC_FIELDS)
+    return e.select("urlDocumento", H.ceap_record_uid(item, F.col("id_deputado"), F.col("ano"), F.col("mes"), T.DoubleType()).alias("record_uid"))
+
+
+def record_hash_raw_pages(spark, sf):
+    """Every record of raw pages by its text: undeclared keys, floats, and null keys that some records lack."""
+    e = read_table(spark, sf, "events")
+    note = F.when(F.col("event_id") % 3 == 0, F.lit('"nota":null,')).otherwise(F.lit(""))
+    record = F.concat(F.lit('{"v":'), F.col("value").cast("string"), F.lit(', "id":'), F.col("event_id").cast("string"), F.lit(","), note, F.lit('"extra":'), "props", F.lit("}"))
+    two = F.concat(F.lit('{"dados":['), record, F.lit(',{"id":null}],"links":[]}'))
+    return H.explode_raw(e.select("event_id", two.alias("raw")), "raw", "event_id").select("event_id", "pos", "record_hash")
+
+
+def fingerprint_raw(spark, sf):
+    """List items by their text: an undeclared key counts, keys with an underscore do not."""
+    e = read_table(spark, sf, "events")
+    opt = F.when(F.col("event_id") % 2 == 0, F.lit('"opt":null,')).otherwise(F.lit(""))
+    raw = F.concat(F.lit('{"_seen":1,'), opt, F.lit('"props":'), "props", F.lit(',"id":'), F.col("user_id").cast("string"), F.lit("}"))
+    return H.fingerprint_raw(e.select("event_id", raw.alias("raw")), "raw", "proposicoes").select("event_id", "uid", "hash")
+
+
 def deputy_uid_nullable(spark, sf):
     c = read_table(spark, sf, "customer")
     k = F.col("c_custkey")
@@ -119,7 +144,7 @@ def list_fingerprints_lastwins(spark, sf):
     rows = _list_rows(spark, sf)
     cut = F.lit("2024-01-16").cast("timestamp_ntz")
     saved = FP.last_wins(rows.where(F.col("ts") < cut), ["ts", "event_id"])
-    tick = FP.last_wins(rows.where((F.col("ts") >= cut) & (F.col("ts") < F.lit("2024-01-24").cast("timestamp_ntz"))), ["ts", "event_id"])
+    tick = FP.last_wins(rows.where(F.col("ts") >= cut), ["ts", "event_id"])
     return FP.merge_fingerprints(saved, tick)
 
 
@@ -216,6 +241,13 @@ _MSG = "event_id % 5 <> 0"
 QUERIES = {
     "ceap_record_uid": (ceap_record_uid, twin(f"""SELECT urlDocumento, {_UID} AS record_uid, 'despesas|' || id_deputado || '|' || ano || '|' || mes AS state_key,
   ano || '_' || lpad(CAST(mes AS VARCHAR), 2, '0') || '_' || id_deputado AS legacy_key FROM expenses""", "expenses")),
+    "ceap_uid_numeric": (ceap_uid_numeric, twin("""SELECT urlDocumento, """ + _UID + """ AS record_uid
+  FROM (SELECT * REPLACE (CAST(floor(CAST(valorDocumento AS DOUBLE) * 1000) + 0.5 AS VARCHAR) AS valorDocumento) FROM expenses)""", "expenses")),
+    "record_hash_raw_pages": (record_hash_raw_pages, """SELECT event_id, CAST(pos AS INTEGER) AS pos, CASE pos WHEN 1 THEN sha256('{"id":null}') ELSE
+  sha256('{"extra":{"k":' || json_extract_string(props, '$.k') || '},"id":' || event_id || CASE WHEN event_id % 3 = 0 THEN ',"nota":null' ELSE '' END || ',"v":"' || value || '"}') END AS record_hash
+  FROM events, (SELECT unnest([0, 1]) AS pos)"""),
+    "fingerprint_raw": (fingerprint_raw, """SELECT event_id, sha256('camara_dadosabertos|proposicoes|{"id":' || user_id || '}') AS uid,
+  sha256('{"id":' || user_id || CASE WHEN event_id % 2 = 0 THEN ',"opt":null' ELSE '' END || ',"props":{"k":' || json_extract_string(props, '$.k') || '}}') AS hash FROM events"""),
     "deputy_uid_nullable": (deputy_uid_nullable, """SELECT c_custkey, sha256('camara_dadosabertos|deputado|{"id":' || c_custkey || '}') AS deputy_uid FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 7 <> 0"""),
     "record_hash_diff": (record_hash_diff, twin("""SELECT CAST(coalesce(i.id, s.event_id) AS VARCHAR) AS id, CASE WHEN s.event_id IS NULL THEN 'new' WHEN i.id IS NULL THEN 'absent'
   WHEN i.uid = s.uid AND i.hash = s.hash THEN 'unchanged' ELSE 'changed' END AS change FROM items i FULL JOIN stored s ON i.id = s.event_id""", "items", "stored")),
@@ -230,7 +262,7 @@ QUERIES = {
   CASE WHEN {_MSG} THEN CAST(k AS VARCHAR) END AS k, CASE WHEN {_MSG} THEN 'snapshot' END AS run_type FROM ev""", "ev")),
     "messages_for_run": (messages_for_run, twin(f"SELECT event_id FROM ev WHERE {_MSG} AND ymd = '20240115'", "ev")),
     "list_fingerprints_lastwins": (list_fingerprints_lastwins, twin("""SELECT CAST(user_id AS VARCHAR) AS id, arg_max(sha256('camara_dadosabertos|proposicoes|{"id":' || user_id || '}'), (ts, event_id)) AS uid,
-  arg_max(sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}'), (ts, event_id)) AS hash FROM ev WHERE ts < TIMESTAMP '2024-01-24' GROUP BY 1""", "ev")),
+  arg_max(sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}'), (ts, event_id)) AS hash FROM ev GROUP BY 1""", "ev")),
     "distinct_ids": (distinct_ids, "SELECT DISTINCT CAST(user_id AS VARCHAR) AS id FROM events"),
     "enrich_pages": (enrich_pages, twin("""SELECT CAST(page AS INTEGER) AS page, 'eventos' AS domain, '/eventos/' || parent_id || '/deputados' AS api_path,
   'raw/camara/eventos/api/deputados/evento_id=' || parent_id || '/pipeline_run_id=eventos_daily_' || lang || '/execution_id=exec_1/page_' || page || '.json' AS raw_path,
