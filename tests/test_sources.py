@@ -62,6 +62,25 @@ def test_markers_only_for_completed_runs(spark):
     assert sorted(r.status for r in back.collect()) == ["PARTIALLY_COMPLETED", "completed"]
 
 
+def test_sinks_leave_other_runs_and_days(spark):
+    m, k = f"{fresh()}/m", f"{fresh()}/k"
+    schema = "pipeline_run_id string, status string, success_marker_path string"
+    write = lambda *rows: sinks.write_manifests(spark.createDataFrame(rows, schema), m, k)
+    write(("r1", "COMPLETED", "p1"), ("r2", "COMPLETED", "p2"))
+    write(("r3", "COMPLETED", "p3"))
+    write(("r2", "FAILED", "p2"), ("r4", None, "p4"))
+    assert sorted((r.pipeline_run_id, r.status) for r in tables.read_manifests(spark, m).collect()) == [("r1", "COMPLETED"), ("r2", "FAILED"), ("r3", "COMPLETED"), ("r4", None)]
+    assert sorted(r.pipeline_run_id for r in tables.read_markers(spark, k).collect()) == ["r1", "r3"]
+    d, g = f"{fresh()}/d", f"{fresh()}/g"
+    schema = "reference_date string, status string, warning_types array<string>"
+    write = lambda *rows: sinks.write_daily_summary(spark.createDataFrame(rows, schema), d, g)
+    write(("2024-01-01", "COMPLETED", []), ("2024-01-02", "COMPLETED", []))
+    write(("2024-01-03", "COMPLETED", ["other"]))
+    write(("2024-01-02", "COMPLETED", ["success_marker_missing"]))
+    assert sorted(r.reference_date for r in tables.read_day_markers(spark, g).collect()) == ["2024-01-01", "2024-01-03"]
+    assert spark.read.schema("status string, reference_date string").json(d).count() == 3
+
+
 def test_changed_records_written_only_when_there_are_some(spark):
     schema = "id string, hash string, endpoint string, action string"
     path = f"{fresh()}/c"

@@ -42,21 +42,24 @@ def pages_roundtrip(spark, sf):
 
 
 def jsonl_roundtrip(spark, sf):
-    """List snapshot as JSON lines: one page per line."""
+    """List snapshot as JSON lines, one page per line: every record and every link of it."""
     path = work_path(spark, "jsonl")
     doc = ST.text_pages(spark, sf).select(F.to_json(F.struct("dados", "links")).alias("doc"))
     sinks.write_jsonl(doc, path, "doc")
     back = PG.read_pages_jsonl(spark, path, _RECORD)
-    return back.select(F.size("dados").alias("records"), F.sha2(F.element_at("dados", 1)["nome"], 256).alias("first_line"))
+    return back.select(
+        F.size("dados").alias("records"),
+        F.sha2(F.array_join(F.transform("dados", lambda x: F.coalesce(x["nome"], F.lit(""))), "\n"), 256).alias("names"),
+        F.size("links").alias("n_links"))
 
 
 def manifest_roundtrip(spark, sf):
-    """Manifests and marker table written, read, and inspected again."""
+    """Manifests and markers of two writes: all runs as COMPLETED, then a replay of those that are not."""
     mpath, kpath = work_path(spark, "manifests"), work_path(spark, "markers")
     rows = health._run_rows(spark, sf)
+    sinks.write_manifests(MF.build_ceap_manifest(rows.withColumn("status", F.lit("COMPLETED"))), mpath, kpath, "manifest")
     doc = MF.build_ceap_manifest(rows)
-    sinks.write_jsonl(doc, mpath, "manifest")
-    sinks.markers(doc).write.mode("overwrite").parquet(kpath)
+    sinks.write_manifests(doc.where(~sinks.completed()), mpath, kpath, "manifest")
     back = SU.join_markers(tables.read_manifests(spark, mpath), tables.read_markers(spark, kpath))
     return back.select("pipeline_run_id", "status", "run_type", F.array_join(F.transform("reference_months", lambda m: m.cast("string")), ",").alias("months"),
                        "total_tasks_expected", "enqueue_phase_complete", "parent_snapshot_path", "has_marker")
@@ -91,13 +94,16 @@ def state_roundtrip(spark, sf):
 
 
 def daily_summary_roundtrip(spark, sf):
-    """Summary documents by date with the marker rows of the green days."""
+    """Summary documents and day markers of two writes: all days as green, then the true documents of those that are not COMPLETED or have warnings."""
     path, kpath = work_path(spark, "summary"), work_path(spark, "summary-markers")
-    docs = health._documents(spark, sf).withColumn("month", F.substring("reference_date", 1, 7)).withColumnRenamed("reference_date", "day").withColumnRenamed("month", "reference_date")
-    out = docs.select("reference_date", "day", "status", "warnings_count", "warning_types")
-    sinks.write_daily_summary(out, path, kpath)
-    schema = "day string, status string, warnings_count bigint, warning_types array<string>, reference_date string"
-    return spark.read.schema(schema).json(path).select("day", "status", "warnings_count")
+    out = health._documents(spark, sf).select("reference_date", "status", "warnings_count", "warning_types")
+    sinks.write_daily_summary(out.withColumns({"status": F.when(F.col("warnings_count") >= 0, F.lit("COMPLETED")), "warning_types": F.slice("warning_types", 1, 0)}), path, kpath)
+    sinks.write_daily_summary(out.where((F.col("status") != "COMPLETED") | (F.col("warnings_count") > 0)), path, kpath)
+    schema = "status string, warnings_count bigint, warning_types array<string>, reference_date string"
+    days = spark.read.schema(schema).json(path)
+    marked = tables.read_day_markers(spark, kpath).withColumn("has_marker", F.lit(True))
+    return days.join(marked, "reference_date", "left").select(
+        F.col("reference_date").alias("day"), "status", "warnings_count", F.coalesce("has_marker", F.lit(False)).alias("has_marker"))
 
 
 def csv_history(spark, sf):
@@ -124,7 +130,7 @@ def first_page_copy(spark, sf):
 
 QUERIES = {
     "pages_roundtrip": (pages_roundtrip, twin("SELECT 'eventos_daily_' || lang AS run, CAST(page AS INTEGER) AS page, CAST(pos AS INTEGER) AS pos, record_hash FROM recs", "recs")),
-    "jsonl_roundtrip": (jsonl_roundtrip, "SELECT CAST(len(string_split(text, chr(10))) AS INTEGER) AS records, sha256(string_split(text, chr(10))[1]) AS first_line FROM documents"),
+    "jsonl_roundtrip": (jsonl_roundtrip, "SELECT CAST(len(string_split(text, chr(10))) AS INTEGER) AS records, sha256(text) AS names, CASE WHEN doc_id % 4 <> 3 THEN 2 ELSE 1 END AS n_links FROM documents"),
     "manifest_roundtrip": (manifest_roundtrip, health._RR + """ SELECT pipeline_run_id, CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'QUEUING' ELSE 'FAILED' END AS status, CASE WHEN o_orderkey % 3 = 0 THEN 'reconciliation' ELSE 'daily' END AS run_type,
   CASE o_orderkey % 4 WHEN 0 THEN '5,4' WHEN 1 THEN '3,2' ELSE '' END AS months, CAST(o_orderkey % 10 AS INTEGER) AS total_tasks_expected, o_orderkey % 2 = 0 AS enqueue_phase_complete,
   CASE WHEN o_orderkey % 5 <> 0 THEN 'raw/x/' || d END AS parent_snapshot_path, o_orderstatus = 'F' AS has_marker FROM r"""),
@@ -132,7 +138,8 @@ QUERIES = {
   arg_max(sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}'), (ts, event_id)) AS hash FROM ev GROUP BY 1""", "ev")),
     "layers_roundtrip": (layers_roundtrip, twin("SELECT ano, tipoDespesa, CAST(sum(CAST(valorDocumento AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS documentos FROM expenses GROUP BY 1, 2", "expenses")),
     "state_roundtrip": (state_roundtrip, twin("SELECT domain, row_key, CASE status WHEN 'FAILED' THEN 'QUEUED' ELSE status END AS status FROM run_state WHERE cur = 'ceap_daily_20240115' OR lst = 'ceap_daily_20240115'", "run_state")),
-    "daily_summary_roundtrip": (daily_summary_roundtrip, twin("SELECT d.reference_date AS day, d.status, coalesce(w.n, 0) AS warnings_count FROM dayroll d LEFT JOIN (SELECT reference_date, count(*) AS n FROM warns GROUP BY 1) w USING (reference_date)", "dayroll", "warns")),
+    "daily_summary_roundtrip": (daily_summary_roundtrip, twin("""SELECT d.reference_date AS day, d.status, coalesce(w.n, 0) AS warnings_count, d.status = 'COMPLETED' AND coalesce(w.crit, 0) = 0 AS has_marker FROM dayroll d LEFT JOIN (SELECT reference_date, count(*) AS n,
+  count(*) FILTER (w IN ('success_marker_missing', 'task_counts_inconsistent', 'success_marker_exists_but_status_not_completed')) AS crit FROM warns GROUP BY 1) w USING (reference_date)""", "dayroll", "warns")),
     "csv_history": (csv_history, twin("""SELECT ano AS numAno, mes AS numMes, CASE WHEN id_deputado % 20 = 0 THEN 'LID."' ELSE 'Dep. "' END || tipoDespesa || '"; x' AS txNomeParlamentar,
   CASE WHEN id_deputado % 10 <> 0 THEN 'DEPUTADO' WHEN id_deputado % 20 = 0 THEN 'LIDERANCA' ELSE 'OUTROS' END AS beneficiario, count(*) AS linhas, ano || '-' || lpad(CAST(mes AS VARCHAR), 2, '0') || '-01' AS competencia,
   CAST(sum(CAST(valorDocumento AS DECIMAL(18,2))) AS DOUBLE) AS total, max(dataDocumento) AS ultima FROM expenses GROUP BY ALL""", "expenses")),

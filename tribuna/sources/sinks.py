@@ -8,10 +8,11 @@ per id would be millions of folders.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tribuna.session import cut_lineage
+
 CRITICAL_WARNINGS = (
     "success_marker_missing",
     "task_counts_inconsistent",
@@ -38,14 +39,11 @@ def write_jsonl(df: DataFrame, path: str, document: str | None = None) -> None:
 
 def write_changed(plan: DataFrame, path: str) -> int:
     """Changed-records file of a plan, written only when something changed."""
-    changed = changed_records(plan).persist(StorageLevel.DISK_ONLY)
-    try:
-        if changed.isEmpty():
-            return 0
-        changed.write.mode("overwrite").json(path)
-        return 1
-    finally:
-        changed.unpersist()
+    changed = cut_lineage(changed_records(plan))
+    if changed.isEmpty():
+        return 0
+    changed.write.mode("overwrite").json(path)
+    return 1
 
 
 def changed_records(plan: DataFrame) -> DataFrame:
@@ -54,18 +52,33 @@ def changed_records(plan: DataFrame) -> DataFrame:
     )
 
 
-def write_manifests(manifests: DataFrame, manifest_path: str, marker_path: str) -> None:
-    """Manifests always; a marker row only for runs whose status is COMPLETED."""
-    once = manifests.persist(StorageLevel.DISK_ONLY)
-    try:
-        once.write.mode("overwrite").option("ignoreNullFields", False).json(manifest_path)
-        markers(once).write.mode("overwrite").parquet(marker_path)
-    finally:
-        once.unpersist()
+def write_manifests(manifests: DataFrame, manifest_path: str, marker_path: str, document: str | None = None) -> None:
+    """Manifests and markers of the given runs; what other runs have written stays.
+
+    Both tables are partitioned by run and only the partitions of these runs are
+    replaced.  A run that is no longer COMPLETED gets a marker row that says so,
+    which takes an earlier marker away.  ``document`` names a column that holds
+    the manifest as JSON text; without it the row is the manifest.
+    """
+    once = cut_lineage(manifests)  # both tables come from the same rows, whatever is lost in between
+    body = once.select(F.col("pipeline_run_id").alias("run"), *([F.col(document).alias("value")] if document else once.columns))
+    out = body.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run")
+    if document:
+        out.text(manifest_path)
+    else:
+        out.option("ignoreNullFields", False).json(manifest_path)
+    (
+        once.select(F.col("pipeline_run_id").alias("run"), "success_marker_path", "pipeline_run_id", completed().alias("complete"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(marker_path)
+    )
+
+
+def completed() -> Column:
+    return F.coalesce(F.upper("status") == "COMPLETED", F.lit(False))
 
 
 def markers(manifests: DataFrame) -> DataFrame:
-    return manifests.where(F.upper("status") == "COMPLETED").select("success_marker_path", "pipeline_run_id")
+    return manifests.where(completed()).select("success_marker_path", "pipeline_run_id")
 
 
 def is_green(status: Column, warning_types: Column) -> Column:
@@ -74,18 +87,18 @@ def is_green(status: Column, warning_types: Column) -> Column:
 
 
 def write_daily_summary(docs: DataFrame, path: str, marker_path: str) -> None:
-    """Summary documents by date, plus marker rows for the green days."""
-    once = docs.persist(StorageLevel.DISK_ONLY)
-    green = is_green(F.col("status"), F.col("warning_types"))
-    try:
-        (
-            once.hint("rebalance", F.col("reference_date"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("reference_date").json(path)
-        )
-        once.where(green).select("reference_date").write.mode("overwrite").parquet(marker_path)
-    finally:
-        once.unpersist()
+    """Summary documents and markers of the given dates; other dates stay, and a day that is no longer green loses its marker."""
+    once = cut_lineage(docs)
+    (
+        once.hint("rebalance", F.col("reference_date"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("reference_date").json(path)
+    )
+    green = F.coalesce(is_green(F.col("status"), F.col("warning_types")), F.lit(False))
+    (
+        once.select("reference_date", green.alias("complete"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("reference_date").parquet(marker_path)
+    )
 
 
 def write_layer(df: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> None:

@@ -13,13 +13,19 @@ def read_manifests(spark: SparkSession, globs: list[str] | str) -> DataFrame:
     """Run manifests with the fixed contract; a missing file is simply an absent row."""
     return (
         spark.read.schema(MANIFEST_DDL + ", _corrupt_record string").option("multiLine", False)
-        .json(globs).withColumn("metadata_path", F.col("_metadata.file_path"))
+        .json(globs).withColumn("metadata_path", F.col("_metadata.file_path")).drop("run")
     )
 
 
 def read_markers(spark: SparkSession, path: str) -> DataFrame:
     """Marker table; Spark cannot list files whose name starts with ``_``."""
-    return spark.read.schema("success_marker_path string, pipeline_run_id string").parquet(path).distinct()
+    rows = spark.read.schema("success_marker_path string, pipeline_run_id string, complete boolean, run string").parquet(path)
+    return rows.where("complete").select("success_marker_path", "pipeline_run_id").distinct()
+
+
+def read_day_markers(spark: SparkSession, path: str) -> DataFrame:
+    """Days whose summary is green."""
+    return spark.read.schema("complete boolean, reference_date string").parquet(path).where("complete").select("reference_date")
 
 
 def read_state(spark: SparkSession, path: str, domain: str | None = None, run_id: str | None = None) -> DataFrame:
