@@ -14,7 +14,8 @@ from tribuna.streaming import task_state as TS
 
 def _feed(spark, sf):
     schema = read_table(spark, sf, "events").schema
-    return MB.read_feed(spark, sf, schema, "events.parquet")
+    # A pattern that only this name matches: the table may be a folder of part files or one file.
+    return MB.read_feed(spark, f"{sf.rstrip('/')}/events.[p]arquet", schema)
 
 
 def stream_microbatch(spark, sf):

@@ -12,12 +12,13 @@ from tribuna.streaming import table_log
 RUN_PREFIX = "votacoes_microbatch_"
 
 
-def read_feed(spark: SparkSession, folder: str, schema, glob: str, files_per_trigger: int | None = None) -> DataFrame:
-    """File stream of one feed in a folder that may hold others."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+def read_feed(spark: SparkSession, path: str, schema, glob: str | None = None, files_per_trigger: int = 1000) -> DataFrame:
+    """File stream of one feed: a table's folder, one file, or with ``glob`` the matching files of a folder that holds others.
+
+    A micro-batch takes ``files_per_trigger`` files, so a long backlog is many batches.
+    """
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    return (reader.option("pathGlobFilter", glob) if glob else reader).parquet(path)
 
 
 def windowed_runs(feed: DataFrame, ts: str = "ts", minutes: int = 10, lateness: str = "2 days") -> DataFrame:
