@@ -240,6 +240,12 @@ def microbatch_sla(windows: DataFrame, runs: DataFrame, granularity_min: int) ->
 
 
 def schedule(bounds: DataFrame, granularity_min: int) -> DataFrame:
-    """Every window start between two times (one row with ``lo`` and ``hi``)."""
-    step = F.make_dt_interval(mins=F.lit(granularity_min))
-    return bounds.select(F.explode(F.sequence("lo", "hi", step)).alias("window_start"))
+    """Every window start between two times (one row with ``lo`` and ``hi``).
+
+    Stretches of about a day first, then the windows of each, so no row holds the whole schedule.
+    """
+    per_day = -(-1440 // granularity_min)
+    mins = lambda n: F.make_dt_interval(mins=F.lit(n))
+    days = bounds.select("hi", F.explode(F.sequence("lo", "hi", mins(per_day * granularity_min))).alias("day"))
+    last = F.least(F.col("hi"), F.col("day") + mins((per_day - 1) * granularity_min))
+    return days.select(F.explode(F.sequence("day", last, mins(granularity_min))).alias("window_start"))
