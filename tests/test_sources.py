@@ -187,21 +187,24 @@ def test_views_and_core_indicators(spark):
 
 
 def test_stream_windows_dedup_and_cursor_over_many_files(spark):
+    """Files in mixed order of days, one, two or all to a batch: late rows count, and the answer is the batch one."""
     src, out = fresh(), fresh()
     schema = "id string, ts timestamp_ntz, uid string, hash string"
     for i in range(4):
-        rows = [(str(100 * (3 - i) + j) if j % 5 else f"55-{i}{j}", f"2026-01-01 {i:02d}:{j:02d}:00", f"u{j % 7}", f"h{j % 3}") for j in range(40)]
+        rows = [(str(100 * (3 - i) + j) if j % 5 else f"55-{i}{j}", f"2026-01-{(25, 3, 14, 3)[i]:02d} 0{i % 2}:{j:02d}:00", f"u{j % 7}{i % 3}", f"h{j % 3}") for j in range(40)]
         df = spark.createDataFrame(rows, "id string, t string, uid string, hash string")
         df.select("id", F.col("t").cast("timestamp_ntz").alias("ts"), "uid", "hash").coalesce(1).write.mode("append").parquet(f"{src}/in")
-    feed = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/in")
     batch = spark.read.schema(schema).parquet(f"{src}/in")
-    MB.stream_runs(feed(), f"{out}/runs", f"{out}/c1")
-    got = table_log.newest(table_log.read_log(spark, f"{out}/runs"), ["pipeline_run_id"])
     cols = ["pipeline_run_id", "window_start", "records", "max_id"]
-    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, MB.windowed_runs(batch).select(cols).collect()))
-    MB.stream_dedup(feed().select("ts", "uid", "hash"), f"{out}/dedup", f"{out}/c2")
-    got = [tuple(r) for r in spark.read.parquet(f"{out}/dedup").select("uid", "hash").collect()]
-    assert sorted(got) == sorted(map(tuple, batch.select("uid", "hash").distinct().collect()))
+    for n in (1, 2, 4):
+        feed = lambda: MB.read_feed(spark, f"{src}/in", schema, files_per_trigger=n)  # noqa: E731, B023
+        MB.stream_runs(feed(), f"{out}/runs{n}", f"{out}/r{n}")
+        got = MB.current_runs(spark, f"{out}/runs{n}").select(cols).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, MB.windowed_runs(batch).select(cols).collect()))
+        MB.stream_dedup(feed().select("ts", "uid", "hash"), f"{out}/dedup{n}", f"{out}/d{n}")
+        got = [tuple(r) for r in spark.read.parquet(f"{out}/dedup{n}").select("uid", "hash").collect()]
+        assert sorted(got) == sorted(map(tuple, batch.select("uid", "hash").distinct().collect()))
+    feed = lambda: MB.read_feed(spark, f"{src}/in", schema, files_per_trigger=1)
     MB.stream_after_cursor(feed().select("id"), f"{out}/cur", f"{out}/c3")
     kept = {r.batch_id: {x.id for x in table_log.read_log(spark, f"{out}/cur/rows").where(F.col("batch_id") == r.batch_id).collect()}
             for r in table_log.read_log(spark, f"{out}/cur/rows").select("batch_id").distinct().collect()}

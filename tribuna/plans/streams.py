@@ -22,11 +22,11 @@ def stream_microbatch(spark, sf):
     """Ten-minute windows with record counts and largest ids."""
     path, cp = work_path(spark, "runs"), work_path(spark, "runs-cp")
     MB.stream_runs(_feed(spark, sf).withColumnRenamed("event_id", "id"), path, cp)
-    return table_log.newest(table_log.read_log(spark, path), ["pipeline_run_id"])
+    return MB.current_runs(spark, path)
 
 
 def stream_dedup(spark, sf):
-    """List rows by uid and hash, re-read rows dropped inside the two-day lateness bound."""
+    """List rows by uid and hash, re-read rows dropped."""
     path, cp = work_path(spark, "dedup"), work_path(spark, "dedup-cp")
     fp = ST.stored_item_hash(F.col("user_id"))
     MB.stream_dedup(_feed(spark, sf).select("ts", fp["uid"].alias("uid"), fp["hash"].alias("hash")), path, cp)

@@ -21,18 +21,12 @@ def read_feed(spark: SparkSession, path: str, schema, glob: str | None = None, f
     return (reader.option("pathGlobFilter", glob) if glob else reader).parquet(path)
 
 
-def windowed_runs(feed: DataFrame, ts: str = "ts", minutes: int = 10, lateness: str = "2 days") -> DataFrame:
+def windowed_runs(feed: DataFrame, ts: str = "ts", minutes: int = 10) -> DataFrame:
     """Run id per tumbling window with its record count and largest id.
 
-    Works on a batch and on a stream alike; the run id is the window start, so
-    a retried tick lands on the same run.  On a stream the watermark lets go of
-    windows older than ``lateness``; rows later than that belong to
-    :func:`reconcile_batch`.
+    The run id is the window start, so a retried tick lands on the same run.
     """
-    feed = feed.withColumn(ts, F.col(ts).cast("timestamp"))
-    if feed.isStreaming:
-        feed = feed.withWatermark(ts, lateness)
-    w = F.window(F.col(ts), f"{minutes} minutes")
+    w = F.window(F.col(ts).cast("timestamp"), f"{minutes} minutes")
     return (
         feed.groupBy(w.alias("w"))
         .agg(F.count(F.lit(1)).alias("records"), F.max("id").alias("max_id"))
@@ -44,41 +38,35 @@ def windowed_runs(feed: DataFrame, ts: str = "ts", minutes: int = 10, lateness:
 
 
 def stream_runs(feed: DataFrame, path: str, checkpoint: str, minutes: int = 10) -> None:
-    """Keeps the run table current: each batch upserts the windows it touched."""
-    table_log.run_available(
-        windowed_runs(feed, minutes=minutes), lambda df, i: table_log.write_batch(df, path, i), checkpoint, "update"
-    )
+    """Each batch adds what it has of every window; :func:`current_runs` sums it up.
 
+    A row that comes late, however late, adds to its window: no state, no watermark.
+    """
+    table_log.run_available(feed, lambda df, i: table_log.write_batch(windowed_runs(df, minutes=minutes), path, i), checkpoint)
 
-def dedup_feed(feed: DataFrame, ts: str = "ts", lateness: str = "2 days", salts: int = 16) -> DataFrame:
-    """Drops rows re-read by the overlapping window, by uid and hash.
 
-    On a stream this takes two steps: copies of one row are first dropped
-    within ``salts`` slices, then across them, so a row with very many copies
-    is not funnelled into one state partition whole.  The second step alone
-    decides the result.  A batch combines on the map side and needs one.
-    """
-    timed = feed.withColumn(ts, F.col(ts).cast("timestamp"))
-    if not feed.isStreaming:
-        return timed.dropDuplicates(["uid", "hash"])
-    salt = F.pmod(F.xxhash64(F.col(ts), F.spark_partition_id()), F.lit(salts))
-    return (
-        timed.withWatermark(ts, lateness).withColumn("_salt", salt)
-        .dropDuplicatesWithinWatermark(["uid", "hash", "_salt"]).drop("_salt")
-        .dropDuplicatesWithinWatermark(["uid", "hash"])
-    )
+def current_runs(spark: SparkSession, path: str) -> DataFrame:
+    parts = table_log.read_log(spark, path).groupBy("pipeline_run_id", "window_start")
+    return parts.agg(F.sum("records").alias("records"), F.max("max_id").alias("max_id"))
 
 
 def stream_dedup(feed: DataFrame, path: str, checkpoint: str) -> None:
-    query = (
-        dedup_feed(feed).writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    """Drops rows re-read by the overlapping window, by uid and hash, against all that earlier batches kept.
+
+    Copies within a batch combine on the map side; a replayed batch sees the same earlier ones.
+    """
+    def tick(df: DataFrame, batch_id: int) -> None:
+        fresh = df.dropDuplicates(["uid", "hash"])
+        if batch_id > 0 and table_log.exists(df.sparkSession, path):
+            kept = table_log.read_log(df.sparkSession, path, before=batch_id).select("uid", "hash")
+            fresh = fresh.join(kept, ["uid", "hash"], "left_anti")
+        table_log.write_batch(fresh, path, batch_id)
+
+    table_log.run_available(feed, tick, checkpoint)
 
 
 def reconcile_batch(full: DataFrame, processed: DataFrame) -> DataFrame:
-    """Periodic re-read beyond the lateness bound: rows whose (uid, hash) was never processed."""
+    """Periodic re-read of the whole feed: rows whose (uid, hash) was never processed."""
     return full.dropDuplicates(["uid", "hash"]).join(
         processed.select("uid", "hash"), ["uid", "hash"], "left_anti"
     )
