@@ -315,30 +315,26 @@ def test_repeats_of_a_small_alphabet(spark):
     rnd = random.Random(9)
     rows = [(i, "".join(rnd.choice("ab") for _ in range(rnd.randrange(0, 90)))) for i in range(120)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    old = substrings.SLICE, substrings.BUCKET_ROWS
-    substrings.SLICE, substrings.BUCKET_ROWS = 400, 3000
+    old = substrings.SLICE, substrings.SHARD_BYTES, substrings.BUCKET_BYTES
+    substrings.SLICE, substrings.SHARD_BYTES, substrings.BUCKET_BYTES = 900, 300, 2000
     try:
         check_cut(df, length=12, gram=5)
     finally:
-        substrings.SLICE, substrings.BUCKET_ROWS = old
+        substrings.SLICE, substrings.SHARD_BYTES, substrings.BUCKET_BYTES = old
 
 
-def test_merged_shards_equal_sorted_suffixes():
+def test_merged_shards_equal_sorted_windows():
     rnd = random.Random(1)
-    groups = [[bytes(rnd.choice(b"abc") for _ in range(rnd.randrange(6, 30))) for _ in range(9)] for _ in range(3)]
-    bwts, suffixes = [], []
-    for strings in groups:
-        for _, members, bwt in substrings.shards(strings, np.zeros(len(strings), dtype=np.int64)):
-            bwts.append(np.frombuffer(bwt, dtype="<u2"))
-            own = [(strings[m][k:] + b"\x00", j) for j, m in enumerate(members) for k in range(len(strings[m]) + 1)]
-            suffixes += [s for s, _ in sorted(own)]
-    rows, fresh = substrings.merge_shards(bwts, 5)
-    names = [suffixes[r][:5] for r in rows]
-    whole = [n for n in names if b"\x00" not in n]
-    assert whole == sorted(whole)
-    for k in range(1, len(names)):
-        if b"\x00" not in names[k]:
-            assert fresh[k] == (names[k] != names[k - 1])
+    groups = [[bytes(rnd.choice(b"\x00bc\xff") for _ in range(rnd.randrange(6, 90))) for _ in range(9)] for _ in range(3)]
+    shards = [substrings.Shard(g, 6) for g in groups]
+    for shard, strings in zip(shards, groups):
+        own = sorted((x[k:], j) for j, x in enumerate(strings) for k in range(len(x) + 1))
+        before = [0 if len(t) == len(strings[j]) else strings[j][len(strings[j]) - len(t) - 1] + 1 for t, j in own]
+        assert shard.bwt.tolist() == before
+    names = [g[j][k : k + 6] for g, x in zip(groups, shards) for j, k in zip(x.owner, x.place)]
+    window, fresh = substrings.merge_shards(shards, 6)
+    found = [names[w] for w in window]
+    assert found == sorted(names) and fresh.tolist() == [True, *(a != b for a, b in zip(found, found[1:]))]
 
 
 # --- 5: HTML -----------------------------------------------------------------

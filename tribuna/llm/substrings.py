@@ -7,16 +7,19 @@ anchor.
 
 1. Anchors that two documents share are found from packed hashes; the others'
    windows are unique and take no further part.
-2. Tasks cut the segments under shared anchors out of their documents, sort the
-   suffixes of each slice once and send a Burrows-Wheeler transform per bucket of
-   anchors: a shard.  Segments that a slice has several times go along once, with
-   the smallest document; the later ones are known to be removed already.
-3. A bucket merges its shards: starting from the shards side by side, each round
-   moves every row to the row of the suffix one byte longer, stably by that byte,
-   so after h rounds the interleaving is right for h bytes and borders between
-   rows are borders between different prefixes of h bytes.  After LENGTH rounds
-   the rows between two borders are one repeated window; those of documents above
-   the smallest one are removed.  No suffix is compared or sorted again.
+2. Tasks cut the segments under shared anchors out of their documents and send
+   them to buckets of anchors.  Segments that a slice has several times go along
+   once, with the smallest document; the later ones are known to be removed.
+3. A bucket knows the smallest document of every distinct segment.  Where an
+   anchor has one segment only, that decides.  The other segments are cut into
+   shards; the suffixes of a shard are sorted once, for its Burrows-Wheeler
+   transform, and the shards are merged: starting from the ends of the windows
+   side by side, each round moves every row to the suffix one byte longer,
+   stably by that byte, so after h rounds the interleaving is right for h bytes,
+   and borders between rows are borders between different strings of h bytes.
+   After LENGTH rounds the rows between two borders are one repeated window;
+   those of documents above the smallest one are removed.  No suffix is compared
+   or sorted again.
 
 Hot passages cost a slice one segment and a bucket one row per slice, never a
 row per document.
@@ -39,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tribuna.llm.common import one_row, text_of
+from tribuna.llm.common import by_bytes, one_row, text_of
 from tribuna.llm.jaccard import from_bytes, top_bytes
 from tribuna.llm.shingles import mix, powers
 from tribuna.llm.tokens import slices
@@ -47,11 +50,12 @@ from tribuna.session import cut_lineage
 
 LENGTH = 50
 #: Bytes of a gram; a window has LENGTH - GRAM + 1 of them.
-GRAM = 16
-#: Bytes of text per slice, anchors per bucket of the first step, suffixes per bucket of the third.
-SLICE = 4 << 20
-BUCKET_ANCHORS = 1_000_000
-BUCKET_ROWS = 3_000_000
+GRAM = 24
+#: Bytes of text per slice and of strings per shard; anchors per bucket of the first step, bytes of segments of the second.
+SLICE = 1 << 20
+SHARD_BYTES = 256 << 10
+BUCKET_ANCHORS = 500_000
+BUCKET_BYTES = 2_000_000
 
 
 class Slice:
@@ -71,15 +75,17 @@ class Slice:
         up, down = powers(n)
         sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((self.raw.astype(np.uint64) + np.uint64(1)) * up, dtype=np.uint64)))
         grams = mix((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
+        del sums, up, down
         key = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
         width, have = length - gram + 1, 1
         while have < width:  # the least key of the next ``have`` grams, doubled
             step = min(have, width - have)
             key = np.minimum(key[:-step], key[step:])
             have += step
-        at = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        windows = np.arange(n - length + 1)
-        owner = np.searchsorted(offsets, windows, side="right") - 1
+        at = key.astype(np.uint32).astype(np.int32)
+        del key
+        windows = np.arange(n - length + 1, dtype=np.int32)
+        owner = (np.searchsorted(offsets, windows, side="right") - 1).astype(np.int32)
         inside = windows + length <= offsets[owner + 1]
         begin = inside & np.concatenate(([True], (at[1:] != at[:-1]) | (owner[1:] != owner[:-1]) | ~inside[:-1]))
         self.start = np.flatnonzero(begin)
@@ -144,62 +150,83 @@ def shared_anchors(table: pa.Table, sig_bytes: int, id_bytes: int) -> pa.Table:
     })
 
 
-def suffix_order(text: np.ndarray, limit: int) -> np.ndarray:
-    """Order of all suffixes by their first ``limit`` symbols or more, by doubling; symbols are distinct at string ends."""
-    _, rank = np.unique(text, return_inverse=True)
-    rank, have = rank.astype(np.int64), 1
+def suffix_order(symbols: np.ndarray, end_of: np.ndarray, limit: int) -> np.ndarray:
+    """Order of all suffixes of strings that end in a mark (0), by doubling from seven symbols on; equal ones in the order of their strings."""
+    n = len(symbols)
+    at = np.arange(n)
+    key = np.zeros(n, dtype=np.int64)
+    for j in range(7):
+        beyond = at + j > end_of
+        key = (key << 9) | np.where(beyond, 0, symbols[np.minimum(at + j, n - 1)])
+    have = 7
     while True:
-        nxt = np.zeros(len(rank), dtype=np.int64)
-        nxt[:-have] = rank[have:] + 1
-        key = rank * (len(rank) + 1) + nxt
         order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
         if have >= limit:
             return order
+        sorted_key = key[order]
+        rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(np.concatenate(([0], sorted_key[1:] != sorted_key[:-1])))
+        key = rank * (n + 2) + np.where(at + have > end_of, 0, rank[np.minimum(at + have, n - 1)] + 1)
         have *= 2
-        if int(rank[order[-1]]) == len(rank) - 1:
-            return order
 
 
-def shards(strings: list[bytes], bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray, bytes]]:
-    """For each bucket the numbers of its strings and their Burrows-Wheeler transform (0 stands before a string's start).
-
-    Strings end in a mark of their own, in the order of their numbers.
+class Shard:
+    """Burrows-Wheeler transform of some strings: the symbol before each suffix, in the order of the suffixes (0 before a string)."""
+
+    def __init__(self, strings: list[bytes], length: int):
+        sizes = np.array([len(x) for x in strings], dtype=np.int64)
+        ends = np.cumsum(sizes + 1) - 1
+        symbols = np.zeros(int(ends[-1]) + 1, dtype=np.int64)
+        body = np.ones(len(symbols), dtype=bool)
+        body[ends] = False
+        symbols[body] = np.frombuffer(b"".join(strings), dtype=np.uint8).astype(np.int64) + 1
+        order = suffix_order(symbols, np.repeat(ends, sizes + 1), int(sizes.max()) + 1)
+        before = np.zeros(len(symbols), dtype=np.int16)
+        before[1:] = symbols[:-1]
+        before[ends - sizes] = 0
+        self.bwt = before[order]
+        # The row of the suffix that is one byte longer: rows keep their order below their symbol.
+        by_symbol = np.argsort(self.bwt, kind="stable")
+        self.step = np.zeros(len(order), dtype=np.int32)
+        self.step[by_symbol[len(strings) :]] = np.arange(len(strings), len(order), dtype=np.int32)
+        row = np.empty(len(order), dtype=np.int32)
+        row[order] = np.arange(len(order), dtype=np.int32)
+        windows = sizes - length + 1
+        self.owner = np.repeat(np.arange(len(strings)), windows)
+        self.place = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
+        self.tails = row[np.repeat(ends - sizes, windows) + self.place + length]
+
+
+def merge_shards(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of all shards (numbered through) in the order of their bytes, and where a new one begins.
+
+    Rows start at the suffixes behind the windows, the shards side by side.  Each
+    round is one step of refinement: a row moves to the suffix that is one byte
+    longer, stably by that byte.  Suffixes that no window needs are left out.
     """
-    lengths = np.array([len(s) for s in strings], dtype=np.int64)
-    ends = np.cumsum(lengths + 1) - 1
-    text = np.zeros(int(ends[-1]) + 1, dtype=np.int64)
-    body = np.ones(len(text), dtype=bool)
-    body[ends] = False
-    text[body] = np.frombuffer(b"".join(strings), dtype=np.uint8).astype(np.int64) + len(strings)
-    text[ends] = np.arange(len(strings))
-    order = suffix_order(text, int(lengths.max()) + 1)
-    owner = np.repeat(np.arange(len(strings)), lengths + 1)
-    before = np.zeros(len(text), dtype=np.int64)
-    before[1:] = text[:-1] - len(strings) + 1  # bytes from 1 to 256
-    starts = ends - lengths
-    before[starts] = 0
-    of_row = bucket[owner[order]]
-    rows = order[np.argsort(of_row, kind="stable")]
-    counts = np.bincount(bucket[owner], minlength=int(bucket.max()) + 1)
-    at = 0
-    by_bucket = np.argsort(bucket, kind="stable")
-    members = np.bincount(bucket, minlength=len(counts))
-    m = 0
-    for b in np.flatnonzero(counts).tolist():
-        part = rows[at : at + counts[b]]
-        yield b, by_bucket[m : m + members[b]], before[part].astype("<u2").tobytes()
-        at += int(counts[b])
-        m += int(members[b])
+    base = np.concatenate(([0], np.cumsum([len(x.bwt) for x in shards]))).astype(np.int32)
+    symbol = np.concatenate([x.bwt for x in shards])
+    step = np.concatenate([x.step + b for x, b in zip(shards, base)])
+    rows = np.concatenate([x.tails + b for x, b in zip(shards, base)])
+    window = np.arange(len(rows), dtype=np.int32)
+    group = np.zeros(len(rows), dtype=np.int32)
+    fresh = np.zeros(len(rows), dtype=bool)
+    for _ in range(length):
+        byte = symbol[rows]
+        order = np.argsort(byte, kind="stable")
+        byte, group = byte[order], group[order]
+        rows, window = step[rows[order]], window[order]
+        fresh = np.concatenate(([True], (byte[1:] != byte[:-1]) | (group[1:] != group[:-1])))
+        group = np.cumsum(fresh, dtype=np.int32)
+    return window, fresh
 
 
 def send_segments(batches: Iterator[pa.RecordBatch], length: int, gram: int, buckets: int, sig_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Shards of the segments under shared anchors, and runs of windows that are known to be removed (bucket null)."""
+    """Per bucket the segments under shared anchors, and runs of windows that are known to be removed (bucket null)."""
     import zstandard
 
-    pack = zstandard.ZstdCompressor(level=3)
-    names = ["bucket", "bwt", "strings", "doc_id", "th", "start", "windows"]
+    pack = zstandard.ZstdCompressor(level=1)
+    names = ["bucket", "strings", "places", "doc_id", "th", "start", "windows"]
     types = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     for batch in batches:
         for rows in slices(batch, "text", SLICE):
@@ -214,116 +241,93 @@ def send_segments(batches: Iterator[pa.RecordBatch], length: int, gram: int, buc
                     wanted[x:y] = np.isin(low[x:y].astype(np.int64), from_bytes(have))
             best: dict[bytes, list] = {}
             raw = s.raw.tobytes()
-            runs = []
+            runs: list[tuple] = []
             seen: dict[tuple, int] = {}
-            for k in np.flatnonzero(wanted).tolist():
-                i, at, count = int(s.owner[k]), int(s.start[k]), int(s.count[k])
+            chosen = np.flatnonzero(wanted)
+            anchors = s.anchor.view(np.int64)
+            starts = s.offsets[s.owner[chosen]]
+            for k, i, at, count, first, anchor in zip(*(v.tolist() for v in (chosen, s.owner[chosen], s.start[chosen], s.count[chosen], starts, anchors[chosen]))):
                 me = (ids[i], ths[i])
                 if seen.setdefault(me, i) != i:
                     continue  # an equal row of the slice
                 text = raw[at : at + count + length - 1]
-                place = (*me, at - int(s.offsets[i]), count)
-                held = best.get(text)
-                if held is None:
-                    best[text] = [k, [place]]
-                elif place[0] < held[1][0][0]:
-                    runs += held[1]
-                    held[1] = [place]
-                elif place[0] == held[1][0][0]:
-                    held[1].append(place)
+                place = (anchor, len(text), *me, at - first, count)
+                held = best.setdefault(text, [place])
+                if held[0] is place:
+                    continue
+                if place[2] < held[0][2]:
+                    runs += [h[2:] for h in held]
+                    best[text] = [place]
+                elif place[2] == held[0][2]:
+                    held.append(place)
                 else:
-                    runs.append(place)
-            out = [(None, None, None, d, h, a, c) for d, h, a, c in runs]
+                    runs.append(place[2:])
+            out = [(None, None, None, *r) for r in runs]
             if best:
-                strings = list(best)
-                anchors = s.anchor[[v[0] for v in best.values()]]
-                bucket = ((anchors >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                places = [v[1] for v in best.values()]
-                for b, members, bwt in shards(strings, bucket):
-                    table = np.array([(j, *p) for j, i in enumerate(members.tolist()) for p in places[i]], dtype="<i8")
-                    out.append((b, pack.compress(bwt), pack.compress(table.tobytes()), None, None, None, None))
+                strings, places = list(best), list(best.values())
+                key = np.array([p[0][0] for p in places], dtype=np.int64).view(np.uint64)
+                bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                ends = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+                order = order.tolist()
+                for b, (x, y) in enumerate(zip(ends[:-1], ends[1:])):
+                    if x < y:
+                        table = np.array([(j, *p) for j, i in enumerate(order[x:y]) for p in places[i]], dtype="<i8")
+                        text = b"".join(strings[i] for i in order[x:y])
+                        out.append((b, pack.compress(text), pack.compress(table.tobytes()), None, None, None, None))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
 
-def merge_shards(bwts: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of all shards (numbered through) in the order of their first ``length`` bytes, and where a new prefix begins.
-
-    Each round is one step of refinement: rows move to the suffix that is one
-    byte longer, stably by that byte; rows before which a string starts stay out.
-    """
-    sizes = [len(b) for b in bwts]
-    base = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-    symbol = np.concatenate(bwts).astype(np.int16)
-    step = np.zeros(len(symbol), dtype=np.int32)  # the row of the suffix that is one byte longer
-    marks = []
-    for b, at in zip(bwts, base.tolist()):
-        order = np.argsort(b, kind="stable")
-        strings = int((b == 0).sum())
-        marks.append(np.arange(at, at + strings, dtype=np.int32))
-        rest = order[strings:]
-        step[at + rest] = at + strings + np.arange(len(rest), dtype=np.int32)
-    ends = np.concatenate(marks)  # the rows of the marks: first, each for itself
-    rows = np.arange(len(symbol), dtype=np.int32)
-    fresh = np.zeros(len(symbol), dtype=bool)
-    fresh[0] = True
-    for _ in range(length):
-        byte = symbol[rows]
-        group = np.cumsum(fresh, dtype=np.int32)
-        going = np.flatnonzero(byte)
-        order = going[np.argsort(byte[going], kind="stable")]
-        byte, group = byte[order], group[order]
-        rows = np.concatenate((ends, step[rows[order]]))
-        new = np.concatenate(([True], (byte[1:] != byte[:-1]) | (group[1:] != group[:-1]))) if len(order) else np.empty(0, dtype=bool)
-        fresh = np.concatenate((np.ones(len(ends), dtype=bool), new))
-    return rows, fresh
-
-
 def removed_runs(table: pa.Table, length: int) -> pa.Table:
-    """Runs of windows that are removed, from the shards of one bucket."""
+    """Runs of windows that are removed, from the segments of one bucket."""
     import zstandard
 
     unpack = zstandard.ZstdDecompressor()
-    bwts, strings = [], []
-    for b, t in zip(table.column("bwt").to_pylist(), table.column("strings").to_pylist()):
-        bwts.append(np.frombuffer(unpack.decompress(b), dtype="<u2"))
-        strings.append(np.frombuffer(unpack.decompress(t), dtype="<i8").reshape(-1, 5))
-    # Which string and place a row is: all strings of a shard are walked back from their ends at once.
-    total = sum(map(len, bwts))
-    doc, owner, place = np.zeros(total, dtype=np.int64), np.zeros(total, dtype=np.int32), np.zeros(total, dtype=np.int32)
-    docs_of, base, name = [], 0, 0
-    spans = []
-    for b, t in zip(bwts, strings):
-        n = int((b == 0).sum())
-        first = np.searchsorted(t[:, 0], np.arange(n))
-        docs_of.append(t[first, 1])
-        sizes = t[first, 4] + length - 1
-        order = np.argsort(b, kind="stable")
-        back = np.zeros(len(b), dtype=np.int64)
-        back[order] = np.arange(len(b))
-        row, who, left = np.arange(n), np.arange(n), sizes.copy()
-        while len(row):
-            owner[base + row], place[base + row], doc[base + row] = name + who, left, t[first[who], 1]
-            on = left > 0
-            row, who, left = back[row[on]], who[on], left[on] - 1
-        spans.append((name, t))
-        base += len(b)
-        name += n
-    rows, fresh = merge_shards(bwts, length)
-    starts = np.flatnonzero(fresh)
-    least = np.repeat(np.minimum.reduceat(doc[rows], starts), np.diff(np.append(starts, len(rows))))
-    gone = rows[least < doc[rows]]
-    gone = gone[np.lexsort((place[gone], owner[gone]))]
-    who, at = owner[gone], place[gone]
-    begin = np.flatnonzero(np.concatenate(([True], (who[1:] != who[:-1]) | (at[1:] != at[:-1] + 1)))) if len(gone) else np.empty(0, dtype=np.int64)
-    many = np.diff(np.append(begin, len(gone)))
+    name_of: dict[bytes, int] = {}
+    parts = []
+    for text, places in zip(table.column("strings").to_pylist(), table.column("places").to_pylist()):
+        text = unpack.decompress(text)
+        t = np.frombuffer(unpack.decompress(places), dtype="<i8").reshape(-1, 7)
+        first = np.flatnonzero(np.concatenate(([True], t[1:, 0] != t[:-1, 0])))
+        ends = np.cumsum(t[first, 2])
+        names = [name_of.setdefault(text[a:z], len(name_of)) for a, z in zip((ends - t[first, 2]).tolist(), ends.tolist())]
+        parts.append(np.column_stack((np.array(names)[t[:, 0]], t[:, 1:])))
+    places = np.concatenate(parts)
+    places = places[np.argsort(places[:, 0], kind="stable")]
+    first = np.flatnonzero(np.concatenate(([True], places[1:, 0] != places[:-1, 0])))
+    least = np.minimum.reduceat(places[:, 3], first)  # per distinct string its smallest document
+    anchor, count = places[first, 1], places[first, 6]
     out = []
-    for name, t in spans:
-        x, y = np.searchsorted(who[begin], (name + int(t[0, 0]), name + int(t[-1, 0]) + 1))
-        for k in range(x, y):
-            j = int(who[begin[k]]) - name
-            a, z = np.searchsorted(t[:, 0], (j, j + 1))
-            out += [(int(d), int(h), int(p) + int(at[begin[k]]), int(many[k])) for _, d, h, p, _ in t[a:z].tolist()]
+
+    def remove(names: np.ndarray, starts: np.ndarray, windows: np.ndarray, below: np.ndarray) -> None:
+        """Runs of strings, for the documents above ``below``."""
+        bounds = np.append(first, len(places))
+        for name, at, n, low in zip(names.tolist(), starts.tolist(), windows.tolist(), below.tolist()):
+            for p in places[bounds[name] : bounds[name + 1]].tolist():
+                if p[3] > low:
+                    out.append((p[3], p[4], p[5] + at, n))
+
+    # What is the only string under its anchor has no other windows to meet.
+    _, code, strings_of = np.unique(anchor, return_inverse=True, return_counts=True)
+    alone = strings_of[code] == 1
+    single = np.flatnonzero(alone & (np.diff(np.append(first, len(places))) > 1))
+    remove(single, np.zeros(len(single), dtype=np.int64), count[single], least[single])
+    mixed = np.flatnonzero(~alone)
+    if len(mixed):
+        texts = list(name_of)
+        shards, members = [], []
+        for part in by_bytes(mixed.tolist(), lambda i: len(texts[i]), SHARD_BYTES):
+            shards.append(Shard([texts[i] for i in part], length))
+            members.append(np.array(part)[shards[-1].owner])
+        owner, place = np.concatenate(members), np.concatenate([x.place for x in shards])
+        window, fresh = merge_shards(shards, length)
+        low = np.minimum.reduceat(least[owner[window]], np.flatnonzero(fresh))
+        below = np.empty(len(window), dtype=np.int64)
+        below[window] = low[np.cumsum(fresh) - 1]
+        # A run: windows in a row of a string with the same smallest document.
+        begin = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (below[1:] != below[:-1]))))
+        remove(owner[begin], place[begin], np.diff(np.append(begin, len(owner))), below[begin])
     columns = list(zip(*out)) if out else [(), (), (), ()]
     return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("doc_id", "th", "start", "windows"), columns)})
 
@@ -379,18 +383,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
     )
     # A segment has its anchor's windows around it, some 1.5 times a window.
     rows = (one_row(shared.agg(F.sum("n")))[0] or 0) * (length + (length - gram) // 2)
-    parts = max(1, math.ceil(rows / BUCKET_ROWS))
+    parts = max(1, math.ceil(rows / BUCKET_BYTES))
     per_doc = shared.groupBy("short").agg(F.collect_list("anchors").alias("anchors"))
     short = F.shiftrightunsigned("key", 8 * (8 - id_bytes))
     with_anchors = named.withColumn("short", short).join(per_doc, "short").select("doc_id", "th", "text", "anchors")
     segments = cut_lineage(
         with_anchors.mapInArrow(
             lambda it: send_segments(it, length, gram, parts, sig_bytes),
-            "bucket int, bwt binary, strings binary, doc_id long, th long, start long, windows long",
+            "bucket int, strings binary, places binary, doc_id long, th long, start long, windows long",
         )
     )
     runs = segments.where("bucket is null").select("doc_id", "th", "start", "windows").union(
-        segments.where("bucket is not null").select("bucket", "bwt", "strings").groupBy("bucket").applyInArrow(
+        segments.where("bucket is not null").select("bucket", "strings", "places").groupBy("bucket").applyInArrow(
             lambda t: removed_runs(t, length), "doc_id long, th long, start long, windows long"
         )
     )
