@@ -361,6 +361,34 @@ def test_a_page_without_article_is_judged_by_its_words():
     assert html.main_text(page) == f"Title\n{text}\nAye."
 
 
+POLISH = [
+    "Rada gminy przyjęła w czwartek uchwałę, która zmienia sposób naliczania opłat za wodę i ścieki w całym powiecie.",
+    "Burmistrz powiedział, że nowe stawki wejdą w życie od stycznia i że mieszkańcy dostaną o tym listy.",
+    "Część radnych uważa jednak, że podwyżka jest zbyt wysoka i że powinna zostać rozłożona na kilka lat.",
+]
+FINNISH = "Kaupunginvaltuusto hyväksyi torstaina talousarvion, jossa koulujen korjauksiin varataan aiempaa enemmän rahaa ja kirjastojen aukioloajat säilyvät ennallaan."
+CHINESE = "市议会星期四通过了新的预算案,其中用于学校维修的资金比去年更多,图书馆的开放时间保持不变。"
+THAI = "สภาเทศบาลอนุมัติงบประมาณใหม่เมื่อวันพฤหัสบดีซึ่งเพิ่มเงินสำหรับการซ่อมแซมโรงเรียน"
+
+
+@pytest.mark.parametrize("text", [POLISH, POLISH[:1], [FINNISH], [CHINESE], [CHINESE, CHINESE[20:] + CHINESE[:20]], [THAI]])
+def test_a_page_in_a_language_that_is_not_listed(text):
+    links = "<div>" + "<a href=z>odnośnik do innej strony</a> " * 9 + "</div>"
+    page = f"<body>{links}{''.join(f'<p>{t}</p>' for t in text)}{links}</body>"
+    assert html.main_text(page) == "\n".join(text)
+
+
+def test_lists_of_words_stay_out_in_any_language():
+    tags = "zamek rower lampa krzesło okno drzwi ogród piwnica garaż dach komin płot schody balkon"
+    page = "<body>" + "".join(f"<p>{t}</p>" for t in POLISH) + "<hr>" + f"<div>{tags}</div></body>"
+    english = "It is one of the longest blocks that the page has and so it is taken as a part of it."
+    assert html.main_text(f"<body><p>{english}</p><div>{tags}</div></body>") == english
+    words = [html.LETTERS.findall(t.lower()) for t in POLISH]
+    own = html.stop_words(words)
+    assert {"i", "że"} <= own
+    assert html.main_text(page).split("\n")[:3] == POLISH
+
+
 def test_pages(spark):
     got = Q["op5_html"][0](spark, SF).collect()
     pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}

@@ -6,8 +6,10 @@ page furniture (menus, headers, footers, sidebars, adverts, forms, comments) is
 bad whatever it says.  Second pass: undecided short blocks take the label of
 their nearest decided neighbours.  Good blocks are joined in page order.
 
-Stop words are the commonest words of the page's own long blocks and a few
-function words of several languages, so no language needs to be known.
+Stop words are a few function words of several languages and, where these do
+not know the long blocks of the page, the commonest words of those blocks, so no
+language needs to be known.  In scripts that put no spaces between words every
+letter counts as a word there, and two of them as one for the length of a block.
 
 Cases: null and empty pages give an empty text; unclosed and misnested tags end
 with their block; a page cut off in the middle of a tag loses that tag only; a
@@ -19,7 +21,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,11 +60,16 @@ LONG_WORDS = 12
 MAX_LINK_SHARE = 0.33
 FEW_STOPS = 0.05
 MANY_STOPS = 0.15
+#: A page's own stop words are to make up this share of the long blocks that they are taken from, twice what a good block needs.
+OWN_SHARE = 2 * MANY_STOPS
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|([^<]+|<)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 NAME = re.compile(r"[a-z0-9]+(?:-[a-z0-9]+)*")
-LETTERS = re.compile(r"\w+")
+#: Thai, Lao, Burmese, Khmer, kana and Han letters: words have no spaces between them.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+LETTERS = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
+ALONE = re.compile(f"[{UNSPACED}]")
 
 GOOD, BAD, OPEN = 1, -1, 0
 
@@ -165,21 +173,61 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
+def length(words: list[str]) -> float:
+    """Words of a block; two letters of a script without spaces are one."""
+    return len(words) - sum(ALONE.match(w) is not None for w in words) / 2
+
+
+def stop_share(words: Sequence[str], stops: frozenset[str] | set[str]) -> float:
+    return sum(w in stops for w in words) / len(words)
+
+
+def stop_words(long_blocks: list[list[str]]) -> frozenset[str] | set[str]:
+    """STOP_WORDS, and the commonest words of the long blocks that these do not know.
+
+    Common is what stands in many different blocks.  Words of equally many
+    blocks are taken together, the commonest first, until they make up OWN_SHARE.
+    Words of a single block count only where the known blocks are not the greater
+    part of the page: a text too short to repeat its words is then judged by its
+    length and links alone.
+    """
+    different = dict.fromkeys(map(tuple, long_blocks))
+    texts = [t for t in different if stop_share(t, STOP_WORDS) < MANY_STOPS]
+    if not texts:
+        return STOP_WORDS
+    blocks_of = Counter(w for t in texts for w in set(t))
+    every = sum(map(len, texts))
+    least = 1 if 2 * every >= sum(map(len, different)) else 2
+    times = Counter(w for t in texts for w in t)
+    own, covered = set(STOP_WORDS), sum(n for w, n in times.items() if w in STOP_WORDS)
+    for level in sorted({n for n in blocks_of.values() if n >= least}, reverse=True):
+        if covered >= OWN_SHARE * every:
+            break
+        new = [w for w, n in blocks_of.items() if n == level and w not in own]
+        own.update(new)
+        covered += sum(times[w] for w in new)
+    return own
+
+
 def classify(page_blocks: list[tuple[str, int, bool, bool]]) -> list[int]:
     """First pass.  In a page with an article element, what stands outside of it is bad."""
     has_article = any(a for _, _, _, a in page_blocks)
     words = [[w.lower() for w in LETTERS.findall(t)] for t, _, _, _ in page_blocks]
+    sizes = [length(w) for w in words]
+    much_linked = [linked > MAX_LINK_SHARE * (len(t) - t.count(" ")) for t, linked, _, _ in page_blocks]
+    stops = STOP_WORDS  # inside an article length and links decide
+    if not has_article:
+        stops = stop_words([w for w, n, links, (_, _, bad, _) in zip(words, sizes, much_linked, page_blocks) if n >= LONG_WORDS and not links and not bad])
     labels = []
-    for (text, linked, bad, article), own in zip(page_blocks, words):
-        chars = len(text) - text.count(" ")
+    for own, n, links, (_, _, bad, article) in zip(words, sizes, much_linked, page_blocks):
         if bad or (has_article and not article):
             labels.append(BAD)
-        elif linked > MAX_LINK_SHARE * chars:
-            labels.append(OPEN if article and len(own) < LONG_WORDS else BAD)
-        elif len(own) < LONG_WORDS:
+        elif links:
+            labels.append(OPEN if article and n < LONG_WORDS else BAD)
+        elif n < LONG_WORDS:
             labels.append(OPEN)
         else:
-            share = sum(w in STOP_WORDS for w in own) / len(own)
+            share = stop_share(own, stops)
             labels.append(GOOD if share >= MANY_STOPS or article else OPEN if share >= FEW_STOPS else BAD)
     return labels
 
