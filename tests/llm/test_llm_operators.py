@@ -389,6 +389,38 @@ def test_lists_of_words_stay_out_in_any_language():
     assert html.main_text(page).split("\n")[:3] == POLISH
 
 
+PROSE = "It is one of the longest blocks that the page has and so it is taken as a part of it."
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "content-sidebar-wrap", "elementor-widget-container", "page-with-nav", "entry-header", "section-header", "article__header", "layout--sidebar", "right-sidebar"])
+def test_a_name_within_a_word_is_no_furniture(name):
+    assert html.main_text(f'<body><div class="{name}"><p>{PROSE}</p></div></body>') == PROSE
+    assert html.main_text(f'<body><div id="{name}"><h1>Title</h1><article><p>{PROSE}</p></article></div></body>') == PROSE
+
+
+@pytest.mark.parametrize("name", ["sidebar", "main-nav", "cookie-notice", "widget_area", "site-footer", "comment-list", "x ad y"])
+def test_names_of_furniture_and_their_compounds(name):
+    side = "We use the like of this on all of our pages for you to see and it is not a part of it."
+    page = f'<body><p>{PROSE}</p><div class="{name}"><p>{side}</p></div></body>'
+    assert html.main_text(page) == PROSE
+    assert html.main_text(f'<body><div class="{name}"><p>{side}</p><article><p>{PROSE}</p></article></div></body>') == PROSE
+    assert html.main_text(f'<body><aside class="{name}"><article><p>{PROSE}</p></article></aside></body>') == ""
+
+
+def test_comments_that_are_articles_are_no_part_of_the_main_text():
+    page = f'<main><article><p>{PROSE}</p></article><div id="comments"><article><p>I think that this is the best of all that I have seen here.</p></article></div></main>'
+    assert html.main_text(page) == PROSE
+
+
+@pytest.mark.parametrize("head", [
+    "<head><title>No</title><meta charset=utf-8><body>", "<head><title>No</title>", "<head><script>var a;</script><noscript><img src=x><body>",
+    "<head><style>p{}</style><noscript><img src=x></noscript></head><body>", "<html><head><body><head>",
+])
+def test_a_head_that_is_not_closed(head):
+    assert html.main_text(f"{head}<p>{PROSE}</p>") == PROSE
+    assert html.main_text(f"{head}{PROSE}") == PROSE
+
+
 def test_pages(spark):
     got = Q["op5_html"][0](spark, SF).collect()
     pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}

@@ -3,7 +3,9 @@
 A page is cut into blocks at block-level tags.  First pass: words, link density
 and stop-word density class each block as good, bad or undecided; a block inside
 page furniture (menus, headers, footers, sidebars, adverts, forms, comments) is
-bad whatever it says.  Second pass: undecided short blocks take the label of
+bad whatever it says.  Furniture is known by its tag, role or style, or by a
+class or id word that is one of its names or a compound of such names only; what
+a name says does not reach into an article.  Second pass: undecided short blocks take the label of
 their nearest decided neighbours.  Good blocks are joined in page order.
 
 Stop words are a few function words of several languages and, where these do
@@ -46,6 +48,14 @@ FURNITURE_NAMES = frozenset(
     " outbrain overlay pager pagination popup promo promoted promotion related replies reply share sharing shares sidebar signup site-header"
     " site-footer social sponsor sponsored sponsors subscribe subscription taboola toc toolbar topbar warning widget widgets".split()
 )
+#: Words that may stand beside names of furniture in a compound: main-nav, cookie-bar, related-posts.
+FURNITURE_BESIDE = frozenset(
+    "area articles bar block bottom box button buttons desktop form global item items link links list main mobile posts primary secondary"
+    " section site slot top".split()
+)
+#: Furniture of these names holds article elements of its own.
+OWN_ARTICLES = frozenset("comment comments commentlist disqus related replies reply respond".split())
+HEAD_TAGS = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Function words of English, German, French, Spanish, Portuguese and Italian.
 STOP_WORDS = frozenset(
@@ -65,34 +75,45 @@ OWN_SHARE = 2 * MANY_STOPS
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|([^<]+|<)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-NAME = re.compile(r"[a-z0-9]+(?:-[a-z0-9]+)*")
+SEAM = re.compile(r"[-:]+")
 #: Thai, Lao, Burmese, Khmer, kana and Han letters: words have no spaces between them.
 UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 LETTERS = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 ALONE = re.compile(f"[{UNSPACED}]")
 
 GOOD, BAD, OPEN = 1, -1, 0
+#: Why an element is furniture: not at all, by its name, by the name of a list of comments or the like, by its tag, role or style.
+NO, NAMED, LISTED, FIRM = 0, 1, 2, 3
+
+
+def named(word: str) -> int:
+    """Whether a class or id word is a name of furniture or a compound of such names and what stands beside them."""
+    word = word.replace("_", "-")
+    parts = {p for p in SEAM.split(word) if p}
+    # A header of a part of the page has its title: that word alone makes no compound.
+    if word in FURNITURE_NAMES or (parts <= FURNITURE_NAMES | FURNITURE_BESIDE and not parts.isdisjoint(FURNITURE_NAMES - {"header"})):
+        return NAMED if parts.isdisjoint(OWN_ARTICLES) else LISTED
+    return NO
 
 
-def furniture(tag: str, attributes: str, inside_article: bool) -> bool:
-    """Whether an element is a part of the page that is not its article."""
+def furniture(tag: str, attributes: str, inside_article: bool) -> int:
+    """Whether an element is a part of the page that is not its article, and why."""
     if tag in FURNITURE_TAGS or (tag == "header" and not inside_article):
-        return True
+        return FIRM
     if not attributes.strip():
-        return False
+        return NO
+    found = NO
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return FIRM
         if name == "role" and value in FURNITURE_ROLES:
-            return True
+            return FIRM
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return FIRM
         if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-            for word in NAME.findall(value.replace("_", "-")):
-                if word in FURNITURE_NAMES or not FURNITURE_NAMES.isdisjoint(word.split("-")):
-                    return True
-    return False
+            found = max(found, *map(named, value.split()), NO)
+    return found
 
 
 def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
@@ -100,26 +121,34 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     out: list[tuple[str, int, bool, bool]] = []
     text: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool]] = []  # tag, furniture, article
+    stack: list[tuple[str, int, bool]] = []  # tag, furniture, article
     link = 0
     silent = 0
-    bad = article = False
+    bad, article = NO, False
 
     def end() -> None:
         nonlocal linked
         if text:
             words = " ".join("".join(text).split())
             if words:
-                out.append((words, linked, bad, article))
+                out.append((words, linked, bad != NO, article))
             text.clear()
         linked = 0
 
+    def settled() -> None:
+        nonlocal bad, article, silent
+        bad, article = (stack[-1][1], stack[-1][2]) if stack else (NO, False)
+        silent = sum(t in SILENT_TAGS for t, _, _ in stack)
+
     at, size = 0, len(page)
     while at < size:
         m = TOKEN.match(page, at)
         at = m.end()
         closing, tag, attributes, run = m.groups()
         if run is not None:
+            if stack and stack[-1][0] == "head" and run.strip():  # text ends a head that is not closed
+                stack.pop()
+                settled()
             if not silent:
                 run = entities.unescape(run)
                 text.append(run)
@@ -130,6 +159,12 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
             continue
         tag = tag.lower()
         if not closing:
+            if silent and tag not in HEAD_TAGS and (tag == "body" or stack[-1][0] == "head"):  # so does what cannot stand in one
+                for i, (open_tag, _, _) in enumerate(stack):
+                    if open_tag == "head":
+                        del stack[i:]
+                        settled()
+                        break
             if tag in RAW_TAGS and not attributes.endswith("/"):
                 close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = close.end() if close else size
@@ -153,8 +188,10 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
             if tag in VOID_TAGS or attributes.endswith("/"):
                 continue
             if tag in BLOCK_TAGS or tag in SILENT_TAGS:
-                inside = article or tag in ("article", "main")
-                stack.append((tag, bad or furniture(tag, attributes, article), inside))
+                inside = tag in ("article", "main")
+                if inside and (bad == NAMED or (bad == LISTED and not article)):
+                    bad = NO  # a name does not reach into an article
+                stack.append((tag, max(bad, furniture(tag, attributes, article)), article or inside))
             else:
                 stack.append((tag, bad, article))
         else:
@@ -167,8 +204,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
                 if stack[i][0] == tag:
                     del stack[i:]
                     break
-        bad, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        silent = sum(t in SILENT_TAGS for t, _, _ in stack)
+        settled()
     end()
     return out
 
