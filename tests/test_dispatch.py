@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tribuna.operators import batches, budget, fanout
 from tribuna.operators import fingerprints as FP
+from tribuna.plans.registry import all_queries
 
 STATE = "row_key string, status string, current_pipeline_run_id string, last_list_item_uid string, last_list_item_hash string, attempt_count int"
 
@@ -102,6 +103,13 @@ def test_backfill_summary_equals_the_scan(spark, n):
     assert r.status == ("LIMIT_REACHED" if stop else "SUCCESS")
 
 
+def test_backfill_without_budget_counts_all_pairs(spark):
+    """More messages than the largest budget of a tick."""
+    n = spark.read.parquet("/root/testdata/sf0.1/orders.parquet").count()
+    r = all_queries()["backfill_force"][0](spark, "/root/testdata/sf0.1").first()
+    assert r.records_seen == n and r.messages_enqueued + r.records_skipped_same_run == 2 * n > budget.ABSOLUTE_MAX_TASKS
+
+
 def test_budget_refuses_unbounded_limits(spark):
     with pytest.raises(ValueError):
         budget.apply_budget(random_plan(spark, 1)[1], ["num", "seq"], 10**6)

@@ -4,7 +4,7 @@ A budget needs the N-th enqueue row of a global order.  ``orderBy().limit(N)``
 keeps N rows per task and merges them, so no global sort and no
 single-partition window is involved; every other row is then compared with
 that one cutoff key, an uncorrelated scalar subquery.  N is a per-tick limit
-of at most 100 000 keys.
+of at most 100 000 keys.  A backfill may have no budget; then every pair is in.
 """
 
 from __future__ import annotations
@@ -31,6 +31,13 @@ def _cutoff(plan: DataFrame, order: list[str], n: int) -> DataFrame:
     return head.agg(F.when(F.count(F.lit(1)) >= n, F.max(_key(order))).alias("cutoff"))
 
 
+def _within(plan: DataFrame, order: list[str], n: int | None) -> Column:
+    """Whether a row comes no later than the N-th enqueue row."""
+    if n is None:
+        return F.lit(True)
+    return F.coalesce(_key(order) <= _cutoff(plan, order, n).scalar(), F.lit(True))
+
+
 def apply_budget(plan: DataFrame, order: list[str], n: int) -> DataFrame:
     """Splits a plan at the N-th enqueue row: ``dispatch`` / ``deferred`` / ``skip``.
 
@@ -39,7 +46,7 @@ def apply_budget(plan: DataFrame, order: list[str], n: int) -> DataFrame:
     """
     if n > ABSOLUTE_MAX_TASKS:
         raise ValueError(f"budget above {ABSOLUTE_MAX_TASKS}")
-    cut = F.coalesce(_key(order) <= _cutoff(plan, order, n).scalar(), F.lit(True))
+    cut = _within(plan, order, n)
     return plan.withColumn(
         "outcome",
         F.when(~cut, F.lit("deferred")).when(_is_enqueue(), F.lit("dispatch")).otherwise(F.lit("skip")),
@@ -59,19 +66,18 @@ def tallies(plan: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def backfill_summary(plan: DataFrame, order: list[str], item: list[str], n: int, dry_run: bool = True) -> DataFrame:
+def backfill_summary(plan: DataFrame, order: list[str], item: list[str], n: int | None, dry_run: bool = True) -> DataFrame:
     """Counts of a budgeted backfill scan in one row.
 
     ``order`` starts with ``item``, the columns that order the list items.
     Pairs are visited in order; the scan stops at the first pair reached with
-    the budget used up, and items are counted when the scan enters them.  The
+    the budget used up, and items are counted when the scan enters them; with
+    ``n`` None the budget covers all pairs.  The
     plan's join runs once: its keys and actions are checkpointed and the four
     small passes read those.
     """
     plan = cut_lineage(plan.select(*order, "action"))
-    cutoff = _cutoff(plan, order, n)
-    cut = F.coalesce(_key(order) <= cutoff.scalar(), F.lit(True))
-    before = plan.withColumn("_in", cut)
+    before = plan.withColumn("_in", _within(plan, order, n))
     stop_item = before.where(~F.col("_in")).agg(F.min(_key(order)).alias("stop"))
     stop = stop_item.scalar()
     entered = stop.isNull() | (_key(item) <= F.struct(*[stop.getField(c) for c in item]))

@@ -114,7 +114,7 @@ def backfill_plan(spark, sf):
 
 def backfill_force(spark, sf):
     """Counts of a forced backfill whose budget covers everything."""
-    return B.backfill_summary(_plan(spark, sf, force=True), ["num", "seq"], ["num"], 100_000, dry_run=False).select(
+    return B.backfill_summary(_plan(spark, sf, force=True), ["num", "seq"], ["num"], None, dry_run=False).select(
         "records_seen", "messages_enqueued", "records_skipped_same_run", F.lit(True).alias("forced"))
 
 
