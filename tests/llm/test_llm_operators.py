@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -323,6 +324,32 @@ def test_repeats_of_a_small_alphabet(spark):
         substrings.SLICE, substrings.SHARD_BYTES, substrings.BUCKET_BYTES = old
 
 
+def test_windows_of_a_hot_anchor_go_to_many_buckets(spark):
+    """A line of 30 bytes in all documents, in different surroundings, and some surroundings that are the same."""
+    rnd = random.Random(12)
+    some = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    line, shared = "the line that all of them have", some(45)
+    rows = [(i, some(60) + (shared if i % 9 == 0 else some(45)) + line + (shared if i % 7 == 0 else some(45))) for i in range(150)]
+    batch = pa.RecordBatch.from_pydict({"key": [i << 32 for i, _ in rows], "text": [t for _, t in rows]})
+    anchors = pa.Table.from_batches(list(substrings.send_anchors(iter([batch]), 50, 24, 1, 4, 4)))
+    most = []
+    for hot_docs in (1000, 20):
+        mine = {r["short"]: r for r in substrings.shared_anchors(anchors, 4, 4, hot_docs).to_pylist()}
+        texts_ = pa.RecordBatch.from_pydict({
+            "doc_id": [i for i, _ in rows], "th": [i for i, _ in rows], "text": [t for _, t in rows],
+            "anchors": [[mine[i]["anchors"]] if i in mine else [] for i, _ in rows], "hot": [[mine[i]["hot"]] if i in mine else [] for i, _ in rows]})
+        sizes = [r["strings"] for x in substrings.send_segments(iter([texts_]), 50, 24, 40, 4, 1) for r in x.to_pylist() if r["bucket"] is not None]
+        most.append(max(len(zstandard.ZstdDecompressor().decompress(x)) for x in sizes) / sum(len(zstandard.ZstdDecompressor().decompress(x)) for x in sizes))
+    assert most[0] > 0.2 and most[1] < 0.1, most
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    old = substrings.BUCKET_BYTES, substrings.HOT_DOCS
+    substrings.BUCKET_BYTES, substrings.HOT_DOCS = 4000, 20
+    try:
+        check_cut(df, gram=24)
+    finally:
+        substrings.BUCKET_BYTES, substrings.HOT_DOCS = old
+
+
 def test_merged_shards_equal_sorted_windows():
     rnd = random.Random(1)
     groups = [[bytes(rnd.choice(b"\x00bc\xff") for _ in range(rnd.randrange(6, 90))) for _ in range(9)] for _ in range(3)]

@@ -21,8 +21,11 @@ anchor.
    those of documents above the smallest one are removed.  No suffix is compared
    or sorted again.
 
-Hot passages cost a slice one segment and a bucket one row per slice, never a
-row per document.
+A segment that is the same everywhere costs a slice one segment and a bucket one
+row per slice.  What stands around a frequent line differs by document, and so do
+its segments: under an anchor of more than HOT_DOCS documents every window goes
+its own way, by the hash of its bytes, so that equal windows still meet and no
+bucket has to take all that is under the anchor.
 
 Cases: null and empty texts have no bytes; texts below LENGTH bytes keep all; a
 row without id keeps all its bytes and takes none from others; rows of equal id
@@ -56,6 +59,8 @@ SLICE = 1 << 20
 SHARD_BYTES = 256 << 10
 BUCKET_ANCHORS = 500_000
 BUCKET_BYTES = 2_000_000
+#: Above this many documents the windows of an anchor are dealt out one by one.
+HOT_DOCS = 1_000
 
 
 class Slice:
@@ -125,8 +130,9 @@ def send_anchors(batches: Iterator[pa.RecordBatch], length: int, gram: int, buck
             yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(new, pa.binary()), pa.array(told, pa.binary())], names=["bucket", "new", "told"])
 
 
-def shared_anchors(table: pa.Table, sig_bytes: int, id_bytes: int) -> pa.Table:
-    """Per document the anchors of this bucket that it shares with another one."""
+def shared_anchors(table: pa.Table, sig_bytes: int, id_bytes: int, hot_docs: int) -> pa.Table:
+    """Per document the anchors of this bucket that it shares with another one, and which of these are hot (with the bucket: of one
+    bucket and equal low bytes all are or none is)."""
     width = sig_bytes + id_bytes
     new = np.frombuffer(b"".join(table.column("new").to_pylist()), dtype=np.uint8).reshape(-1, width)
     told = np.frombuffer(b"".join(table.column("told").to_pylist()), dtype=np.uint8).reshape(-1, width)
@@ -141,12 +147,17 @@ def shared_anchors(table: pa.Table, sig_bytes: int, id_bytes: int) -> pa.Table:
         fresh = np.concatenate(([True], (sig[1:] != sig[:-1]) | (who[1:] != who[:-1])))
         sig, who = sig[fresh], who[fresh]
     begin = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1]))) if len(who) else np.empty(0, dtype=np.int64)
+    _, back, count = np.unique(sig, return_inverse=True, return_counts=True)
+    hot = count[back] > hot_docs if len(sig) else np.empty(0, dtype=bool)
+    bucket = table.column("bucket")[0].as_py()
     low = top_bytes(sig.astype(np.uint64) << np.uint64(8 * (8 - sig_bytes)), sig_bytes)
     ends = np.append(begin[1:], len(who)).tolist()
     blobs = [low[x:y].tobytes() for x, y in zip(begin.tolist(), ends)]
     return pa.table({
         "short": pa.array(who[begin], pa.int64()), "anchors": pa.array(blobs, pa.binary()),
         "n": pa.array(np.diff(np.append(begin, len(who))), pa.int64()),
+        "hot": pa.array([np.array([(bucket, v) for v in sig[x:y][hot[x:y]].tolist()], dtype="<i8").tobytes() for x, y in zip(begin.tolist(), ends)], pa.binary()),
+        "n_hot": pa.array([int(hot[x:y].sum()) for x, y in zip(begin.tolist(), ends)], pa.int64()),
     })
 
 
@@ -221,8 +232,11 @@ def merge_shards(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarr
     return window, fresh
 
 
-def send_segments(batches: Iterator[pa.RecordBatch], length: int, gram: int, buckets: int, sig_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Per bucket the segments under shared anchors, and runs of windows that are known to be removed (bucket null)."""
+def send_segments(batches: Iterator[pa.RecordBatch], length: int, gram: int, buckets: int, sig_bytes: int, anchor_buckets: int) -> Iterator[pa.RecordBatch]:
+    """Per bucket the segments under shared anchors, and runs of windows that are known to be removed (bucket null).
+
+    Under a hot anchor every window is a segment, dealt by the hash of its bytes.
+    """
     import zstandard
 
     pack = zstandard.ZstdCompressor(level=1)
@@ -233,39 +247,47 @@ def send_segments(batches: Iterator[pa.RecordBatch], length: int, gram: int, buc
             s = Slice(rows.column("text"), length, gram)
             ids, ths = rows.column("doc_id").to_pylist(), rows.column("th").to_pylist()
             low = (s.anchor << np.uint64(8 * (8 - sig_bytes))) >> np.uint64(8 * (8 - sig_bytes))
+            home = ((s.anchor >> np.uint64(32)) * np.uint64(anchor_buckets) >> np.uint64(32)).astype(np.int64)
             wanted = np.zeros(len(s.start), dtype=bool)
-            for i, blobs in enumerate(rows.column("anchors").to_pylist()):
+            hot = np.zeros(len(s.start), dtype=bool)
+            for i, (blobs, hots) in enumerate(zip(rows.column("anchors").to_pylist(), rows.column("hot").to_pylist())):
                 x, y = np.searchsorted(s.owner, (i, i + 1))
                 if x < y:
                     have = np.frombuffer(b"".join(blobs), dtype=np.uint8).reshape(-1, sig_bytes)
                     wanted[x:y] = np.isin(low[x:y].astype(np.int64), from_bytes(have))
+                    for b, v in np.frombuffer(b"".join(hots), dtype="<i8").reshape(-1, 2).tolist():
+                        hot[x:y] |= (home[x:y] == b) & (low[x:y] == np.uint64(v))
             best: dict[bytes, list] = {}
+            dealt: dict[bytes, int] = {}
             raw = s.raw.tobytes()
             runs: list[tuple] = []
             seen: dict[tuple, int] = {}
             chosen = np.flatnonzero(wanted)
             anchors = s.anchor.view(np.int64)
             starts = s.offsets[s.owner[chosen]]
-            for k, i, at, count, first, anchor in zip(*(v.tolist() for v in (chosen, s.owner[chosen], s.start[chosen], s.count[chosen], starts, anchors[chosen]))):
+            for i, at, count, first, anchor, single in zip(*(v.tolist() for v in (s.owner[chosen], s.start[chosen], s.count[chosen], starts, anchors[chosen], hot[chosen]))):
                 me = (ids[i], ths[i])
                 if seen.setdefault(me, i) != i:
                     continue  # an equal row of the slice
-                text = raw[at : at + count + length - 1]
-                place = (anchor, len(text), *me, at - first, count)
-                held = best.setdefault(text, [place])
-                if held[0] is place:
-                    continue
-                if place[2] < held[0][2]:
-                    runs += [h[2:] for h in held]
-                    best[text] = [place]
-                elif place[2] == held[0][2]:
-                    held.append(place)
-                else:
-                    runs.append(place[2:])
+                for at, count in [(at + j, 1) for j in range(count)] if single else [(at, count)]:
+                    text = raw[at : at + count + length - 1]
+                    if single:
+                        dealt[text] = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+                    place = (anchor, len(text), *me, at - first, count)
+                    held = best.setdefault(text, [place])
+                    if held[0] is place:
+                        continue
+                    if place[2] < held[0][2]:
+                        runs += [h[2:] for h in held]
+                        best[text] = [place]
+                    elif place[2] == held[0][2]:
+                        held.append(place)
+                    else:
+                        runs.append(place[2:])
             out = [(None, None, None, *r) for r in runs]
             if best:
                 strings, places = list(best), list(best.values())
-                key = np.array([p[0][0] for p in places], dtype=np.int64).view(np.uint64)
+                key = np.array([dealt.get(t, p[0][0]) for t, p in best.items()], dtype=np.int64).view(np.uint64)
                 bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 ends = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
@@ -371,7 +393,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
     named = slim.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
     size = one_row(named.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text").cast("long")).alias("bytes")))
     n_docs, n_anchors = max(2, size["n"]), max(2, 2 * (size["bytes"] or 0) // (length - gram + 2))
-    buckets = max(1, math.ceil(n_anchors / BUCKET_ANCHORS))
+    buckets, hot_docs = max(1, math.ceil(n_anchors / BUCKET_ANCHORS)), HOT_DOCS
     # Enough bits that chance meetings are few: they are looked at and change nothing.
     sig_bytes = min(7, max(4, math.ceil((math.log2(n_anchors) + 6 - math.log2(buckets)) / 8)))
     id_bytes = min(7, max(4, math.ceil((math.log2(n_docs) + 8) / 8)))
@@ -379,17 +401,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
         lambda it: send_anchors(it, length, gram, buckets, sig_bytes, id_bytes), "bucket int, new binary, told binary"
     )
     shared = cut_lineage(
-        sent.groupBy("bucket").applyInArrow(lambda t: shared_anchors(t, sig_bytes, id_bytes), "short long, anchors binary, n long")
+        sent.groupBy("bucket").applyInArrow(lambda t: shared_anchors(t, sig_bytes, id_bytes, hot_docs), "short long, anchors binary, n long, hot binary, n_hot long")
     )
     # A segment has its anchor's windows around it, some 1.5 times a window.
-    rows = (one_row(shared.agg(F.sum("n")))[0] or 0) * (length + (length - gram) // 2)
+    n, n_hot = (v or 0 for v in one_row(shared.agg(F.sum("n"), F.sum("n_hot"))))
+    rows = n * (length + (length - gram) // 2) + n_hot * length * ((length - gram) // 2)
     parts = max(1, math.ceil(rows / BUCKET_BYTES))
-    per_doc = shared.groupBy("short").agg(F.collect_list("anchors").alias("anchors"))
+    per_doc = shared.groupBy("short").agg(F.collect_list("anchors").alias("anchors"), F.collect_list("hot").alias("hot"))
     short = F.shiftrightunsigned("key", 8 * (8 - id_bytes))
-    with_anchors = named.withColumn("short", short).join(per_doc, "short").select("doc_id", "th", "text", "anchors")
+    with_anchors = named.withColumn("short", short).join(per_doc, "short").select("doc_id", "th", "text", "anchors", "hot")
     segments = cut_lineage(
         with_anchors.mapInArrow(
-            lambda it: send_segments(it, length, gram, parts, sig_bytes),
+            lambda it: send_segments(it, length, gram, parts, sig_bytes, buckets),
             "bucket int, strings binary, places binary, doc_id long, th long, start long, windows long",
         )
     )
