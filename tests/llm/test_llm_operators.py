@@ -159,6 +159,16 @@ def test_mix_of_awkward_rows(odd_more, nothing):
         assert r.taken == sum(n * len(brute.words(k[1])) for k, n in times.items() if k[0] == r.doc_id)
 
 
+def test_documents_without_words_are_in_no_mix(spark):
+    rows = [(i, None if i == 20 else "" if i > 20 else " \n" if i == 0 else f"w{i} x y z", f"s{i % 3}") for i in range(24)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    empty = {d for d, t, _ in rows if not brute.words(t)}
+    assert {r.doc_id: r.times for r in mixing.mix(df).collect() if r.size == 0} == dict.fromkeys(empty, 0)
+    out = mixing.mix_documents(df).collect()
+    assert out and not empty & {r.doc_id for r in out}
+    assert all(r.bin_id is not None for r in packing.pack(mixing.mix_documents(df)).collect())
+
+
 # --- 2: Jaccard join ---------------------------------------------------------
 
 

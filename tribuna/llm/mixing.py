@@ -111,13 +111,14 @@ def mix(
 ) -> DataFrame:
     """One row per document: size, its source's size and target, and the words the mix takes of it.
 
+    What has no words is taken no times.
     ``budget`` is the words of the mix; by default all words of the table.
     """
     rows = sized(docs, text, source, doc_id)
     q, budget = queue(rows, tuple(weights), most, budget)
     ranges = max(1, math.ceil(most * one_row(rows.agg(F.count(F.lit(1))))[0] / SLOT_ROWS))
     key = ["__id", *SOURCE, "__slot", "__u", "__rn", "__size", "__total", "__target"]
-    return truncated(q, budget, ranges).groupBy(*key).agg(F.sum(F.col("__in").cast("long")).alias("__times")).select(
+    return truncated(q, budget, ranges).groupBy(*key).agg(F.sum((F.col("__in") & (F.col("__size") > 0)).cast("long")).alias("__times")).select(
         F.col("__id").alias("doc_id"),
         F.col("__size").alias("size"),
         F.col("__total").alias("source_size"),
