@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tribuna.llm import html, jaccard, knn, linededup, mixing, packing, quality, substrings, tokenfile, tokens
+from tribuna.llm import bpe, html, jaccard, knn, linededup, mixing, packing, quality, resample, substrings, tokenfile, tokens, vectorcodes
 from tribuna.llm.common import lean
 from tribuna.session import prepare, read_table
 
@@ -58,6 +58,25 @@ def op10_top_k(spark, sf_dir):
     return knn.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op11_vector_codes(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings")
+    books = vectorcodes.train(vectors)
+    out = vectorcodes.with_label_error(vectorcodes.encode(vectors, books, carry=["label"]), F.col("row.label"))
+    sha = F.lit(books.sha256() if books else None).cast("string")
+    return out.select("vec_id", "code", "error", "label_error", sha.alias("codebooks_sha256"))
+
+
+def op12_bpe(spark, sf_dir):
+    return bpe.encode(documents(spark, sf_dir), decoded=True).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_resample(spark, sf_dir):
+    drawn = resample.resample(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 JACCARD_SQL = f"""
 WITH RECURSIVE t AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
@@ -189,6 +208,80 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= {knn.K}
 """
 
+
+
+def _assigned(name: str, books: str) -> str:
+    return f"""
+{name} AS MATERIALIZED (
+  SELECT rid, p, any_value(y) AS y, arg_min(e, k) AS e, min(k[1]) AS dist
+  FROM (SELECT rid, p, y, e, [list_sum([(q[1] - q[2]) * (q[1] - q[2]) FOR q IN list_zip(y, c)]), e] AS k FROM parts JOIN {books} USING (p))
+  GROUP BY rid, p
+)"""
+
+
+def _moved(name: str, assigned: str, books: str) -> str:
+    return f"""
+{name} AS MATERIALIZED (
+  SELECT p, e, coalesce(m, c) AS c
+  FROM {books} LEFT JOIN (
+    SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m
+    FROM (SELECT p, e, i, sum(y[i]) AS s, count(*) AS n FROM {assigned}, (SELECT unnest(range(1, d + 1)) AS i FROM width) GROUP BY p, e, i)
+    GROUP BY p, e
+  ) USING (p, e)
+)"""
+
+
+CODES_SQL = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, [CAST(floor(e::double * 256) AS BIGINT) FOR e IN embedding] AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
+), width AS (SELECT CAST(len(x) / 16 AS BIGINT) AS d FROM v WHERE rid = 1),
+parts AS MATERIALIZED (
+  SELECT rid, p, x[p * d + 1 : (p + 1) * d] AS y FROM (SELECT rid, x, d, unnest(range(0, 16)) AS p FROM v, width)
+), b0 AS MATERIALIZED (SELECT p, rid - 1 AS e, y AS c FROM parts WHERE rid <= 64),{_assigned("a0", "b0")},{_moved("b1", "a0", "b0")},{_assigned("a1", "b1")},{_moved("b2", "a1", "b1")},{_assigned("a2", "b2")},
+coded AS (SELECT rid, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(dist) AS error FROM a2 GROUP BY rid),
+sha AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM b2)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM v JOIN coded USING (rid), sha
+"""
+
+#: CRC-32 has no function in SQL: the table of its polynomial, then one step a byte over the bytes of each distinct word.
+RESAMPLE_SQL = """
+WITH RECURSIVE bits AS (
+  SELECT CAST(i AS BIGINT) AS i, CAST(i AS BIGINT) AS c, 0 AS k FROM range(0, 256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), q AS MATERIALIZED (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+), f AS MATERIALIZED (SELECT rid, unnest(w) AS w FROM d),
+words AS (SELECT DISTINCT w FROM (SELECT w FROM f UNION ALL SELECT w FROM q)),
+bucket AS MATERIALIZED (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, [CAST('0x' || substr(h, 2 * i - 1, 2) AS BIGINT) FOR i IN range(1, CAST(length(h) / 2 AS BIGINT) + 1)]),
+           lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS BIGINT) + 1])), 4294967295) % 10000 AS b
+  FROM (SELECT w, hex(encode(w)) AS h FROM words), crc
+), s AS (SELECT b, count(*) AS s FROM f JOIN bucket USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM q JOIN bucket USING (w) GROUP BY b),
+gain AS (
+  SELECT b, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::double * ((SELECT count(*) FROM f) + 10000) / ((s + 1)::double * ((SELECT count(*) FROM q) + 10000)))) AS BIGINT) AS g
+  FROM s LEFT JOIN t USING (b)
+), weighed AS (
+  SELECT rid, count(*) AS n, CAST(sum(g) AS BIGINT) AS g FROM f JOIN bucket USING (w) JOIN gain USING (b) GROUP BY rid
+), scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 0 ELSE (g - ((g % n) + n) % n) // n END AS weight,
+         CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM d LEFT JOIN weighed USING (rid)
+), keyed AS (SELECT doc_id, n, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296))) AS BIGINT) AS score FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS r, count(*) FILTER (n >= 20) OVER () AS able FROM keyed
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CASE WHEN n >= 20 AND r <= 10 * able // 100 THEN CAST(r AS BIGINT) END AS rank
+FROM ranked
+"""
+
 QUERIES = {
     "op1_mixing": (op1_mixing, None),
     "op2_jaccard": (op2_jaccard, JACCARD_SQL),
@@ -200,6 +293,9 @@ QUERIES = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_packing": (op9_packing, None),
     "op10_top_k": (op10_top_k, KNN_SQL),
+    "op11_vector_codes": (op11_vector_codes, CODES_SQL),
+    "op12_bpe": (op12_bpe, None),
+    "op13_resample": (op13_resample, RESAMPLE_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
