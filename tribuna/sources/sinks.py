@@ -8,10 +8,11 @@ per id would be millions of folders.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tribuna.session import cut_lineage
+from tribuna.sources.keyed import KeyedTable
 
 CRITICAL_WARNINGS = (
     "success_marker_missing",
@@ -52,25 +53,36 @@ def changed_records(plan: DataFrame) -> DataFrame:
     )
 
 
+MANIFEST_STORE_DDL = "pipeline_run_id string, value string"
+MARKER_STORE_DDL = "pipeline_run_id string, success_marker_path string, complete boolean"
+
+
+def manifest_store(spark: SparkSession, path: str) -> KeyedTable:
+    """Manifests of many runs as JSON text, by run."""
+    return KeyedTable(spark, path, MANIFEST_STORE_DDL, ["pipeline_run_id"])
+
+
+def marker_store(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, MARKER_STORE_DDL, ["pipeline_run_id"])
+
+
 def write_manifests(manifests: DataFrame, manifest_path: str, marker_path: str, document: str | None = None) -> None:
     """Manifests and markers of the given runs; what other runs have written stays.
 
-    Both tables are partitioned by run and only the partitions of these runs are
-    replaced.  A run that is no longer COMPLETED gets a marker row that says so,
-    which takes an earlier marker away.  ``document`` names a column that holds
-    the manifest as JSON text; without it the row is the manifest.
+    Both are appended to keyed logs, so a write costs its own rows and no folder
+    belongs to a run; the newest row of a run counts.  A run that is no longer
+    COMPLETED gets a marker row that says so, which takes an earlier marker away.
+    ``document`` names a column that holds the manifest as JSON text; without it
+    the row is the manifest.  Buckets of many writes are folded on the way.
     """
     once = cut_lineage(manifests)  # both tables come from the same rows, whatever is lost in between
-    body = once.select(F.col("pipeline_run_id").alias("run"), *([F.col(document).alias("value")] if document else once.columns))
-    out = body.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run")
-    if document:
-        out.text(manifest_path)
-    else:
-        out.option("ignoreNullFields", False).json(manifest_path)
-    (
-        once.select(F.col("pipeline_run_id").alias("run"), "success_marker_path", "pipeline_run_id", completed().alias("complete"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(marker_path)
-    )
+    spark = once.sparkSession
+    text = F.col(document) if document else F.to_json(F.struct(*once.columns), {"ignoreNullFields": "false"})
+    body, marks = manifest_store(spark, manifest_path), marker_store(spark, marker_path)
+    body.append(once.select("pipeline_run_id", text.alias("value")))
+    marks.append(once.select("pipeline_run_id", "success_marker_path", completed().alias("complete")))
+    body.compact()
+    marks.compact()
 
 
 def completed() -> Column:

@@ -7,10 +7,18 @@ from pyspark.sql import functions as F
 
 from tribuna.functions import scalars as S
 from tribuna.schemas import MANIFEST_DDL, MESSAGE_DDL
+from tribuna.sources import sinks
 
 
 def read_manifests(spark: SparkSession, globs: list[str] | str) -> DataFrame:
-    """Run manifests with the fixed contract; a missing file is simply an absent row."""
+    """Run manifests with the fixed contract; a missing file is simply an absent row.
+
+    Reads JSON files by glob, or the store that :func:`sinks.write_manifests` keeps.
+    """
+    store = sinks.manifest_store(spark, globs) if isinstance(globs, str) else None
+    if store is not None and "*" not in globs and store.live():
+        parsed = F.from_json("value", MANIFEST_DDL + ", _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"})
+        return store.newest().select(parsed.alias("m")).select("m.*", F.lit(globs).alias("metadata_path"))
     return (
         spark.read.schema(MANIFEST_DDL + ", _corrupt_record string").option("multiLine", False)
         .json(globs).withColumn("metadata_path", F.col("_metadata.file_path")).drop("run")
@@ -19,7 +27,7 @@ def read_manifests(spark: SparkSession, globs: list[str] | str) -> DataFrame:
 
 def read_markers(spark: SparkSession, path: str) -> DataFrame:
     """Marker table; Spark cannot list files whose name starts with ``_``."""
-    rows = spark.read.schema("success_marker_path string, pipeline_run_id string, complete boolean, run string").parquet(path)
+    rows = sinks.marker_store(spark, path).newest()
     return rows.where("complete").select("success_marker_path", "pipeline_run_id").distinct()
 
 
