@@ -129,10 +129,10 @@ def library():
 
 
 def same(codec, library, text):
-    ids = np.frombuffer(codec.encode(text), dtype="<u4").tolist()
+    ids = np.frombuffer(codec.encode([text])[0], dtype="<u4").tolist()
     want = library.encode(text, add_special_tokens=False).ids
     assert ids == want, text[:80]
-    assert codec.decode(codec.encode(text)) == library.decode(want, skip_special_tokens=False)
+    assert codec.decode(codec.encode([text])[0]) == library.decode(want, skip_special_tokens=False)
 
 
 AWKWARD = [
@@ -158,7 +158,9 @@ def test_bpe_equals_the_library_on_any_text(codec, library, parts):
 def test_scan_and_heap_merge_alike(codec, text):
     word = text.encode()
     if word:
-        assert codec.boundaries(word) == codec.linked_boundaries(word)
+        for at, ids in codec.scan([word, word[::-1], word]):
+            at, word = at.tolist(), word[::-1]
+            assert at == codec.linked_boundaries(word[::-1]) and [codec.bytes_of[i] for i in ids.tolist()] == [word[::-1][a:b] for a, b in zip(at, at[1:])]
 
 
 @settings(max_examples=150, deadline=None)

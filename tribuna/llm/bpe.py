@@ -1,11 +1,14 @@
 """Byte-level BPE, encoding and decoding, by a contiguous array of ranks.
 
 A text is split at special strings, then into words.  A short word's part
-boundaries and the ranks of its neighbouring parts' merges stand in two arrays;
-the smallest rank is looked for from the left, its boundary deleted and the two
-ranks beside it taken anew, until no merge is left.  For words of more than
-``SHORT`` bytes, where scanning would be quadratic, the same merges are taken
-from a heap over linked parts.  Words met before are answered by a bounded memo.
+boundaries and the ranks of its neighbouring parts' merges stand in contiguous
+arrays; the smallest rank is looked for from the left, its boundary deleted and
+the two ranks beside it taken anew, until no merge is left.  The new words of a
+slice are merged together by length: each step deletes one boundary of every
+word that is not done, so their arrays stay of one width and are the rows of a
+matrix.  For words of more than ``SHORT`` bytes, where scanning would be
+quadratic, the same merges are taken from a heap over linked parts.  Words met
+before are answered by a bounded memo.
 
 Words are split by the usual pattern of byte-level vocabularies.  Tables of
 letters differ by Unicode version, so each character beyond ASCII is tried once
@@ -32,18 +35,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tribuna.llm.common import text_of
+from tribuna.llm.common import by_bytes, text_of
 from tribuna.llm.tokens import slices, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Bytes up to which a word is merged by scanning.
 SHORT = 96
-#: Words that a worker remembers, and the longest of them.
+#: Words that a worker remembers.
 MEMO = 300_000
-MEMO_CHARS = 40
-#: Bytes of text that are encoded at once.
-SLICE_BYTES = 8 << 20
-NONE = 1 << 40
+#: Bytes of text that are encoded at once, and bytes of new words that are merged at once.
+SLICE_BYTES = 2 << 20
+MERGE_BYTES = 1 << 18
+#: The rank of two parts that no merge joins.
+NONE = np.iinfo(np.int32).max
 
 # The word pattern of byte-level vocabularies, for any text and for ASCII only.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -107,28 +111,62 @@ class Codec(dict):
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.rank = {(raw(a), raw(b)): i for i, (a, b) in enumerate(merges)}
         self.id_of = {raw(t): i for t, i in model["vocab"].items()}
+        self.made = np.array([self.id_of[raw(a + b)] for a, b in merges], dtype=np.int64)  # by rank: the id of the merged part
+        self.of_byte = np.array([self.id_of[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.n_ids = 1 + max(self.id_of.values())
+        pairs = np.array([self.id_of[a] * self.n_ids + self.id_of[b] for a, b in self.rank], dtype=np.int64)
+        order = np.argsort(pairs)
+        self.pairs, self.pair_ranks = pairs[order], np.fromiter(self.rank.values(), dtype=np.int32)[order]
+        every = np.arange(256)
+        self.byte_ranks = self.ranks(self.of_byte[every[:, None]], self.of_byte[every[None, :]])
+        self.fresh: dict[str, bytes] = {}  # words of the slice at hand that the memo has no room for
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = {i: b for b, i in self.id_of.items()} | {i: raw(t) for t, i in self.special.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self.split = Splitter(Tokenizer.from_file(path).pre_tokenizer)
 
-    def boundaries(self, word: bytes) -> list[int]:
-        """Part boundaries of a short word after all merges."""
-        rank = self.rank.get
-        at = list(range(len(word) + 1))
-        ranks = [rank((word[i : i + 1], word[i + 1 : i + 2]), NONE) for i in range(len(word) - 1)]
-        while ranks:
-            low = min(ranks)
-            if low == NONE:
-                break
-            i = ranks.index(low)
-            del at[i + 1], ranks[i]
-            if i < len(ranks):
-                ranks[i] = rank((word[at[i] : at[i + 1]], word[at[i + 1] : at[i + 2]]), NONE)
-            if i:
-                ranks[i - 1] = rank((word[at[i - 1] : at[i]], word[at[i] : at[i + 1]]), NONE)
-        return at
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the merge of two parts by their ids."""
+        pair = left * self.n_ids + right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.pair_ranks[at], NONE)
+
+    def scan(self, words: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Part boundaries and ids of short words of one length after all merges."""
+        data = np.frombuffer(b"".join(words), dtype=np.uint8).reshape(len(words), -1)
+        width = data.shape[1]
+        at = np.tile(np.arange(width + 1, dtype=np.uint8), (len(words), 1))
+        ids = self.of_byte[data]
+        ranks = self.byte_ranks[data[:, :-1], data[:, 1:]]
+        out: list = [None] * len(words)
+        word = np.arange(len(words))
+
+        def finish(rows: np.ndarray) -> None:
+            for w, a, i in zip(word[rows].tolist(), at[rows], ids[rows]):
+                out[w] = a, i
+
+        while width > 1 and len(word):
+            i = ranks.argmin(1)  # of equal ranks the leftmost
+            low = ranks[np.arange(len(word)), i]
+            left = low < NONE
+            if not left.all():
+                finish(~left)
+                word, at, ids, ranks, i, low = word[left], at[left], ids[left], ranks[left], i[left], low[left]
+            rows = np.arange(len(word))
+            ids[rows, i] = self.made[low]
+            # Delete boundary i + 1, the part to its right, and the rank of the two parts.
+            cols = np.arange(width)[None, :]
+            at = np.take_along_axis(at, cols + (cols > i[:, None]), 1)
+            width -= 1
+            cols = cols[:, :width]
+            ids = np.take_along_axis(ids, cols + (cols > i[:, None]), 1)
+            ranks = np.take_along_axis(ranks, cols[:, : width - 1] + (cols[:, : width - 1] >= i[:, None]), 1)
+            for k in (i, i - 1):
+                r = rows[(k >= 0) & (k < width - 1)]
+                ranks[r, k[r]] = self.ranks(ids[r, k[r]], ids[r, k[r] + 1])
+        finish(np.ones(len(word), dtype=bool))
+        return out
 
     def linked_boundaries(self, word: bytes) -> list[int]:
         """The same for a long word: the next merge is the top of a heap; entries of parts that have changed since are passed over."""
@@ -156,24 +194,39 @@ class Codec(dict):
         return [0, *(e for e in end if e)]
 
     def merge(self, word: bytes) -> list[int]:
-        """Ids of a word."""
-        at = self.boundaries(word) if len(word) <= SHORT else self.linked_boundaries(word)
+        """Ids of a long word."""
+        at = self.linked_boundaries(word)
         return [self.id_of[word[a:b]] for a, b in zip(at, at[1:])]
 
+    def learn(self, words: set[str]) -> None:
+        """Merges words that are not in the memo; what the memo has no room for is kept until the next slice."""
+        self.fresh = {}
+        by_length: dict[int, list[tuple[str, bytes]]] = {}
+        for w in words:
+            raw = w.encode()
+            by_length.setdefault(len(raw) if len(raw) <= SHORT else 0, []).append((w, raw))
+        for w, raw in by_length.pop(0, []):
+            self.fresh[w] = np.array(self.merge(raw), dtype="<u4").tobytes()
+        for length, some in by_length.items():
+            for part in by_bytes(some, lambda _: length, MERGE_BYTES):
+                for (w, _), (_, ids) in zip(part, self.scan([raw for _, raw in part])):
+                    (self if len(self) < MEMO else self.fresh)[w] = ids.astype("<u4").tobytes()
+
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.merge(word.encode()), dtype="<u4").tobytes()
-        if len(self) < MEMO and len(word) <= MEMO_CHARS:
-            self[word] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a text as 32-bit little-endian integers."""
-        if self.cut is None or not self.cut.search(text):
-            return b"".join(map(self.__getitem__, self.split(text)))
+        return self.fresh[word]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as 32-bit little-endian integers."""
+        cut = [[t] if self.cut is None or not self.cut.search(t) else self.cut.split(t) for t in texts]
+        split = [[self.split(part) for part in parts[::2]] for parts in cut]
+        self.learn({w for parts in split for words in parts for w in words if w not in self})
         out = []
-        for i, part in enumerate(self.cut.split(text)):
-            out += [self.special[part].to_bytes(4, "little")] if i % 2 else map(self.__getitem__, self.split(part))
-        return b"".join(out)
+        for parts, words in zip(cut, split):
+            ids = [b"".join(map(self.__getitem__, w)) for w in words]
+            for k, special in enumerate(parts[1::2]):
+                ids[k] += self.special[special].to_bytes(4, "little")
+            out.append(ids[0] if len(ids) == 1 else b"".join(ids))
+        return out
 
     def decode(self, ids: bytes) -> str:
         """Text of such ids."""
@@ -204,7 +257,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", d
         codec = loaded(path)
         for batch in batches:
             for rows in slices(batch, "text", SLICE_BYTES):
-                ids = [codec.encode(t) for t in rows.column("text").to_pylist()]
+                ids = codec.encode(rows.column("text").to_pylist())
                 out = [rows.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
                 names = ["doc_id", "n_tokens", "ids"]
                 if decoded:
