@@ -94,6 +94,31 @@ def quality(text):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered), failed
 
 
+def verdicts(rows):
+    """Per row ``(text, host)`` whether it is kept: base rule, then shrunken host rates by the method of moments."""
+    measured = []
+    for text, host in rows:
+        n, chars, symbols, dup, _, base = quality(text)
+        lines = [x for x in (text or "").split("\n") if words(x)]
+        measured.append((host, base, not base and 100 * symbols > 20 * chars, not base and 100 * dup > 50 * len(lines)))
+    size, rejected, watched = Counter(m[0] for m in measured), set(), [set(), set(), set()]
+    total = len(measured)
+    for k in range(3):
+        fails = Counter(m[0] for m in measured if m[k + 1])
+        mean = sum(fails.values()) / total
+        spread = sum(fails[h] ** 2 / n for h, n in size.items()) / total - mean**2 - mean * (1 - mean) * (len(size) - 1) / total
+        room = 1 - sum(n * n for n in size.values()) / total**2
+        between = spread / room if room > 0 else 0
+        strength = max(mean * (1 - mean) / between - 1, 1) if between > 0 else 1e9
+        for h, n in size.items():
+            rate = (fails[h] + mean * strength) / (n + strength)
+            if rate > 0.6:
+                rejected.add(h)
+            if rate > 0.01:
+                watched[k].add(h)
+    return [not base and h not in rejected and not (sym and h in watched[1]) and not (lin and h in watched[2]) for h, base, sym, lin in measured]
+
+
 def top_k(rows, queries, k=10, scale=1024):
     """Rows ``(id, vector)``; the result per query id in order of rank."""
     good = [(i, [int(np.floor(scale * float(x))) for x in v]) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]

@@ -637,7 +637,9 @@ def test_pipeline_stages(spark, given_docs):
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     (_, a, b, c1), (_, _, d, c2), (_, _, e, c3), (_, _, f, c4), (_, _, g, _) = seen
     assert c1 == c2 == c3 == c4 == columns
-    assert sorted(r.doc_id for r in b) == sorted(r.doc_id for r in a if not brute.quality(r.text)[-1])
+    verdicts = brute.verdicts([(r.text, r.source) for r in a])
+    assert sorted(r.doc_id for r in b) == sorted(r.doc_id for r, kept in zip(a, verdicts) if kept)
+    assert sum(verdicts) < sum(not brute.quality(r.text)[-1] for r in a)
     assert sorted(r.doc_id for r in d) == sorted(r.doc_id for r in b) and all(r.n_chars == len(r.text) for r in d if r.text is not None)
     links = brute.components([(r.doc_id, r.text) for r in d])
     assert sorted(r.doc_id for r in e) == sorted({x for _, x in links.values()})
@@ -654,3 +656,61 @@ def test_digest_of_kept_bytes(spark, given_docs):
     got = {r.doc_id: r.kept_sha256 for r in Q["op4_substrings"][0](spark, SF).collect()}
     want = {d: hashlib.sha256(k).hexdigest() for d, _, _, _, k in brute.cut([(d, t) for d, t, _ in given_docs])}
     assert got == want
+
+
+# --- methods that decide, hostile pages, clashing names ------------------------
+
+
+HOSTILE = [lambda n: "<a " * n + '"', lambda n: "<b>x " * n, lambda n: '<a "" ' * n + "'", lambda n: "<div>" * n + "</section>" * n,
+           lambda n: "<a '\"" * n, lambda n: "<svg><p>" * n]
+
+
+@pytest.mark.parametrize("page", HOSTILE, ids=range(len(HOSTILE)))
+def test_hostile_pages_take_linear_time(page):
+    """Some 50 KB, where the time of a quadratic parser is seconds, and sixteen times as much."""
+    import time
+
+    def took(text):
+        start = time.perf_counter()
+        html.main_text(text)
+        return time.perf_counter() - start
+
+    part, whole = took(page(12_000)), took(page(192_000))
+    assert whole < 40 * part + 1, (part, whole)
+
+
+def test_two_passes_find_the_article_without_its_tag(spark):
+    """The given pages with their article tags renamed: what the densities find is what the tag told."""
+    import re
+
+    pages = [r.html or "" for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    tagged = [p for p in pages if "<article" in p]
+    same = sum(html.main_text(p) == html.main_text(re.sub(r"<(/?)article\b", r"<\1div", p)) for p in tagged)
+    assert same >= 0.95 * len(tagged) > 0
+
+
+def long_text(rnd, symbols=0):
+    words = [rnd.choice("alpha beta gamma delta epsilon zeta eta theta".split()) + str(rnd.randrange(10**6)) for _ in range(80)]
+    return " ".join("#" * symbols + w for w in words)
+
+
+def test_host_verdicts_decide_on_long_documents(spark):
+    """Symbol-heavy documents of over 50 words: a junk host goes whole, a mixed host loses them, an odd one of a clean host stays."""
+    rnd = random.Random(5)
+    rows = [(i, long_text(rnd, 6 if i % 20 else 0), "junk") for i in range(300)]
+    rows += [(1000 + i, long_text(rnd, 6 if i % 10 == 0 else 0), "mixed") for i in range(300)]
+    rows += [(10_000 + i, long_text(rnd, 6 if i == 7 else 0), "clean") for i in range(3000)]
+    df = spark.createDataFrame([(*r, 1, "w") for r in rows], "doc_id long, text string, source string, __w int, row string").repartition(4)
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality.judge(df).collect()}
+    assert not any(base for base, _ in got.values())
+    assert not any(got[i][1] for i in range(300))
+    assert {i for i in range(1000, 1300) if not got[i][1]} == set(range(1000, 1300, 10))
+    assert all(got[i][1] for i in range(10_000, 13_000))
+    kept = quality.filter_documents(df)
+    assert kept.columns == df.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, (_, k) in got.items() if k}
+
+
+def test_verdicts_differ_from_the_base_rule_on_given_documents(spark):
+    got = quality.judge(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    assert got.where("kept = base_failed and not base_failed").count() > 100

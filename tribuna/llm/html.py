@@ -73,7 +73,9 @@ MANY_STOPS = 0.15
 #: A page's own stop words are to make up this share of the long blocks that they are taken from, twice what a good block needs.
 OWN_SHARE = 2 * MANY_STOPS
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|([^<]+|<)", re.S)
+#: A comment or declaration, the start of a tag, or text.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)|([^<]+|<)", re.S)
+SPECIAL = re.compile("[\"'>]")
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 SEAM = re.compile(r"[-:]+")
 #: Thai, Lao, Burmese, Khmer, kana and Han letters: words have no spaces between them.
@@ -116,95 +118,164 @@ def furniture(tag: str, attributes: str, inside_article: bool) -> int:
     return found
 
 
+class TagEnds:
+    """Where tags end: at the first > outside of quotes.
+
+    A tag that runs into a quote without end is no tag.  Quotes that lead there
+    are remembered, so no part of a page is searched again for each tag before it.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.doomed: set[int] = set()
+        self.none_from = {'"': len(page), "'": len(page)}  # from here on there is no such quote
+        self.special = (0, -1)  # the next special character (second) for all places from the first on
+
+    def next_special(self, at: int) -> int:
+        start, found = self.special
+        if not start <= at <= found:
+            m = SPECIAL.search(self.page, at)
+            found = m.start() if m else len(self.page)
+            self.special = (at, found)
+        return found
+
+    def find(self, at: int) -> tuple[int, int] | None:
+        """End of the attributes and of the tag; both the page's where it is cut off in the tag."""
+        page, passed = self.page, []
+        while True:
+            p = self.next_special(at)
+            if p == len(page):
+                return p, p
+            c = page[p]
+            if c == ">":
+                return p, p + 1
+            passed.append(p)
+            close = -1 if p in self.doomed or p + 1 >= self.none_from[c] else page.find(c, p + 1)
+            if close < 0:
+                if p not in self.doomed:
+                    self.none_from[c] = min(self.none_from[c], p + 1)
+                self.doomed.update(passed)
+                return None
+            at = close + 1
+
+
+class Open:
+    """The open block-level and silent elements; inline ones play no part."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int, bool]] = []  # tag, furniture, article
+        self.count: Counter[str] = Counter()
+        self.silent = 0
+
+    @property
+    def top(self) -> tuple[str, int, bool]:
+        return self.stack[-1] if self.stack else ("", NO, False)
+
+    def push(self, tag: str, bad: int, article: bool) -> None:
+        self.stack.append((tag, bad, article))
+        self.count[tag] += 1
+        self.silent += tag in SILENT_TAGS
+
+    def pop(self) -> str:
+        tag = self.stack.pop()[0]
+        self.count[tag] -= 1
+        self.silent -= tag in SILENT_TAGS
+        return tag
+
+    def close(self, tag: str) -> None:
+        """Ends the innermost element of this tag and all inside it."""
+        if self.count[tag]:
+            while self.pop() != tag:
+                pass
+
+    def close_outermost(self, tag: str) -> None:
+        while self.count[tag]:
+            self.pop()
+
+
 def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     """Text, characters inside links, whether inside furniture, whether inside an article, of each block in page order."""
     out: list[tuple[str, int, bool, bool]] = []
     text: list[str] = []
     linked = 0
-    stack: list[tuple[str, int, bool]] = []  # tag, furniture, article
+    elements, ends = Open(), TagEnds(page)
     link = 0
-    silent = 0
-    bad, article = NO, False
 
     def end() -> None:
         nonlocal linked
         if text:
             words = " ".join("".join(text).split())
             if words:
+                _, bad, article = elements.top
                 out.append((words, linked, bad != NO, article))
             text.clear()
         linked = 0
 
-    def settled() -> None:
-        nonlocal bad, article, silent
-        bad, article = (stack[-1][1], stack[-1][2]) if stack else (NO, False)
-        silent = sum(t in SILENT_TAGS for t, _, _ in stack)
+    def write(run: str) -> None:
+        nonlocal linked
+        if elements.top[0] == "head" and run.strip():  # text ends a head that is not closed
+            elements.pop()
+        if not elements.silent:
+            run = entities.unescape(run)
+            text.append(run)
+            if link:
+                linked += len("".join(run.split()))
 
     at, size = 0, len(page)
     while at < size:
         m = TOKEN.match(page, at)
-        at = m.end()
-        closing, tag, attributes, run = m.groups()
+        closing, tag, run = m.groups()
         if run is not None:
-            if stack and stack[-1][0] == "head" and run.strip():  # text ends a head that is not closed
-                stack.pop()
-                settled()
-            if not silent:
-                run = entities.unescape(run)
-                text.append(run)
-                if link:
-                    linked += len("".join(run.split()))
+            at = m.end()
+            write(run)
             continue
         if tag is None:
+            at = m.end()
+            continue
+        found = ends.find(m.end())
+        if found is None:  # no tag: its < is text
+            at += 1
+            write("<")
             continue
+        attributes, at = page[m.end() : found[0]], found[1]
         tag = tag.lower()
-        if not closing:
-            if silent and tag not in HEAD_TAGS and (tag == "body" or stack[-1][0] == "head"):  # so does what cannot stand in one
-                for i, (open_tag, _, _) in enumerate(stack):
-                    if open_tag == "head":
-                        del stack[i:]
-                        settled()
-                        break
-            if tag in RAW_TAGS and not attributes.endswith("/"):
-                close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = close.end() if close else size
-                if tag in BLOCK_TAGS:
-                    end()
-                continue
+        if closing:
             if tag in BLOCK_TAGS:
                 end()
                 link = 0
-                if tag == "p" or tag in ("li", "td", "th", "tr", "dd", "dt", "option"):  # these end their like when not closed
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] == tag:
-                            del stack[i:]
-                            break
-                        if stack[i][0] in BLOCK_TAGS:
-                            break
-            elif tag == "br":
-                text.append(" ")
             elif tag == "a":
-                link = 1
-            if tag in VOID_TAGS or attributes.endswith("/"):
-                continue
-            if tag in BLOCK_TAGS or tag in SILENT_TAGS:
-                inside = tag in ("article", "main")
-                if inside and (bad == NAMED or (bad == LISTED and not article)):
-                    bad = NO  # a name does not reach into an article
-                stack.append((tag, max(bad, furniture(tag, attributes, article)), article or inside))
-            else:
-                stack.append((tag, bad, article))
-        else:
+                link = 0
+            elements.close(tag)
+            continue
+        if elements.silent and tag not in HEAD_TAGS and (tag == "body" or elements.top[0] == "head"):  # so does what cannot stand in one
+            elements.close_outermost("head")
+        if tag in RAW_TAGS and not attributes.endswith("/"):
+            close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = close.end() if close else size
             if tag in BLOCK_TAGS:
                 end()
-                link = 0
-            elif tag == "a":
-                link = 0
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-        settled()
+            continue
+        if tag in BLOCK_TAGS:
+            end()
+            link = 0
+            if tag in ("p", "li", "td", "th", "tr", "dd", "dt", "option"):  # these end their like when not closed
+                for open_tag, _, _ in reversed(elements.stack):
+                    if open_tag == tag:
+                        elements.close(tag)
+                        break
+                    if open_tag in BLOCK_TAGS:
+                        break
+        elif tag == "br":
+            text.append(" ")
+        elif tag == "a":
+            link = 1
+        if tag in VOID_TAGS or attributes.endswith("/") or not (tag in BLOCK_TAGS or tag in SILENT_TAGS):
+            continue
+        _, bad, article = elements.top
+        inside = tag in ("article", "main")
+        if inside and (bad == NAMED or (bad == LISTED and not article)):
+            bad = NO  # a name does not reach into an article
+        elements.push(tag, max(bad, furniture(tag, attributes, article)), article or inside)
     end()
     return out
 
@@ -246,14 +317,18 @@ def stop_words(long_blocks: list[list[str]]) -> frozenset[str] | set[str]:
 
 
 def classify(page_blocks: list[tuple[str, int, bool, bool]]) -> list[int]:
-    """First pass.  In a page with an article element, what stands outside of it is bad."""
+    """First pass: words, links and stop words.
+
+    In a page with an article element, what stands outside of it is bad, and
+    what the densities would call bad inside it is undecided: the second pass
+    settles it by the article's decided blocks.
+    """
     has_article = any(a for _, _, _, a in page_blocks)
     words = [[w.lower() for w in LETTERS.findall(t)] for t, _, _, _ in page_blocks]
     sizes = [length(w) for w in words]
     much_linked = [linked > MAX_LINK_SHARE * (len(t) - t.count(" ")) for t, linked, _, _ in page_blocks]
-    stops = STOP_WORDS  # inside an article length and links decide
-    if not has_article:
-        stops = stop_words([w for w, n, links, (_, _, bad, _) in zip(words, sizes, much_linked, page_blocks) if n >= LONG_WORDS and not links and not bad])
+    stops = stop_words([w for w, n, links, (_, _, bad, article) in zip(words, sizes, much_linked, page_blocks)
+                        if n >= LONG_WORDS and not links and not bad and (article or not has_article)])
     labels = []
     for own, n, links, (_, _, bad, article) in zip(words, sizes, much_linked, page_blocks):
         if bad or (has_article and not article):
@@ -264,7 +339,7 @@ def classify(page_blocks: list[tuple[str, int, bool, bool]]) -> list[int]:
             labels.append(OPEN)
         else:
             share = stop_share(own, stops)
-            labels.append(GOOD if share >= MANY_STOPS or article else OPEN if share >= FEW_STOPS else BAD)
+            labels.append(GOOD if share >= MANY_STOPS else OPEN if article or share >= FEW_STOPS else BAD)
     return labels
 
 

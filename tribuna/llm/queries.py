@@ -174,24 +174,25 @@ def _prior(rule: str) -> str:
   , prior_{rule} AS (SELECT m * strength AS a_{rule}, (1 - m) * strength AS b_{rule} FROM spread_{rule})"""
 
 
+QUALITY_RULES = ("base", "symbols", "lines")
 QUALITY_SQL = f"""
 WITH m AS ({MEASURE_SQL}), r AS ({WINDOW_SQL}),
 f AS (
-  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base,
-         100 * n_symbols > {quality.MAX_SYMBOL_PERCENT} * word_chars AS symbols,
-         100 * n_dup_lines > {quality.MAX_DUP_LINE_PERCENT} * n_lines AS lines_
-  FROM (SELECT m.* EXCLUDE (lines), coalesce(r.n_repeat_words, 0) AS n_repeat_words FROM m LEFT JOIN r USING (rid))
+  SELECT *, NOT base AND 100 * n_symbols > 20 * word_chars AS symbols, NOT base AND 100 * n_dup_lines > 50 * n_lines AS lines_
+  FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base
+        FROM (SELECT m.* EXCLUDE (lines), coalesce(r.n_repeat_words, 0) AS n_repeat_words FROM m LEFT JOIN r USING (rid)))
 ), hosts AS (
   SELECT source, count(*) AS n, sum(base::int) AS f_base, sum(symbols::int) AS f_symbols, sum(lines_::int) AS f_lines FROM f GROUP BY source
-){"".join(_prior(r) for r in quality.RULES)}
-, bad AS (
-  SELECT source FROM hosts, {", ".join(f"prior_{r}" for r in quality.RULES)}
-  WHERE greatest({", ".join(_shrunk(r) for r in quality.RULES)}) > {quality.MAX_HOST_RATE}
+){"".join(_prior(r) for r in QUALITY_RULES)}
+, verdict AS (
+  SELECT source, greatest({", ".join(_shrunk(r) for r in QUALITY_RULES)}) > 0.6 AS rejected,
+         {_shrunk("symbols")} > 0.01 AS watch_symbols, {_shrunk("lines")} > 0.01 AS watch_lines
+  FROM hosts, {", ".join(f"prior_{r}" for r in QUALITY_RULES)}
 )
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base AS base_failed,
-       NOT base AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM f.source) AS kept
-FROM f
+       NOT base AND NOT rejected AND NOT (symbols AND watch_symbols) AND NOT (lines_ AND watch_lines) AS kept
+FROM f JOIN verdict ON verdict.source IS NOT DISTINCT FROM f.source
 """
 
 KNN_SQL = f"""

@@ -42,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,14 +118,13 @@ def send_anchors(batches: Iterator[pa.RecordBatch], length: int, gram: int, buck
             first = np.concatenate(([True], anchor[1:] != anchor[:-1]))
             shared = ~first | ~np.concatenate((first[1:], [True]))
             bucket = ((anchor >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            ends = np.searchsorted(bucket, np.arange(buckets + 1))
+            here, begins = np.unique(bucket, return_index=True)
             packed = np.concatenate(
                 (top_bytes(anchor << np.uint64(8 * (8 - sig_bytes)), sig_bytes), top_bytes(who << np.uint64(8 * (8 - id_bytes)), id_bytes)), axis=1
             )
             out = [
                 (b, packed[x:y][first[x:y]].tobytes(), packed[x:y][shared[x:y]].tobytes())
-                for b, (x, y) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist()))
-                if x < y
+                for b, x, y in zip(here.tolist(), begins.tolist(), np.append(begins[1:], len(bucket)).tolist())
             ]
             b, new, told = zip(*out)
             yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(new, pa.binary()), pa.array(told, pa.binary())], names=["bucket", "new", "told"])
@@ -290,27 +290,32 @@ def send_segments(batches: Iterator[pa.RecordBatch], length: int, gram: int, buc
                 key = np.array([dealt.get(t, p[0][0]) for t, p in best.items()], dtype=np.int64).view(np.uint64)
                 bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
-                ends = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+                here, begins = np.unique(bucket[order], return_index=True)
+                ends = np.append(begins[1:], len(order)).tolist()
                 order = order.tolist()
-                for b, (x, y) in enumerate(zip(ends[:-1], ends[1:])):
-                    if x < y:
-                        table = np.array([(j, *p) for j, i in enumerate(order[x:y]) for p in places[i]], dtype="<i8")
-                        text = b"".join(strings[i] for i in order[x:y])
-                        out.append((b, pack.compress(text), pack.compress(table.tobytes()), None, None, None, None))
+                for b, x, y in zip(here.tolist(), begins.tolist(), ends):
+                    table = np.array([(j, *p) for j, i in enumerate(order[x:y]) for p in places[i]], dtype="<i8")
+                    text = b"".join(strings[i] for i in order[x:y])
+                    out.append((b, pack.compress(text), pack.compress(table.tobytes()), None, None, None, None))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
 
 def removed_runs(table: pa.Table, length: int) -> pa.Table:
-    """Runs of windows that are removed, from the segments of one bucket."""
+    """Runs of windows that are removed, from the segments of one bucket, and those of it that were known before."""
     import zstandard
 
     unpack = zstandard.ZstdDecompressor()
+    names_out = ("doc_id", "th", "start", "windows")
+    known = table.filter(pc.is_null(table.column("strings"))).select(list(names_out))
+    table = table.filter(pc.is_valid(table.column("strings")))
+    if not len(table):
+        return known
     name_of: dict[bytes, int] = {}
     parts = []
-    for text, places in zip(table.column("strings").to_pylist(), table.column("places").to_pylist()):
-        text = unpack.decompress(text)
-        t = np.frombuffer(unpack.decompress(places), dtype="<i8").reshape(-1, 7)
+    for text, places in zip(table.column("strings"), table.column("places")):
+        text = unpack.decompress(text.as_py())
+        t = np.frombuffer(unpack.decompress(places.as_py()), dtype="<i8").reshape(-1, 7)
         first = np.flatnonzero(np.concatenate(([True], t[1:, 0] != t[:-1, 0])))
         ends = np.cumsum(t[first, 2])
         names = [name_of.setdefault(text[a:z], len(name_of)) for a, z in zip((ends - t[first, 2]).tolist(), ends.tolist())]
@@ -351,7 +356,7 @@ def removed_runs(table: pa.Table, length: int) -> pa.Table:
         begin = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (below[1:] != below[:-1]))))
         remove(owner[begin], place[begin], np.diff(np.append(begin, len(owner))), below[begin])
     columns = list(zip(*out)) if out else [(), (), (), ()]
-    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("doc_id", "th", "start", "windows"), columns)})
+    return pa.concat_tables([known, pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names_out, columns)})])
 
 
 def cut_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -410,16 +415,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
     per_doc = shared.groupBy("short").agg(F.collect_list("anchors").alias("anchors"), F.collect_list("hot").alias("hot"))
     short = F.shiftrightunsigned("key", 8 * (8 - id_bytes))
     with_anchors = named.withColumn("short", short).join(per_doc, "short").select("doc_id", "th", "text", "anchors", "hot")
-    segments = cut_lineage(
-        with_anchors.mapInArrow(
-            lambda it: send_segments(it, length, gram, parts, sig_bytes, buckets),
-            "bucket int, strings binary, places binary, doc_id long, th long, start long, windows long",
-        )
+    segments = with_anchors.mapInArrow(
+        lambda it: send_segments(it, length, gram, parts, sig_bytes, buckets),
+        "bucket int, strings binary, places binary, doc_id long, th long, start long, windows long",
     )
-    runs = segments.where("bucket is null").select("doc_id", "th", "start", "windows").union(
-        segments.where("bucket is not null").select("bucket", "strings", "places").groupBy("bucket").applyInArrow(
-            lambda t: removed_runs(t, length), "doc_id long, th long, start long, windows long"
-        )
+    # The segments are shuffled once and stored nowhere; what is kept is the runs, numbers only.
+    home = F.coalesce("bucket", F.pmod("th", F.lit(parts)).cast("int"))  # known runs ride along with any bucket
+    runs = cut_lineage(
+        segments.withColumn("home", home).groupBy("home").applyInArrow(lambda t: removed_runs(t, length), "doc_id long, th long, start long, windows long")
     )
     by_row = runs.groupBy(F.col("doc_id").alias("r_id"), F.col("th").alias("r_th")).agg(F.collect_set(F.struct("start", "windows")).alias("runs"))
     out = slim.join(by_row, (slim["doc_id"] == by_row["r_id"]) & (slim["th"] == by_row["r_th"]), "left").select(slim["doc_id"], "text", "runs")
