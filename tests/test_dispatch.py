@@ -107,12 +107,35 @@ def test_backfill_without_budget_counts_all_pairs(spark):
     """More messages than the largest budget of a tick."""
     n = spark.read.parquet("/root/testdata/sf0.1/orders.parquet").count()
     r = all_queries()["backfill_force"][0](spark, "/root/testdata/sf0.1").first()
-    assert r.records_seen == n and r.messages_enqueued + r.records_skipped_same_run == 2 * n > budget.ABSOLUTE_MAX_TASKS
-
-
-def test_budget_refuses_unbounded_limits(spark):
-    with pytest.raises(ValueError):
-        budget.apply_budget(random_plan(spark, 1)[1], ["num", "seq"], 10**6)
+    assert r.records_seen == n and r.messages_enqueued + r.records_skipped_same_run == 2 * n > 100_000
+
+
+@pytest.mark.parametrize("n", [1, 100_001, 180_000, 10**9])
+def test_budget_of_any_size(spark, n):
+    """More messages than a task would want to hold; every third pair is skipped."""
+    i = F.col("id")
+    plan = spark.range(0, 300_000, 1, 8).select(
+        (F.pmod(i * 7919, F.lit(300_000)) - 150_000).alias("num"), F.when(i % 3 == 0, "skip_queued").otherwise("enqueue").alias("action"))
+    out = budget.apply_budget(plan, ["num"], n)
+    last = plan.where("action = 'enqueue'").orderBy("num").offset(n - 1).limit(1).first() if n < 200_000 else None
+    got = {r.outcome: (r.n, r.top) for r in out.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.max("num").alias("top")).collect()}
+    assert got["dispatch"][0] == min(n, 200_000) and sum(g for g, _ in got.values()) == 300_000
+    assert ("deferred" in got) == (n < 200_000) and (last is None or got["dispatch"][1] == last.num)
+
+
+def test_nth_key_of_texts_times_and_hot_values(spark):
+    """A third of the rows on one first value; texts longer than one number, nulls first."""
+    rnd = random.Random(6)
+    rows = [(None if i % 50 == 0 else "hot" if i % 3 == 0 else "naïve text " + "x" * rnd.randrange(12) + rnd.choice("ab\x00"), f"2024-01-{i % 28 + 1:02d} 10:00:00", rnd.choice([-(2**62), 0, i, 2**62])) for i in range(6000)]
+    df = spark.createDataFrame(rows, "s string, t string, v long").withColumn("t", F.col("t").cast("timestamp_ntz")).repartition(5)
+    order = ["s", "t", "v"]
+    placed, names = budget._placed(df.withColumn("action", F.lit("enqueue")), order)
+    want = df.orderBy(*order).collect()
+    for n in (1, 100, 2500, 4100, 6000):
+        cut = budget.nth(placed.select(*names), names, n)
+        hit = placed.where(F.struct(*names) == F.struct(*[F.lit(c).cast("bigint").alias(x) for x, c in zip(names, cut)])).select(*order).first()
+        assert tuple(hit) == tuple(want[n - 1])
+    assert budget.nth(placed.select(*names), names, 6001) is None
 
 
 def test_ordinals_are_exact_and_dense(spark):
@@ -164,6 +187,24 @@ def test_idle_streak(spark):
     assert got == [(1, False), (2, False), (0, False), (1, False), (2, False), (3, True), (4, True), (0, False)]
 
 
+def test_idle_streak_of_a_hot_key_spans_chunks(spark):
+    """One key with a third of all ticks, long idle stretches over many chunks, missing counts."""
+    rnd = random.Random(9)
+    rows, want = [], {}
+    for key, n in (("hot", 4000), ("a", 300), (None, 200), *((f"k{i}", 60) for i in range(100))):
+        streak, busy = 0, rnd.choice([0.001, 0.3])
+        for t in range(n):
+            q = None if t % 97 == 5 else rnd.randrange(1, 5) if rnd.random() < (0.0008 if key == "hot" else busy) else 0
+            streak = 0 if q else streak + (q == 0)
+            rows.append((key, t, q))
+            want[(key, t)] = (streak, streak >= 3)
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "run string, tick int, queued int").repartition(6)
+    out = batches.idle_streak(df, ["run"], "tick")
+    assert out.columns == ["run", "tick", "queued", "idle_ticks", "enqueue_phase_complete"]
+    assert {(r.run, r.tick): (r.idle_ticks, r.enqueue_phase_complete) for r in out.collect()} == want
+
+
 def test_fingerprint_merge_and_diff(spark):
     f = lambda rows: spark.createDataFrame(rows, "id string, uid string, hash string")
     old, new = f([("1", "u", "a"), ("2", "u", "b")]), f([("2", "u", "c"), ("3", "u", "d")])
@@ -178,4 +219,4 @@ def test_count_window_warns_even_at_the_true_end(spark):
     assert (r.distinct_ids, r.pages_fetched, r.warning) == (4, 3, "max_list_pages_reached_during_count")
     assert batches.count_window(df, ["k"], 4).first().warning is None
     r = batches.count_window(df, ["k"], 2).first()
-    assert (r.distinct_ids, r.pages_fetched, r.warning is None) == (3, 3, False)
+    assert (r.distinct_ids, r.pages_fetched, r.warning is None) == (4, 3, False)  # long listings are counted whole

@@ -218,3 +218,63 @@ def test_log_compaction_keeps_the_newest(spark):
     table_log.compact(spark, f"{out}/log", ["k"], f"{out}/small")
     got = dict(map(tuple, table_log.read_log(spark, f"{out}/small").select("k", "v").collect()))
     assert got == {"a": 2, "k0": 0, "k1": 1, "k2": 2}
+
+
+def test_failed_ids_are_offered_again_above_the_cursor(spark):
+    """Ticks of ten ids; 8 and 9 fail at first, 25 twice, a text id once: the cursor follows the successes only."""
+    src, out = fresh(), fresh()
+    fails = {"8": 1, "9": 1, "25": 2, "29": 2, "x1": 1}
+    for i in range(4):
+        ids = [(str(10 * i + j),) for j in range(10)] + ([("x1",)] if i == 0 else [])
+        spark.createDataFrame(ids, "id string").coalesce(1).write.mode("append").parquet(f"{src}/in")
+    times = spark.createDataFrame(list(fails.items()), "id string, n int")
+
+    def outcomes(offered):
+        joined = offered.join(times, "id", "left")
+        return joined.withColumn("status", F.when(F.col("attempt") <= F.coalesce("n", F.lit(0)), "FAILED").otherwise("SUCCESS"))
+
+    MB.stream_after_cursor(MB.read_feed(spark, f"{src}/in", "id string", files_per_trigger=1), f"{out}/c", f"{out}/cp", outcomes)
+    rows = {(r.batch_id, r.id): (r.attempt, r.status) for r in table_log.read_log(spark, f"{out}/c/rows").collect()}
+    cursors = {r.batch_id: r.cursor for r in table_log.read_log(spark, f"{out}/c/cursor").collect()}
+    assert cursors == {0: 7, 1: 19, 2: 28, 3: 39}
+    assert rows[(1, "8")] == rows[(1, "9")] == rows[(1, "x1")] == (2, "SUCCESS")
+    assert rows[(2, "25")] == (1, "FAILED") and (3, "25") not in rows  # at or below the cursor: the reconciliation has it
+    assert rows[(2, "29")] == (1, "FAILED") and rows[(3, "29")] == (2, "FAILED")
+    assert {i for b, i in rows if b == 3} == {*map(str, range(30, 40)), "29"}
+
+
+def test_dedup_reads_no_more_as_batches_go_by(spark):
+    """Eight equal batches, half of each seen before: what the state reads per batch stays level."""
+    src, out = fresh(), fresh()
+    schema = "uid string, hash string"
+    for i in range(8):
+        ids = spark.range(i * 500, i * 500 + 1000, 1, 1).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("uid"), F.lit("h").alias("hash"))
+        ids.coalesce(1).write.mode("append").parquet(f"{src}/in")
+    progress = MB.stream_dedup(MB.read_feed(spark, f"{src}/in", schema, files_per_trigger=1), f"{out}/d", f"{out}/cp")
+    busy = [p for p in progress if p.numInputRows]
+    assert len(busy) == 8 and spark.read.parquet(f"{out}/d").count() == 4500
+    read = [p.stateOperators[0].customMetrics["rocksdbTotalBytesRead"] for p in busy]
+    new = [p.stateOperators[0].numRowsUpdated for p in busy]
+    assert new == [1000] + [500] * 7
+    assert max(read[1:]) <= 1.5 * max(1, min(read[1:])), read
+
+
+def test_an_unchanged_day_is_not_shuffled(spark):
+    days = spark.range(0, 20000, 1, 4).select(
+        F.concat(F.lit("2024-01-"), F.lpad((F.col("id") % 20 + 1).cast("string"), 2, "0")).alias("day"),
+        F.concat(F.lit("u"), F.col("id").cast("string")).alias("uid"), F.lit("h").alias("hash"))
+    src = fresh()
+    days.write.parquet(f"{src}/full")
+    days.where("day <> '2024-01-07' or uid = 'u6'").write.parquet(f"{src}/done")
+    full, done = spark.read.parquet(f"{src}/full"), spark.read.parquet(f"{src}/done")
+    want = sorted(map(tuple, MB.reconcile_batch(full, done).select("uid", "hash").collect()))
+    out = MB.reconcile_by_digest(full, done)
+    assert sorted(map(tuple, out.select("uid", "hash").collect())) == want and len(want) == 999
+    parts = MB.changed_parts(full, done)
+    assert {r.day for r in parts.collect()} == {"2024-01-07"}
+    path = f"{src}/parts"
+    parts.write.parquet(path)
+    moved = MB.rows_of(full, spark.read.parquet(path))
+    text = moved._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text and moved.count() == 1000
+    assert sorted(map(tuple, MB.reconcile_by_digest(full, full).collect())) == []

@@ -2,7 +2,9 @@
 
 import random
 import tempfile
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tribuna.operators import merges, status
@@ -130,7 +132,23 @@ def test_stream_over_many_batches_equals_the_loop(spark):
         spark.createDataFrame(rows[i * 80:(i + 1) * 80], EVENTS).coalesce(1).write.mode("append").parquet(f"{src}/in")
     feed = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{src}/in")
     TS.stream_states(feed, ["row_key"], f"{out}/log", cp)
-    assert spark.read.parquet(f"{out}/log").select("batch_id").distinct().count() == 5
+    assert [s for s, _ in TS.state_table(spark, f"{out}/log", ["row_key"]).live()[-1:]] == [8]
+    check(rows, TS.current(spark, f"{out}/log", ["row_key"]))
+
+
+@pytest.mark.parametrize("cuts,full", [(1, 8), (3, 2), (7, 2), (10, 3)])
+def test_folding_and_batch_borders_change_nothing(spark, cuts, full):
+    """Events in order of time, cut into batches anywhere; full buckets are folded on the way."""
+    rows = make_events(3)
+    src, out, cp = (tempfile.mkdtemp(prefix="spark-") for _ in range(3))
+    edges = sorted({0, len(rows), *random.Random(cuts).sample(range(1, len(rows)), cuts - 1)})
+    for a, z in zip(edges, edges[1:]):
+        spark.createDataFrame(rows[a:z], EVENTS).coalesce(1).write.mode("append").parquet(f"{src}/in")
+    feed = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{src}/in")
+    TS.stream_states(feed, ["row_key"], f"{out}/log", cp, full=full)
+    table = TS.state_table(spark, f"{out}/log", ["row_key"])
+    writes = Counter(b for _, b in table.live())
+    assert max(writes.values()) < max(full, 2)
     check(rows, TS.current(spark, f"{out}/log", ["row_key"]))
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tribuna import catalog
+from tribuna.session import cut_lineage
 
 
 def running_totals(df: DataFrame, keys: list[str], chunk: str, order: list[str], values: dict[str, str]) -> DataFrame:
@@ -43,35 +47,47 @@ def batch_totals(batches: DataFrame, control: list[str], chunk: str, order: list
 def idle_streak(ticks: DataFrame, keys: list[str], order: str, idle_limit: int = 3) -> DataFrame:
     """Consecutive ticks that queued nothing; ``idle_limit`` of them end the phase.
 
-    A tick table has one row per scheduled tick and run, so a run's rows are
-    bounded by its lifetime in ticks.
+    A scan in two levels.  Rows are placed by ranges of key and order, so a key
+    with a third of all ticks lies in many chunks.  A chunk is known by its idle
+    ticks, those after its last busy tick, and whether it has a busy one; these
+    are carried on from chunk to chunk of a key (a row per chunk), and rows add
+    what was carried in until their chunk's first busy tick.
     """
-    w = Window.partitionBy(*keys).orderBy(order)
-    island = F.sum(F.when(F.col("queued") > 0, 1).otherwise(0)).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)
-    )
-    out = ticks.withColumn("_island", island)
-    inside = Window.partitionBy(*keys, "_island").orderBy(order)
-    idle = F.sum(F.when(F.col("queued") == 0, 1).otherwise(0)).over(inside)
+    placed = cut_lineage(ticks.repartitionByRange(*keys, order).withColumn("_part", F.spark_partition_id()))
+    busy, idle = (F.col("queued") > 0).cast("int"), (F.col("queued") == 0).cast("long")
+    here = Window.partitionBy(*keys, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = placed.withColumn("_island", F.sum(F.coalesce(busy, F.lit(0))).over(here)).withColumn("_idle", F.coalesce(idle, F.lit(0)))
+    chunk = rows.groupBy(*keys, "_part", "_island").agg(F.sum("_idle").alias("_n")).groupBy(*keys, "_part").agg(
+        F.max("_island").alias("_last"), F.max_by("_n", "_island").alias("_tail"))
+    broken = (F.col("_last") > 0).cast("int")
+    so_far = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    chunk = chunk.withColumn("_breaks", F.sum(broken).over(so_far))
+    # Chunks between two with busy ticks add up; the one with a busy tick adds its tail.
+    until = Window.partitionBy(*keys, "_breaks").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    carried = chunk.withColumn("_sum", F.sum("_tail").over(until))
+    into = carried.select(*keys, "_part", F.lag("_sum", 1, 0).over(Window.partitionBy(*keys).orderBy("_part")).alias("_carry"))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, "_part"]]
+    joined = rows.alias("r").join(into.alias("c"), reduce(and_, same)).select("r.*", "_carry")
+    inside = Window.partitionBy(*keys, "_part", "_island").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    streak = F.sum("_idle").over(inside) + F.when(F.col("_island") == 0, F.col("_carry")).otherwise(0)
     return (
-        out.withColumn("idle_ticks", idle.cast("bigint"))
+        joined.withColumn("idle_ticks", streak.cast("bigint"))
         .withColumn("enqueue_phase_complete", F.col("idle_ticks") >= idle_limit)
-        .drop("_island")
+        .drop("_part", "_island", "_idle", "_carry")
     )
 
 
-def count_window(items: DataFrame, keys: list[str], max_pages: int) -> DataFrame:
-    """Exact distinct ids of a dry-run listing, and the page the listing stopped at.
+def count_window(items: DataFrame, keys: list[str], warn_pages: int) -> DataFrame:
+    """Exact distinct ids of a dry-run listing, over all its pages, and the page it ended at.
 
-    ``items`` has ``page`` and ``id``.  Pages past ``max_pages`` are not read:
-    the listing then stops one page after the limit.  The warning is raised
-    whenever that page reaches the limit, even if it was the true end.
+    ``items`` has ``page`` and ``id``.  ``warn_pages`` is the length from which a
+    listing is reported as long; it cuts nothing.
     """
-    top = F.least(F.max("page"), F.lit(max_pages + 1))
+    top = F.max("page")
     return items.groupBy(*keys).agg(
-        F.countDistinct(F.when(F.col("page") <= max_pages, F.col("id").cast("string"))).alias("distinct_ids"),
+        F.countDistinct(F.col("id").cast("string")).alias("distinct_ids"),
         top.alias("pages_fetched"),
-        F.when(top >= max_pages, F.lit("max_list_pages_reached_during_count")).alias("warning"),
+        F.when(top >= warn_pages, F.lit("max_list_pages_reached_during_count")).alias("warning"),
     )
 
 

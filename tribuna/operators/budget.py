@@ -1,20 +1,26 @@
 """Dispatch budgets, resumable slices and cursors.
 
-A budget needs the N-th enqueue row of a global order.  ``orderBy().limit(N)``
-keeps N rows per task and merges them, so no global sort and no
-single-partition window is involved; every other row is then compared with
-that one cutoff key, an uncorrelated scalar subquery.  N is a per-tick limit
-of at most 100 000 keys.  A backfill may have no budget; then every pair is in.
+A budget needs the N-th enqueue row of a global order, for any N.  The order's
+columns become numbers, and the N-th key is found by histograms: each pass
+counts the rows of equal ranges, the range that holds the N-th is cut again,
+column by column, until so few rows are left that they are ordered.  A pass
+shuffles one row per range and task, nothing is sorted as a whole, and no task
+ever holds N rows.  Every other row is then compared with that one key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tribuna.session import cut_lineage
 
-ABSOLUTE_MAX_TASKS = 100_000
+#: Ranges of a histogram, and rows that are no longer counted but ordered.
+RANGES = 1024
+REST = 4096
+#: Bytes of a text that one number holds.
+CHUNK = 7
 
 
 def _key(order: list[str]) -> Column:
@@ -25,32 +31,86 @@ def _is_enqueue() -> Column:
     return F.col("action").startswith("enqueue")
 
 
-def _cutoff(plan: DataFrame, order: list[str], n: int) -> DataFrame:
-    """The N-th enqueue key in one row; null when fewer exist."""
-    head = plan.where(_is_enqueue()).select(*order).orderBy(*order).limit(n)
-    return head.agg(F.when(F.count(F.lit(1)) >= n, F.max(_key(order))).alias("cutoff"))
+def numbers(df: DataFrame, order: list[str]) -> list[Column]:
+    """The order's columns as numbers that sort alike; a null comes first, as it does in Spark.
 
-
-def _within(plan: DataFrame, order: list[str], n: int | None) -> Column:
+    Texts become numbers of seven bytes each, as many as the longest of them has.
+    """
+    out = []
+    for name in order:
+        c, kind = F.col(name), df.schema[name].dataType
+        if isinstance(kind, T.StringType):
+            longest = df.agg(F.max(F.octet_length(name)).alias("n")).first().n or 0
+            raw = F.hex(c.cast("binary"))
+            for at in range(0, max(longest, 1), CHUNK):
+                part = F.rpad(F.substring(raw, 2 * at + 1, 2 * CHUNK), 2 * CHUNK, "0")
+                out.append(F.coalesce(F.conv(part, 16, 10).cast("bigint"), F.lit(-1)))
+            out.append(F.coalesce(F.octet_length(name).cast("bigint"), F.lit(-1)))  # trailing zero bytes count too
+            continue
+        if isinstance(kind, T.DateType):
+            c = F.unix_date(c)
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            c = F.unix_micros(c.cast("timestamp"))
+        elif not isinstance(kind, (T.IntegralType, T.BooleanType)):
+            raise ValueError(f"no order by {name}: {kind.simpleString()}")
+        if df.schema[name].nullable:
+            out.append(c.isNotNull().cast("bigint"))
+        out.append(F.coalesce(c.cast("bigint"), F.lit(0)))
+    return out
+
+
+def nth(keys: DataFrame, columns: list[str], n: int) -> tuple | None:
+    """The ``n``-th smallest row (from 1) of columns of whole numbers; None when fewer exist."""
+    fixed: list[int] = []
+    for i, c in enumerate(columns):
+        span = keys.agg(F.min(c).alias("lo"), F.max(c).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+        if not i and n > span.n:
+            return None
+        lo, hi, left = span.lo, span.hi, span.n
+        while lo < hi:
+            if left <= REST:
+                row = keys.orderBy(*columns[i:]).limit(n).agg(F.max(F.struct(*columns[i:])).alias("k")).first().k
+                return (*fixed, *row)
+            width = (hi - lo) // RANGES + 1
+            # Differences of far numbers need more than 64 bits.
+            at = F.floor((F.col(c).cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)"))
+            counts = {r.b: r.n for r in keys.groupBy(at.cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
+            for b in sorted(counts):
+                if n <= counts[b]:
+                    break
+                n -= counts[b]
+            lo, hi, left = lo + b * width, min(hi, lo + (b + 1) * width - 1), counts[b]
+            keys = keys.where(F.col(c).between(lo, hi))
+        fixed.append(lo)
+    return tuple(fixed)
+
+
+def _placed(plan: DataFrame, order: list[str]) -> tuple[DataFrame, list[str]]:
+    """The plan, evaluated once, with its order as numbers."""
+    plan = cut_lineage(plan)
+    found = numbers(plan, order)
+    names = [f"_order{i}" for i in range(len(found))]
+    return plan.withColumns(dict(zip(names, found))), names
+
+
+def _within(placed: DataFrame, names: list[str], n: int | None) -> Column:
     """Whether a row comes no later than the N-th enqueue row."""
-    if n is None:
+    cut = None if n is None else nth(placed.where(_is_enqueue()).select(*names), names, n)
+    if cut is None:
         return F.lit(True)
-    return F.coalesce(_key(order) <= _cutoff(plan, order, n).scalar(), F.lit(True))
+    return F.struct(*names) <= F.struct(*[F.lit(v).cast("bigint").alias(c) for c, v in zip(names, cut)])
 
 
 def apply_budget(plan: DataFrame, order: list[str], n: int) -> DataFrame:
     """Splits a plan at the N-th enqueue row: ``dispatch`` / ``deferred`` / ``skip``.
 
     The tick stops right after its N-th message, so later rows are deferred
-    whatever their action was.
+    whatever their action was.  The plan runs once.
     """
-    if n > ABSOLUTE_MAX_TASKS:
-        raise ValueError(f"budget above {ABSOLUTE_MAX_TASKS}")
-    cut = _within(plan, order, n)
-    return plan.withColumn(
-        "outcome",
-        F.when(~cut, F.lit("deferred")).when(_is_enqueue(), F.lit("dispatch")).otherwise(F.lit("skip")),
-    )
+    placed, names = _placed(plan, order)
+    cut = _within(placed, names, n)
+    outcome = F.when(~cut, F.lit("deferred")).when(_is_enqueue(), F.lit("dispatch")).otherwise(F.lit("skip"))
+    return placed.withColumn("outcome", outcome).drop(*names)
 
 
 def tallies(plan: DataFrame, *keys: str) -> DataFrame:
@@ -76,8 +136,8 @@ def backfill_summary(plan: DataFrame, order: list[str], item: list[str], n: int
     plan's join runs once: its keys and actions are checkpointed and the four
     small passes read those.
     """
-    plan = cut_lineage(plan.select(*order, "action"))
-    before = plan.withColumn("_in", _within(plan, order, n))
+    plan, names = _placed(plan.select(*order, "action"), order)
+    before = plan.withColumn("_in", _within(plan, names, n))
     stop_item = before.where(~F.col("_in")).agg(F.min(_key(order)).alias("stop"))
     stop = stop_item.scalar()
     entered = stop.isNull() | (_key(item) <= F.struct(*[stop.getField(c) for c in item]))

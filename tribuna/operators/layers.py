@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tribuna.functions import hashing as H
 from tribuna.functions import scalars as S
+from tribuna.operators.budget import with_ordinal
 
 # Business key of an expense in the Silver layer.
 EXPENSE_KEY = ("id_deputado", "ano", "mes", "codDocumento", "dataDocumento", "urlDocumento")
@@ -184,6 +185,33 @@ def fact_expenses(silver: DataFrame, deputies: DataFrame) -> DataFrame:
     return facts.withColumn("beneficiario", classify(F.col("ide_cadastro"), F.col("nome")))
 
 
+def dense_keys(values: DataFrame, name: str, known: DataFrame | None = None, key: str = "key") -> DataFrame:
+    """Dense whole-number keys, from 1, for the distinct values of a natural key; ``name, key``.
+
+    Keys in ``known`` (``name, key``) stay for good; new values go on after its
+    largest, in their own order.  New values are placed by ranges, counted per
+    range and numbered inside it, so no task numbers them all.
+    """
+    new = values.where(F.col(name).isNotNull()).select(name).distinct()
+    first = F.lit(1)
+    if known is not None:
+        new = new.join(known.select(name), name, "left_anti")
+        first = F.coalesce(known.agg(F.max(key).alias("top")).scalar(), F.lit(0)) + 1
+    numbered = with_ordinal(new, [name], key).select(name, (F.col(key) + first).cast("bigint").alias(key))
+    return numbered if known is None else known.select(name, key).unionByName(numbered)
+
+
+def with_keys(facts: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Facts with ``<name>_key`` for each dimension ``{name: (name, key)}``; null where the natural key is.
+
+    A dimension is unique on its natural key, so facts never multiply; its size
+    decides broadcast or merge join at run time, and hot values are split.
+    """
+    for name, dim in dims.items():
+        facts = facts.join(dim.select(name, F.col("key").alias(f"{name}_key")), name, "left")
+    return facts
+
+
 def deputy_view(facts: DataFrame) -> DataFrame:
     return facts.where(F.col("beneficiario") == "DEPUTADO")
 

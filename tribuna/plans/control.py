@@ -10,8 +10,9 @@ from tribuna.operators import merges as G
 from tribuna.operators import status as ST_
 from tribuna.plans import stand_ins as ST
 from tribuna.plans.stand_ins import twin
-from tribuna.session import read_table
+from tribuna.session import cut_lineage, read_table, work_path
 from tribuna.sources import tables
+from tribuna.sources.keyed import KeyedTable
 from tribuna.streaming import task_state as TS
 
 _KEYS = ["domain", "pipeline_run_id"]
@@ -78,13 +79,25 @@ def _patch(spark, sf):
 
 def upsert_merge(spark, sf):
     """Null keeps the old value."""
-    base = ST.registry(spark, sf).where(F.col("enqueue_phase_complete")).select(*_KEYS, "status", "last_error")
+    base = ST.registry(spark, sf).select(*_KEYS, "status", "last_error")
     return G.upsert_merge(base, _patch(spark, sf), _KEYS)
 
 
+def upsert_copy_on_write(spark, sf):
+    """The registry as a keyed table; two deltas, each of which rewrites the buckets it hits and no other."""
+    table = KeyedTable(spark, work_path(spark, "registry"), "domain string, pipeline_run_id string, status string, last_error string, total_tasks_success string", _KEYS, 32)
+    table.rewrite(ST.registry(spark, sf).select(*_KEYS, "status", "last_error", F.lit(None).cast("string").alias("total_tasks_success")))
+    merge = lambda old, delta: G.upsert_merge(old, delta, _KEYS)
+    patch = cut_lineage(_patch(spark, sf))
+    one = F.col("domain") == "d1"
+    table.upsert(patch.where(one), merge)
+    table.upsert(patch.where(~one), merge)
+    return table.newest()
+
+
 def upsert_replace(spark, sf):
     """Listed columns are removed, others merge."""
-    base = ST.registry(spark, sf).where(F.col("enqueue_phase_complete")).select(*_KEYS, "status", "last_error")
+    base = ST.registry(spark, sf).select(*_KEYS, "status", "last_error")
     delta = _patch(spark, sf).withColumn(
         "cleared", F.when(F.col("total_tasks_success") == "0", F.array(F.lit("last_error"), F.lit("total_tasks_success"))))
     return G.upsert_replace(base, delta, _KEYS)
@@ -205,7 +218,7 @@ def resume_page(spark, sf):
 
 _OUT = "SELECT domain, cur AS run, status = 'SUCCESS' AS ok FROM run_state WHERE status IN ('SUCCESS', 'FAILED')"
 _DELTA = f", d AS (SELECT domain, run, count(*) FILTER (ok) AS ok, count(*) FILTER (NOT ok) AS bad FROM ({_OUT}) GROUP BY 1, 2)"
-_PATCH = ", pat AS (SELECT domain, run AS pipeline_run_id, CASE WHEN bad > 0 THEN 'PARTIAL' END AS status, CASE WHEN ok > 0 THEN 'ok' END AS last_error, CAST(ok AS VARCHAR) AS total_tasks_success FROM d), base AS (SELECT * FROM registry WHERE enq)"
+_PATCH = ", pat AS (SELECT domain, run AS pipeline_run_id, CASE WHEN bad > 0 THEN 'PARTIAL' END AS status, CASE WHEN ok > 0 THEN 'ok' END AS last_error, CAST(ok AS VARCHAR) AS total_tasks_success FROM d), base AS (SELECT * FROM registry)"
 _CLEAN = "failed = 0 AND poison = 0 AND running = 0 AND queued = 0 AND pending = 0"
 _ART = """WITH a AS (SELECT *, 'ceap_daily_' || strftime(ts, '%Y%m%d') AS run, CASE event_id % 3 WHEN 0 THEN 'raw/camara/ceap/api/despesas/reference_year=2024/pipeline_run_id=' || 'ceap_daily_' || strftime(ts, '%Y%m%d') || '/page_' || event_id
   WHEN 1 THEN 'raw/camara/ceap/api/despesas/_metadata/runs/pipeline_run_id=' || 'ceap_daily_' || strftime(ts, '%Y%m%d') || '/' || event_id
@@ -233,6 +246,8 @@ QUERIES = {
   SELECT domain, pipeline_run_id, ok AS total_tasks_success, bad AS total_tasks_failed, ns AS status, CASE WHEN fin THEN '2024-02-02' END AS completed_at,
   CASE WHEN ns = 'COMPLETED' AND (failed_at <> '' OR status IN ('FAILED', 'PARTIAL')) THEN '2024-02-02' END AS last_recovered_at, CASE WHEN ns = 'COMPLETED' THEN '' ELSE failed_at END AS failed_at FROM s"""),
     "upsert_merge": (upsert_merge, twin("", "run_state", "registry").rstrip() + _DELTA + _PATCH + """ SELECT coalesce(p.domain, b.domain) AS domain, coalesce(p.pipeline_run_id, b.pipeline_run_id) AS pipeline_run_id,
+  coalesce(p.status, b.status) AS status, coalesce(p.last_error, b.last_error) AS last_error, p.total_tasks_success FROM base b FULL JOIN pat p ON b.domain = p.domain AND b.pipeline_run_id = p.pipeline_run_id"""),
+    "upsert_copy_on_write": (upsert_copy_on_write, twin("", "run_state", "registry").rstrip() + _DELTA + _PATCH + """ SELECT coalesce(p.domain, b.domain) AS domain, coalesce(p.pipeline_run_id, b.pipeline_run_id) AS pipeline_run_id,
   coalesce(p.status, b.status) AS status, coalesce(p.last_error, b.last_error) AS last_error, p.total_tasks_success FROM base b FULL JOIN pat p ON b.domain = p.domain AND b.pipeline_run_id = p.pipeline_run_id"""),
     "upsert_replace": (upsert_replace, twin("", "run_state", "registry").rstrip() + _DELTA + _PATCH + """ SELECT coalesce(p.domain, b.domain) AS domain, coalesce(p.pipeline_run_id, b.pipeline_run_id) AS pipeline_run_id,
   coalesce(p.status, b.status) AS status, CASE WHEN p.total_tasks_success = '0' THEN NULL ELSE coalesce(p.last_error, b.last_error) END AS last_error,

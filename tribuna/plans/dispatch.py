@@ -107,6 +107,13 @@ def plan_budget(spark, sf):
     return out.select("id", "endpoint", "outcome")
 
 
+def plan_budget_large(spark, sf):
+    """Two large budgets at once: 20 000 and 120 000 messages."""
+    plan = _plan(spark, sf).select("id", "endpoint", "num", "seq", "action")
+    small = B.apply_budget(plan, ["num", "seq"], 20_000).withColumnRenamed("outcome", "outcome_20k")
+    return B.apply_budget(small, ["num", "seq"], 120_000).select("id", "endpoint", "outcome_20k", F.col("outcome").alias("outcome_120k"))
+
+
 def backfill_plan(spark, sf):
     """Counts of a dry-run backfill limited to 2500 messages."""
     return B.backfill_summary(_plan(spark, sf), ["num", "seq"], ["num"], 2500, dry_run=True)
@@ -147,13 +154,12 @@ def worker_skips(spark, sf):
 
 
 def cursor_filter(spark, sf):
-    """Ids after the cursor of the successful microbatch tasks; text ids always pass."""
+    """Ids after the cursor of the successful microbatch tasks of all events; text ids always pass."""
     e = read_table(spark, sf, "events")
     done = e.select(
         F.col("user_id").cast("string").alias("id"), ST.pick(F.col("event_type"), ST.STATUS).alias("status"),
-        F.when(F.col("event_id") % 2 == 0, F.lit("microbatch")).otherwise(F.lit("reconciliation")).alias("run_type"))
-    half = done.where(F.col("id").cast("bigint") % 4 == 0)
-    cursor = P.advance_cursor(half, old=7)
+        F.when(F.col("event_type") == "purchase", F.lit("microbatch")).otherwise(F.lit("reconciliation")).alias("run_type"))
+    cursor = P.advance_cursor(done, old=7)
     p = read_table(spark, sf, "pages")
     pid = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("55-"), F.col("page_id").cast("string"))).otherwise(F.col("page_id").cast("string"))
     return P.after_cursor(p.select(pid.alias("id")), cursor.scalar())
@@ -211,10 +217,11 @@ QUERIES = {
   count(*) FILTER (before < 2500 AND action = 'skip_same_hash') AS records_skipped_same_hash, count(*) FILTER (before < 2500 AND action = 'skip_queued') AS records_skipped_same_run,
   count(*) FILTER (before >= 2500) > 0 AS limit_reached, 'DRY_RUN' AS status FROM (SELECT *, min(num) FILTER (before >= 2500) OVER () AS stop FROM (
   SELECT *, coalesce(count(*) FILTER (action = 'enqueue') OVER (ORDER BY num, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM plan))""")),
-    "backfill_force": (backfill_force, _plan_twin("""SELECT count(DISTINCT num) FILTER (num <= coalesce(stop, num)) AS records_seen, count(*) FILTER (before < 100000 AND a = 'enqueue') AS messages_enqueued,
-  count(*) FILTER (before < 100000 AND a = 'skip_queued') AS records_skipped_same_run, true AS forced FROM (SELECT *, min(num) FILTER (before >= 100000) OVER () AS stop FROM (
-  SELECT *, coalesce(count(*) FILTER (a = 'enqueue') OVER (ORDER BY num, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM (SELECT *, CASE WHEN action = 'skip_queued' THEN action ELSE 'enqueue' END AS a FROM plan)))""")),
+    "backfill_force": (backfill_force, _plan_twin("""SELECT count(DISTINCT num) AS records_seen, count(*) FILTER (action <> 'skip_queued') AS messages_enqueued,
+  count(*) FILTER (action = 'skip_queued') AS records_skipped_same_run, true AS forced FROM plan""")),
+    "plan_budget_large": (plan_budget_large, _plan_twin("""SELECT id, endpoint, CASE WHEN before >= 20000 THEN 'deferred' WHEN action = 'enqueue' THEN 'dispatch' ELSE 'skip' END AS outcome_20k,
+  CASE WHEN before >= 120000 THEN 'deferred' WHEN action = 'enqueue' THEN 'dispatch' ELSE 'skip' END AS outcome_120k FROM (
+  SELECT *, coalesce(count(*) FILTER (action = 'enqueue') OVER (ORDER BY num, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM plan)""")),
     "resume_plan": (resume_plan, """WITH p AS (SELECT c_custkey AS id, m AS month_idx, 2 - m AS mes, row_number() OVER (ORDER BY c_custkey, m) - 1 AS ordinal FROM customer, range(0, 2) r(m))
   SELECT id, CAST(mes AS INTEGER) AS mes, ordinal, CAST((ordinal // 2) // 100 + 1 AS INTEGER) AS pagina, CAST((ordinal // 2) % 100 AS INTEGER) AS idx, CAST(ordinal % 2 AS INTEGER) AS month_idx FROM p WHERE ordinal >= 61"""),
     "page_slice": (page_slice, """SELECT conv_id, bool_or(role = 'assistant') AS listing_complete, CASE WHEN bool_or(role = 'assistant') THEN 1 ELSE max(turn + 1) + 1 END AS list_next_page
@@ -222,6 +229,6 @@ QUERIES = {
     "changed_records": (changed_records, _plan_twin("SELECT id, hash AS list_item_hash, endpoint, 'enqueue' AS reason FROM plan WHERE action = 'enqueue'")),
     "worker_skips": (worker_skips, _plan_twin("""SELECT id, endpoint, CASE WHEN status = 'SUCCESS' AND shash = hash AND num % 10 <> 0 THEN 'unchanged_list_item' WHEN status = 'SUCCESS' AND run = 'proposicoes_daily_20240115' THEN 'already_success_in_run' END AS reason
   FROM plan WHERE (status = 'SUCCESS' AND shash = hash AND num % 10 <> 0) OR (status = 'SUCCESS' AND run = 'proposicoes_daily_20240115')""")),
-    "cursor_filter": (cursor_filter, """WITH c AS (SELECT greatest(coalesce(max(user_id), 0), 7) AS c FROM events WHERE event_type = 'purchase' AND event_id % 2 = 0 AND user_id % 4 = 0)
+    "cursor_filter": (cursor_filter, """WITH c AS (SELECT greatest(coalesce(max(user_id), 0), 7) AS c FROM events WHERE event_type = 'purchase')
   SELECT CASE WHEN page_id % 5 = 0 THEN '55-' || page_id ELSE CAST(page_id AS VARCHAR) END AS id FROM pages, c WHERE page_id % 5 = 0 OR page_id > c.c"""),
 }

@@ -10,7 +10,8 @@ from tribuna.functions import scalars as S
 from tribuna.operators import layers as L
 from tribuna.plans import stand_ins as ST
 from tribuna.plans.stand_ins import twin
-from tribuna.session import read_table
+from tribuna.session import cut_lineage, read_table, work_path
+from tribuna.sources import sinks
 
 
 def _newest(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,6 +67,26 @@ def gold_dims(spark, sf):
     return out
 
 
+_FACT_DIMS = ("documento", "tipoDespesa", "competencia", "partido", "uf")
+
+
+def gold_fact_keys(spark, sf):
+    """Facts with the keys of all their dimensions, from two loads: years up to 1994, then all.
+
+    Keys given at the first load are read back from its dimension tables and kept.
+    """
+    facts = cut_lineage(_facts(spark, sf).select("id_deputado", "ano", "urlDocumento", "dataDocumento", "valor", *_FACT_DIMS))
+    dims = {}
+    for name in _FACT_DIMS:
+        path = work_path(spark, f"dim-{name}")
+        sinks.write_layer(L.dense_keys(facts.where(F.col("ano") <= 1994), name), path)
+        known = spark.read.schema(f"{name} {facts.schema[name].dataType.simpleString()}, key bigint").parquet(path)
+        dims[name] = L.dense_keys(facts, name, known)
+    out = L.with_keys(facts, dims)
+    return out.select("id_deputado", "urlDocumento", "dataDocumento", F.col("valor").cast("double").alias("valor"), F.col("documento_key").alias("fornecedor_key"),
+                      F.col("tipoDespesa_key").alias("categoria_key"), F.col("competencia_key").alias("mes_key"), "partido_key", "uf_key")
+
+
 def dedup_latest(spark, sf):
     return _newest(spark, sf).select("id_deputado", "ano", "mes", "urlDocumento", "valorDocumento", "_loaded_at", "l_partkey")
 
@@ -169,6 +190,12 @@ UNION ALL SELECT DISTINCT 'fornecedor', cnpjCpfFornecedor, 'CNPJ|' || sha256(cnp
 UNION ALL SELECT DISTINCT 'categoria', tipoDespesa, sha256(tipoDespesa) FROM expenses
 UNION ALL SELECT DISTINCT 'deputado', CAST(id AS VARCHAR), partido || '|' || uf || '|' || sha256('camara_dadosabertos|deputado|{"id":' || id || '}') FROM deputies
 UNION ALL SELECT DISTINCT 'partido', partido, sha256(partido) FROM deputies UNION ALL SELECT DISTINCT 'uf', uf, sha256(uf) FROM deputies""", "expenses", "deputies")),
+    "gold_fact_keys": (gold_fact_keys, twin("""SELECT id_deputado, urlDocumento, dataDocumento, CAST(valor AS DOUBLE) AS valor, fornecedor_key, categoria_key, mes_key, partido_key, uf_key FROM facts
+  JOIN (SELECT d, row_number() OVER (ORDER BY late, d) AS fornecedor_key FROM (SELECT cnpjCpfFornecedor AS d, min(ano) > 1994 AS late FROM facts GROUP BY 1)) f ON f.d = cnpjCpfFornecedor
+  JOIN (SELECT c, row_number() OVER (ORDER BY late, c) AS categoria_key FROM (SELECT tipoDespesa AS c, min(ano) > 1994 AS late FROM facts GROUP BY 1)) g ON g.c = tipoDespesa
+  JOIN (SELECT m, row_number() OVER (ORDER BY late, m) AS mes_key FROM (SELECT ano * 100 + mes AS m, min(ano) > 1994 AS late FROM facts GROUP BY 1)) h ON h.m = ano * 100 + mes
+  LEFT JOIN (SELECT p, row_number() OVER (ORDER BY late, p) AS partido_key FROM (SELECT partido AS p, min(ano) > 1994 AS late FROM facts WHERE partido IS NOT NULL GROUP BY 1)) i ON i.p = partido
+  LEFT JOIN (SELECT u, row_number() OVER (ORDER BY late, u) AS uf_key FROM (SELECT uf AS u, min(ano) > 1994 AS late FROM facts WHERE uf IS NOT NULL GROUP BY 1)) j ON j.u = uf""", "facts")),
     "dedup_latest": (dedup_latest, twin("SELECT id_deputado, ano, mes, urlDocumento, valorDocumento, _loaded_at, l_partkey FROM latest", "latest")),
     "dedup_hash": (dedup_hash, twin("""SELECT DISTINCT sha256('{"cnpjCpfFornecedor":"' || cnpjCpfFornecedor || '","codDocumento":' || codDocumento || ',"id_deputado":' || id_deputado
   || ',"tipoDespesa":"' || tipoDespesa || '","urlDocumento":"' || urlDocumento || '"}') AS record_hash, id_deputado, urlDocumento FROM expenses""", "expenses")),

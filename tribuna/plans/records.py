@@ -212,7 +212,7 @@ def snapshot_pages(spark, sf):
 
 
 def count_window(spark, sf):
-    """Distinct ids of a listing of 100 orders per page, per year, with the page-limit warning."""
+    """Distinct ids of a listing with a page per day, per year, over all pages, with the warning of long listings."""
     o = read_table(spark, sf, "orders")
     items = o.select(F.year("o_orderdate").alias("ano"), (F.dayofyear("o_orderdate")).alias("page"), F.col("o_custkey").alias("id"))
     return count_window_op(items, ["ano"], 300).select("ano", "distinct_ids", "pages_fetched", "warning")
@@ -277,7 +277,7 @@ QUERIES = {
   t AS (SELECT p.parent_id, count(*) AS pages_written, CAST(sum(n) AS BIGINT) AS record_count FROM p JOIN s USING (parent_id) WHERE page <= coalesce(e, 10000) AND (x IS NULL OR page < x) GROUP BY 1)
   SELECT s.parent_id, coalesce(pages_written, 0) AS pages_written, coalesce(record_count, 0) AS record_count,
   CASE WHEN x IS NOT NULL AND (e IS NULL OR x < e) THEN 'FAILED' ELSE 'COMPLETED' END AS final_status FROM s LEFT JOIN t USING (parent_id)"""),
-    "count_window": (count_window, """SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, count(DISTINCT o_custkey) FILTER (dayofyear(o_orderdate) <= 300) AS distinct_ids,
-  CAST(least(max(dayofyear(o_orderdate)), 301) AS INTEGER) AS pages_fetched, CASE WHEN max(dayofyear(o_orderdate)) >= 300 THEN 'max_list_pages_reached_during_count' END AS warning FROM orders GROUP BY 1"""),
+    "count_window": (count_window, """SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, count(DISTINCT o_custkey) AS distinct_ids,
+  CAST(max(dayofyear(o_orderdate)) AS INTEGER) AS pages_fetched, CASE WHEN max(dayofyear(o_orderdate)) >= 300 THEN 'max_list_pages_reached_during_count' END AS warning FROM orders GROUP BY 1"""),
     "parent_context": (parent_context, "SELECT event_id, CAST(user_id AS VARCHAR) AS parent_id, 'r' AS run, CAST(NULL AS VARCHAR) AS execution FROM events"),
 }

@@ -30,20 +30,25 @@ def build_session(app: str = "tribuna", cores: str | None = None) -> SparkSessio
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a local master with the setting absent falls back to a temporary
-    folder; a cluster without it is refused, as executors could not see it.
+    folder, one per application; a cluster without it is refused, as executors
+    could not see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    base = tempfile.mkdtemp(prefix="tribuna-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="tribuna-")
+    return _LOCAL_DIRS[app]
 
 
 def work_path(spark: SparkSession, label: str) -> str:
@@ -95,12 +100,12 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        # Large streaming state: on disk instead of the heap, checkpointed by difference.
-        spark.conf.set(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
+    # Streaming state: on disk instead of the heap, checkpointed by its changes.
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def coalesce_empty(col) -> F.Column:

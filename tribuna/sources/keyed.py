@@ -31,7 +31,9 @@ COMMIT_DDL = "bucket int, base boolean, seq bigint"
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, keys: list[str], buckets: int = BUCKETS):
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), keys, buckets
-        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if not isinstance(schema, str):  # as it is read back: nothing is declared non-null
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        self.schema = T.StructType.fromDDL(schema)
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")

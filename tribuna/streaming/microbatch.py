@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tribuna.functions.scalars import numeric_id
 from tribuna.operators.fanout import after_cursor
+from tribuna.session import work_path
 from tribuna.streaming import table_log
 
 RUN_PREFIX = "votacoes_microbatch_"
@@ -50,19 +53,15 @@ def current_runs(spark: SparkSession, path: str) -> DataFrame:
     return parts.agg(F.sum("records").alias("records"), F.max("max_id").alias("max_id"))
 
 
-def stream_dedup(feed: DataFrame, path: str, checkpoint: str) -> None:
+def stream_dedup(feed: DataFrame, path: str, checkpoint: str) -> list:
     """Drops rows re-read by the overlapping window, by uid and hash, against all that earlier batches kept.
 
-    Copies within a batch combine on the map side; a replayed batch sees the same earlier ones.
+    The pairs seen are the state of the stream, in RocksDB: a batch looks up its
+    own pairs and saves the new ones, so what it reads does not grow with the
+    batches before it.  There is no watermark, as a copy may come however late.
     """
-    def tick(df: DataFrame, batch_id: int) -> None:
-        fresh = df.dropDuplicates(["uid", "hash"])
-        if batch_id > 0 and table_log.exists(df.sparkSession, path):
-            kept = table_log.read_log(df.sparkSession, path, before=batch_id).select("uid", "hash")
-            fresh = fresh.join(kept, ["uid", "hash"], "left_anti")
-        table_log.write_batch(fresh, path, batch_id)
-
-    table_log.run_available(feed, tick, checkpoint)
+    return table_log.run_available(
+        feed.dropDuplicates(["uid", "hash"]), lambda df, i: table_log.write_batch(df, path, i), checkpoint)
 
 
 def reconcile_batch(full: DataFrame, processed: DataFrame) -> DataFrame:
@@ -72,24 +71,82 @@ def reconcile_batch(full: DataFrame, processed: DataFrame) -> DataFrame:
     )
 
 
-def stream_after_cursor(feed: DataFrame, path: str, checkpoint: str) -> None:
-    """Keeps ids above the cursor of the earlier ticks, and moves the cursor with each tick.
+def _digests(df: DataFrame, day: str, buckets: int) -> DataFrame:
+    """Order-free digest per day and bucket: the number of rows and the sum of their hashes, added up before the shuffle."""
+    h = F.xxhash64("uid", "hash")
+    return df.groupBy(F.col(day).alias("day"), F.pmod(h, F.lit(buckets)).cast("int").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(20,0)")).alias("s"))
+
+
+def changed_parts(full: DataFrame, processed: DataFrame, day: str = "day", buckets: int = 64) -> DataFrame:
+    """``day, bucket`` whose rows are not the processed ones."""
+    a, b = _digests(full, day, buckets).alias("a"), _digests(processed, day, buckets).alias("b")
+    on = F.col("a.day").eqNullSafe(F.col("b.day")) & (F.col("a.bucket") == F.col("b.bucket"))
+    same = F.col("a.n").eqNullSafe(F.col("b.n")) & F.col("a.s").eqNullSafe(F.col("b.s"))
+    return a.join(b, on, "left").where(~same).select("a.day", "a.bucket")
+
+
+def rows_of(df: DataFrame, parts: DataFrame, day: str = "day", buckets: int = 64) -> DataFrame:
+    """Rows of the given days and buckets."""
+    p = parts.select(F.col("day").alias("_day"), F.col("bucket").alias("_bucket"))
+    mine = F.pmod(F.xxhash64("uid", "hash"), F.lit(buckets)).cast("int")
+    return df.join(p, F.col(day).eqNullSafe(F.col("_day")) & (mine == F.col("_bucket")), "left_semi")
+
+
+def reconcile_by_digest(full: DataFrame, processed: DataFrame, day: str = "day", buckets: int = 64) -> DataFrame:
+    """The rows of :func:`reconcile_batch`, moving only what changed.
+
+    Both sides are reduced to digests; only days and buckets whose digests
+    differ take part further.  Each step is written, so the planner knows its
+    size: while little has changed, both big sides are filtered by a broadcast
+    of it and nothing of an unchanged day is shuffled; when much has, Spark
+    shuffles as it would have anyway.
+    """
+    spark = full.sparkSession
+
+    def written(df: DataFrame, label: str) -> DataFrame:
+        path = work_path(spark, label)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    parts = written(changed_parts(full, processed, day, buckets), "changed-parts")
+    fresh = written(rows_of(full, parts, day, buckets).dropDuplicates(["uid", "hash"]), "changed-rows")
+    keys = fresh.select("uid", "hash")
+    seen = processed.select("uid", "hash").join(keys, ["uid", "hash"], "left_semi").distinct()
+    return fresh.join(seen, ["uid", "hash"], "left_anti")
+
+
+ROWS_DDL = "id string, attempt int, status string"
+
+
+def _always_done(offered: DataFrame) -> DataFrame:
+    return offered.withColumn("status", F.lit("SUCCESS"))
+
+
+def stream_after_cursor(feed: DataFrame, path: str, checkpoint: str, outcomes: Callable[[DataFrame], DataFrame] = _always_done) -> None:
+    """Offers the ids above the cursor at each tick, and moves the cursor by what succeeded.
+
+    A tick offers its own ids and those that failed at the tick before; ids at or
+    below the cursor are left out, text ids never are.  ``outcomes`` gives the
+    offered rows (``id, attempt``) their ``status``, by a join with what the
+    workers reported, say.  The cursor is the largest numeric id that ended in
+    SUCCESS and never moves back, so a failed id above it is offered again.
 
-    Rows go to ``path/rows``, one cursor row per tick to ``path/cursor``.  A
-    tick reads the cursors of the ticks before it only, so a replayed tick sees
-    the same cursor and the cost does not grow with the rows kept so far.
+    ``path/rows`` holds what was offered with its outcome, ``path/cursor`` a row
+    per tick.  A tick reads the folders of the tick before it and nothing older,
+    and a replayed tick sees the same.
     """
     def tick(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        old = 0
-        if batch_id > 0 and table_log.exists(spark, f"{path}/cursor"):
-            old = table_log.read_log(spark, f"{path}/cursor", before=batch_id).agg(F.max("cursor")).first()[0] or 0
-        df = df.persist()
-        try:
-            table_log.write_batch(after_cursor(df, F.lit(old)), f"{path}/rows", batch_id)
-            top = F.greatest(F.coalesce(F.max(numeric_id(F.col("id"))), F.lit(0)), F.lit(old)).cast("bigint")
-            table_log.write_batch(df.agg(top.alias("cursor")), f"{path}/cursor", batch_id)
-        finally:
-            df.unpersist()
+        rows, cursors = f"{path}/rows", f"{path}/cursor"
+        before = table_log.read_batch(spark, cursors, batch_id - 1, "cursor bigint").first()
+        old = before.cursor if before else 0
+        failed = table_log.read_batch(spark, rows, batch_id - 1, ROWS_DDL).where("status <> 'SUCCESS'")
+        again = failed.select("id", (F.col("attempt") + 1).alias("attempt"))
+        offered = df.select("id", F.lit(1).alias("attempt")).unionByName(again).groupBy("id").agg(F.max("attempt").alias("attempt"))
+        table_log.write_batch(outcomes(after_cursor(offered, F.lit(old))).select("id", "attempt", "status"), rows, batch_id)
+        done = table_log.read_batch(spark, rows, batch_id, ROWS_DDL).where("status = 'SUCCESS'")
+        top = F.greatest(F.coalesce(F.max(numeric_id(F.col("id"))), F.lit(0)), F.lit(old)).cast("bigint")
+        table_log.write_batch(done.agg(top.alias("cursor")), cursors, batch_id)
 
     table_log.run_available(feed, tick, checkpoint)

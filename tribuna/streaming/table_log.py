@@ -29,9 +29,11 @@ def newest(log: DataFrame, keys: list[str]) -> DataFrame:
     return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_v")).select(*keys, "_v.*")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def read_batch(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame:
+    """What one batch wrote; empty before the first."""
+    if batch_id < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], target: str) -> None:
@@ -39,10 +41,11 @@ def compact(spark: SparkSession, path: str, keys: list[str], target: str) -> Non
 
 
 def run_available(stream: DataFrame, per_batch: Callable[[DataFrame, int], None], checkpoint: str,
-                  mode: str = "append") -> None:
-    """Drains what is available now through ``per_batch`` and stops."""
+                  mode: str = "append") -> list:
+    """Drains what is available now through ``per_batch`` and stops; returns the progress of the last batches."""
     query = (
         stream.writeStream.outputMode(mode).foreachBatch(per_batch)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return query.recentProgress

@@ -8,10 +8,12 @@ stream folds each micro-batch the same way and merges it into the state table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tribuna.functions import scalars as S
+from tribuna.sources.keyed import BUCKETS, FULL, KeyedTable
 from tribuna.streaming import table_log
 
 DISPATCHED = ("QUEUED", "RUNNING")
@@ -82,53 +84,69 @@ def partial(events: DataFrame, keys: list[str], batch_id: int) -> DataFrame:
     return base.join(before, keys, "left")
 
 
-def combine(partials: DataFrame, keys: list[str]) -> DataFrame:
-    """Current state of every task from its partials.
+def merge_partials(partials: DataFrame, keys: list[str]) -> DataFrame:
+    """Partials of each task as one partial: the same answer as from all of them.
 
-    The run in force at the last dispatch is either that batch's ``before`` or
-    the last event of the newest earlier batch.
+    The newest event before the last dispatch is either some batch's ``before``
+    or the last event of an earlier batch.
     """
     state = partials.groupBy(*keys).agg(
-        F.max_by("last", "last_at").alias("last"),
-        F.max("dispatch_at").alias("_dispatch"),
+        F.max("last_at").alias("last_at"), F.max_by("last", "last_at").alias("last"),
+        F.max("dispatch_at").alias("dispatch_at"),
         F.sum("attempt_count").alias("attempt_count"),
         F.sum("reprocess_count").alias("reprocess_count"),
-        F.max_by("success", "success_at").alias("success"),
+        F.max("success_at").alias("success_at"), F.max_by("success", "success_at").alias("success"),
     )
-    dispatch = state.where(F.col("_dispatch").isNotNull()).select(*keys, "_dispatch")
+    dispatch = state.where(F.col("dispatch_at").isNotNull()).select(*keys, F.col("dispatch_at").alias("_dispatch"))
     seen = F.inline(F.array(
         F.struct(F.col("last_at").alias("at"), F.col("last.run_id").alias("run")),
         F.struct(F.col("before_at").alias("at"), F.col("before_run").alias("run")),
     ))
     previous = (
         partials.select(*keys, seen).join(dispatch, keys).where(F.col("at") < F.col("_dispatch"))
-        .groupBy(*keys).agg(F.max_by("run", "at").alias("last_pipeline_run_id"))
+        .groupBy(*keys).agg(F.max("at").alias("before_at"), F.max_by("run", "at").alias("before_run"))
     )
-    return state.join(previous, keys, "left").select(
+    return state.join(previous, keys, "left")
+
+
+def combine(partials: DataFrame, keys: list[str]) -> DataFrame:
+    """Current state of every task from its partials."""
+    return merge_partials(partials, keys).select(
         *keys, F.col("last.status").alias("status"), F.col("last.run_id").alias("current_pipeline_run_id"),
-        "last_pipeline_run_id", "attempt_count", "reprocess_count", F.col("success.record_count").alias("record_count"),
+        F.col("before_run").alias("last_pipeline_run_id"), "attempt_count", "reprocess_count", F.col("success.record_count").alias("record_count"),
         F.col("success.hash").alias("last_list_item_hash"), F.col("success.ts").alias("last_success_at"),
     )
 
 
-def stream_states(events: DataFrame, keys: list[str], path: str, checkpoint: str) -> None:
-    """Writes one partial per task and micro-batch; read it back with :func:`current`.
+def state_table(spark: SparkSession, path: str, keys: list[str], partial_schema: T.StructType | None = None, buckets: int = BUCKETS) -> KeyedTable:
+    """Partials by task: a base and what later batches added."""
+    if partial_schema is None:
+        partial_schema = spark.read.parquet(f"{path}/schema").schema
+    return KeyedTable(spark, path, partial_schema, keys, buckets)
 
-    The writer never reads the state table, so a micro-batch costs what its own
-    events cost, whatever the size of the state.
+
+def stream_states(events: DataFrame, keys: list[str], path: str, checkpoint: str, full: int = FULL) -> None:
+    """Adds one partial per task and micro-batch; read it back with :func:`current`.
+
+    A micro-batch costs what its own events cost.  Buckets that ``full`` batches
+    have added to are folded into one base, so a reader meets at most that many
+    partials of a task, however long the stream has run.  A batch has the numbers
+    ``2 * batch_id`` for its partials and the next one for the folding.
     """
+    schema = partial(events, keys, 0).schema
+
     def tick(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
-        try:
-            table_log.write_batch(partial(df, keys, batch_id), path, batch_id)
-        finally:
-            df.unpersist()
+        table = state_table(df.sparkSession, path, keys, schema)
+        if batch_id == 0:
+            df.sparkSession.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/schema")
+        table.append(partial(df, keys, batch_id), 2 * batch_id)
+        table.compact(lambda rows: merge_partials(rows, keys), full, 2 * batch_id + 1)
 
     table_log.run_available(events, tick, checkpoint)
 
 
-def current(spark, path: str, keys: list[str]) -> DataFrame:
-    return combine(table_log.read_log(spark, path).drop("batch_id"), keys)
+def current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    return combine(state_table(spark, path, keys).rows().drop("seq", "bucket"), keys)
 
 
 def requeue_stale(state: DataFrame, run_id: Column | None, now: Column, minutes: int) -> DataFrame:
