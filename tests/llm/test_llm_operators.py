@@ -714,3 +714,55 @@ def test_host_verdicts_decide_on_long_documents(spark):
 def test_verdicts_differ_from_the_base_rule_on_given_documents(spark):
     got = quality.judge(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
     assert got.where("kept = base_failed and not base_failed").count() > 100
+
+
+CLASH = ["row", "__turn", "__key", "__own", "__w", "__m", "__hash", "__old", "__cut", "__u", "__id", "__host", "__text", "__base"]
+
+
+@pytest.fixture(scope="module")
+def clashing(spark, odd_rows):
+    """Repeated rows, null ids, texts and sources, and every name that the operators use inside."""
+    rows = [*odd_rows, odd_rows[6], odd_rows[6], (None, *odd_rows[6][1:])]
+    df = spark.createDataFrame(rows, SCHEMA).select("doc_id", "text", "lang", "source", "n_chars")
+    return df.withColumns({c: F.lit(i) for i, c in enumerate(CLASH)}).repartition(3)
+
+
+def test_helpers_clash_with_no_column(clashing):
+    names = clashing.columns
+    assert mixing.mix_documents(clashing).columns == names
+    assert linededup.dedup_lines(clashing, 6).columns == [*names, "__n_lines", "__n_removed"]
+    assert quality.filter_documents(clashing).columns == names
+    plain = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = lambda df: Counter(map(tuple, df.select(*plain).collect()))
+    bare = clashing.select(*plain)
+    assert rows(mixing.mix_documents(clashing)) == rows(mixing.mix_documents(bare))
+    assert rows(linededup.dedup_lines(clashing, 6)) == rows(linededup.dedup_lines(bare, 6))
+    assert rows(quality.filter_documents(clashing)) == rows(quality.filter_documents(bare))
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES[:4])
+def test_stages_on_awkward_rows(spark, clashing, nothing, name, stage):
+    """Nulls, empty and long texts, repeated rows, clashing names, no rows: columns stay, rows come from the input."""
+    out = stage(spark, clashing, SF)
+    assert out.columns == clashing.columns
+    ids = {r.doc_id for r in clashing.select("doc_id").collect()}
+    assert {r.doc_id for r in out.select("doc_id").collect()} <= ids
+    empty = stage(spark, nothing, SF)
+    assert empty.columns == nothing.columns and empty.collect() == []
+    assert stage(spark, clashing.withColumn("text", F.lit(None).cast("string")), SF).columns == clashing.columns
+
+
+def test_last_stage_on_awkward_rows(spark, clashing, nothing):
+    out = corpus_pipeline.packed(spark, clashing, SF)
+    assert sum(r.n_words for r in out.collect()) == sum(len(brute.words(r.text)) for r in clashing.collect())
+    assert corpus_pipeline.packed(spark, nothing, SF).collect() == []
+
+
+def test_many_buckets_cost_a_slice_nothing(spark):
+    """Ten million buckets: a slice looks at those it has."""
+    import time
+
+    batch = pa.RecordBatch.from_pydict({"key": pa.array([1, 2], pa.int64()), "text": ["word and more words " * 2000, "other words here " * 2000]})
+    start = time.perf_counter()
+    assert sum(x.num_rows for x in substrings.send_anchors(iter([batch]), 50, 24, 10_000_000, 4, 4)) > 0
+    assert time.perf_counter() - start < 1.5

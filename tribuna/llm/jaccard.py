@@ -184,17 +184,16 @@ def send_signatures(
             lead = who[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
             tied = ~first & (lead != who)
             out_bucket, out_sig, out_tie = [], [], []
-            ends = np.searchsorted(bucket, np.arange(buckets + 1))
+            here, begins = np.unique(bucket, return_index=True)  # the buckets that the slice has, not all there are
             low = top_bytes(sig << np.uint64(8 * (8 - sig_bytes)), sig_bytes)
             wide = top_bytes(who.astype(np.uint64) << np.uint64(8 * (8 - id_bytes)), id_bytes)
             wide_lead = top_bytes(lead.astype(np.uint64) << np.uint64(8 * (8 - id_bytes)), id_bytes)
             packed = np.concatenate((low, wide), axis=1)
             ties = np.concatenate((low, wide_lead, wide), axis=1)
-            for b, (x, y) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
-                if x < y:
-                    out_bucket.append(b)
-                    out_sig.append(packed[x:y][first[x:y]].tobytes())
-                    out_tie.append(ties[x:y][tied[x:y]].tobytes())
+            for b, x, y in zip(here.tolist(), begins.tolist(), np.append(begins[1:], len(bucket)).tolist()):
+                out_bucket.append(b)
+                out_sig.append(packed[x:y][first[x:y]].tobytes())
+                out_tie.append(ties[x:y][tied[x:y]].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out_bucket, pa.int32()), pa.array(out_sig, pa.binary()), pa.array(out_tie, pa.binary())], names=["bucket", "sigs", "ties"]
             )

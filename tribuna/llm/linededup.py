@@ -76,9 +76,9 @@ def dedup_lines(
         .groupBy(F.col("id").alias("__id"), F.col("th").alias("__th"))
         .agg(F.collect_set("pos").alias("__cut"))
     )
-    left = docs.withColumn("__hash", F.xxhash64(text))
-    out = left.join(cut, left[doc_id].eqNullSafe(cut["__id"]) & (left["__hash"] == cut["__th"]), "left")
-    out = out.withColumn("__old", F.split(F.col(text), "\n", -1))
+    left = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(doc_id).alias("__own"), F.xxhash64(text).alias("__hash"))
+    out = left.join(cut, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")), "left")
+    out = out.withColumn("__old", F.split(F.col("row")[text], "\n", -1))
     # Lines and cuts sorted together: a line goes when a cut of its place stands before it.
     out = out.withColumn(
         "__both",
@@ -88,9 +88,9 @@ def dedup_lines(
         ),
     )
     rest = F.expr("transform(filter(__both, (e, j) -> e.k = 1 and (j = 0 or get(__both, j - 1).i != e.i)), e -> e.x)")
-    kept = F.when(F.col("__cut").isNotNull(), F.concat_ws("\n", rest)).otherwise(F.col(text))
+    kept = F.when(F.col("__cut").isNotNull(), F.concat_ws("\n", rest)).otherwise(F.col("row")[text])
     return out.select(
-        *[kept.alias(c) if c == text else docs[c] for c in docs.columns],
+        *[kept.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns],
         F.coalesce(F.size("__old"), F.lit(0)).cast("long").alias("__n_lines"),
         F.coalesce(F.size("__cut"), F.lit(0)).cast("long").alias("__n_removed"),
     )

@@ -31,6 +31,8 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 #: Rows that one slot or one range of the sort holds, about.
 SLOT_ROWS = 10_000
+#: Ranges of the global order at most: beyond, a range has more rows and is numbered by a sort that spills.
+MAX_RANGES = 10_000
 SOURCE = ["__no_source", "__source"]
 
 
@@ -116,7 +118,7 @@ def mix(
     """
     rows = sized(docs, text, source, doc_id)
     q, budget = queue(rows, tuple(weights), most, budget)
-    ranges = max(1, math.ceil(most * one_row(rows.agg(F.count(F.lit(1))))[0] / SLOT_ROWS))
+    ranges = min(MAX_RANGES, max(1, math.ceil(most * one_row(rows.agg(F.count(F.lit(1))))[0] / SLOT_ROWS)))
     key = ["__id", *SOURCE, "__slot", "__u", "__rn", "__size", "__total", "__target"]
     return truncated(q, budget, ranges).groupBy(*key).agg(F.sum((F.col("__in") & (F.col("__size") > 0)).cast("long")).alias("__times")).select(
         F.col("__id").alias("doc_id"),
@@ -137,14 +139,12 @@ def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", d
     """
     taken = mix(docs, text=text, source=source, doc_id=doc_id, **how).where("times > 0")
     taken = taken.groupBy(F.col("shuffle_key").alias("__u"), F.col("doc_id").alias("__id")).agg(F.sum("times").alias("__all"))
-    left = docs.withColumn("__key", F.xxhash64(F.lit("mix"), doc_id, source, text))
-    both = left.join(taken, (left["__key"] == taken["__u"]) & left[doc_id].eqNullSafe(taken["__id"]))
+    left = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(doc_id).alias("__own"), F.xxhash64(F.lit("mix"), doc_id, source, text).alias("__key"))
+    both = left.join(taken, (F.col("__key") == F.col("__u")) & F.col("__own").eqNullSafe(F.col("__id")))
     same = Window.partitionBy("__key")
     both = both.withColumns({
         "__place": F.row_number().over(same.orderBy("__key")),
         "__copies": F.count(F.lit(1)).over(same),
     })
     times = F.floor(F.col("__all") / F.col("__copies")) + F.when(F.col("__place") <= F.col("__all") % F.col("__copies"), 1).otherwise(0)
-    return both.where(times > 0).withColumn("__turn", F.explode(F.sequence(F.lit(1), times.cast("int")))).select(
-        *[docs[c] for c in docs.columns]
-    )
+    return both.where(times > 0).select("row", F.explode(F.sequence(F.lit(1), times.cast("int"))).alias("__turn")).select("row.*")

@@ -56,10 +56,10 @@ LENGTH = 50
 #: Bytes of a gram; a window has LENGTH - GRAM + 1 of them.
 GRAM = 24
 #: Bytes of text per slice and of strings per shard; anchors per bucket of the first step, bytes of segments of the second.
-SLICE = 1 << 20
+SLICE = 1 << 19
 SHARD_BYTES = 256 << 10
-BUCKET_ANCHORS = 500_000
-BUCKET_BYTES = 2_000_000
+BUCKET_ANCHORS = 150_000
+BUCKET_BYTES = 1_000_000
 #: Above this many documents the windows of an anchor are dealt out one by one.
 HOT_DOCS = 1_000
 

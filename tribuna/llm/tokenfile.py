@@ -46,6 +46,8 @@ MAGIC = b"TPLANE01"
 FOOTER = struct.Struct("<5q8s")
 #: Bytes of text that a file holds, about.
 FILE_BYTES = 64 << 20
+#: Files at most: beyond, files grow.
+MAX_FILES = 100_000
 
 MANIFEST = "no_id boolean, first_id long, first_hash long, path string, docs long, tokens long"
 
@@ -197,7 +199,7 @@ def write_tokens(
     )
     size = one_row(slim.agg(F.sum(F.octet_length("text").cast("long"))))[0] or 0
     order = [F.col("no_id").desc(), F.col("id"), F.col("h")]
-    ranged = slim.repartitionByRange(max(1, math.ceil(size / file_bytes)), *order).sortWithinPartitions(*order)
+    ranged = slim.repartitionByRange(min(MAX_FILES, max(1, math.ceil(size / file_bytes))), *order).sortWithinPartitions(*order)
     target = f"{folder.rstrip('/')}/ids"
     written = ranged.mapInArrow(lambda it: write_partition(it, target, path, end_id), MANIFEST)
     written.write.mode("overwrite").parquet(f"{folder}/manifest")
