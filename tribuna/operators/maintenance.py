@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tribuna.functions import scalars as S
 from tribuna.functions import windows as W
 from tribuna.operators.merges import upsert_merge
 from tribuna.session import coalesce_empty
@@ -61,10 +64,10 @@ def purge_counts(run_id: str, runs: DataFrame, state: DataFrame, messages: DataF
     def n(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("artifact"), "n")
 
-    p = F.col("path")
-    tagged = p.contains(f"pipeline_run_id={run_id}")
+    p = F.replace(F.col("path"), F.lit("\\"), F.lit("/"))
+    tagged = path_of_run(F.col("path"), run_id)
     snapshot = p.contains("/deputados/api/list/")
-    manifest = p.contains(f"_metadata/runs/pipeline_run_id={run_id}/")
+    manifest = p.contains("_metadata/runs/")
     # The file listing is the large input: its three classes are counted in one pass.
     files = paths.where(tagged).agg(
         F.count_if(~snapshot & ~p.contains("_metadata/")).alias("raw_files"),
@@ -83,9 +86,36 @@ def purge_counts(run_id: str, runs: DataFrame, state: DataFrame, messages: DataF
     return out
 
 
+def path_of_run(path: Column, run_id: str) -> Column:
+    """Whether a path belongs to the run, its id written as it is or in its path-safe form."""
+    safe = re.sub(S.SAFE_SEGMENT, "_", run_id)
+    p = F.replace(path, F.lit("\\"), F.lit("/"))
+    hit = F.lit(False)
+    for form in sorted({run_id, safe}):  # the id ends where its segment ends
+        hit = hit | p.contains(f"pipeline_run_id={form}/") | p.endswith(f"pipeline_run_id={form}")
+    return hit
+
+
 def purge_state(state: DataFrame, run_id: str) -> DataFrame:
     """State rows that survive a purge: those not tied to the run."""
     hit = (coalesce_empty(F.col("current_pipeline_run_id")) == run_id) | (
         coalesce_empty(F.col("last_pipeline_run_id")) == run_id
     )
     return state.where(~hit)
+
+
+def purge_runs(rows: DataFrame, run_id: str) -> DataFrame:
+    """Control rows, and locks, that survive."""
+    return rows.where(coalesce_empty(F.col("pipeline_run_id")) != run_id)
+
+
+def purge_messages(messages: DataFrame, run_id: str, body: str = "body") -> DataFrame:
+    """Messages that survive; one that cannot be read stays."""
+    of = F.trim(F.get_json_object(tables.message_text(F.col(body)), "$.pipeline_run_id"))
+    return messages.where(coalesce_empty(of) != run_id.strip())
+
+
+def purge_files(paths: DataFrame, run_id: str, snapshots: bool = True) -> DataFrame:
+    """Files that survive: pages and manifests of the run go, and with ``snapshots`` its deputies lists."""
+    gone = path_of_run(F.col("path"), run_id)
+    return paths.where(~gone if snapshots else ~gone | F.col("path").contains("/deputados/api/list/"))

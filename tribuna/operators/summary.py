@@ -12,7 +12,7 @@ from tribuna.functions import windows as W
 IN_PROGRESS = ("RUNNING", "QUEUED", "QUEUING")
 WARNING_KINDS = (
     "metadata_not_found", "success_marker_missing", "success_marker_exists_but_status_not_completed",
-    "task_counts_inconsistent", "ingestion_control_differs_from_raw_metadata",
+    "task_counts_inconsistent", "ingestion_control_differs_from_raw_metadata", "domain_not_implemented",
 )
 # Domains whose empty collection yields no placeholder row; they still roll up to NOT_FOUND.
 NO_PLACEHOLDER = ("ceap", "reference", "votacoes", "institucional")
@@ -132,7 +132,7 @@ def expected_vs_found(days: DataFrame, inspections: DataFrame, names=catalog.DEF
     return joined.withColumns({
         "status": F.when(~known, F.lit("NOT_IMPLEMENTED"))
         .when(missing, F.lit("NOT_FOUND")).otherwise(F.col("status")),
-        "placeholder": missing & (~known | ~F.col("domain").isin(*NO_PLACEHOLDER)),
+        "placeholder": _placeholder(missing),
     })
 
 
@@ -147,13 +147,33 @@ def rollup_expected(days: DataFrame, inspections: DataFrame, names=catalog.DEFAU
     rolled = rollup_domain(inspections, "reference_date", "domain", extra=extra)
     joined = _expected_rows(days, names).join(rolled, ["reference_date", "domain"], "left")
     known = F.col("domain").isin(*catalog.DOMAINS)
-    return joined.withColumns({
+    return joined.withColumn("placeholder", _placeholder(F.col("runs").isNull())).withColumns({
         # An unregistered domain's placeholder rolls up to PARTIAL.
         "domain_status": F.when(~known, F.lit("PARTIAL")).otherwise(F.coalesce("domain_status", F.lit("NOT_FOUND"))),
-        "runs": F.coalesce("runs", F.lit(1).cast("bigint")),
+        # Where the summary lists a placeholder, that is the domain's one run.
+        "runs": F.coalesce("runs", F.col("placeholder").cast("bigint")),
     }).drop("domain")
 
 
+def _placeholder(missing: Column) -> Column:
+    """Whether the summary lists a run of its own for an expected domain without runs."""
+    known = F.col("domain").isin(*catalog.DOMAINS)
+    return missing & (~known | ~F.col("domain").isin(*NO_PLACEHOLDER))
+
+
+def placeholder_warnings(days: DataFrame, inspections: DataFrame, names=catalog.DEFAULT_EXPECTED_DOMAINS) -> DataFrame:
+    """The warning of every placeholder run: a domain that is not registered, or one without runs that day."""
+    found = inspections.select("reference_date", "domain").distinct()
+    empty = _expected_rows(days, names).join(found, ["reference_date", "domain"], "left_anti").where(_placeholder(F.lit(True)))
+    known = F.col("domain").isin(*catalog.DOMAINS)
+    unwired = F.concat(F.lit("No collector wired for domain '"), F.col("domain"), F.lit("'."))
+    return empty.select(
+        "reference_date", F.col("expected").alias("domain"), F.lit("").alias("pipeline_run_id"),
+        F.when(known, F.lit("metadata_not_found")).otherwise(F.lit("domain_not_implemented")).alias("warning_type"),
+        F.when(known, F.lit("No pipeline_run_id directories matched this reference_date.")).otherwise(unwired).alias("message"),
+    )
+
+
 def rollup_domain(rows: DataFrame, *keys: str, extra: tuple[Column, ...] = ()) -> DataFrame:
     """Domain status from its runs' statuses, worst first; unknown statuses make it PARTIAL.
 
@@ -204,9 +224,13 @@ def summary_counts(domains: DataFrame, *keys: str) -> DataFrame:
     return domains.groupBy(*keys).agg(*_count_columns(F.col("domain_status")))
 
 
-def collect_warnings(inspected: DataFrame, *keys: str) -> DataFrame:
-    """Warnings of all runs as rows: a bad day's list may be long, so it is never one array."""
-    return inspected.select(*keys, "domain", "pipeline_run_id", F.inline("warnings"))
+def collect_warnings(inspected: DataFrame, *keys: str, placeholders: DataFrame | None = None) -> DataFrame:
+    """Warnings of all runs as rows: a bad day's list may be long, so it is never one array.
+
+    ``placeholders`` are those of :func:`placeholder_warnings`.
+    """
+    out = inspected.select(*keys, "domain", "pipeline_run_id", F.inline("warnings"))
+    return out if placeholders is None else out.unionByName(placeholders)
 
 
 def daily_documents(days: DataFrame, inspections: DataFrame, names=catalog.DEFAULT_EXPECTED_DOMAINS) -> DataFrame:
@@ -221,6 +245,11 @@ def daily_documents(days: DataFrame, inspections: DataFrame, names=catalog.DEFAU
     )
     per_kind = tuple(F.bool_or(F.array_contains("_kinds", k)).alias(f"_w_{k}") for k in WARNING_KINDS)
     domains = rollup_expected(days, rows, names, extra=(F.sum(F.size("_kinds")).alias("_n"), *per_kind))
+    # A placeholder has one warning: of a registered domain that nothing was found, of another that nobody collects it.
+    known = catalog.canonical_domain(F.col("expected")).isin(*catalog.DOMAINS)
+    own = {"metadata_not_found": F.col("placeholder") & known, "domain_not_implemented": F.col("placeholder") & ~known}
+    domains = domains.withColumn("_n", F.coalesce("_n", F.lit(0)) + F.col("placeholder").cast("int")).withColumns(
+        {f"_w_{k}": F.coalesce(f"_w_{k}", F.lit(False)) | c for k, c in own.items()})
     s = F.col("domain_status")
     day = domains.groupBy("reference_date").agg(
         _daily_status(s).alias("status"), *_count_columns(s),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tribuna.operators import batches as B
@@ -164,6 +166,21 @@ def purge_survivors(spark, sf):
     return kept.groupBy("status").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def purge_all_survivors(spark, sf):
+    """What every artifact class keeps after the purge of one run; half of the paths carry an id that is not path-safe."""
+    a = _artifacts(spark, sf)
+    odd = F.replace(F.col("path"), F.lit("pipeline_run_id=ceap_daily_20240115"), F.lit("pipeline_run_id=ceap daily_20240115"))
+    paths = a.withColumn("path", F.when(F.col("event_id") % 2 == 0, odd).otherwise(F.col("path")))
+    runs = ST.registry(spark, sf)
+    kept = {
+        "runs": M.purge_runs(runs, ST.CEAP_RUN), "state": M.purge_state(ST.run_state(spark, sf), ST.CEAP_RUN),
+        "messages": M.purge_messages(a, ST.CEAP_RUN), "files": M.purge_files(paths, "ceap daily_20240115"),
+        "files_but_snapshots": M.purge_files(paths, "ceap daily_20240115", snapshots=False),
+    }
+    out = [df.agg(F.count(F.lit(1)).alias("kept")).select(F.lit(name).alias("artifact"), "kept") for name, df in kept.items()]
+    return reduce(lambda x, y: x.unionByName(y), out)
+
+
 def raw_files_for_run(spark, sf):
     return tables.raw_files_for_run(_artifacts(spark, sf), ST.CEAP_RUN).select("path")
 
@@ -275,6 +292,12 @@ QUERIES = {
   SELECT 'locks', count(*) FROM r WHERE domain = 'd1' UNION ALL
   SELECT 'deputies_snapshot_files', count(*) FROM a WHERE run = 'ceap_daily_20240115' AND event_id % 3 = 2""")),
     "purge_survivors": (purge_survivors, twin("SELECT status, count(*) AS rows FROM run_state WHERE cur <> 'ceap_daily_20240115' AND coalesce(lst, '') <> 'ceap_daily_20240115' GROUP BY 1", "run_state")),
+    "purge_all_survivors": (purge_all_survivors, twin("", "run_state", "registry").rstrip() + _ART.replace("WITH", ",", 1) + """
+  SELECT 'runs' AS artifact, count(*) AS kept FROM registry WHERE pipeline_run_id <> 'ceap_daily_20240115' UNION ALL
+  SELECT 'state', count(*) FROM run_state WHERE cur <> 'ceap_daily_20240115' AND coalesce(lst, '') <> 'ceap_daily_20240115' UNION ALL
+  SELECT 'messages', count(*) FROM a WHERE run <> 'ceap_daily_20240115' UNION ALL
+  SELECT 'files', count(*) FROM a WHERE run <> 'ceap_daily_20240115' UNION ALL
+  SELECT 'files_but_snapshots', count(*) FROM a WHERE run <> 'ceap_daily_20240115' OR event_id % 3 = 2"""),
     "raw_files_for_run": (raw_files_for_run, _ART + " SELECT path FROM a WHERE run = 'ceap_daily_20240115' AND event_id % 3 <> 1"),
     "batch_totals": (batch_totals, _BATCH + """ SELECT control_id, hora, row_number() OVER w AS batch_index, CAST(sum(seen) OVER w AS BIGINT) AS records_seen_total, CAST(sum(enq) OVER w AS BIGINT) AS messages_enqueued_total,
   CAST(sum(skip) OVER w AS BIGINT) AS skipped_same_hash_total FROM b WINDOW w AS (PARTITION BY control_id ORDER BY hora)"""),

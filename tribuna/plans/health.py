@@ -34,7 +34,10 @@ def inspect_runs(spark, sf):
 
 
 def collect_warnings(spark, sf):
-    return SU.collect_warnings(_inspected(spark, sf), "reference_date").select("reference_date", "pipeline_run_id", "warning_type")
+    """Warnings of all runs and of the placeholders of expected domains without runs."""
+    i = _inspected(spark, sf)
+    out = SU.collect_warnings(i, "reference_date", placeholders=SU.placeholder_warnings(_days(spark, sf), i, NAMES))
+    return out.select("reference_date", "domain", "pipeline_run_id", "warning_type", "message")
 
 
 def marker_join(spark, sf):
@@ -53,7 +56,7 @@ def _domains(spark, sf):
 
 
 def rollup_domain(spark, sf):
-    return _domains(spark, sf)
+    return _domains(spark, sf).drop("placeholder")
 
 
 def expected_vs_found(spark, sf):
@@ -274,7 +277,14 @@ QUERIES = {
     "inspect_runs": (inspect_runs, twin("""SELECT reference_date, domain, pipeline_run_id, derived AS status, concat_ws(',', CASE WHEN NOT found THEN 'metadata_not_found' END, CASE WHEN found AND st = 'COMPLETED' AND NOT has_marker THEN 'success_marker_missing' END,
   CASE WHEN found AND has_marker AND st NOT IN ('COMPLETED', 'NO_DATA') THEN 'success_marker_exists_but_status_not_completed' END, CASE WHEN found AND t_exp > 0 AND t_ok <> t_exp AND st = 'COMPLETED' THEN 'task_counts_inconsistent' END,
   CASE WHEN found AND bad AND st IN ('COMPLETED', 'NO_DATA') THEN 'task_counts_inconsistent' END, CASE WHEN found AND control <> '' AND control <> derived AND derived NOT IN ('NOT_FOUND', 'INVALID_METADATA') THEN 'ingestion_control_differs_from_raw_metadata' END) AS warnings FROM insp""", "insp")),
-    "collect_warnings": (collect_warnings, twin("SELECT reference_date, pipeline_run_id, w AS warning_type FROM warns", "warns")),
+    "collect_warnings": (collect_warnings, twin("""SELECT reference_date, domain, pipeline_run_id, w AS warning_type, CASE
+  WHEN w = 'domain_not_implemented' THEN 'No collector wired for domain ' || chr(39) || domain || chr(39) || '.'
+  WHEN w = 'metadata_not_found' AND pipeline_run_id = '' THEN 'No pipeline_run_id directories matched this reference_date.'
+  WHEN w = 'metadata_not_found' THEN 'metadata.json missing' WHEN w = 'success_marker_missing' THEN 'metadata.status is COMPLETED but _SUCCESS was not found'
+  WHEN w = 'success_marker_exists_but_status_not_completed' THEN '_SUCCESS exists but metadata.status is ' || st
+  WHEN w = 'task_counts_inconsistent' AND why = 4 THEN 'status COMPLETED but total_tasks_success != total_tasks_expected'
+  WHEN w = 'task_counts_inconsistent' THEN 'failed/poison counters > 0 but status is terminal-success-like'
+  ELSE 'control status ' || control || ' vs metadata-derived ' || derived END AS message FROM warns""", "warns")),
     "marker_join": (marker_join, twin("SELECT upper(trim(status)) = 'COMPLETED' AS completed, has_marker, count(*) AS runs FROM manifests WHERE found GROUP BY 1, 2", "manifests")),
     "expected_vs_found": (expected_vs_found, twin("""SELECT reference_date, expected, pipeline_run_id, status, pipeline_run_id IS NULL AND domain NOT IN ('ceap', 'reference', 'votacoes', 'institucional') AS placeholder FROM evf""", "evf")),
     "rollup_domain": (rollup_domain, twin("SELECT * FROM droll", "droll")),

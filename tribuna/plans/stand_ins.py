@@ -324,21 +324,23 @@ SQL = {
   FROM runs_id""",
     "insp1": """SELECT *, CASE WHEN upper(trim(status)) = 'PARTIALLY_COMPLETED' THEN 'PARTIAL' ELSE upper(trim(status)) END AS st, t_bad > 0 OR t_poison > 0 AS bad FROM manifests""",
     "insp": """SELECT *, CASE WHEN NOT found THEN 'NOT_FOUND' WHEN st = 'FAILED' OR bad THEN 'FAILED' WHEN st = '' THEN 'INVALID_METADATA' ELSE st END AS derived FROM insp1""",
-    "warns": """SELECT * FROM (SELECT *, unnest([
-  CASE WHEN NOT found THEN 'metadata_not_found' END,
-  CASE WHEN found AND st = 'COMPLETED' AND NOT has_marker THEN 'success_marker_missing' END,
-  CASE WHEN found AND has_marker AND st NOT IN ('COMPLETED', 'NO_DATA') THEN 'success_marker_exists_but_status_not_completed' END,
-  CASE WHEN found AND t_exp > 0 AND t_ok <> t_exp AND st = 'COMPLETED' THEN 'task_counts_inconsistent' END,
-  CASE WHEN found AND bad AND st IN ('COMPLETED', 'NO_DATA') THEN 'task_counts_inconsistent' END,
-  CASE WHEN found AND control <> '' AND control <> derived AND derived NOT IN ('NOT_FOUND', 'INVALID_METADATA') THEN 'ingestion_control_differs_from_raw_metadata' END
-  ]) AS w FROM insp) WHERE w IS NOT NULL""",
+    "warns": """SELECT reference_date, domain, pipeline_run_id, st, control, derived, w.why AS why, w.w AS w FROM (SELECT *, unnest([
+  {'why': 1, 'w': CASE WHEN NOT found THEN 'metadata_not_found' END},
+  {'why': 2, 'w': CASE WHEN found AND st = 'COMPLETED' AND NOT has_marker THEN 'success_marker_missing' END},
+  {'why': 3, 'w': CASE WHEN found AND has_marker AND st NOT IN ('COMPLETED', 'NO_DATA') THEN 'success_marker_exists_but_status_not_completed' END},
+  {'why': 4, 'w': CASE WHEN found AND t_exp > 0 AND t_ok <> t_exp AND st = 'COMPLETED' THEN 'task_counts_inconsistent' END},
+  {'why': 5, 'w': CASE WHEN found AND bad AND st IN ('COMPLETED', 'NO_DATA') THEN 'task_counts_inconsistent' END},
+  {'why': 6, 'w': CASE WHEN found AND control <> '' AND control <> derived AND derived NOT IN ('NOT_FOUND', 'INVALID_METADATA') THEN 'ingestion_control_differs_from_raw_metadata' END}
+  ]) AS w FROM insp) WHERE w.w IS NOT NULL
+  UNION ALL SELECT reference_date, expected, '', '', '', '', 0, CASE WHEN domain = 'mystery' THEN 'domain_not_implemented' ELSE 'metadata_not_found' END
+  FROM evf WHERE pipeline_run_id IS NULL AND domain NOT IN ('ceap', 'reference', 'votacoes', 'institucional')""",
     "days": "SELECT DISTINCT reference_date FROM runs_key",
     "expd": """SELECT reference_date, expected, CASE expected WHEN 'reference_snapshot' THEN 'reference' ELSE expected END AS domain FROM days,
   (SELECT unnest(['ceap','reference_snapshot','votacoes','proposicoes','eventos','institucional','discursos','mystery']) AS expected)""",
     "evf": """SELECT x.reference_date, x.expected, x.domain, i.pipeline_run_id,
   CASE WHEN x.domain = 'mystery' THEN 'NOT_IMPLEMENTED' WHEN i.pipeline_run_id IS NULL THEN 'NOT_FOUND' ELSE i.derived END AS status
   FROM expd x LEFT JOIN insp i ON i.reference_date = x.reference_date AND i.domain = x.domain""",
-    "droll": """SELECT reference_date, expected, count(*) AS runs, CASE WHEN bool_or(status = 'FAILED') THEN 'FAILED'
+    "droll": """SELECT reference_date, expected, count(*) FILTER (pipeline_run_id IS NOT NULL OR domain NOT IN ('ceap', 'reference', 'votacoes', 'institucional')) AS runs, CASE WHEN bool_or(status = 'FAILED') THEN 'FAILED'
   WHEN bool_or(status IN ('RUNNING', 'QUEUED', 'QUEUING')) THEN 'RUNNING' WHEN bool_or(status = 'PARTIAL') THEN 'PARTIAL'
   WHEN bool_or(status = 'INVALID_METADATA') THEN 'FAILED' WHEN bool_and(status = 'NOT_FOUND') THEN 'NOT_FOUND'
   WHEN bool_and(status = 'NO_DATA') THEN 'NO_DATA' WHEN bool_and(status IN ('COMPLETED', 'NO_DATA')) THEN 'COMPLETED' ELSE 'PARTIAL' END AS domain_status
@@ -355,7 +357,7 @@ SQL = {
 _NEEDS = {
     "latest": ["expenses"], "facts": ["latest", "deputies"], "task_events": ["ev"], "run_state": ["ev"],
     "counts": ["run_state"], "registry": ["ev"], "stored": ["ev"], "runs_id": ["runs_key"], "manifests": ["runs_id"],
-    "insp1": ["manifests"], "insp": ["insp1"], "warns": ["insp"], "days": ["runs_key"], "expd": ["days"],
+    "insp1": ["manifests"], "insp": ["insp1"], "warns": ["insp", "evf"], "days": ["runs_key"], "expd": ["days"],
     "evf": ["expd", "insp"], "droll": ["evf"], "dayroll": ["droll"], "recs": ["lines"],
 }
 

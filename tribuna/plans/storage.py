@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tribuna.functions import scalars as S
+from tribuna.operators import budget as B
 from tribuna.operators import envelope as E
 from tribuna.operators import fingerprints as FP
 from tribuna.operators import layers as L
 from tribuna.operators import manifests as MF
 from tribuna.operators import summary as SU
-from tribuna.plans import health, records
+from tribuna.plans import dispatch, health, records
 from tribuna.plans import stand_ins as ST
 from tribuna.plans.stand_ins import twin
 from tribuna.session import read_table, work_path
@@ -93,14 +95,39 @@ def state_roundtrip(spark, sf):
     return tables.read_state(spark, path, run_id=ST.CEAP_RUN).select("domain", "row_key", "status")
 
 
+def state_by_domain(spark, sf):
+    """Two versions of the state table in folders by domain; one domain of the newest is read, its run only."""
+    path = work_path(spark, "state")
+    state = ST.run_state(spark, sf).select("domain", "row_key", "status", "current_pipeline_run_id", "last_pipeline_run_id")
+    tables.write_version(state.withColumn("status", F.lit("OLD")), path, 1, ("domain",))
+    tables.write_version(state, path, 2, ("domain",))
+    return tables.read_state(spark, path, "d1", ST.CEAP_RUN).select("domain", "row_key", "status")
+
+
+def changed_file(spark, sf):
+    """The changed-records file of a plan, written and read back."""
+    path = work_path(spark, "changed")
+    sinks.write_changed(dispatch._plan(spark, sf), path)
+    return spark.read.schema("id string, list_item_hash string, endpoint string, reason string").json(path)
+
+
+def ids_in_order(spark, sf):
+    """Vote ids in the listing's order, numbers first, with their place: sorted as one table over many files."""
+    e = read_table(spark, sf, "events")
+    ids = e.select(F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("55-"), F.col("event_id").cast("string"))).otherwise(F.col("event_id").cast("string")).alias("id"))
+    keys = S.id_order(F.col("id"))
+    names = [f"k{i}" for i in range(len(keys))]
+    placed = B.with_ordinal(ids.select("id", *[k.alias(n) for k, n in zip(keys, names)]), names)
+    return placed.select((F.col("ordinal") + 1).cast("bigint").alias("place"), "id")
+
+
 def daily_summary_roundtrip(spark, sf):
     """Summary documents and day markers of two writes: all days as green, then the true documents of those that are not COMPLETED or have warnings."""
     path, kpath = work_path(spark, "summary"), work_path(spark, "summary-markers")
     out = health._documents(spark, sf).select("reference_date", "status", "warnings_count", "warning_types")
     sinks.write_daily_summary(out.withColumns({"status": F.when(F.col("warnings_count") >= 0, F.lit("COMPLETED")), "warning_types": F.slice("warning_types", 1, 0)}), path, kpath)
     sinks.write_daily_summary(out.where((F.col("status") != "COMPLETED") | (F.col("warnings_count") > 0)), path, kpath)
-    schema = "status string, warnings_count bigint, warning_types array<string>, reference_date string"
-    days = spark.read.schema(schema).json(path)
+    days = tables.read_daily_summaries(spark, path, "status string, warnings_count bigint, warning_types array<string>")
     marked = tables.read_day_markers(spark, kpath).withColumn("has_marker", F.lit(True))
     return days.join(marked, "reference_date", "left").select(
         F.col("reference_date").alias("day"), "status", "warnings_count", F.coalesce("has_marker", F.lit(False)).alias("has_marker"))
@@ -138,6 +165,10 @@ QUERIES = {
   arg_max(sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}'), (ts, event_id)) AS hash FROM ev GROUP BY 1""", "ev")),
     "layers_roundtrip": (layers_roundtrip, twin("SELECT ano, tipoDespesa, CAST(sum(CAST(valorDocumento AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS documentos FROM expenses GROUP BY 1, 2", "expenses")),
     "state_roundtrip": (state_roundtrip, twin("SELECT domain, row_key, CASE status WHEN 'FAILED' THEN 'QUEUED' ELSE status END AS status FROM run_state WHERE cur = 'ceap_daily_20240115' OR lst = 'ceap_daily_20240115'", "run_state")),
+    "state_by_domain": (state_by_domain, twin("SELECT domain, row_key, status FROM run_state WHERE domain = 'd1' AND (cur = 'ceap_daily_20240115' OR lst = 'ceap_daily_20240115')", "run_state")),
+    "changed_file": (changed_file, dispatch.QUERIES["changed_records"][1]),
+    "ids_in_order": (ids_in_order, """WITH i AS (SELECT event_id, event_id % 7 = 0 AS txt, CASE WHEN event_id % 7 = 0 THEN '55-' || event_id ELSE CAST(event_id AS VARCHAR) END AS id FROM events)
+  SELECT row_number() OVER (ORDER BY txt, CASE WHEN NOT txt THEN event_id END, id) AS place, id FROM i"""),
     "daily_summary_roundtrip": (daily_summary_roundtrip, twin("""SELECT d.reference_date AS day, d.status, coalesce(w.n, 0) AS warnings_count, d.status = 'COMPLETED' AND coalesce(w.crit, 0) = 0 AS has_marker FROM dayroll d LEFT JOIN (SELECT reference_date, count(*) AS n,
   count(*) FILTER (w IN ('success_marker_missing', 'task_counts_inconsistent', 'success_marker_exists_but_status_not_completed')) AS crit FROM warns GROUP BY 1) w USING (reference_date)""", "dayroll", "warns")),
     "csv_history": (csv_history, twin("""SELECT ano AS numAno, mes AS numMes, CASE WHEN id_deputado % 20 = 0 THEN 'LID."' ELSE 'Dep. "' END || tipoDespesa || '"; x' AS txNomeParlamentar,

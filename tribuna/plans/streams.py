@@ -53,7 +53,7 @@ def reconcile_feed(spark, sf):
 def reconcile_digests(spark, sf):
     """Rows of the whole feed that a pass over all other days never brought; the other days have equal digests."""
     e = read_table(spark, sf, "events")
-    fp = ST.stored_item_hash(F.col("user_id"))
+    fp = ST.stored_item_hash(F.col("event_id"))
     rows = e.select(ST.day_text(F.col("ts")).alias("day"), fp["uid"].alias("uid"), fp["hash"].alias("hash"))
     return MB.reconcile_by_digest(rows, rows.where(F.col("day") != "2024-01-05")).select("uid", "hash")
 
@@ -117,8 +117,8 @@ QUERIES = {
     "stream_dedup": (stream_dedup, twin("""SELECT DISTINCT sha256('camara_dadosabertos|proposicoes|{"id":' || user_id || '}') AS uid, sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}') AS hash FROM ev""", "ev")),
     "reconcile_feed": (reconcile_feed, twin("""SELECT sha256('camara_dadosabertos|proposicoes|{"id":' || user_id || '}') AS uid, sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}') AS hash FROM ev
   GROUP BY user_id, k % 3 HAVING min(ts) >= TIMESTAMP '2024-01-05'""", "ev")),
-    "reconcile_digests": (reconcile_digests, twin("""SELECT sha256('camara_dadosabertos|proposicoes|{"id":' || user_id || '}') AS uid, sha256('{"id":' || user_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}') AS hash FROM ev
-  GROUP BY user_id, k % 3 HAVING bool_and(ymd = '20240105')""", "ev")),
+    "reconcile_digests": (reconcile_digests, twin("""SELECT sha256('camara_dadosabertos|proposicoes|{"id":' || event_id || '}') AS uid, sha256('{"id":' || event_id || ',"situacao":"' || substr('FOP', k % 3 + 1, 1) || '"}') AS hash FROM ev
+  WHERE ymd = '20240105'""", "ev")),
     "stream_cursor_outcomes": (stream_cursor_outcomes, """WITH w AS (SELECT max(event_id) // 4 + 1 AS n FROM events),
   f AS (SELECT event_id, CAST(event_id // n AS INTEGER) AS tick, (event_id % n) * 10 >= n * 9 AS outage, CASE WHEN event_id % 7 = 0 THEN '55-' || event_id ELSE CAST(event_id AS VARCHAR) END AS id FROM events, w WHERE event_id > 0 OR event_id % 7 = 0)
   SELECT tick, id, CAST(1 AS INTEGER) AS attempt, CASE WHEN outage THEN 'FAILED' ELSE 'SUCCESS' END AS status FROM f

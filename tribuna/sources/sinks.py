@@ -98,19 +98,26 @@ def is_green(status: Column, warning_types: Column) -> Column:
     return (status == "COMPLETED") & ~F.exists(warning_types, lambda w: w.isin(*CRITICAL_WARNINGS))
 
 
+def summary_store(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, "reference_date string, value string", ["reference_date"])
+
+
+def day_marker_store(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, "reference_date string, complete boolean", ["reference_date"])
+
+
 def write_daily_summary(docs: DataFrame, path: str, marker_path: str) -> None:
-    """Summary documents and markers of the given dates; other dates stay, and a day that is no longer green loses its marker."""
+    """Summary documents and markers of the given dates; other dates stay, and a day that is no longer green loses its marker.
+
+    Keyed logs like the manifests': a write costs its own days, and no folder belongs to a day.
+    """
     once = cut_lineage(docs)
-    (
-        once.hint("rebalance", F.col("reference_date"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("reference_date").json(path)
-    )
+    body, marks = summary_store(once.sparkSession, path), day_marker_store(once.sparkSession, marker_path)
+    body.append(once.select("reference_date", F.to_json(F.struct(*once.columns)).alias("value")))
     green = F.coalesce(is_green(F.col("status"), F.col("warning_types")), F.lit(False))
-    (
-        once.select("reference_date", green.alias("complete"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("reference_date").parquet(marker_path)
-    )
+    marks.append(once.select("reference_date", green.alias("complete")))
+    body.compact()
+    marks.compact()
 
 
 def write_layer(df: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> None:

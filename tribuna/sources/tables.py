@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +32,15 @@ def read_markers(spark: SparkSession, path: str) -> DataFrame:
     return rows.where("complete").select("success_marker_path", "pipeline_run_id").distinct()
 
 
+def read_daily_summaries(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Summary documents by day, with the given fields."""
+    docs = sinks.summary_store(spark, path).newest()
+    return docs.select("reference_date", F.from_json("value", ddl).alias("d")).select("reference_date", "d.*")
+
+
 def read_day_markers(spark: SparkSession, path: str) -> DataFrame:
     """Days whose summary is green."""
-    return spark.read.schema("complete boolean, reference_date string").parquet(path).where("complete").select("reference_date")
+    return sinks.day_marker_store(spark, path).newest().where("complete").select("reference_date")
 
 
 def read_state(spark: SparkSession, path: str, domain: str | None = None, run_id: str | None = None) -> DataFrame:
@@ -60,15 +67,21 @@ def write_version(df: DataFrame, path: str, version: int, partition_by: tuple[st
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/version={version:08d}")
 
 
-def latest_version(spark: SparkSession, path: str) -> int:
-    """Newest version folder, from the folder names alone."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    return max(int(f.getPath().getName().split("=")[1]) for f in found)
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    """Newest version folder, from the folder names alone; None before the first write."""
+    try:
+        listed = spark.read.format("binaryFile").option("basePath", path).load(path)
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return listed.agg(F.max("version").alias("v")).first().v if "version" in listed.columns else None
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     version = latest_version(spark, path) if version is None else version
+    if version is None:
+        raise ValueError(f"no version below {path}")
     return spark.read.parquet(f"{path}/version={int(version):08d}")
 
 
