@@ -16,16 +16,22 @@ MONEY = "decimal(18,2)"
 
 # -- Bronze ---------------------------------------------------------------
 
-def bronze(pages: DataFrame, valid_runs: DataFrame | None = None) -> DataFrame:
+def bronze(pages: DataFrame, valid_runs: DataFrame | None = None, raw: str | None = None) -> DataFrame:
     """Exploded records with the technical columns, from valid runs only.
 
     ``pages`` are audited pages; ``valid_runs`` (``pipeline_run_id``) enters as
     a left semi join, so pages of other runs are dropped before the explode.
+    ``raw`` names the page's text as received: each record then carries its own
+    part of it as ``_received``, with the fields that no schema declares.
     """
     if valid_runs is not None:
         runs = valid_runs.select(F.col("pipeline_run_id").alias("_valid")).distinct()
         pages = pages.join(runs, F.col("_audit._pipeline_run_id") == F.col("_valid"), "left_semi")
-    return pages.select("_audit", F.posexplode("dados").alias("pos", "item")).select(
+    received = [] if raw is None else [H.raw_items(F.col(raw)).alias("_items")]
+    exploded = pages.select("_audit", *received, F.posexplode("dados").alias("pos", "item"))
+    own = [] if raw is None else [F.get("_items", F.col("pos")).alias("_received")]
+    return exploded.select(
+        *own,
         F.col("_audit._raw_path").alias("_source_file"),
         F.col("_audit._source_endpoint").alias("_source_endpoint"),
         F.substring("_audit._ingested_at_utc", 1, 10).alias("_ingestion_date"),

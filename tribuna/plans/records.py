@@ -169,6 +169,47 @@ def enrich_pages(spark, sf):
     )
 
 
+def _received_pages(spark, sf):
+    """Text pages as the API sent them: keys in another order, and a field that no schema declares."""
+    pages = ST.text_pages(spark, sf).withColumns({
+        "pipeline_run_id": F.concat(F.lit("eventos_daily_"), F.col("lang")), "execution_id": F.lit("e"),
+        "ingested_at": F.lit("2024-01-20T12:00:00+00:00"),
+    })
+    sent = F.transform("dados", lambda x: F.struct(F.lit("S").alias("situacao"), x["nome"].alias("nome"), x["id"].alias("id")))
+    return pages.withColumn("received", F.to_json(F.struct("links", sent.alias("dados"))))
+
+
+def enrich_pages_received(spark, sf):
+    """Every record's hash over the text as received, undeclared fields included."""
+    out = E.enrich_pages(_received_pages(spark, sf), "evento_deputados", raw="received")
+    return out.select(F.col("_audit._page").alias("page"), F.posexplode("dados").alias("pos", "item")).select(
+        "page", "pos", F.col("item._record_uid").alias("record_uid"), F.col("item._record_hash").alias("record_hash"))
+
+
+def bronze_received(spark, sf):
+    """Bronze records beside their text as received."""
+    out = L.bronze(E.enrich_pages(_received_pages(spark, sf), "evento_deputados", raw="received"), raw="received")
+    return out.select("_source_file", "pos", "_record_hash", F.get_json_object("_received", "$.situacao").alias("situacao"),
+                      F.sha2(F.get_json_object("_received", "$.nome"), 256).alias("nome_sha256"))
+
+
+def deputies_envelope(spark, sf):
+    """Deputies form of the envelope: list pages of 50, audited twice over, so the second pass strips the first's lineage."""
+    c = read_table(spark, sf, "customer")
+    item = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("nome"))
+    pages = c.groupBy((F.floor(F.col("c_custkey") / 50) + 1).cast("int").alias("page")).agg(F.sort_array(F.collect_list(item)).alias("dados"))
+    pages = pages.withColumns({
+        "reference_date": F.lit("2024-01-15"), "pipeline_run_id": F.lit("reference_snapshot_20240115"), "execution_id": F.lit("e"),
+        "ingested_at": F.lit("2024-01-15T12:00:00+00:00"), "links": F.array().cast("array<struct<rel:string,href:string>>"),
+    })
+    once = E.enrich_pages(pages, "deputados", layout="dated")
+    out = E.enrich_pages(once.drop("raw_path", "_payload_hash"), "deputados", layout="dated")
+    return out.select("_audit", F.explode("dados").alias("item")).select(
+        F.col("_audit._page").alias("page"), F.col("_audit._entity").alias("entity"), F.col("_audit._reference_date").alias("reference_date"),
+        F.col("_audit._payload_hash").alias("payload_hash"), F.col("item.id").alias("id"),
+        F.col("item._record_uid").alias("record_uid"), F.col("item._record_hash").alias("record_hash"))
+
+
 def ceap_envelope(spark, sf):
     """Expense form of the envelope on one-record pages."""
     e = ST.expenses(spark, sf)
@@ -268,6 +309,13 @@ QUERIES = {
   'raw/camara/eventos/api/deputados/evento_id=' || parent_id || '/pipeline_run_id=eventos_daily_' || lang || '/execution_id=exec_1/page_' || page || '.json' AS raw_path,
   parent_id, 'evento' AS parent_entity, 'w0' AS window_start, 'eventos daily/' || lang AS run, CAST(count(*) AS INTEGER) AS records,
   arg_min(record_uid, pos) AS first_uid, arg_max(record_hash, pos) AS last_hash FROM recs GROUP BY page, parent_id, lang""", "recs")),
+    "enrich_pages_received": (enrich_pages_received, twin("""SELECT CAST(page AS INTEGER) AS page, CAST(pos AS INTEGER) AS pos, record_uid,
+  sha256('{"id":' || pos || ',"nome":' || to_json(line)::VARCHAR || ',"situacao":"S"}') AS record_hash FROM recs""", "recs")),
+    "bronze_received": (bronze_received, twin("""SELECT 'raw/camara/eventos/api/deputados/evento_id=' || parent_id || '/pipeline_run_id=eventos_daily_' || lang || '/execution_id=e/page_' || page || '.json' AS _source_file,
+  CAST(pos AS INTEGER) AS pos, sha256('{"id":' || pos || ',"nome":' || to_json(line)::VARCHAR || ',"situacao":"S"}') AS _record_hash, 'S' AS situacao, sha256(line) AS nome_sha256 FROM recs""", "recs")),
+    "deputies_envelope": (deputies_envelope, """WITH c AS (SELECT CAST(c_custkey // 50 + 1 AS INTEGER) AS page, c_custkey AS id, '{"id":' || c_custkey || ',"nome":' || to_json(c_name)::VARCHAR || '}' AS j FROM customer)
+  SELECT page, 'deputado' AS entity, '2024-01-15' AS reference_date, sha256('{"dados":[' || string_agg(j, ',') OVER (PARTITION BY page ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) || '],"links":[]}') AS payload_hash,
+  id, sha256('camara_dadosabertos|deputado|{"id":' || id || '}') AS record_uid, sha256(j) AS record_hash FROM c"""),
     "ceap_envelope": (ceap_envelope, twin(f"""SELECT 'raw/camara/ceap/api/despesas/reference_year=' || ano || '/reference_month=' || lpad(CAST(mes AS VARCHAR), 2, '0') || '/pipeline_run_id=ceap_daily_'
   || replace(_loaded_at, '-', '') || '/execution_id=x1/deputado_id=' || id_deputado || '/page_' || parcela || '.json' AS raw_path, mes AS reference_month, {_UID} AS record_uid, {_PAYLOAD} AS payload_hash FROM expenses""", "expenses")),
     "bronze_records": (bronze_records, twin("""SELECT 'raw/camara/eventos/api/deputados/evento_id=' || parent_id || '/pipeline_run_id=eventos_daily_' || lang || '/execution_id=e/page_' || page || '.json' AS _source_file,
