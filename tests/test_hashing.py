@@ -6,6 +6,7 @@ import random
 import struct
 from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -177,3 +178,45 @@ def test_pages_with_raw_text_hash_the_text(spark):
     assert [d["_record_hash"] for d in out.dados] == [sha('{"extra":2,"id":1,"nome":"a"}'), sha('{"id":2}')]
     typed = E.enrich_pages(df.drop("raw"), "evento_deputados").first()
     assert [d["_record_uid"] for d in out.dados] == [d["_record_uid"] for d in typed.dados]
+
+
+ODD_JSON = [
+    '{"b":1,"a":null,"c":[1,{"z":0,"y":"x"}]}', ' {"a" : "sp ace" , "B":true}\n', '{"a":1.50}', '{"a":1e5}', '{"a":-0}', '{"a":-0.0}', '{"a":12345678901234567890123}',
+    '{"a":999999999999999999}', '{"a":1} {"b":2}', '{"a":1}x', '{"a":1', '{"a":1,"a":2}', '{"_x":1,"a":2}', '{"a":{"_x":1}}', '{"_record_hash":"h","_record_uid":"u","id":3}',
+    '{"a":"\\u00e9\\ud83d\\ude00"}', '{"a":"\\ud83d"}', '{"é":1,"z":2,"😀":3,"\uffee":4}', '{"a":"tab\\t nl\\n bs\\b ff\\f cr\\r q\\" s\\/ b\\\\"}', '{"a":"raw\x1fcontrol"}',
+    '{"a":NaN}', '{"a":Infinity}', '{"a":"}{"}', '{"a":"} x"}', "{}", "[]", "[1]", "5", "null", '"text"', "", None, "nonsense", '{"a":"\x7f\u2028é"}', '{"a":[[],{}],"b":""}',
+    '{"a":"3.5","b":3}', '{"10":1,"9":2,"A":3,"a":4,"_":5}',
+]
+
+
+def random_json(rnd, depth=0):
+    kind = rnd.randrange(9 if depth < 3 else 6)
+    if kind < 6:
+        return [rnd.randrange(-10**6, 10**6), rnd.choice(["", "a b", "é", "x\ny", "ç/", "q\"", "\\\\"]), None, True, False, rnd.random()][kind]
+    if kind == 6:
+        return [random_json(rnd, depth + 1) for _ in range(rnd.randrange(4))]
+    return {rnd.choice("abcXYZé_09") + rnd.choice(["", "b", "Ç"]): random_json(rnd, depth + 1) for _ in range(rnd.randrange(5))}
+
+
+@pytest.mark.parametrize("drop", ["record", "page", "underscore"])
+def test_both_raw_routes_write_the_same(spark, drop):
+    """What stays inside the JVM is what the other route would have written, byte by byte."""
+    rnd = random.Random(11)
+    texts = ODD_JSON + [json.dumps({"k": random_json(rnd), "é": i, "a": random_json(rnd)}, ensure_ascii=rnd.random() < 0.5, indent=rnd.choice([None, 1])) for i in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: (r.c, r.j) for r in df.select("i", H.canonical_raw(F.col("t"), drop).alias("c"), H._canonical_jvm(F.col("t")).alias("j")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i][0] == H._canonical_text(t, drop), t
+    assert sum(j is not None for _, j in got.values()) > 100
+    items = df.groupBy((F.col("i") % 7).alias("k")).agg(F.collect_list("t").alias("page"), F.collect_list("i").alias("ids"))
+    items = items.unionByName(spark.createDataFrame([(99, ['{"b":2,"a":1}', "{}"], [0, 1])], "k int, page array<string>, ids array<int>"))
+    for r in items.select("page", H.canonical_items(F.col("page")).alias("c")).collect():
+        assert list(r.c) == [H._canonical_text(t, "record") for t in r.page]
+
+
+def test_plain_records_are_not_sent_to_python(spark):
+    """The function gets null for what the JVM has written already."""
+    df = H.fingerprint_raw(spark.createDataFrame([('{"id":1}',)], "raw string").repartition(1), "raw", "proposicoes")
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    at = text.index("encode(")
+    assert text[at : at + 20].startswith("encode(CASE WHEN")

@@ -5,8 +5,8 @@ Two routes to the same bytes:
 * **typed** – the record is a struct: keys are sorted when the struct is
   built and ``to_json`` writes it, all inside the JVM.  Null fields are kept.
 * **raw text** – the record is JSON text whose absent and null keys must stay
-  distinct.  One small Arrow UDF re-encodes the text; Spark still does the
-  hashing and the partitioning.
+  distinct.  VARIANT brings the keys into order inside the JVM; one small Arrow
+  UDF re-encodes the texts whose numbers or escapes need more care.
 
 Floats become plain decimal text *in quotes*, so 1234.5 and "1234.5" hash
 alike and "1234.50" does not.
@@ -124,7 +124,25 @@ def _canonical_text(raw: str | None, drop: str) -> str | None:
         else:
             doc.pop("_record_uid", None)
             doc.pop("_record_hash", None)
-    return json.dumps(doc, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+    text = json.dumps(doc, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+    if "\\u" in raw:
+        try:
+            text.encode()
+        except UnicodeEncodeError:  # half of a surrogate pair: no text
+            return None
+    return text
+
+
+#: What the JVM route leaves to the other one: numbers with a fraction, an exponent or many digits, keys or texts
+#: that start with an underscore, \\u escapes, anything behind a closing brace that is no part of the same document,
+#: and letters beyond the basic plane, which sort differently.
+_HARD = r'[0-9][.eE]|[0-9]{18}|"_|\\u|\}\s*[^\s,}\]]|[\x{10000}-\x{10FFFF}]'
+
+
+def _canonical_jvm(raw: Column) -> Column:
+    """Canonical JSON of an object as VARIANT writes it, keys in order; null where the other route is needed."""
+    plain = raw.rlike(r"^\s*\{") & ~raw.rlike(_HARD)
+    return F.when(plain, _lower_escapes(F.to_json(F.try_parse_json(raw))))
 
 
 def canonical_raw(raw: Column, drop: str = "record") -> Column:
@@ -133,23 +151,29 @@ def canonical_raw(raw: Column, drop: str = "record") -> Column:
     ``drop`` names the lineage keys to leave out: ``record`` (``_record_*``),
     ``page`` (``_audit`` and the items' ``_record_*``) or ``underscore``
     (every top-level key that starts with ``_``, used for list items).
+
+    Records without fractions, escapes and lineage keys are written inside the
+    JVM; only the others are sent to Python.
     """
 
     @F.pandas_udf("string")
     def encode(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: _canonical_text(t, drop))
 
-    return encode(raw)
+    text = _canonical_jvm(raw)
+    return F.coalesce(text, encode(F.when(text.isNull(), raw)))
 
 
 def canonical_items(items: Column) -> Column:
-    """Canonical JSON of each record text of an array."""
+    """Canonical JSON of each record text of an array; pages of plain records stay inside the JVM."""
 
     @F.pandas_udf("array<string>")
     def encode(pages: pd.Series) -> pd.Series:
         return pages.map(lambda page: None if page is None else [_canonical_text(t, "record") for t in page])
 
-    return encode(items)
+    texts = F.transform(items, _canonical_jvm)
+    hard = F.exists(texts, lambda t: t.isNull())
+    return F.when(~hard, texts).otherwise(encode(F.when(hard, items)))
 
 
 def sha256(text: Column) -> Column:
