@@ -66,6 +66,17 @@ def test_a_delta_of_one_key_rewrites_one_bucket(spark):
     assert len(t.live()) == 8 and t.live()[-1] == (1, hit[0])
 
 
+def test_a_repeated_upsert_sees_what_was_there_before_it(spark):
+    t = table(spark, 2)
+    merge = lambda old, new: merges.upsert_merge(old, new, ["k"])
+    t.upsert(put(spark, *[(f"k{i}", i) for i in range(20)]), merge, 0)
+    for _ in range(2):
+        t.upsert(put(spark, ("k1", 100), ("k2", 200)), merge, 1)
+    again = KeyedTable(spark, t.path, DDL, ["k"], 2)
+    again.upsert(put(spark, ("k1", 100), ("k2", 200)), merge, 1)
+    assert got(again.newest()) == got(t.newest()) == sorted({**{f"k{i}": i for i in range(20)}, "k1": 100, "k2": 200}.items())
+
+
 def test_compaction_folds_full_buckets_only_and_changes_no_answer(spark):
     t = table(spark, 4)
     t.append(put(spark, *[(f"k{i}", i) for i in range(30)]))

@@ -10,11 +10,13 @@ that bucket are then no longer listed, and the other buckets are untouched.
 
 One writer at a time gives the numbers; a stream gives its batch ids.  The log
 of commits has a row per write and touched bucket; the driver reads it reduced
-to the files that count.
+to the files that count, once per table object, and keeps it up to date with
+what the object writes.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -34,6 +36,7 @@ class KeyedTable:
         if not isinstance(schema, str):  # as it is read back: nothing is declared non-null
             schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         self.schema = T.StructType.fromDDL(schema)
+        self._known: list[tuple[int, int, bool]] | None = None
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
@@ -48,21 +51,38 @@ class KeyedTable:
                 return None
             raise
 
-    def live(self, before: int | None = None) -> list[tuple[int, int]]:
-        """``(seq, bucket)`` of all that counts: a bucket's newest base and what was added since."""
+    def _load(self, before: int | None = None) -> list[tuple[int, int, bool]]:
+        """``(seq, bucket, base)`` of commits from each bucket's newest base on."""
         log = self._commits()
         if log is None:
             return []
         if before is not None:
             log = log.where(F.col("seq") < before)
-        since = F.max(F.when(F.col("base"), F.col("seq"))).over(Window.partitionBy("bucket"))
-        rows = log.withColumn("since", since).where(F.col("since").isNull() | (F.col("seq") >= F.col("since")))
-        return sorted((r.seq, r.bucket) for r in rows.select("seq", "bucket").collect())
+        since = log.where("base").groupBy("bucket").agg(F.max("seq").alias("since"))
+        rows = log.join(since, "bucket", "left").where(F.col("since").isNull() | (F.col("seq") >= F.col("since")))
+        return [(r.seq, r.bucket, r.base) for r in rows.select("seq", "bucket", "base").collect()]
+
+    def _log(self) -> list[tuple[int, int, bool]]:
+        if self._known is None:
+            self._known = self._load() or None
+        return self._known or []
+
+    def live(self, before: int | None = None) -> list[tuple[int, int]]:
+        """``(seq, bucket)`` of all that counts: a bucket's newest base and what was added since.
+
+        ``before`` asks for what counted ahead of a write, as its repetition must see it.
+        """
+        log = self._log()
+        if before is not None and any(seq >= before for seq, _, _ in log):
+            log = self._load(before)
+        since: dict[int, int] = {}
+        for seq, bucket, base in log:
+            if base:
+                since[bucket] = max(seq, since.get(bucket, -1))
+        return sorted((seq, bucket) for seq, bucket, _ in log if seq >= since.get(bucket, -1))
 
     def next_seq(self) -> int:
-        log = self._commits()
-        top = None if log is None else log.agg(F.max("seq").alias("s")).first().s
-        return 0 if top is None else top + 1
+        return 1 + max((seq for seq, _, _ in self._log()), default=-1)
 
     # -- reading --------------------------------------------------------------
 
@@ -98,10 +118,12 @@ class KeyedTable:
         folder = f"{self.path}/rows/seq={seq}"
         placed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]).withColumn("bucket", self.bucket())
         placed.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(folder)
-        written = T.StructType([*self.schema.fields[:1], T.StructField("bucket", T.IntegerType())])
-        buckets = self.spark.read.schema(written).parquet(folder).select("bucket").distinct()
-        commit = buckets.withColumn("base", F.lit(base))
+        # The buckets are in the names of the files just written.
+        files = self.spark.read.schema(self.schema).parquet(folder).inputFiles()
+        buckets = sorted({int(m.group(1)) for f in files if (m := re.search(r"/bucket=(\d+)/", f))})
+        commit = self.spark.createDataFrame([(b, base) for b in buckets], "bucket int, base boolean")
         commit.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/seq={seq}")
+        self._known = [c for c in self._log() if c[0] != seq] + [(seq, b, base) for b in buckets]
 
     def append(self, df: DataFrame, seq: int | None = None) -> int:
         """Adds rows, each key once; the newest write of a key counts."""
