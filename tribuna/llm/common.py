@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +58,26 @@ def by_bytes(items: Iterable, size_of, most: int) -> Iterator[list]:
         held += size
     if part:
         yield part
+
+
+def give_back() -> None:
+    """Returns memory that this Python worker has freed to the system.
+
+    Workers live on between tasks; what one task has needed would stay reserved
+    beside the next task's.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every system's library has it
+        pass
+
+
+def tidy(batches: Iterator) -> Iterator:
+    """The batches, with freed memory given back after each and at the end."""
+    try:
+        for batch in batches:
+            yield batch
+            give_back()
+    finally:
+        give_back()

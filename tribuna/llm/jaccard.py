@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tribuna.llm.common import one_row, text_of
+from tribuna.llm.common import give_back, one_row, text_of, tidy
 from tribuna.llm.graph import components
 from tribuna.llm.shingles import mix, set_key, shingle_sets
 from tribuna.llm.tokens import slices
@@ -222,7 +222,10 @@ def meet(table: pa.Table, sig_bytes: int, id_bytes: int) -> pa.Table:
     g = mix(g.astype(np.uint64) + mix(np.array([bucket + 1], dtype=np.uint64))).view(np.int64)
     g = np.where(alone, pair, g)
     keep = np.unique(np.stack((g, a, b), axis=1), axis=0) if len(g) else np.empty((0, 3), dtype=np.int64)
-    return pa.table({"g": keep[:, 0], "lead": keep[:, 1], "member": keep[:, 2]})
+    out = pa.table({"g": keep[:, 0], "lead": keep[:, 1], "member": keep[:, 2]})
+    del raw, tied, sig, who, lead, g, a, b, pair, keep
+    give_back()
+    return out
 
 
 def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +323,7 @@ def rest_links(groups: DataFrame, roots: DataFrame, tested: DataFrame, sets: Dat
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    info = cut_lineage(slim.mapInArrow(describe, "doc_id long, n long, cls binary"))
+    info = cut_lineage(slim.mapInArrow(lambda it: tidy(describe(it)), "doc_id long, n long, cls binary"))
     links, classes = class_links(slim, info, percent)
     roots = components(links)
     # An id on several rows ties their classes.
@@ -347,7 +350,7 @@ def class_links(slim: DataFrame, info: DataFrame, percent: int) -> tuple[DataFra
     id_bytes = min(7, max(4, math.ceil((math.log2(max(2, n_classes)) + 10) / 8)))
     common = common_shingles(slim, one_row(info.agg(F.count(F.lit(1))))[0])
     sent = slim.where("doc_id is not null").select("text").mapInArrow(
-        lambda it: send_signatures(it, common, buckets, sig_bytes, id_bytes, percent), "bucket int, sigs binary, ties binary"
+        lambda it: tidy(send_signatures(it, common, buckets, sig_bytes, id_bytes, percent)), "bucket int, sigs binary, ties binary"
     )
     met = sent.groupBy("bucket").applyInArrow(lambda t: meet(t, sig_bytes, id_bytes), "g long, lead long, member long")
     met = cut_lineage(met.distinct())
@@ -360,7 +363,7 @@ def class_links(slim: DataFrame, info: DataFrame, percent: int) -> tuple[DataFra
     wanted = wanted.join(classes, "rep").select(F.col("rep").alias("doc_id"), F.col("cls").alias("want"))
     # A representative's id may stand on other rows too: only its own set counts, and of equal rows one.
     found = slim.join(wanted, "doc_id").withColumn("th", F.xxhash64("text")).dropDuplicates(["doc_id", "want", "th"])
-    sets = cut_lineage(found.select("doc_id", "text", "want").mapInArrow(read_sets, "id long, s array<long>"))
+    sets = cut_lineage(found.select("doc_id", "text", "want").mapInArrow(lambda it: tidy(read_sets(it)), "id long, s array<long>"))
     near = groups.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("lead", "member")
     # Rounds: every set that its leader does not reach yet is compared with the smallest leader that is left.
     links, roots, tested = None, None, None

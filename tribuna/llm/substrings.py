@@ -46,7 +46,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tribuna.llm.common import by_bytes, one_row, text_of
+from tribuna.llm.common import by_bytes, give_back, one_row, text_of, tidy
 from tribuna.llm.jaccard import from_bytes, top_bytes
 from tribuna.llm.shingles import mix, powers
 from tribuna.llm.tokens import slices
@@ -56,10 +56,10 @@ LENGTH = 50
 #: Bytes of a gram; a window has LENGTH - GRAM + 1 of them.
 GRAM = 24
 #: Bytes of text per slice and of strings per shard; anchors per bucket of the first step, bytes of segments of the second.
-SLICE = 1 << 19
+SLICE = 1 << 20
 SHARD_BYTES = 256 << 10
 BUCKET_ANCHORS = 150_000
-BUCKET_BYTES = 1_000_000
+BUCKET_BYTES = 3_000_000
 #: Above this many documents the windows of an anchor are dealt out one by one.
 HOT_DOCS = 1_000
 
@@ -153,12 +153,15 @@ def shared_anchors(table: pa.Table, sig_bytes: int, id_bytes: int, hot_docs: int
     low = top_bytes(sig.astype(np.uint64) << np.uint64(8 * (8 - sig_bytes)), sig_bytes)
     ends = np.append(begin[1:], len(who)).tolist()
     blobs = [low[x:y].tobytes() for x, y in zip(begin.tolist(), ends)]
-    return pa.table({
+    out = pa.table({
         "short": pa.array(who[begin], pa.int64()), "anchors": pa.array(blobs, pa.binary()),
         "n": pa.array(np.diff(np.append(begin, len(who))), pa.int64()),
         "hot": pa.array([np.array([(bucket, v) for v in sig[x:y][hot[x:y]].tolist()], dtype="<i8").tobytes() for x, y in zip(begin.tolist(), ends)], pa.binary()),
         "n_hot": pa.array([int(hot[x:y].sum()) for x, y in zip(begin.tolist(), ends)], pa.int64()),
     })
+    del new, told, sig, who, low, blobs
+    give_back()
+    return out
 
 
 def suffix_order(symbols: np.ndarray, end_of: np.ndarray, limit: int) -> np.ndarray:
@@ -356,6 +359,7 @@ def removed_runs(table: pa.Table, length: int) -> pa.Table:
         begin = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (below[1:] != below[:-1]))))
         remove(owner[begin], place[begin], np.diff(np.append(begin, len(owner))), below[begin])
     columns = list(zip(*out)) if out else [(), (), (), ()]
+    give_back()
     return pa.concat_tables([known, pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names_out, columns)})])
 
 
@@ -403,7 +407,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
     sig_bytes = min(7, max(4, math.ceil((math.log2(n_anchors) + 6 - math.log2(buckets)) / 8)))
     id_bytes = min(7, max(4, math.ceil((math.log2(n_docs) + 8) / 8)))
     sent = named.select("key", "text").mapInArrow(
-        lambda it: send_anchors(it, length, gram, buckets, sig_bytes, id_bytes), "bucket int, new binary, told binary"
+        lambda it: tidy(send_anchors(it, length, gram, buckets, sig_bytes, id_bytes)), "bucket int, new binary, told binary"
     )
     shared = cut_lineage(
         sent.groupBy("bucket").applyInArrow(lambda t: shared_anchors(t, sig_bytes, id_bytes, hot_docs), "short long, anchors binary, n long, hot binary, n_hot long")
@@ -416,7 +420,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
     short = F.shiftrightunsigned("key", 8 * (8 - id_bytes))
     with_anchors = named.withColumn("short", short).join(per_doc, "short").select("doc_id", "th", "text", "anchors", "hot")
     segments = with_anchors.mapInArrow(
-        lambda it: send_segments(it, length, gram, parts, sig_bytes, buckets),
+        lambda it: tidy(send_segments(it, length, gram, parts, sig_bytes, buckets)),
         "bucket int, strings binary, places binary, doc_id long, th long, start long, windows long",
     )
     # The segments are shuffled once and stored nowhere; what is kept is the runs, numbers only.
@@ -426,7 +430,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
     )
     by_row = runs.groupBy(F.col("doc_id").alias("r_id"), F.col("th").alias("r_th")).agg(F.collect_set(F.struct("start", "windows")).alias("runs"))
     out = slim.join(by_row, (slim["doc_id"] == by_row["r_id"]) & (slim["th"] == by_row["r_th"]), "left").select(slim["doc_id"], "text", "runs")
-    return out.mapInArrow(lambda it: cut_batches(it, length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return out.mapInArrow(lambda it: tidy(cut_batches(it, length)), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def digests(removed: DataFrame) -> DataFrame:
