@@ -424,7 +424,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
         "bucket int, strings binary, places binary, doc_id long, th long, start long, windows long",
     )
     # The segments are shuffled once and stored nowhere; what is kept is the runs, numbers only.
-    home = F.coalesce("bucket", F.pmod("th", F.lit(parts)).cast("int"))  # known runs ride along with any bucket
+    home = F.coalesce("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)).cast("int"))  # known runs ride along with any bucket
     runs = cut_lineage(
         segments.withColumn("home", home).groupBy("home").applyInArrow(lambda t: removed_runs(t, length), "doc_id long, th long, start long, windows long")
     )
