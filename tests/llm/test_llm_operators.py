@@ -9,6 +9,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import zstandard
@@ -603,20 +604,55 @@ def test_top_k_by_brute_force(spark):
     df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<double>, score string, id int").repartition(4)
     want = brute.top_k([r for r in rows], lambda i: i % 10 == 0)
     want = sorted(set(want))  # rows of an id that are equal ask once
-    for blocks, teams in ((8192, 8192), (20, 7)):
-        got = sorted(map(tuple, knn.top_k(df, F.col("id") % 10 == 0, block_rows=blocks, team_rows=teams, n_pivots=9).collect()))
+    for blocks, teams, first in ((8192, 8192, 32), (20, 7, 1)):
+        got = sorted(map(tuple, knn.top_k(df, F.col("id") % 10 == 0, block_rows=blocks, team_rows=teams, n_pivots=9, first=first).collect()))
         assert got == want
     assert knn.top_k(df.limit(0), F.col("id") % 10 == 0).collect() == []
 
 
-def test_far_groups_are_left_out():
-    import pandas as pd
-
-    pivots = {2: np.array([[0.0, 0.0], [1000.0, 0.0]])}
-    cells = {2: [(0, 50, 1, 5.0, 5.0), (1, 50, 1, 5.0, 1005.0)]}
-    q = pd.DataFrame({"id": [1], "x": [[10, 0]], "d": [2], "team": [0]})
-    out = next(knn.plan_queries(iter([q]), pivots, cells, 10))
-    assert out["cell"].tolist() == [1]
+def test_rings_bound_their_scores():
+    """No vector of a ring scores above the ring's bound; the first pass takes the best rings until they hold enough."""
+    rng = np.random.default_rng(7)
+    x = np.floor(rng.normal(size=(400, 6)) * 50 + rng.integers(0, 3, size=(400, 1)) * 60)
+    x[:5] = 0
+    pivots = {6: x[[0, 9, 17, 30]]}
+    df = pd.DataFrame({"id": range(400), "x": x.astype(int).tolist(), "copy": 1})
+    data = pd.concat(knn.assign(iter([df]), pivots))
+    ring = data.groupby(["d", "zone"]).agg(n=("id", "size"), ids=("id", "nunique"), a0=("angle", "min"), a1=("angle", "max"), n0=("norm", "min"), n1=("norm", "max")).reset_index()
+    zones = knn.lay_out(list(ring.itertuples()), 50)[6]
+    assert zones.ids.sum() == 400 and (zones.parts == -(-ring["n"].to_numpy() // 50)).all()
+    q = np.concatenate([x[::7], -x[1:20:3]])
+    high = knn.bounds(q, knn.directions(pivots[6]), zones)
+    scores = q @ x.T
+    for at, zone in enumerate(zones.zone):
+        assert (scores[:, data["zone"].to_numpy() == zone] <= high[:, [at]]).all()
+    taken = knn.first_rings(high, zones.ids, 30)
+    assert ((taken * zones.ids).sum(1) >= 30).all()
+    assert (np.where(taken, high, np.inf).min(1) >= np.where(taken, -np.inf, high).max(1)).all()
+
+
+def test_far_rings_are_left_out():
+    """Two bundles of vectors: a query of one never meets the other."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(300, 4)) + [100, 0, 0, 0], rng.normal(size=(300, 4)) + [0, 100, 0, 0]]) * 1000
+    pivots = {4: np.floor(x[[0, 300]])}
+    df = pd.DataFrame({"id": range(600), "x": np.floor(x).astype(int).tolist(), "copy": 1})
+    data = pd.concat(knn.assign(iter([df]), pivots))
+    ring = data.groupby(["d", "zone"]).agg(n=("id", "size"), ids=("id", "nunique"), a0=("angle", "min"), a1=("angle", "max"), n0=("norm", "min"), n1=("norm", "max")).reset_index()
+    zones = knn.lay_out(list(ring.itertuples()), 100)
+    q = pd.DataFrame({"id": [1, 2], "x": [df["x"][1], df["x"][2]], "d": [4, 4], "team": [0, 0]})
+    near = set(data["zone"][data["id"] < 300])
+    q = next(knn.choose_first(iter([q]), pivots, zones, 31))
+    once = next(knn.plan_queries(iter([q]), pivots, zones, False))
+    assert {z for met in once["zones"] for z in met} <= near
+    rest = next(knn.plan_queries(iter([q.assign(bound=9e9)]), pivots, zones, True))
+    assert {z for met in rest["zones"] for z in met} <= near
+    every = next(knn.plan_queries(iter([q.assign(bound=None)]), pivots, zones, True))
+    for i in (1, 2):
+        asked = [z for df in (once, every) for met in df["zones"][df["q"] == i] for z in set(met)]
+        assert set(asked) == set(data["zone"])
+    # A ring of 300 rows is three packs, and a query goes to each of them.
+    assert (once.groupby("q")["pack"].nunique() == 3).all()
 
 
 # --- pipeline ----------------------------------------------------------------

@@ -1,18 +1,22 @@
 """Exact top-k search by inner product: a Voronoi join with bounds per group.
 
-Pivots are a bounded sample.  Data and queries go to their nearest pivot; per
-group the summaries are its size, its radius, and the largest norm.  For a query
-q and a group with pivot p and radius r every score lies within q.p -+ |q| r, so
-the groups' lower bounds, taken until they hold k vectors, give a score that the
-k-th result reaches at least, and groups whose upper bound is below it are left
-out.  Queries are sent to the blocks of the remaining groups only; each block is
-solved by one matrix product, and the blocks' best are merged.
-
-A group with a third of all vectors is many blocks of bounded rows; queries are
-dealt to teams by their groups, and data are repeated only for the teams that
-need them.  Vectors are
-multiplied by ``scale`` and floored, so scores are integers; products are exact,
-in floating point while sums stay below 2**53, else in 64-bit integers.
+Pivots are a bounded sample, about as many as the root of the rows.  Data go to
+their nearest pivot and, by their angle to it, to a ring of its group.  A ring's
+summary is its number of ids, its range of angles and its range of norms: a query
+at angle t to the pivot scores at most |q| |x| cos(gap) with a vector of the ring,
+where gap is the distance of t from the ring's angles, and at least |q| |x| times
+the cosine of both angles' sum.
+
+There are two passes.  The first solves for each query the rings with the highest
+bounds, until they hold some times k vectors; the k-th score found is one that the
+answer reaches at least.  The second solves the rings whose bound reaches it.
+
+Rings are laid out in packs of bounded rows; a ring with a third of all vectors is
+many packs.  A query is sent to a pack once, with the rings it needs there, and
+meets only these.  Queries are dealt to teams by their groups, and data are
+repeated only for the teams that need them.  Vectors are multiplied by ``scale``
+and floored, so scores are integers; products are exact, in floating point while
+sums stay below 2**53, else in 64-bit integers.
 
 Cases: vectors that are null or hold null, NaN or infinite components take no
 part; a vector meets vectors of its own length only; equal scores go to the
@@ -25,6 +29,8 @@ scaling are out of range.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -35,14 +41,24 @@ from tribuna.session import cut_lineage
 
 SCALE = 1024
 K = 10
-#: Pivots at most, and rows of a block.
-PIVOTS = 64
+#: Pivots at most, and rings by angle of a group.
+PIVOTS = 1024
+RINGS = 24
+#: Vectors, as a multiple of k, that a query meets in the first pass.
+FIRST = 32
+#: Rows of a pack.
 BLOCK_ROWS = 8192
-#: Queries of a team: what a block meets in one task.
+#: Queries of a team: what a pack meets in one task.
 TEAM_ROWS = 8192
-#: Queries that are solved against a block at once.
+#: Queries that are solved against a pack at once.
 QUERY_ROWS = 512
+#: Bounds that are worked out at once.
+BOUNDS = 1 << 20
+#: What rounding may change: of a product, relative, and of an angle.
 ULP = 1e-9
+ANGLE = 1e-6
+#: No score.
+NONE = np.iinfo(np.int64).min
 
 
 def whole(vectors: DataFrame, vec_id: str, embedding: str, scale: int, k: int) -> DataFrame:
@@ -64,61 +80,157 @@ def sample_pivots(vectors: DataFrame, n: int) -> dict[int, np.ndarray]:
     return {d: np.array(v, dtype=np.float64).reshape(len(v), d) for d, v in by_length.items()}
 
 
-def nearest(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of and distance to the nearest pivot."""
-    d2 = (x * x).sum(1)[:, None] - 2 * x @ pivots.T + (pivots * pivots).sum(1)[None, :]
-    at = d2.argmin(1)
-    return at, np.sqrt(((x - pivots[at]) ** 2).sum(1))
+def nearest(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Index of the nearest pivot."""
+    return ((pivots * pivots).sum(1)[None, :] - 2 * x @ pivots.T).argmin(1)
+
+
+def directions(pivots: np.ndarray) -> np.ndarray:
+    """Unit vectors towards the pivots; a pivot at the origin stands for the first axis."""
+    out = np.array(pivots, dtype=np.float64)
+    length = np.sqrt((out * out).sum(1))
+    if out.shape[1]:
+        out[length == 0, 0] = 1.0
+    return out / np.where(length == 0, 1.0, length)[:, None]
+
+
+def towards(pivots: dict[int, np.ndarray], d: int) -> np.ndarray:
+    return directions(pivots.get(d, np.zeros((1, d))))
+
+
+def angle(along: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    """Angle to a direction, of a vector with this product with it and this norm."""
+    return np.arctan2(np.sqrt(np.maximum(norm * norm - along * along, 0.0)), along)
 
 
 def assign(batches: Iterator[pd.DataFrame], pivots: dict[int, np.ndarray]) -> Iterator[pd.DataFrame]:
-    """Adds vector length, group, distance and norm to each vector."""
+    """Adds vector length, group, zone (the ring, numbered over all groups), angle and norm to each vector."""
     for df in batches:
         lengths = df["x"].map(len).to_numpy()
         for d in np.unique(lengths):
             part = df[lengths == d]
             x = np.array(part["x"].tolist(), dtype=np.float64).reshape(len(part), d)
+            norm = np.sqrt((x * x).sum(1))
             if d in pivots:
-                at, far = nearest(x, pivots[d])
-            else:  # a length that the sample has missed is one group around the origin
-                at, far = np.full(len(part), -1), np.sqrt((x * x).sum(1))
-            yield pd.DataFrame({"id": part["id"], "x": part["x"], "copy": part["copy"], "d": np.int32(d), "cell": at.astype(np.int32), "far": far, "norm": np.sqrt((x * x).sum(1))})
+                at = nearest(x, pivots[d])
+            else:  # a length that the sample has missed is one group around the first axis
+                at = np.zeros(len(part), dtype=int)
+            turn = angle((x * towards(pivots, d)[at]).sum(1), norm)
+            ring = np.minimum((turn * (RINGS / np.pi)).astype(int), RINGS - 1)
+            yield pd.DataFrame({
+                "id": part["id"], "x": part["x"], "copy": part["copy"], "d": np.int32(d), "cell": at.astype(np.int32),
+                "zone": (at * RINGS + ring).astype(np.int32), "angle": turn, "norm": norm,
+            })
 
 
-ASSIGNED = "id long, x array<long>, copy int, d int, cell int, far double, norm double"
+ASSIGNED = "id long, x array<long>, copy int, d int, cell int, zone int, angle double, norm double"
 
 
-def plan_queries(
-    batches: Iterator[pd.DataFrame], pivots: dict[int, np.ndarray], cells: dict[int, list[tuple]], k: int
-) -> Iterator[pd.DataFrame]:
-    """For each query the groups that can hold one of its k best.
+class Zones(NamedTuple):
+    """The rings of one vector length, in the order of their packs."""
 
-    ``cells[d]``: per group its number, distinct ids, blocks, radius and largest norm.
-    The query's own id may be among those counted, so k + 1 distinct ids are
-    asked for.
-    """
+    zone: np.ndarray
+    ids: np.ndarray
+    #: Angles and norms, from and to.
+    angles: np.ndarray
+    norms: np.ndarray
+    #: First pack, and number of packs.
+    pack: np.ndarray
+    parts: np.ndarray
+
+
+def lay_out(summaries: list, block_rows: int) -> dict[int, Zones]:
+    """Rings (``d, zone, n, ids, a0, a1, n0, n1``) in packs of at most ``block_rows``; a larger ring has packs of its own."""
+    pack, held, last = 0, 0, None
+    rows: dict[int, list] = {}
+    for s in sorted(summaries, key=lambda s: (s.d, s.zone)):
+        parts = max(1, -(-s.n // block_rows))
+        if held and (s.d != last or held + s.n > block_rows):
+            pack, held = pack + 1, 0
+        rows.setdefault(s.d, []).append((s.zone, s.ids, (s.a0, s.a1), (s.n0, s.n1), pack, parts))
+        held, last = held + s.n, s.d
+        if parts > 1:
+            pack, held = pack + parts, 0
+    return {d: Zones(*(np.array(c) for c in zip(*r))) for d, r in rows.items()}
+
+
+def bounds(q: np.ndarray, pivot: np.ndarray, zones: Zones) -> np.ndarray:
+    """The most that each query (row) can score with a vector of each ring (column)."""
+    norm = np.sqrt((q * q).sum(1))
+    turn = angle(q @ pivot.T, norm[:, None])[:, zones.zone // RINGS]
+    gap = np.maximum(np.maximum(zones.angles[:, 0] - turn, turn - zones.angles[:, 1]) - ANGLE, 0.0)
+    most = np.cos(gap)
+    return norm[:, None] * (np.maximum(most * zones.norms[:, 0], most * zones.norms[:, 1]) + ULP * zones.norms[:, 1])
+
+
+def first_rings(high: np.ndarray, ids: np.ndarray, enough: int) -> np.ndarray:
+    """Marks for each query the rings with the highest bounds that together hold enough ids."""
+    order = np.argsort(-high, axis=1, kind="stable")
+    held = np.cumsum(ids[order], axis=1)
+    taken = held - ids[order] < enough
+    out = np.empty_like(taken)
+    np.put_along_axis(out, order, taken, axis=1)
+    return out
+
+
+def in_steps(batches: Iterator[pd.DataFrame], zones: dict[int, Zones]) -> Iterator[tuple[int, pd.DataFrame, np.ndarray]]:
+    """Queries by vector length, so many at once that their bounds fit, with their vectors."""
     for df in batches:
         for d, part in df.groupby("d"):
-            known = cells.get(int(d), [])
-            if not known:
-                continue
-            number, held_ids, blocks, radius, norm = (np.array(c) for c in zip(*known))
-            q = np.array(part["x"].tolist(), dtype=np.float64).reshape(len(part), d)
-            centre = np.array([pivots[d][n] if n >= 0 else np.zeros(d) for n in number]).reshape(len(number), d)
-            length = np.sqrt((q * q).sum(1))[:, None]
-            mid = q @ centre.T
-            slack = ULP * (1 + np.abs(mid) + length * (radius + norm)[None, :])
-            high = np.minimum(mid + length * radius[None, :], length * norm[None, :]) + slack
-            low = np.maximum(mid - length * radius[None, :], -length * norm[None, :]) - slack
-            order = np.argsort(-low, axis=1)
-            held = np.cumsum(held_ids[order], axis=1)
-            reached = held >= k + 1
-            at = np.where(reached.any(1), reached.argmax(1), -1)
-            bound = np.where(at >= 0, low[np.arange(len(q)), order[np.arange(len(q)), at]], -np.inf)
-            keep = high >= bound[:, None]
-            i, c = np.nonzero(keep)
-            ids, xs, groups = part["id"].to_numpy(), part["x"].to_numpy(), part["team"].to_numpy()
-            yield pd.DataFrame({"q": ids[i], "qx": xs[i], "team": groups[i], "d": np.int32(d), "cell": number[c].astype(np.int32), "blocks": blocks[c].astype(np.int32)})
+            if int(d) in zones:
+                step = max(1, BOUNDS // len(zones[int(d)].zone))
+                for start in range(0, len(part), step):
+                    rows = part.iloc[start : start + step]
+                    yield int(d), rows, np.array(rows["x"].tolist(), dtype=np.float64).reshape(len(rows), d)
+
+
+def choose_first(batches: Iterator[pd.DataFrame], pivots: dict[int, np.ndarray], zones: dict[int, Zones], enough: int) -> Iterator[pd.DataFrame]:
+    """Each query with the rings of its first pass.
+
+    They are kept, not worked out again by the second pass: bounds that are
+    rounded otherwise there could leave a ring to neither.  The query's own id may
+    be among those counted, so ``enough`` is more than k.
+    """
+    for d, rows, q in in_steps(batches, zones):
+        z = zones[d]
+        taken = first_rings(bounds(q, towards(pivots, d), z), z.ids, enough)
+        yield rows.assign(first=[z.zone[t].astype(np.int32) for t in taken])[["id", "x", "d", "team", "first"]]
+
+
+CHOSEN = "id long, x array<long>, d int, team int, first array<int>"
+
+
+def plan_queries(batches: Iterator[pd.DataFrame], pivots: dict[int, np.ndarray], zones: dict[int, Zones], second: bool) -> Iterator[pd.DataFrame]:
+    """For each query the packs it is sent to and the rings it meets there.
+
+    The second pass asks what the first has not asked and what reaches ``bound``,
+    the k-th score so far (null: everything).
+    """
+    for d, rows, q in in_steps(batches, zones):
+        z = zones[d]
+        keep = np.array([np.isin(z.zone, f) for f in rows["first"]]).reshape(len(rows), len(z.zone))
+        if second:
+            keep = ~keep & (bounds(q, towards(pivots, d), z) >= rows["bound"].astype(float).fillna(-np.inf).to_numpy()[:, None])
+        yield send(rows, keep, z)
+
+
+SENT = "q long, qx array<long>, team int, pack int, zones array<int>"
+
+
+def send(rows: pd.DataFrame, keep: np.ndarray, z: Zones) -> pd.DataFrame:
+    """A row per query and pack, with the rings that the query meets there."""
+    i, c = np.nonzero(keep)
+    cuts = np.flatnonzero((np.diff(i) != 0) | (np.diff(z.pack[c]) != 0)) + 1
+    heads = np.concatenate([[0], cuts]).astype(int) if len(i) else np.zeros(0, dtype=int)
+    met = np.split(z.zone[c].astype(np.int32), cuts) if len(i) else []
+    parts = z.parts[c[heads]]
+    which = np.repeat(np.arange(len(heads)), parts)
+    pack = z.pack[c[heads]][which] + np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
+    at = i[heads][which]
+    return pd.DataFrame({
+        "q": rows["id"].to_numpy()[at], "qx": rows["x"].to_numpy()[at], "team": rows["team"].to_numpy()[at],
+        "pack": pack.astype(np.int32), "zones": pd.Series([met[w] for w in which], dtype=object),
+    })
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -130,41 +242,41 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def solve(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best of one block for every query that was sent to it."""
+    """The k best of one pack for every query that was sent to it, among the rings it asks for."""
     empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "q_hash": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
     if queries.empty or data.empty:
         return empty
-    data = data.sort_values("id", kind="stable")
+    data = data.sort_values(["zone", "id"], kind="stable")
     ids = data["id"].to_numpy()
     d = len(data["x"].iloc[0])
     x = np.array(data["x"].tolist(), dtype=np.int64).reshape(len(data), d)
+    zones, starts = np.unique(data["zone"].to_numpy(), return_index=True)
+    ends = np.append(starts[1:], len(data))
     out = []
     for start in range(0, len(queries), QUERY_ROWS):
         part = queries.iloc[start : start + QUERY_ROWS]
         q = np.array(part["qx"].tolist(), dtype=np.int64).reshape(len(part), d)
-        scores = product(q, x)
+        scores = np.full((len(part), len(data)), NONE)
+        asks = np.zeros((len(part), len(zones)), dtype=bool)
+        for i, met in enumerate(part["zones"]):
+            asks[i] = np.isin(zones, met)
+        for j in np.flatnonzero(asks.any(0)):
+            who = np.flatnonzero(asks[:, j])
+            scores[who, starts[j] : ends[j]] = product(q[who], x[starts[j] : ends[j]])
         for own, q_hash, row in zip(part["q"].to_numpy(), part["q_hash"].to_numpy(), scores):
             # k + the rows of the query's own id suffice; equal scores at the border are all looked at.
             mine = ids == own
             need = k + int(mine.sum())
-            at = np.arange(len(row))
-            if need < len(row):
-                at = np.flatnonzero(row >= np.partition(row, len(row) - need)[len(row) - need])
+            at = np.flatnonzero(row > NONE)
+            if need < len(at):
+                found = row[at]
+                at = at[found >= np.partition(found, len(found) - need)[len(found) - need]]
             at = at[~mine[at]]
             at = at[np.lexsort((ids[at], -row[at]))][:k]
             out.append(pd.DataFrame({"query_id": np.int64(own), "q_hash": np.int64(q_hash), "vec_id": ids[at], "score": row[at]}))
     return pd.concat(out, ignore_index=True) if out else empty
 
 
-def per_cell(values: dict[tuple[int, int], int], default: int = 1) -> Column:
-    """A number per group, as a lookup by (d, cell)."""
-    pairs = [(f"{d},{c}", v) for (d, c), v in sorted(values.items()) if v != default]
-    if not pairs:
-        return F.lit(default)
-    table = F.create_map(*[F.lit(x) for p in pairs for x in p])
-    return F.coalesce(F.try_element_at(table, F.concat_ws(",", "d", "cell")), F.lit(default))
-
-
 def team_up(counts: dict[tuple[int, int], int], most: int) -> dict[tuple[int, int], tuple[int, int]]:
     """Groups' queries dealt to teams of about ``most``: neighbours share one, a large group gets several. First team and number."""
     out, team, held = {}, 0, 0
@@ -177,33 +289,51 @@ def team_up(counts: dict[tuple[int, int], int], most: int) -> dict[tuple[int, in
     return out
 
 
+def solve_packs(asked: DataFrame, data: DataFrame, k: int) -> DataFrame:
+    """The k best per query and pack; a pack's rows go to the teams that ask for it."""
+    needed = asked.select(*[F.col(c).alias(c) for c in ("pack", "team")]).distinct()
+    sent = data.select("id", "x", "zone", "pack").join(needed, "pack")
+    asked = asked.withColumn("q_hash", F.xxhash64("qx"))
+    return asked.groupBy("pack", "team").cogroup(sent.groupBy("pack", "team")).applyInPandas(
+        lambda q, v: solve(q, v, k), "query_id long, q_hash long, vec_id long, score long"
+    )
+
+
+def best(found: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("query_id", "q_hash").orderBy(F.col("score").desc(), "vec_id")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
 def top_k(
-    vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE, n_pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS, team_rows: int = TEAM_ROWS,
-    vec_id: str = "vec_id", embedding: str = "embedding",
+    vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE, n_pivots: int | None = None, block_rows: int = BLOCK_ROWS, team_rows: int = TEAM_ROWS,
+    first: int = FIRST, vec_id: str = "vec_id", embedding: str = "embedding",
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the k best of all rows for every row that ``is_query`` (on ``id``) chooses."""
+    """``query_id, rank, vec_id, score``: the k best of all rows for every row that ``is_query`` (on ``id``) chooses.
+
+    ``n_pivots``: by default the root of the rows, ``PIVOTS`` at most.
+    """
+    spark = vectors.sparkSession
     x = cut_lineage(whole(vectors, vec_id, embedding, scale, k))
-    pivots = sample_pivots(x, n_pivots)
+    pivots = sample_pivots(x, n_pivots or min(PIVOTS, isqrt(x.count()) + 1))
     data = cut_lineage(x.mapInPandas(lambda it: assign(it, pivots), ASSIGNED))
     queries = data.where(is_query).where("copy = 1")
-    # One row per group: at most the number of pivots and of vector lengths.
-    cells: dict[int, list[tuple]] = {}
-    for s in data.groupBy("d", "cell").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"), F.max("far").alias("r"), F.max("norm").alias("m")).collect():
-        cells.setdefault(s.d, []).append((s.cell, s.ids, -(-s.n // block_rows), s.r, s.m))
-    blocks = {(d, c[0]): c[2] for d, cs in cells.items() for c in cs}
-    teams = team_up({(r.d, r.cell): r["count"] for r in queries.groupBy("d", "cell").count().collect()}, team_rows)
-    data = data.withColumn("block", F.pmod(F.xxhash64("id", "x", "copy"), per_cell(blocks)).cast("int"))
-    first, parts = per_cell({c: t[0] for c, t in teams.items()}, 0), per_cell({c: t[1] for c, t in teams.items()})
-    queries = queries.select("id", "x", "d", (first + F.pmod(F.xxhash64("id", "x"), parts)).cast("int").alias("team"))
-    asked = cut_lineage(
-        queries.mapInPandas(lambda it: plan_queries(it, pivots, cells, k), "q long, qx array<long>, team int, d int, cell int, blocks int")
-    )
-    needed = asked.select(*[F.col(c).alias(c) for c in ("d", "cell", "team")]).distinct()
-    sent = data.select("id", "x", "d", "cell", "block").join(needed, ["d", "cell"])
-    asked = asked.withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "q_hash": F.xxhash64("qx")})
-    keys = ["d", "cell", "block", "team"]
-    best = asked.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(
-        lambda q, v: solve(q, v, k), "query_id long, q_hash long, vec_id long, score long"
+    # One row per ring: at most RINGS times the number of pivots and of vector lengths. So are the two tables that are broadcast.
+    summaries = data.groupBy("d", "zone").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"), F.min("angle").alias("a0"), F.max("angle").alias("a1"), F.min("norm").alias("n0"), F.max("norm").alias("n1")
     )
-    w = Window.partitionBy("query_id", "q_hash").orderBy(F.col("score").desc(), "vec_id")
-    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    zones = lay_out(summaries.collect(), block_rows)
+    places = [(int(d), int(n), int(p), int(m)) for d, z in zones.items() for n, p, m in zip(z.zone, z.pack, z.parts)]
+    layout = F.broadcast(spark.createDataFrame(places, "d int, zone int, first int, parts int"))
+    data = data.join(layout, ["d", "zone"]).withColumn("pack", F.col("first") + F.pmod(F.xxhash64("id", "x", "copy"), F.col("parts")).cast("int"))
+    teams = team_up({(r.d, r.cell): r["count"] for r in queries.groupBy("d", "cell").count().collect()}, team_rows)
+    dealt = F.broadcast(spark.createDataFrame([(d, c, t, n) for (d, c), (t, n) in teams.items()], "d int, cell int, first int, parts int"))
+    team = (F.col("first") + F.pmod(F.xxhash64("id", "x"), F.col("parts"))).cast("int")
+    queries = queries.join(dealt, ["d", "cell"]).select("id", "x", "d", team.alias("team"))
+    queries = cut_lineage(queries.mapInPandas(lambda it: choose_first(it, pivots, zones, first * k + 1), CHOSEN))
+    asked = cut_lineage(queries.mapInPandas(lambda it: plan_queries(it, pivots, zones, False), SENT))
+    found = cut_lineage(best(solve_packs(asked, data, k), k))
+    bound = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"), "q_hash", F.col("score").cast("double").alias("bound"))
+    queries = queries.withColumn("q_hash", F.xxhash64("x")).join(bound, ["id", "q_hash"], "left")
+    asked = cut_lineage(queries.mapInPandas(lambda it: plan_queries(it, pivots, zones, True), SENT))
+    both = found.drop("rank").unionByName(solve_packs(asked, data, k))
+    return best(both, k).select("query_id", "rank", "vec_id", "score")
