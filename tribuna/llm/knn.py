@@ -7,8 +7,8 @@ at angle t to the pivot scores at most |q| |x| cos(gap) with a vector of the rin
 where gap is the distance of t from the ring's angles, and at least |q| |x| times
 the cosine of both angles' sum.
 
-There are two passes.  The first solves for each query the rings with the highest
-bounds, until they hold some times k vectors; the k-th score found is one that the
+There are two passes.  The first solves for each query the rings that promise the
+highest scores, until they hold some times k vectors; the k-th score found is one that the
 answer reaches at least.  The second solves the rings whose bound reaches it.
 
 Rings are laid out in packs of bounded rows; a ring with a third of all vectors is
@@ -163,9 +163,15 @@ def bounds(q: np.ndarray, pivot: np.ndarray, zones: Zones) -> np.ndarray:
     return norm[:, None] * (np.maximum(most * zones.norms[:, 0], most * zones.norms[:, 1]) + ULP * zones.norms[:, 1])
 
 
-def first_rings(high: np.ndarray, ids: np.ndarray, enough: int) -> np.ndarray:
-    """Marks for each query the rings with the highest bounds that together hold enough ids."""
-    order = np.argsort(-high, axis=1, kind="stable")
+def guesses(q: np.ndarray, pivot: np.ndarray, zones: Zones) -> np.ndarray:
+    """What each query scores on average with a vector of each ring, were their parts across the pivot at random."""
+    middle = zones.norms.mean(1) * np.cos(zones.angles.mean(1))
+    return (q @ pivot.T)[:, zones.zone // RINGS] * middle
+
+
+def first_rings(guess: np.ndarray, ids: np.ndarray, enough: int) -> np.ndarray:
+    """Marks for each query the rings with the highest guesses that together hold enough ids."""
+    order = np.argsort(-guess, axis=1, kind="stable")
     held = np.cumsum(ids[order], axis=1)
     taken = held - ids[order] < enough
     out = np.empty_like(taken)
@@ -193,7 +199,7 @@ def choose_first(batches: Iterator[pd.DataFrame], pivots: dict[int, np.ndarray],
     """
     for d, rows, q in in_steps(batches, zones):
         z = zones[d]
-        taken = first_rings(bounds(q, towards(pivots, d), z), z.ids, enough)
+        taken = first_rings(guesses(q, towards(pivots, d), z), z.ids, enough)
         yield rows.assign(first=[z.zone[t].astype(np.int32) for t in taken])[["id", "x", "d", "team", "first"]]
 
 
