@@ -11,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tribuna.catalog import CEAP_UID_FIELDS
 from tribuna.functions import hashing as H
 from tribuna.operators import envelope as E
 
@@ -220,3 +221,32 @@ def test_plain_records_are_not_sent_to_python(spark):
     text = df._jdf.queryExecution().optimizedPlan().toString()
     at = text.index("encode(")
     assert text[at : at + 20].startswith("encode(CASE WHEN")
+
+
+def parts(df, *names):
+    conf = "spark.sql.maxPlanStringLength"
+    old = df.sparkSession.conf.get(conf)
+    df.sparkSession.conf.set(conf, "10000000")
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    df.sparkSession.conf.set(conf, old)
+    return [text.count(n) for n in names]
+
+
+def test_amounts_are_worked_out_once(spark):
+    """Every part of an expense's identifier stands in the plan once, not once for every place that needs it."""
+    item = F.struct(*[F.col("t").alias(n) for n in CEAP_UID_FIELDS])
+    df = spark.range(1).select(F.col("id").cast("string").alias("t"), "id")
+    uid = df.select(H.ceap_record_uid(item, F.col("id"), F.col("id"), F.col("id")).alias("uid"))
+    regexes, writers = parts(uid, "regexp_extract", "StructsToJsonEvaluator")
+    assert regexes <= 8 and writers == 1
+    number = df.select(H.decimal_text(F.col("id").cast("double")).alias("n"))
+    assert parts(number, "as double)") == [1]
+
+
+def test_expense_pages_write_each_document_once(spark):
+    """The envelope of an expense page: one text each for the identifier, the record and the payload."""
+    rows = [("r", "e", 1, "2024", 5, 2024, 1, [tuple("x" for _ in CEAP_UID_FIELDS[:-1]) + (" 1.5e1",)])]
+    fields = ",".join(f"{n}:string" for n in (*CEAP_UID_FIELDS[:-1], CEAP_UID_FIELDS[-1]))
+    df = spark.createDataFrame(rows, f"pipeline_run_id string, execution_id string, page int, ingested_at string, id_deputado bigint, ano int, mes int, dados array<struct<{fields}>>")
+    out = E.enrich_pages(df, "deputado_despesas", layout="ceap").select(F.col("dados")[0]["_record_uid"].alias("uid"), "_audit._payload_hash")
+    assert parts(out, "StructsToJsonEvaluator")[0] <= 3 and parts(out, "regexp_extract")[0] <= 8

@@ -15,6 +15,7 @@ alike and "1234.50" does not.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from decimal import Decimal
 
 import pandas as pd
@@ -29,49 +30,83 @@ from tribuna.catalog import CEAP_UID_FIELDS, SOURCE_SYSTEM
 _LETTERED_ESCAPES = ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is worked out once, however often ``body`` names it.
+
+    A column expression has no variables: a part that is named twice is written out twice, and
+    nested rewrites of text grow with the power of their depth.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _lower_escapes(text: Column) -> Column:
-    fixed = text
-    for code in _LETTERED_ESCAPES:
-        fixed = F.regexp_replace(
-            fixed, rf"((?<!\\)(?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}"
-        )
-    return F.when(text.contains("\\u00"), fixed).otherwise(text)
+    def lower(raw: Column) -> Column:
+        fixed = raw
+        for code in _LETTERED_ESCAPES:
+            fixed = F.regexp_replace(
+                fixed, rf"((?<!\\)(?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}"
+            )
+        return F.when(raw.contains("\\u00"), fixed).otherwise(raw)
+
+    return _let(text, lower)
+
+
+def _without_exponent(text: Column) -> Column:
+    def placed(p: Column) -> Column:
+        digits, exponent = p["digits"], p["exponent"]
+        point = exponent + 1
+        whole = F.concat(F.rpad(digits, point, "0"), F.when(exponent < 16, F.lit(".0")).otherwise(F.lit("")))
+        mixed = F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.lit(20)))
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)
+        plain = F.when(exponent < 0, small).when(F.length(digits) <= point, whole).otherwise(mixed)
+        return F.concat(p["sign"], plain)
+
+    digits = F.regexp_replace(F.translate(F.substring_index(text, "E", 1), "-.", ""), "0+$", "")
+    return _let(F.struct(
+        F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit("")).alias("sign"), digits.alias("digits"),
+        F.substring_index(text, "E", -1).cast("int").alias("exponent"),
+    ), placed)
 
 
 def decimal_text(value: Column) -> Column:
     """Plain decimal text of a double of any size: no exponent, at least one decimal below 1e16."""
-    text = value.cast("string")
-    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    parts = F.split(F.ltrim(text, F.lit("-")), "E")
-    exponent = F.get(parts, F.lit(1)).cast("int")
-    digits = F.regexp_replace(F.replace(F.get(parts, F.lit(0)), F.lit("."), F.lit("")), "0+$", "")
-    point = exponent + 1
-    whole = F.concat(F.rpad(digits, point, "0"), F.when(exponent < 16, F.lit(".0")).otherwise(F.lit("")))
-    mixed = F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.lit(20)))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)
-    plain = F.when(exponent < 0, small).when(F.length(digits) <= point, whole).otherwise(mixed)
-    return F.when(text.contains("E"), F.concat(sign, plain)).otherwise(text)
+    return _let(value.cast("string"), lambda t: F.when(t.contains("E"), _without_exponent(t)).otherwise(t))
+
+
+def _number_text(text: Column) -> Column:
+    """Text of a number, its exponent worked in."""
+    number = r"^\s*([+-]?)0*(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,3}))?\s*$"
+    stripped = lambda digits: F.coalesce(F.nullif(F.regexp_replace(digits, "^0+", ""), F.lit("")), F.lit("0"))
+
+    def shifted(p: Column) -> Column:
+        shift, digits = p["shift"], p["digits"]
+        padded = F.lpad(digits, F.greatest(F.length(digits), 1 - shift), "0")
+        pointed = _let(padded, lambda d: F.concat(
+            stripped(F.substring(d, F.lit(1), F.length(d) + shift)), F.lit("."), F.substring(d, F.length(d) + shift + 1, -shift)))
+        plain = F.when(shift < 0, pointed).otherwise(F.concat(stripped(digits), F.repeat(F.lit("0"), shift)))
+        return F.concat(F.when(p["sign"] == "-", F.lit("-")).otherwise(F.lit("")), plain)
+
+    def parted(p: Column) -> Column:
+        exponent = F.coalesce(F.ltrim(p["exponent"], F.lit("+")).try_cast("int"), F.lit(0))
+        return _let(F.struct(
+            p["sign"].alias("sign"), F.concat(p["whole"], p["part"]).alias("digits"), (exponent - F.length(p["part"])).alias("shift"),
+        ), shifted)
+
+    names = ("sign", "whole", "part", "exponent")
+    return _let(F.struct(*[F.regexp_extract(text, number, i + 1).alias(n) for i, n in enumerate(names)]), parted)
 
 
 def amount_text(value: Column, dtype: T.DataType) -> Column:
     """An amount as plain decimal text; blank text counts as missing, text that is no number stays."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return decimal_text(value.cast("double"))
-    text = value.cast("string")
-    number = r"^\s*([+-]?)0*(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,3}))?\s*$"
-    is_number = text.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?\s*$")
-    part = lambda i: F.regexp_extract(text, number, i)
-    shift = F.coalesce(F.ltrim(part(4), F.lit("+")).try_cast("int"), F.lit(0)) - F.length(part(3))
-    digits = F.concat(part(2), part(3))
-    padded = F.lpad(digits, F.greatest(F.length(digits), 1 - shift), "0")
-    left = F.substring(padded, F.lit(1), F.length(padded) + shift)
-    right = F.substring(padded, F.length(padded) + shift + 1, -shift)
-    lead = F.coalesce(F.nullif(F.regexp_replace(left, "^0+", ""), F.lit("")), F.lit("0"))
-    plain = F.when(shift < 0, F.concat(lead, F.lit("."), right)).otherwise(
-        F.concat(F.coalesce(F.nullif(F.regexp_replace(digits, "^0+", ""), F.lit("")), F.lit("0")), F.repeat(F.lit("0"), shift))
-    )
-    signed = F.concat(F.when(part(1) == "-", F.lit("-")).otherwise(F.lit("")), plain)
-    return F.when(F.trim(text) != "", F.when(is_number, signed).otherwise(text))
+
+    def written(text: Column) -> Column:
+        as_it_is = text.rlike(r"^-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?\z")
+        is_number = text.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?\s*$")
+        return F.when(as_it_is, text).when(F.trim(text) != "", F.when(is_number, _number_text(text)).otherwise(text))
+
+    return _let(value.cast("string"), written)
 
 
 def normal_form(col: Column, dtype: T.DataType) -> Column:
@@ -164,18 +199,29 @@ def canonical_raw(raw: Column, drop: str = "record") -> Column:
     return F.coalesce(text, encode(F.when(text.isNull(), raw)))
 
 
-def canonical_items(items: Column) -> Column:
-    """Canonical JSON of each record text of an array; pages of plain records stay inside the JVM."""
+def _items_written(texts: Column, items: Column) -> Column:
+    """The texts that the JVM wrote, or those of the other route where one of a page is missing."""
 
     @F.pandas_udf("array<string>")
     def encode(pages: pd.Series) -> pd.Series:
         return pages.map(lambda page: None if page is None else [_canonical_text(t, "record") for t in page])
 
-    texts = F.transform(items, _canonical_jvm)
     hard = F.exists(texts, lambda t: t.isNull())
     return F.when(~hard, texts).otherwise(encode(F.when(hard, items)))
 
 
+def canonical_items(items: Column) -> Column:
+    """Canonical JSON of each record text of an array; pages of plain records stay inside the JVM."""
+    return _items_written(F.transform(items, _canonical_jvm), items)
+
+
+def with_canonical_items(pages: DataFrame, raw: str, name: str) -> DataFrame:
+    """Adds the canonical JSON of each record of a page's text; every step is a column, so that it is done once a page."""
+    items, texts = f"{name}_items", f"{name}_texts"
+    out = pages.withColumn(items, raw_items(F.col(raw))).withColumn(texts, F.transform(items, _canonical_jvm))
+    return out.withColumn(name, _items_written(F.col(texts), F.col(items))).drop(items, texts)
+
+
 def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
