@@ -19,6 +19,14 @@ def explode_records(pages: DataFrame, *keep: str) -> DataFrame:
     return pages.select(*keep, F.posexplode_outer("dados").alias("pos", "item"))
 
 
+def each_item(pages: DataFrame, items: Column, *keep: Column | str) -> DataFrame:
+    """One row per item with its position, for arrays that are dear to work out.
+
+    A plain ``posexplode`` lets the optimizer derive a filter on the array's size, which works the whole array out once more.
+    """
+    return pages.select(*keep, F.posexplode_outer(items).alias("pos", "item")).where(F.col("pos").isNotNull())
+
+
 def strip_audit(pages: DataFrame) -> DataFrame:
     """Page without ``_audit`` and items without lineage fields."""
     out = pages.drop("_audit")
@@ -29,6 +37,11 @@ def strip_audit(pages: DataFrame) -> DataFrame:
     return out
 
 
+def aligned(texts: Column, items: Column) -> Column:
+    """As many texts as there are items at most, none where there is no array."""
+    return F.coalesce(F.slice(texts, F.lit(1), F.greatest(F.size(items), F.lit(0))), F.array().cast("array<string>"))
+
+
 def page_totals(pages: DataFrame, *keys: str) -> DataFrame:
     """Pages written and records collected per key."""
     return pages.groupBy(*keys).agg(
@@ -150,10 +163,12 @@ def enrich_pages(
         return x.withField("_record_uid", uid(x)).withField("_record_hash", H.record_hash(x, item))
 
     if raw:
-        # Hashes of the records as received, in the page's order; the parsed columns are for reading.
-        out = out.withColumn("_canonical", H.canonical_items(H.raw_items(F.col(raw))))
-        stamp = lambda x, i: x.withField("_record_uid", uid(x)).withField("_record_hash", H.sha256(F.get("_canonical", i)))
-        return out.withColumn("_audit", audit).withColumn("dados", F.transform("dados", stamp)).drop("_canonical")
+        # Hashes of the records as received, in the page's order; the parsed columns are for reading.  Both arrays are
+        # arguments of one function: a column named inside of a lambda is worked out anew for every record.
+        out = H.with_canonical_items(out, raw, "_canonical")
+        texts = aligned(F.col("_canonical"), F.col("dados"))
+        stamp = lambda x, t: x.withField("_record_uid", uid(x)).withField("_record_hash", H.sha256(t))
+        return out.withColumn("_audit", audit).withColumn("dados", F.zip_with("dados", texts, stamp)).drop("_canonical")
     return out.withColumn("_audit", audit).withColumn("dados", F.transform("dados", lineage))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tribuna.functions import hashing as H
 from tribuna.functions import scalars as S
 from tribuna.operators.budget import with_ordinal
+from tribuna.operators.envelope import aligned, each_item
 
 # Business key of an expense in the Silver layer.
 EXPENSE_KEY = ("id_deputado", "ano", "mes", "codDocumento", "dataDocumento", "urlDocumento")
@@ -27,9 +28,13 @@ def bronze(pages: DataFrame, valid_runs: DataFrame | None = None, raw: str | Non
     if valid_runs is not None:
         runs = valid_runs.select(F.col("pipeline_run_id").alias("_valid")).distinct()
         pages = pages.join(runs, F.col("_audit._pipeline_run_id") == F.col("_valid"), "left_semi")
-    received = [] if raw is None else [H.raw_items(F.col(raw)).alias("_items")]
-    exploded = pages.select("_audit", *received, F.posexplode("dados").alias("pos", "item"))
-    own = [] if raw is None else [F.get("_items", F.col("pos")).alias("_received")]
+    if raw is None:
+        own, exploded = [], each_item(pages, F.col("dados"), "_audit")
+    else:  # each record is paired with its own text first, so that no row carries the whole page
+        texts = aligned(H.raw_items(F.col(raw)), F.col("dados"))
+        pairs = F.zip_with("dados", texts, lambda x, t: F.struct(x.alias("item"), t.alias("text")))
+        exploded = each_item(pages, pairs, "_audit").select("_audit", "pos", F.col("item.item").alias("item"), F.col("item.text").alias("_received"))
+        own = ["_received"]
     return exploded.select(
         *own,
         F.col("_audit._raw_path").alias("_source_file"),
