@@ -182,7 +182,7 @@ def _received_pages(spark, sf):
 def enrich_pages_received(spark, sf):
     """Every record's hash over the text as received, undeclared fields included."""
     out = E.enrich_pages(_received_pages(spark, sf), "evento_deputados", raw="received")
-    return out.select(F.col("_audit._page").alias("page"), F.posexplode("dados").alias("pos", "item")).select(
+    return E.each_item(out, F.col("dados"), F.col("_audit._page").alias("page")).select(
         "page", "pos", F.col("item._record_uid").alias("record_uid"), F.col("item._record_hash").alias("record_hash"))
 
 
