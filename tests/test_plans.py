@@ -54,6 +54,14 @@ def test_no_cartesian_product(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_the_reconciliation_never_moves_the_cursor(spark, tmp_path):
+    """All events count, but only the successes of microbatch tasks (every second event) set the cursor."""
+    events = [(1, 40, "purchase"), (2, 20, "purchase"), (4, 90, "view"), (6, 13, "purchase")]
+    spark.createDataFrame(events, "event_id bigint, user_id bigint, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(n,) for n in (11, 14, 20, 21, 41, 91)], "page_id bigint").write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted(r.id for r in QUERIES["cursor_filter"][0](spark, str(tmp_path)).collect()) == ["21", "41", "55-20", "91"]
+
+
 def test_copies_are_reduced_on_the_map_side(spark):
     text = plan(L.dedup_latest(ST.expenses(spark, SF), L.expense_key(), ST.newest_first()))
     assert "partial_min_by" in text and " Window " not in text
