@@ -117,6 +117,21 @@ def test_state_versions(spark):
     assert tables.read_version(spark, path, 1).first().current_pipeline_run_id == "r1"
 
 
+def test_state_of_many_domains_lies_in_few_folders(spark):
+    """A version's folders are bounded, and a domain comes back as it went in: also one that looks like a number, is blank or missing."""
+    path = fresh() + "/s"
+    rows = spark.range(300).select(F.concat(F.lit("d"), F.col("id").cast("string")).alias("domain"), F.col("id").cast("string").alias("row_key"), F.lit("r").alias("current_pipeline_run_id"), F.lit("q").alias("last_pipeline_run_id"))
+    odd = spark.createDataFrame([("007", "x", "r", "q"), ("", "y", "r", "q"), (None, "z", "r", "q")], "domain string, row_key string, current_pipeline_run_id string, last_pipeline_run_id string")
+    tables.write_version(rows.unionByName(odd), path, 1, ("domain",))
+    assert len([p for p in Path(path, "version=00000001").iterdir() if p.is_dir()]) <= tables.VERSION_BUCKETS
+    for domain, key in (("d7", "7"), ("007", "x"), ("", "y")):
+        state = tables.read_state(spark, path, domain, "r")
+        assert [tuple(r) for r in state.collect()] == [(domain, key, "r", "q")]
+        assert len(state.inputFiles()) == 1 or "PartitionFilters: [isnotnull(_bucket" in state._jdf.queryExecution().executedPlan().toString()
+    back = tables.read_version(spark, path)
+    assert back.count() == 303 and back.columns == rows.columns and back.where("domain IS NULL").first().row_key == "z"
+
+
 def test_run_file_match(spark):
     paths = spark.createDataFrame([(p,) for p in ("x/pipeline_run_id=r 1/page_1.json", "x/pipeline_run_id=r_1/page_1.json", "x/_metadata/runs/pipeline_run_id=r 1/metadata.json", "x/pipeline_run_id=r2/p")], "path string")
     assert tables.raw_files_for_run(paths, "r 1").count() == 2

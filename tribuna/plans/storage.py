@@ -96,7 +96,7 @@ def state_roundtrip(spark, sf):
 
 
 def state_by_domain(spark, sf):
-    """Two versions of the state table in folders by domain; one domain of the newest is read, its run only."""
+    """Two versions of the state table in folders by the hash of the domain; one domain of the newest is read, its run only."""
     path = work_path(spark, "state")
     state = ST.run_state(spark, sf).select("domain", "row_key", "status", "current_pipeline_run_id", "last_pipeline_run_id")
     tables.write_version(state.withColumn("status", F.lit("OLD")), path, 1, ("domain",))

@@ -46,12 +46,15 @@ def read_day_markers(spark: SparkSession, path: str) -> DataFrame:
 def read_state(spark: SparkSession, path: str, domain: str | None = None, run_id: str | None = None) -> DataFrame:
     """Latest version of a state table, filtered on domain and on current OR last run.
 
-    State is partitioned by domain, so the domain filter prunes folders and
-    the run filter is pushed to the Parquet reader.
+    State lies in hash buckets of its domains, so the domain filter prunes folders, and
+    within a bucket row groups; the run filter is pushed to the Parquet reader.
     """
-    state = read_version(spark, path)
+    state = _stored(spark, path)
     if domain is not None:
+        if BUCKET in state.columns:
+            state = state.where(F.col(BUCKET) == _bucket([F.lit(domain)]))
         state = state.where(F.col("domain") == domain)
+    state = state.drop(BUCKET)
     return tied_to_run(state, run_id) if run_id is not None else state
 
 
@@ -61,10 +64,26 @@ def tied_to_run(state: DataFrame, run_id: str) -> DataFrame:
     )
 
 
+#: Folders of a version that is written by keys: a bound, whatever the number of keys.
+VERSION_BUCKETS = 64
+BUCKET = "_bucket"
+
+
+def _bucket(keys: list[Column]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(VERSION_BUCKETS)).cast("int")
+
+
 def write_version(df: DataFrame, path: str, version: int, partition_by: tuple[str, ...] = ()) -> None:
-    """Writes one immutable version folder; rewriting a version replaces only it."""
-    out = df.hint("rebalance", *[F.col(p) for p in partition_by]) if partition_by else df
-    out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/version={version:08d}")
+    """Writes one immutable version folder; rewriting a version replaces only it.
+
+    ``partition_by`` names the keys that are looked up: their rows lie in folders by hash bucket, in the keys' order.
+    """
+    folder = f"{path}/version={version:08d}"
+    if not partition_by:
+        df.write.mode("overwrite").parquet(folder)
+        return
+    placed = df.withColumn(BUCKET, _bucket([F.col(p) for p in partition_by])).hint("rebalance", F.col(BUCKET))
+    placed.sortWithinPartitions(BUCKET, *partition_by).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
@@ -79,6 +98,10 @@ def latest_version(spark: SparkSession, path: str) -> int | None:
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return _stored(spark, path, version).drop(BUCKET)
+
+
+def _stored(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     version = latest_version(spark, path) if version is None else version
     if version is None:
         raise ValueError(f"no version below {path}")
