@@ -97,14 +97,13 @@ def build_manifest(df: DataFrame, fields: dict[str, Column], extras: dict[str, C
 
     columns = {**base, **blocks}
     out = df.select("*", *[c.alias(f"_m_{n}") for n, c in columns.items()])
-    head = F.to_json(F.struct(*[F.col(f"_m_{n}").alias(n) for n in base]), {"ignoreNullFields": "false"})
-    text = head
-    if blocks:
-        tail = F.to_json(F.struct(*[F.col(f"_m_{n}").alias(n) for n in blocks]))
-        text = F.when(tail == "{}", head).otherwise(
-            F.concat(F.regexp_replace(head, r"\}$", ","), F.substring(tail, 2, 2**31 - 1))
-        )
-    return out.select(*[F.col(f"_m_{n}").alias(n) for n in columns], text.alias("manifest"))
+    named = lambda names: F.struct(*[F.col(f"_m_{n}").alias(n) for n in names])
+    # Columns of their own, so that each text is written once and the last brace is cut by position.
+    out = out.select(*[F.col(f"_m_{n}").alias(n) for n in columns], F.to_json(named(base), {"ignoreNullFields": "false"}).alias("_head"),
+                     (F.to_json(named(blocks)) if blocks else F.lit("{}")).alias("_tail"))
+    text = F.when(F.col("_tail") == "{}", F.col("_head")).otherwise(
+        F.concat(F.substring("_head", F.lit(1), F.length("_head") - 1), F.lit(","), F.substring("_tail", 2, 2**31 - 1)))
+    return out.select(*columns, text.alias("manifest"))
 
 
 def _fold_status(status: Column, allowed: tuple[str, ...]) -> Column:
