@@ -75,12 +75,13 @@ def write_manifests(manifests: DataFrame, manifest_path: str, marker_path: str,
     ``document`` names a column that holds the manifest as JSON text; without it
     the row is the manifest.  Buckets of many writes are folded on the way.
     """
-    once = cut_lineage(manifests)  # both tables come from the same rows, whatever is lost in between
+    text = F.col(document) if document else F.to_json(F.struct(*manifests.columns), {"ignoreNullFields": "false"})
+    # Both tables come from the same rows, whatever is lost in between; only what they store is kept for them.
+    once = cut_lineage(manifests.select("pipeline_run_id", text.alias("value"), "success_marker_path", completed().alias("complete")))
     spark = once.sparkSession
-    text = F.col(document) if document else F.to_json(F.struct(*once.columns), {"ignoreNullFields": "false"})
     body, marks = manifest_store(spark, manifest_path), marker_store(spark, marker_path)
-    body.append(once.select("pipeline_run_id", text.alias("value")))
-    marks.append(once.select("pipeline_run_id", "success_marker_path", completed().alias("complete")))
+    body.append(once.select("pipeline_run_id", "value"))
+    marks.append(once.select("pipeline_run_id", "success_marker_path", "complete"))
     body.compact()
     marks.compact()
 
