@@ -1,6 +1,7 @@
 """The operators against plain versions and SQL, on the given tables and on small awkward ones."""
 
 import hashlib
+import math
 import os
 import random
 import sys
@@ -361,6 +362,24 @@ def test_windows_of_a_hot_anchor_go_to_many_buckets(spark):
         substrings.BUCKET_BYTES, substrings.HOT_DOCS = old
 
 
+def test_shared_anchors_come_as_a_row_per_bucket_and_slot(spark, monkeypatch):
+    """Not per bucket and document; with copies within and across slots, rows of equal id, and rows that are equal."""
+    rnd = random.Random(31)
+    lines = ["".join(rnd.choice("abcdefgh ") for _ in range(120)) for _ in range(40)]
+    rows = [(i, "\n".join(rnd.choice(lines) for _ in range(6)) + f" {rnd.random()}") for i in range(200)]
+    rows += [(i + 1000, t) for i, t in rows[:30]] + rows[5:9] + [(7, rows[90][1]), (8, rows[91][1]), (None, rows[3][1])]
+    made, keep = [], substrings.cut_lineage
+    monkeypatch.setattr(substrings, "cut_lineage", lambda df: (made.append(out := keep(df)), out)[1])
+    monkeypatch.setattr(substrings, "BUCKET_ANCHORS", 1000)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 8000)
+    monkeypatch.setattr(substrings, "SLOT", 20_000, raising=False)
+    check_cut(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), gram=24)
+    size = sum(len(t) for i, t in rows if i is not None)
+    slots, buckets = math.ceil(size / 20_000), math.ceil(2 * size / 28 / 1000)
+    assert slots > 3 and buckets > 3
+    assert made[0].count() <= slots * buckets and made[0].count() < len(rows)
+
+
 def test_merged_shards_equal_sorted_windows():
     rnd = random.Random(1)
     groups = [[bytes(rnd.choice(b"\x00bc\xff") for _ in range(rnd.randrange(6, 90))) for _ in range(9)] for _ in range(3)]
