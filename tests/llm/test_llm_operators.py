@@ -380,6 +380,15 @@ def test_shared_anchors_come_as_a_row_per_bucket_and_slot(spark, monkeypatch):
     assert made[0].count() <= slots * buckets and made[0].count() < len(rows)
 
 
+def test_anchors_spread_over_the_buckets():
+    """An anchor is the least of many hashes and so a small one: dealt as it is, most would lie in the first bucket."""
+    rnd = random.Random(5)
+    batch = pa.RecordBatch.from_pydict({"key": [i << 32 for i in range(40)], "text": ["".join(rnd.choice("abcdefgh ") for _ in range(2000)) for _ in range(40)]})
+    sent = pa.Table.from_batches(list(substrings.send_anchors(iter([batch]), 50, 24, 20, 4, 4)))
+    sizes = [len(x) for x in sent.column("new").to_pylist()]
+    assert len(sizes) == 20 and max(sizes) < 2 * sum(sizes) / 20
+
+
 def test_merged_shards_equal_sorted_windows():
     rnd = random.Random(1)
     groups = [[bytes(rnd.choice(b"\x00bc\xff") for _ in range(rnd.randrange(6, 90))) for _ in range(9)] for _ in range(3)]

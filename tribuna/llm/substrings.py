@@ -61,13 +61,15 @@ LENGTH = 50
 #: Bytes of a gram; a window has LENGTH - GRAM + 1 of them.
 GRAM = 24
 #: Bytes of text per slot, per slice of it that is hashed at once, and of strings per shard; anchors per bucket of the first step, bytes of segments of the second.
-SLOT = 4 << 20
+SLOT = 8 << 20
 SLICE = 1 << 20
 SHARD_BYTES = 256 << 10
-BUCKET_ANCHORS = 150_000
-BUCKET_BYTES = 3_000_000
+BUCKET_ANCHORS = 500_000
+BUCKET_BYTES = 6_000_000
 #: Above this many documents the windows of an anchor are dealt out one by one.
 HOT_DOCS = 1_000
+#: ``mix`` keeps zero as it is; this moves it.
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Slice:
@@ -106,7 +108,8 @@ class Slice:
         held = np.concatenate(([0], np.cumsum(inside)))
         self.count = held[stop] - held[self.start]
         self.owner = owner[self.start]
-        self.anchor = grams[at[self.start]]
+        # A least hash is small; hashed once more, anchors spread over all buckets.
+        self.anchor = mix(grams[at[self.start]] ^ _SPREAD)
 
     def hashes(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Hashes of strings of the slice; they depend on the bytes only."""
@@ -344,7 +347,7 @@ def send_segments(batches: Iterator[pa.RecordBatch], length: int, gram: int, buc
         once &= number >= 0
         blobs = [b"".join(x) for x in batch.column("anchors").to_pylist()]
         have = from_bytes(np.frombuffer(b"".join(blobs), dtype=np.uint8).reshape(-1, sig_bytes))
-        wanted = (np.repeat(np.arange(len(ids)), [len(x) // sig_bytes for x in blobs]) << 40) | have
+        wanted = np.sort((np.repeat(np.arange(len(ids)), [len(x) // sig_bytes for x in blobs]) << 40) | have)
         hots = np.frombuffer(b"".join(x for h in batch.column("hot").to_pylist() for x in h), dtype="<i8").reshape(-1, 2)
         hots = np.unique((hots[:, 0] << 40) | hots[:, 1])
         raws, found, base, row = [], [], 0, 0
@@ -352,7 +355,8 @@ def send_segments(batches: Iterator[pa.RecordBatch], length: int, gram: int, buc
             s = Slice(rows.column("text"), length, gram)
             if len(s.start):
                 low = ((s.anchor << np.uint64(8 * (8 - sig_bytes))) >> np.uint64(8 * (8 - sig_bytes))).astype(np.int64)
-                chosen = np.flatnonzero(np.isin((s.owner.astype(np.int64) + row) << 40 | low, wanted) & once[s.owner + row])
+                mine = wanted[slice(*np.searchsorted(wanted, (row << 40, (row + len(rows)) << 40)))]
+                chosen = np.flatnonzero(np.isin((s.owner.astype(np.int64) + row) << 40 | low, mine) & once[s.owner + row])
                 anchor, start, count, owner = s.anchor[chosen], s.start[chosen], s.count[chosen], s.owner[chosen].astype(np.int64)
                 home = ((anchor >> np.uint64(32)) * np.uint64(anchor_buckets) >> np.uint64(32)).astype(np.int64)
                 single = np.isin((home << 40) | low[chosen], hots)
