@@ -12,6 +12,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import zstandard
 from hypothesis import given, settings
@@ -229,6 +230,72 @@ def test_similar_sets_share_a_signature(n, keep, seed, with_common):
         assert np.intersect1d(jaccard.signatures(a, tops, common, 80), jaccard.signatures(b, tops, common, 80)).size
 
 
+@settings(max_examples=120, deadline=None)
+@given(st.integers(0, 400), st.integers(0, 400), st.floats(0.0, 1.0), st.integers(0, 10**6))
+def test_sketches_differ_no_more_than_their_sets(n, m, keep, seed):
+    rnd = np.random.default_rng(seed)
+    a = np.unique(rnd.integers(0, 2**63, n).astype(np.uint64))
+    b = np.unique(np.concatenate((a[rnd.random(len(a)) < keep], rnd.integers(0, 2**63, int(m * (1 - keep))).astype(np.uint64))))
+    least, same = jaccard.least_differences(jaccard.sketch(a), jaccard.sketch(b)), len(np.intersect1d(a, b))
+    if len(a) and len(b):
+        assert least <= len(a) + len(b) - 2 * same
+        assert 100 * same < 80 * (len(a) + len(b) - same) or jaccard.may_link(len(a) + len(b), least, 80)
+        x, y = (np.frombuffer(jaccard.sketch(v), dtype="<u8") for v in (a, b))
+        width = min(len(x), len(y))
+        assert least == np.bitwise_count(jaccard.folded(x, width) ^ jaccard.folded(y, width)).sum()
+
+
+def test_sets_without_a_possible_partner_are_not_read(spark, monkeypatch):
+    """Forty documents that share half of their words meet under many signatures; only the two copies are similar enough."""
+    base = [f"b{i}" for i in range(60)]
+    rows = [(i, " ".join([*base[: i % 36], *(f"d{i}x{j}" for j in range(24)), *base[i % 36 + 24 :]])) for i in range(40)]
+    rows.append((40, rows[7][1] + " end"))
+    exact, read = jaccard.verified, set()
+
+    def watched(pairs, sets, percent):
+        read.update(r.id for r in sets.select("id").collect())
+        return exact(pairs, sets, percent)
+
+    monkeypatch.setattr(jaccard, "verified", watched)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.components(rows) and got[40][1] == 7
+    assert read == {7, 40}
+
+
+def test_signatures_of_the_same_sets_are_one_group():
+    base = [f"b{i}" for i in range(200)]
+    rows = [" ".join([*base[:k], "new", *base[k + 1 :]]) for k in (20, 90, 170)]
+    batch = pa.RecordBatch.from_pydict({"text": rows})
+    sent = pa.Table.from_batches(jaccard.send_signatures(iter([batch]), np.empty(0, dtype=np.uint64), 4, 5, 5, 80))
+    groups = defaultdict(set)
+    for b in set(sent.column("bucket").to_pylist()):
+        met = jaccard.meet(sent.filter(pc.equal(sent.column("bucket"), b)), 5, 5).to_pylist()
+        for r in met:
+            groups[r["g"]].add((r["lead"], r["member"]))
+    assert groups and len({frozenset(v) for v in groups.values()}) == len(groups)
+
+
+def test_pairs_of_a_cluster_meet_in_one_tile(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", 3)
+    rnd = random.Random(5)
+    rows = [(i, i, i % 2, rnd.choice((2, 9, 10, 12, 13, 40, 41, 55, 70)), b"") for i in range(60)]
+    tiles = defaultdict(list)
+    held = spark.createDataFrame(rows, "id long, comp long, cluster long, n long, sketch binary")
+    for r in jaccard.tiled(held, 80).collect():
+        tiles[tuple(r[c] for c in jaccard.TILE_KEY)].append((r.side, r.id))
+    met = Counter()
+    for (_, _, i, above, j), members in tiles.items():
+        sides = [[x for s, x in members if s == k] for k in (0, 1)]
+        assert max(map(len, sides)) < 12
+        alone = not above and i == j
+        met.update(frozenset((x, y)) for x in sides[0] for y in (sides[0] if alone else sides[1]) if not alone or x < y)
+    assert set(met.values()) == {1}
+    for x in rows:
+        for y in rows[: x[0]]:
+            if x[2] == y[2] and 100 * min(x[3], y[3]) >= 80 * max(x[3], y[3]):
+                assert met[frozenset((x[0], y[0]))] == 1
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(500, 400), (400, 450)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -16,10 +16,16 @@ differences.  In each case one of two similar sets' shared signatures is sent by
 both, so no link is lost, and unrelated sets do not meet in what everyone has.
 
 A task that sees many sets under one signature sends only one of them on, tied
-to the others, so no signature gathers an unbounded group.  Sets under one
-signature are first compared with one of them, exactly; what is not joined by
-that is compared in full: small groups pair by pair, large ones in tiles of
-bounded rows, leaving out pairs that are connected already.
+to the others, so no signature gathers an unbounded group.  Signatures with the
+same sets are one group.  Sets under one signature are first compared with one of
+them; what is not joined by that is compared in full: small groups pair by pair,
+large ones in tiles of bounded rows, leaving out pairs that are connected already.
+
+Every comparison is made twice.  A sketch of a set has a bit for each of about as
+many bins as the set has shingles: whether an odd number of them lies there.  Two
+sketches differ in no more bits than the sets differ in shingles, so a pair whose
+sketches differ too much has no link.  Only sets of the pairs that are left are
+read, and these are compared exactly.
 
 Cases: texts that are null or have no word have empty sets and link with
 nothing; rows with equal sets are one class; rows of equal id count as linked;
@@ -32,7 +38,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -110,14 +116,52 @@ def signatures(s: np.ndarray, tops: np.ndarray, common: np.ndarray, percent: int
     return np.concatenate(parts)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """A bit per bin: whether the number of the set's shingles in it is odd; bins are a power of two, as many as shingles or up to twice that."""
+    if not s.size:
+        return b""
+    n = 1 << max(6, (len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(words: np.ndarray, width: int) -> np.ndarray:
+    """The sketch, as 64-bit words, over fewer bins."""
+    while len(words) > width:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
+
+def least_differences(a: bytes, b: bytes) -> int:
+    """What two sets differ in at least, by their sketches."""
+    x, y, n, m = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(a), 8 * len(b)
+    while n > m:
+        n >>= 1
+        x = (x >> n) ^ (x & ((1 << n) - 1))
+    while m > n:
+        m >>= 1
+        y = (y >> m) ^ (y & ((1 << m) - 1))
+    return (x ^ y).bit_count()
+
+
+def may_link(both, differ, percent: int):
+    """Whether sets of ``both`` shingles together can be similar enough if they differ in at least ``differ``."""
+    return (100 + percent) * (both - differ) >= 2 * percent * both
+
+
 def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number of shingles and key of the set of each document."""
+    """Number of shingles, key and sketch of the set of each document."""
     for batch in batches:
         for rows in slices(batch, "text", SLICE):
             sets = shingle_sets(rows.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.binary())],
-                names=["doc_id", "n", "cls"],
+                [
+                    rows.column("doc_id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([set_key(s) for s in sets], pa.binary()),
+                    pa.array([sketch(s) for s in sets], pa.binary()),
+                ],
+                names=["doc_id", "n", "cls", "sketch"],
             )
 
 
@@ -214,16 +258,19 @@ def meet(table: pa.Table, sig_bytes: int, id_bytes: int) -> pa.Table:
     g = np.concatenate((sig[more], from_bytes(tied[:, :sig_bytes])))
     a = np.concatenate((lead[more], from_bytes(tied[:, sig_bytes : sig_bytes + id_bytes])))
     b = np.concatenate((who[more], from_bytes(tied[:, sig_bytes + id_bytes :])))
-    # Signatures shared by two sets alone are one group, however many they share.
-    names, counts = np.unique(g, return_counts=True)
-    alone = counts[np.searchsorted(names, g)] == 1 if len(g) else np.empty(0, dtype=bool)
-    pair = mix(mix(a.astype(np.uint64)) + b.astype(np.uint64)).view(np.int64)
-    bucket = int(table.column("bucket")[0].as_py())
-    g = mix(g.astype(np.uint64) + mix(np.array([bucket + 1], dtype=np.uint64))).view(np.int64)
-    g = np.where(alone, pair, g)
+    del raw, tied, sig, who, order, lead, more, first, fresh
     keep = np.unique(np.stack((g, a, b), axis=1), axis=0) if len(g) else np.empty((0, 3), dtype=np.int64)
-    out = pa.table({"g": keep[:, 0], "lead": keep[:, 1], "member": keep[:, 2]})
-    del raw, tied, sig, who, lead, g, a, b, pair, keep
+    # Signatures shared by the same sets are one group, in all buckets: it is named by its pairs.
+    fresh = np.concatenate(([True], keep[1:, 0] != keep[:-1, 0])) if len(keep) else np.empty(0, dtype=bool)
+    begins = np.flatnonzero(fresh)
+    pair = mix(mix(keep[:, 1].astype(np.uint64)) + keep[:, 2].astype(np.uint64))
+    name = np.add.reduceat(pair, begins) if len(begins) else pair
+    once = np.zeros(len(begins), dtype=bool)
+    once[np.unique(name, return_index=True)[1]] = True
+    of = np.cumsum(fresh) - 1
+    keep, g = keep[once[of]], name[of][once[of]].view(np.int64)
+    out = pa.table({"g": g, "lead": keep[:, 1], "member": keep[:, 2]})
+    del g, a, b, pair, name, keep, of, fresh
     give_back()
     return out
 
@@ -238,6 +285,21 @@ def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def pair_candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x = batch.to_pydict()
+        near = [may_link(n + m, least_differences(k, l), percent) for n, m, k, l in zip(x["na"], x["nb"], x["ka"], x["kb"])]
+        yield batch.filter(pa.array(near, pa.bool_())).select(["a", "b"])
+
+
+def possible(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that sizes and sketches leave possible."""
+    ka = known.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
+    kb = known.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
+    both = pairs.join(ka, "a").join(kb, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return both.select("a", "b", "na", "nb", "ka", "kb").mapInArrow(lambda it: tidy(pair_candidates(it, percent)), "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar enough."""
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
@@ -246,6 +308,31 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * same >= percent * (F.size("sa") + F.size("sb") - same)).select("a", "b")
 
 
+TILE_KEY = ["cluster", "band", "i", "next", "j"]
+
+
+def tile_candidates(table: pa.Table, percent: int) -> pa.Table:
+    """The rows of a tile that have a possible partner on the other side."""
+    side, roots, n = (table.column(c).to_numpy() for c in ("side", "root", "n"))
+    raw = [np.frombuffer(x, dtype="<u8") for x in table.column("sketch").to_pylist()]
+    width = min(len(x) for x in raw)
+    words = np.stack([folded(x, width) for x in raw])
+    i, nxt, j = (table.column(c)[0].as_py() for c in ("i", "next", "j"))
+    a = np.flatnonzero(side == 0)
+    b = a if nxt == 0 and i == j else np.flatnonzero(side == 1)
+    keep = np.zeros(len(side), dtype=bool)
+    step = max(1, (1 << 20) // (width * max(1, len(b))))
+    for start in range(0, len(a) if len(b) else 0, step):
+        rows = a[start : start + step]
+        differ = np.bitwise_count(words[rows][:, None, :] ^ words[b][None, :, :]).sum(axis=2, dtype=np.int64)
+        x, y = n[rows][:, None], n[b][None, :]
+        near = may_link(x + y, differ, percent) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+        near &= roots[rows][:, None] != roots[b][None, :]
+        keep[rows] |= near.any(axis=1)
+        keep[b] |= near.any(axis=0)
+    return table.filter(pa.array(keep)).select([*TILE_KEY, "side", "id", "root"])
+
+
 def tile_links(table: pa.Table, percent: int) -> pa.Table:
     """Links between members of a tile's two sides that connect what was not connected."""
     side = table.column("side").to_numpy()
@@ -290,8 +377,8 @@ def tile_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def rest_links(groups: DataFrame, roots: DataFrame, tested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links within groups that the comparison with one member has left in several pieces."""
+def rest_links(groups: DataFrame, roots: DataFrame, tested: DataFrame, known: DataFrame, read: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Links within groups that the comparison with one member has left in several pieces; ``read`` gives the sets of ids."""
     member = groups.select("g", F.col("lead").alias("id")).union(groups.select("g", F.col("member").alias("id"))).distinct()
     member = member.join(roots, F.col("id") == F.col("node"), "left").select("g", "id", F.coalesce("root", "id").alias("root"))
     size = member.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
@@ -300,30 +387,51 @@ def rest_links(groups: DataFrame, roots: DataFrame, tested: DataFrame, sets: Dat
     left = small.select("g", F.col("id").alias("a"), F.col("root").alias("ra"))
     right = small.select("g", F.col("id").alias("b"), F.col("root").alias("rb"))
     pairs = left.join(right, "g").where("a < b and ra <> rb").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-    links = verified(pairs, sets, percent)
+    pairs = cut_lineage(possible(pairs, known, percent))
 
     large = open_groups.where(F.col("m") > SMALL_GROUP).select("g", "id", "root")
     first = large.groupBy("g").agg(F.min("id").alias("first"))
     ties = large.join(first, "g").select(F.col("id").alias("a"), F.col("first").alias("b"))
     cluster = components(ties)
     cluster = cluster.select(F.col("node").alias("id"), F.col("root").alias("cluster"))
-    held = cut_lineage(large.select("id", F.col("root").alias("comp")).distinct().join(cluster, "id"))
-    chunks = held.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")).select("cluster", F.ceil(F.col("m") / TILE).cast("int").alias("chunks"))
-    held = held.join(chunks, "cluster").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
-    # A chunk meets itself, and every other chunk once: as the first side those after it, as the second those before it.
-    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tiles = held.select(
-        "cluster", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), (F.col("chunk") > F.col("other")).cast("int").alias("side"),
-        "id", F.col("comp").alias("root"),
-    ).join(sets.select("id", "s"), "id")
-    found = tiles.groupBy("cluster", "i", "j").applyInArrow(lambda t: tile_links(t, percent), "a long, b long")
-    return links.union(found)
+    held = large.select("id", F.col("root").alias("comp")).distinct().join(cluster, "id").join(known.select("id", "n", "sketch"), "id")
+    tiles = cut_lineage(tiled(held, percent).groupBy(*TILE_KEY).applyInArrow(
+        lambda t: tile_candidates(t, percent), "cluster long, band int, i int, next int, j int, side int, id long, root long"
+    ))
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(tiles.select("id")).distinct()
+    if wanted.isEmpty():
+        return pairs
+    sets = read(wanted)
+    found = tiles.join(sets, "id").groupBy(*TILE_KEY).applyInArrow(lambda t: tile_links(t, percent), "a long, b long")
+    return verified(pairs, sets, percent).union(found)
+
+
+def tiled(held: DataFrame, percent: int) -> DataFrame:
+    """Rows of tiles in which all pairs of a cluster meet once, if their sizes lie in one band or in neighbouring ones."""
+    tops = ", ".join(f"{t}L" for t in band_tops(percent).tolist())
+    held = cut_lineage(held.withColumn("band", F.expr(f"size(filter(array({tops}), t -> t < n))")))
+    chunks = held.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("c"))
+    # To each band its own number of chunks and those of the bands below and above.
+    around = chunks.select("cluster", "c", F.explode(F.array(*map(F.lit, (-1, 0, 1)))).alias("to"), "band")
+    around = around.select("cluster", (F.col("band") + F.col("to")).alias("band"), *[F.when(F.col("to") == -k, F.col("c")).alias(f"c{k + 1}") for k in (-1, 0, 1)])
+    around = around.groupBy("cluster", "band").agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("c0", "c1", "c2")])
+    held = held.join(around, ["cluster", "band"]).withColumn("chunk", F.pmod(F.xxhash64("id"), "c1").cast("int"))
+
+    def each(c: str, row: str) -> str:
+        return f"transform(filter(sequence(0, greatest({c}, 1) - 1), o -> {c} > 0), o -> struct({row}))"
+
+    # Within a band a chunk meets itself and every other chunk once, as the first side those after it; then those of the next band.
+    own = each("c1", "band, least(chunk, o) AS i, 0 AS next, greatest(chunk, o) AS j, int(chunk > o) AS side")
+    above = each("c2", "band, chunk AS i, 1 AS next, o AS j, 0 AS side")
+    below = each("c0", "band - 1 AS band, o AS i, 1 AS next, chunk AS j, 1 AS side")
+    held = held.withColumn("at", F.explode(F.expr(f"concat({own}, {above}, {below})")))
+    return held.select("cluster", *[f"at.{c}" for c in (*TILE_KEY[1:], "side")], "id", F.col("comp").alias("root"), "n", "sketch")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    info = cut_lineage(slim.mapInArrow(lambda it: tidy(describe(it)), "doc_id long, n long, cls binary"))
+    info = cut_lineage(slim.mapInArrow(lambda it: tidy(describe(it)), "doc_id long, n long, cls binary, sketch binary"))
     links, classes = class_links(slim, info, percent)
     roots = components(links)
     # An id on several rows ties their classes.
@@ -341,7 +449,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, text: str = "text",
 def class_links(slim: DataFrame, info: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Verified links ``a, b`` between representatives, enough to connect all that is linked, and the classes of equal sets."""
     known = info.where("doc_id is not null and n > 0")
-    classes = cut_lineage(known.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")))
+    classes = cut_lineage(known.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sketch").alias("sketch")))
     total = one_row(classes.agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles")))
     n_classes, n_sigs = total["classes"], max(1, int(0.55 * (total["shingles"] or 0)))
     buckets = max(1, math.ceil(n_sigs / BUCKET_SIGNATURES))
@@ -359,18 +467,23 @@ def class_links(slim: DataFrame, info: DataFrame, percent: int) -> tuple[DataFra
         short.select(F.col("short").alias("member"), F.col("rep").alias("b"), F.col("n").alias("nb")), "member"
     )
     groups = cut_lineage(groups.where("a <> b").select("g", F.col("a").alias("lead"), F.col("b").alias("member"), "na", "nb"))
-    wanted = groups.select(F.col("lead").alias("rep")).union(groups.select("member")).distinct()
-    wanted = wanted.join(classes, "rep").select(F.col("rep").alias("doc_id"), F.col("cls").alias("want"))
-    # A representative's id may stand on other rows too: only its own set counts, and of equal rows one.
-    found = slim.join(wanted, "doc_id").withColumn("th", F.xxhash64("text")).dropDuplicates(["doc_id", "want", "th"])
-    sets = cut_lineage(found.select("doc_id", "text", "want").mapInArrow(lambda it: tidy(read_sets(it)), "id long, s array<long>"))
-    near = groups.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("lead", "member")
+    ids = groups.select(F.col("lead").alias("id")).union(groups.select("member")).distinct()
+    known = cut_lineage(ids.join(classes.select(F.col("rep").alias("id"), F.col("cls").alias("want"), "n", "sketch"), "id"))
+
+    def read(ids: DataFrame) -> DataFrame:
+        # A representative's id may stand on other rows too: only its own set counts, and of equal rows one.
+        wanted = ids.join(known, "id").select(F.col("id").alias("doc_id"), "want")
+        found = slim.join(wanted, "doc_id").withColumn("th", F.xxhash64("text")).dropDuplicates(["doc_id", "want", "th"])
+        return cut_lineage(found.select("doc_id", "text", "want").mapInArrow(lambda it: tidy(read_sets(it)), "id long, s array<long>"))
+
+    near = groups.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    near = near.select(F.least("lead", "member").alias("a"), F.greatest("lead", "member").alias("b")).distinct()
+    near = cut_lineage(possible(near, known, percent))
+    sets = read(near.select(F.col("a").alias("id")).union(near.select("b")).distinct())
     # Rounds: every set that its leader does not reach yet is compared with the smallest leader that is left.
     links, roots, tested = None, None, None
     for last in (False, False, True):
-        todo = near.select(F.least("lead", "member").alias("a"), F.greatest("lead", "member").alias("b")).distinct()
-        if roots is not None:
-            todo = apart(todo, roots).join(tested, ["a", "b"], "left_anti")
+        todo = near if roots is None else apart(near, roots).join(tested, ["a", "b"], "left_anti")
         if not last:
             todo = todo.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         todo = cut_lineage(todo)
@@ -378,7 +491,7 @@ def class_links(slim: DataFrame, info: DataFrame, percent: int) -> tuple[DataFra
         links = new if links is None else links.union(new)
         tested = todo if tested is None else tested.union(todo)
         roots = cut_lineage(components(links))
-    rest = cut_lineage(rest_links(groups.select("g", "lead", "member"), roots, tested, sets, percent))
+    rest = cut_lineage(rest_links(groups.select("g", "lead", "member"), roots, tested, known, read, percent))
     return links.union(rest), classes
 
 
