@@ -262,6 +262,16 @@ def test_sets_without_a_possible_partner_are_not_read(spark, monkeypatch):
     assert read == {7, 40}
 
 
+def test_components_are_found_again_only_for_new_links(spark, monkeypatch):
+    """Copies that their leaders reach need one search for components; in the pipeline each is many small tasks and files."""
+    rows = [(i, " ".join(f"w{i // 2}x{j}" for j in range(50 + i % 2))) for i in range(20)]
+    whole, calls = jaccard.components, []
+    monkeypatch.setattr(jaccard, "components", lambda edges: calls.append(1) or whole(edges))
+    df = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    kept = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()]
+    assert sorted(kept) == list(range(0, 20, 2)) and len(calls) == 1
+
+
 def test_signatures_of_the_same_sets_are_one_group():
     base = [f"b{i}" for i in range(200)]
     rows = [" ".join([*base[:k], "new", *base[k + 1 :]]) for k in (20, 90, 170)]

@@ -390,20 +390,25 @@ def rest_links(groups: DataFrame, roots: DataFrame, tested: DataFrame, known: Da
     pairs = cut_lineage(possible(pairs, known, percent))
 
     large = open_groups.where(F.col("m") > SMALL_GROUP).select("g", "id", "root")
-    first = large.groupBy("g").agg(F.min("id").alias("first"))
-    ties = large.join(first, "g").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    cluster = components(ties)
-    cluster = cluster.select(F.col("node").alias("id"), F.col("root").alias("cluster"))
-    held = large.select("id", F.col("root").alias("comp")).distinct().join(cluster, "id").join(known.select("id", "n", "sketch"), "id")
-    tiles = cut_lineage(tiled(held, percent).groupBy(*TILE_KEY).applyInArrow(
-        lambda t: tile_candidates(t, percent), "cluster long, band int, i int, next int, j int, side int, id long, root long"
-    ))
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(tiles.select("id")).distinct()
+    wanted, tiles = pairs.select(F.col("a").alias("id")).union(pairs.select("b")), None
+    if not large.isEmpty():
+        first = large.groupBy("g").agg(F.min("id").alias("first"))
+        ties = large.join(first, "g").select(F.col("id").alias("a"), F.col("first").alias("b"))
+        cluster = components(ties)
+        cluster = cluster.select(F.col("node").alias("id"), F.col("root").alias("cluster"))
+        held = large.select("id", F.col("root").alias("comp")).distinct().join(cluster, "id").join(known.select("id", "n", "sketch"), "id")
+        tiles = cut_lineage(tiled(held, percent).groupBy(*TILE_KEY).applyInArrow(
+            lambda t: tile_candidates(t, percent), "cluster long, band int, i int, next int, j int, side int, id long, root long"
+        ))
+        wanted = wanted.union(tiles.select("id"))
     if wanted.isEmpty():
         return pairs
-    sets = read(wanted)
+    sets = read(wanted.distinct())
+    links = verified(pairs, sets, percent)
+    if tiles is None:
+        return links
     found = tiles.join(sets, "id").groupBy(*TILE_KEY).applyInArrow(lambda t: tile_links(t, percent), "a long, b long")
-    return verified(pairs, sets, percent).union(found)
+    return links.union(found)
 
 
 def tiled(held: DataFrame, percent: int) -> DataFrame:
@@ -432,8 +437,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, text: str = "text",
     """One row per document: ``doc_id, n_shingles, component_id``."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     info = cut_lineage(slim.mapInArrow(lambda it: tidy(describe(it)), "doc_id long, n long, cls binary, sketch binary"))
-    links, classes = class_links(slim, info, percent)
-    roots = components(links)
+    links, roots, classes = class_links(slim, info, percent)
     # An id on several rows ties their classes.
     shared = info.where("doc_id is not null and n > 0").select("doc_id", "cls").distinct()
     repeated = shared.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("doc_id")
@@ -446,8 +450,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, text: str = "text",
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.cast("long").alias("component_id"))
 
 
-def class_links(slim: DataFrame, info: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Verified links ``a, b`` between representatives, enough to connect all that is linked, and the classes of equal sets."""
+def class_links(slim: DataFrame, info: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Verified links ``a, b`` between representatives, enough to connect all that is linked, their components, and the classes of equal sets."""
     known = info.where("doc_id is not null and n > 0")
     classes = cut_lineage(known.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sketch").alias("sketch")))
     total = one_row(classes.agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles")))
@@ -480,19 +484,23 @@ def class_links(slim: DataFrame, info: DataFrame, percent: int) -> tuple[DataFra
     near = near.select(F.least("lead", "member").alias("a"), F.greatest("lead", "member").alias("b")).distinct()
     near = cut_lineage(possible(near, known, percent))
     sets = read(near.select(F.col("a").alias("id")).union(near.select("b")).distinct())
-    # Rounds: every set that its leader does not reach yet is compared with the smallest leader that is left.
+    # First every set is compared with the smallest leader, then with those that do not reach it yet.
     links, roots, tested = None, None, None
-    for last in (False, False, True):
+    for last in (False, True):
         todo = near if roots is None else apart(near, roots).join(tested, ["a", "b"], "left_anti")
         if not last:
             todo = todo.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         todo = cut_lineage(todo)
         new = cut_lineage(verified(todo, sets, percent))
-        links = new if links is None else links.union(new)
         tested = todo if tested is None else tested.union(todo)
-        roots = cut_lineage(components(links))
+        if roots is None or not new.isEmpty():
+            links = new if links is None else links.union(new)
+            roots = cut_lineage(components(links))
     rest = cut_lineage(rest_links(groups.select("g", "lead", "member"), roots, tested, known, read, percent))
-    return links.union(rest), classes
+    if not rest.isEmpty():
+        links = links.union(rest)
+        roots = components(links)
+    return links, roots, classes
 
 
 def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
